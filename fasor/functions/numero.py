@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Guard before the cast: Spark alone would also take '1.5d', 'NaN' or 'Infinity'.
-PADRAO_NUMERO = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# What counts as a number. Spark's cast alone would also take '1.5d', '0x1p3', 'NaN' or
+# 'Infinity', and is slow on text it rejects.
+NUMERO = r"[ \t]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[ \t]*"
 
 
 def numero_ou_nulo(texto: Column) -> Column:
     """Text with a decimal point to double; NULL when it is not a number."""
-    limpo = F.btrim(texto, F.lit(" \t"))
-    return F.when(limpo.rlike(PADRAO_NUMERO), limpo.try_cast("double"))
+    return F.when(texto.rlike(f"^{NUMERO}$"), texto.try_cast("double"))
 
 
 def numero_br(texto: Column) -> Column:
@@ -19,6 +19,19 @@ def numero_br(texto: Column) -> Column:
     return F.coalesce(numero_ou_nulo(F.replace(texto, F.lit(","), F.lit("."))), F.lit(0.0))
 
 
+def numeros_br(linha: Column, separador: str = ";") -> Column:
+    """``numero_br`` of every field of a line, as ``array<double>``.
+
+    One replacement per line turns each field that is not a number into 0, so that one cast
+    converts the whole array and no field makes it fail.
+    """
+    com_ponto = F.replace(linha, F.lit(","), F.lit("."))
+    so_numeros = F.regexp_replace(
+        com_ponto, f"(^|{separador})(?!{NUMERO}(?:{separador}|$))[^{separador}]*", "$10"
+    )
+    return F.split(so_numeros, separador, -1).try_cast("array<double>")
+
+
 def arredonda(valor: Column, casas: int = 0) -> Column:
     """Round the scaled binary value half to even (``round`` and ``bround`` work on decimals)."""
     if casas == 0:

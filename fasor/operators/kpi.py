@@ -2,9 +2,9 @@
 
 Three hash aggregations over ``demanda`` (see ``base.demanda_horaria``), each with map-side
 combine, so an equipment of any size never sits in one task: statistics, largest value under the
-outlier bound, instants of the extremes. The small results of one pass go back to the next by a
-join on ``codigo``; ``teto_bytes`` is the proven bound that allows its broadcast
-(``teto_por_cadastro``).
+outlier bound, instants of the extremes. The one-row-per-equipment result of a pass goes back to
+the next by ``junta``. ``painel`` writes the demand and these results once each; the single
+functions are lazy and take either kind of DataFrame.
 """
 
 from __future__ import annotations
@@ -13,21 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fasor.functions.numero import arredonda
 from fasor.functions.tempo import instante_da_ordem, ordem_na_base
-from fasor.operators.juncao import bytes_de, junta
+from fasor.operators.juncao import junta
+from fasor.operators.materializa import materializa
 
 LIMITE_RAZAO = 1.10
 DESVIOS = 3.0
-_BYTES_DE_FIGURAS = 400
-
-
-def teto_por_cadastro(equipamentos: DataFrame) -> int:
-    """Bound on the bytes of any one-row-per-equipment result over registered equipments."""
-    codigos = equipamentos.select("codigo")
-    medido = codigos.agg(
-        F.count("codigo").alias("n"),
-        F.coalesce(F.sum(F.octet_length("codigo")), F.lit(0)).alias("b"),
-    ).first()
-    return medido["b"] + medido["n"] * _BYTES_DE_FIGURAS
 
 
 def estatisticas(demanda: DataFrame) -> DataFrame:
@@ -58,7 +48,7 @@ def estatisticas(demanda: DataFrame) -> DataFrame:
     )
 
 
-def maximo_filtrado(demanda: DataFrame, figuras: DataFrame, teto_bytes: int | None = None) -> DataFrame:
+def maximo_filtrado(demanda: DataFrame, figuras: DataFrame) -> DataFrame:
     """Add the largest P strictly below the outlier bound, NULL where no row is below it.
 
     Where the plain maximum is below the bound it is the answer, so only equipments with an
@@ -69,9 +59,7 @@ def maximo_filtrado(demanda: DataFrame, figuras: DataFrame, teto_bytes: int | No
         "codigo", "limite_superior"
     )
     filtrados = (
-        junta(
-            demanda, com_excesso, ["codigo"], espalhar_por=["data_hora"], teto_bytes=teto_bytes
-        )
+        junta(demanda, com_excesso, ["codigo"], espalhar_por=["data_hora"])
         .filter(F.col("p") < F.col("limite_superior"))
         .groupBy("codigo")
         .agg(F.max("p").alias("_filtrado"))
@@ -92,11 +80,11 @@ def corta_maximo(maximo: Column, filtrado: Column) -> Column:
     )
 
 
-def limites(demanda: DataFrame, teto_bytes: int | None = None) -> DataFrame:
+def limites(demanda: DataFrame, figuras: DataFrame) -> DataFrame:
     """Statistics with the robust extremes, the peak apparent power and the loading."""
-    figuras = maximo_filtrado(demanda, estatisticas(demanda), teto_bytes)
     return (
-        figuras.withColumn("max_p_robusto", corta_maximo(F.col("max_p"), F.col("max_p_filtrado")))
+        maximo_filtrado(demanda, figuras)
+        .withColumn("max_p_robusto", corta_maximo(F.col("max_p"), F.col("max_p_filtrado")))
         .withColumn(
             "min_p_robusto",
             F.when(F.col("min_p") < F.col("limite_inferior"), F.col("limite_inferior")).otherwise(
@@ -113,16 +101,14 @@ def limites(demanda: DataFrame, teto_bytes: int | None = None) -> DataFrame:
     )
 
 
-def horas_do_extremo(
-    demanda: DataFrame, figuras: DataFrame, extremo: str, teto_bytes: int | None = None
-) -> DataFrame:
+def horas_do_extremo(demanda: DataFrame, figuras: DataFrame, extremo: str) -> DataFrame:
     """Every hour at which P equals the column ``extremo``: ``(codigo, data_hora, q, ordem)``.
 
     Rows, not a list: a constant series has all its hours at the extreme.
     """
     valores = figuras.select("codigo", F.col(extremo).alias("_extremo")).dropna()
     return (
-        junta(demanda, valores, ["codigo"], espalhar_por=["data_hora"], teto_bytes=teto_bytes)
+        junta(demanda, valores, ["codigo"], espalhar_por=["data_hora"])
         .filter(F.col("p") == F.col("_extremo"))
         .select(
             "codigo",
@@ -133,7 +119,7 @@ def horas_do_extremo(
     )
 
 
-def extremos(demanda: DataFrame, figuras: DataFrame, teto_bytes: int | None = None) -> DataFrame:
+def extremos(demanda: DataFrame, figuras: DataFrame) -> DataFrame:
     """First hour, in base order, of the clipped maximum and of the raw minimum, with Q there."""
     valores = figuras.select("codigo", "max_p_robusto", "min_p").dropna(
         subset=["max_p_robusto", "min_p"]
@@ -143,7 +129,7 @@ def extremos(demanda: DataFrame, figuras: DataFrame, teto_bytes: int | None = No
     no_maximo = F.when(p == F.col("max_p_robusto"), ordem)
     no_minimo = F.when(p == F.col("min_p"), ordem)
     return (
-        junta(demanda, valores, ["codigo"], espalhar_por=["data_hora"], teto_bytes=teto_bytes)
+        junta(demanda, valores, ["codigo"], espalhar_por=["data_hora"])
         .filter((p == F.col("max_p_robusto")) | (p == F.col("min_p")))
         .groupBy("codigo")
         .agg(
@@ -162,11 +148,17 @@ def extremos(demanda: DataFrame, figuras: DataFrame, teto_bytes: int | None = No
     )
 
 
-def painel(demanda: DataFrame, equipamentos: DataFrame) -> DataFrame:
+def gravadas(demanda: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The demand and its limits, each computed and written once."""
+    demanda = materializa(demanda)
+    figuras = materializa(estatisticas(demanda))
+    return demanda, materializa(limites(demanda, figuras))
+
+
+def painel(demanda: DataFrame) -> DataFrame:
     """The card of all key figures, one row per equipment with measurements and installed power."""
-    teto = teto_por_cadastro(equipamentos)
-    figuras = limites(demanda, teto)
-    return figuras.join(extremos(demanda, figuras, teto), "codigo", "left").select(
+    demanda, figuras = gravadas(demanda)
+    return figuras.join(extremos(demanda, figuras), "codigo", "left").select(
         "codigo",
         "potencia_instalada",
         "max_p_robusto",
@@ -201,7 +193,7 @@ def faixa_inversao(demanda: DataFrame) -> DataFrame:
     )
 
 
-def linhas_referencia(demanda: DataFrame, equipamentos: DataFrame) -> DataFrame:
+def linhas_referencia(figuras: DataFrame) -> DataFrame:
     """Installed power, robust minimum and robust maximum as lines over the series."""
     pares = F.array(
         *[
@@ -214,7 +206,7 @@ def linhas_referencia(demanda: DataFrame, equipamentos: DataFrame) -> DataFrame:
         ]
     )
     return (
-        janela_da_serie(limites(demanda, teto_por_cadastro(equipamentos)))
+        janela_da_serie(figuras)
         .select("codigo", "t0", "t1", F.explode(pares).alias("par"))
         .select("codigo", "par.linha", "t0", "t1", "par.y")
     )

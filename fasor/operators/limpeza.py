@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from fasor.functions.numero import arredonda, numero_br
+from fasor.functions.numero import arredonda, numeros_br
 from fasor.functions.tempo import FORMATO_PADRAO, le_data_hora, trunca_hora
 from fasor.functions.texto import nome_tabela, normaliza_nome, padroniza_coluna_tempo
 from fasor.operators.juncao import junta
@@ -25,85 +25,63 @@ def campos(linha: Column) -> Column:
 
 
 def cabecalhos(linhas: DataFrame) -> DataFrame:
-    """One row per header field: ``(arquivo, membro, pos, coluna)``."""
+    """One row per file: ``(arquivo, membro, campos, pos_tempo)``.
+
+    ``pos_tempo`` is the first place of the time column, NULL where the header lacks it. A header
+    is one line, so all work on its names stays inside the row.
+    """
+    nomes = campos(F.col("linha"))
+    lugar = F.nullif(F.array_position(nomes, F.lit(COLUNA_TEMPO)), F.lit(0)) - 1
     return linhas.filter(F.col("nr_linha") == 0).select(
-        "arquivo", "membro", F.posexplode(campos(F.col("linha"))).alias("pos", "coluna")
+        "arquivo", "membro", nomes.alias("campos"), lugar.cast("int").alias("pos_tempo")
     )
 
 
 def arquivos_validos(cab: DataFrame) -> DataFrame:
-    """Files whose header has the time column, with its first position."""
-    return (
-        cab.filter(F.col("coluna") == COLUNA_TEMPO)
-        .groupBy("arquivo")
-        .agg(F.min("pos").alias("pos_tempo"))
-    )
+    """Files whose header has the time column."""
+    return cab.filter(F.col("pos_tempo").isNotNull())
 
 
 def sem_repetidas(cab: DataFrame) -> DataFrame:
-    """Drop exactly repeated column names of a file, keep the first."""
-    return (
-        cab.groupBy("arquivo", "membro", "coluna")
-        .agg(F.min("pos").alias("pos"))
-        .select("arquivo", "membro", "pos", "coluna")
-    )
-
+    """Channels of each file, repeated names read once, at their first place.
 
-def sem_colisoes(cab: DataFrame) -> DataFrame:
-    """Drop columns equal to an earlier one after normalisation, and standardise the time column."""
-    return (
-        cab.withColumn("descricao_norm", normaliza_nome(F.col("coluna")))
-        .groupBy("arquivo", "membro", "descricao_norm")
-        .agg(F.min(F.struct("pos", "coluna")).alias("primeira"))
-        .select(
-            "arquivo",
-            "membro",
-            "primeira.pos",
-            padroniza_coluna_tempo(F.col("primeira.coluna")).alias("coluna"),
-            "descricao_norm",
-        )
+    ``(arquivo, membro, pos_tempo, nomes array<string>, posicoes array<int>)``
+    """
+    nomes = F.array_except("campos", F.array(F.lit(COLUNA_TEMPO)))
+    posicoes = F.transform(
+        nomes, lambda nome: (F.array_position(F.col("campos"), nome) - 1).cast("int")
+    )
+    return cab.select(
+        "arquivo", "membro", "pos_tempo", nomes.alias("nomes"), posicoes.alias("posicoes")
     )
 
 
 def canais_por_arquivo(cab: DataFrame) -> DataFrame:
-    """Valid files with the field position of the time column and of every channel.
-
-    ``(arquivo, pos_tempo, posicoes array<int>)``; exactly repeated names are read once.
-    """
-    canais = (
-        sem_repetidas(cab)
-        .filter(F.col("coluna") != COLUNA_TEMPO)
-        .groupBy("arquivo")
-        .agg(F.array_sort(F.collect_list("pos")).alias("posicoes"))
-    )
-    return arquivos_validos(cab).join(canais, "arquivo", "left").select(
-        "arquivo",
-        "pos_tempo",
-        F.coalesce("posicoes", F.array().cast("array<int>")).alias("posicoes"),
-    )
+    """Where to read each valid file: ``(arquivo, pos_tempo, posicoes)``."""
+    return sem_repetidas(arquivos_validos(cab)).select("arquivo", "pos_tempo", "posicoes")
 
 
 def colunas_dos_arquivos(cab: DataFrame) -> DataFrame:
     """Channels a valid file delivers: ``(arquivo, tabela, indice, descricao, descricao_norm)``.
 
-    ``indice`` is the place of the channel in the values of ``leituras``. A channel whose name
-    normalises like the time column is hidden by it.
+    ``indice`` is the place of the channel in the values of ``leituras``. Of the names that are
+    equal after normalisation the first stays; a channel that normalises like the time column is
+    hidden by it.
     """
-    unicas = sem_repetidas(cab).join(arquivos_validos(cab), "arquivo", "left_semi")
-    na_linha = Window.partitionBy("arquivo").orderBy("pos")
-    canais = unicas.filter(F.col("coluna") != COLUNA_TEMPO).withColumn(
-        "indice", F.row_number().over(na_linha) - 1
+    nomes = (
+        sem_repetidas(arquivos_validos(cab))
+        .select("arquivo", "membro", F.posexplode("nomes").alias("indice", "nome"))
+        .withColumn("descricao_norm", normaliza_nome(F.col("nome")))
+        .filter(F.col("descricao_norm") != "datahora")
     )
-    indices = canais.select("arquivo", "pos", "indice")
     return (
-        sem_colisoes(canais.select("arquivo", "membro", "pos", "coluna"))
-        .filter(F.col("descricao_norm") != "datahora")
-        .join(indices, ["arquivo", "pos"])
+        nomes.groupBy("arquivo", "membro", "descricao_norm")
+        .agg(F.min(F.struct("indice", "nome")).alias("primeira"))
         .select(
             "arquivo",
             nome_tabela(F.col("membro")).alias("tabela"),
-            "indice",
-            F.col("coluna").alias("descricao"),
+            "primeira.indice",
+            padroniza_coluna_tempo(F.col("primeira.nome")).alias("descricao"),
             "descricao_norm",
         )
     )
@@ -117,14 +95,22 @@ def interpreta(
     ``instante`` is NULL where the time text cannot be read (see ``rejeitados``).
     """
     corpo = linhas.filter(F.col("nr_linha") > 0).select("arquivo", "nr_linha", "linha")
-    partes = junta(corpo, canais, ["arquivo"], espalhar_por=["nr_linha"]).withColumn(
-        "campos", campos(F.col("linha"))
+    partes = junta(corpo, canais, ["arquivo"], espalhar_por=["nr_linha"])
+    texto = F.get(campos(F.col("linha")), F.col("pos_tempo"))
+    # One element per row. The optimiser moves neither filters nor expressions through a generated
+    # column: each line is split and parsed once, not again inside the join condition or once per
+    # channel inside a lambda.
+    lidos = F.inline(
+        F.array(
+            F.struct(
+                texto.alias("texto_tempo"),
+                le_data_hora(texto, formatos).alias("instante"),
+                numeros_br(F.col("linha")).alias("numeros"),
+            )
+        )
     )
-    texto = F.get("campos", F.col("pos_tempo"))
-    return (
-        partes.withColumn("texto_tempo", texto)
-        .filter(~F.col("texto_tempo").eqNullSafe(F.lit(RODAPE)))
-        .withColumn("instante", le_data_hora(F.col("texto_tempo"), formatos))
+    return partes.select("arquivo", "nr_linha", "linha", "posicoes", lidos).filter(
+        ~F.col("texto_tempo").eqNullSafe(F.lit(RODAPE))
     )
 
 
@@ -137,7 +123,9 @@ def rejeitados(interpretadas: DataFrame) -> DataFrame:
 
 def leituras(interpretadas: DataFrame) -> DataFrame:
     """Readable lines as ``(arquivo, instante, data_hora, valores array<double>)``."""
-    valores = F.transform("posicoes", lambda p: numero_br(F.get("campos", p)))
+    valores = F.transform(
+        "posicoes", lambda p: F.coalesce(F.get("numeros", p), F.lit(0.0))
+    )
     return interpretadas.filter(F.col("instante").isNotNull()).select(
         "arquivo", "instante", trunca_hora(F.col("instante")).alias("data_hora"), valores.alias("valores")
     )
@@ -181,10 +169,8 @@ def auditoria(
     linhas: DataFrame, formatos: str | Sequence[str] = FORMATO_PADRAO
 ) -> DataFrame:
     """One row per file: what was read, what was left out, and why."""
-    cab = cabecalhos(linhas)
-    larguras = cab.groupBy("arquivo").agg(
-        F.count("pos").cast("int").alias("largura"),
-        F.min(F.when(F.col("coluna") == COLUNA_TEMPO, F.col("pos"))).alias("pos_tempo"),
+    larguras = cabecalhos(linhas).select(
+        "arquivo", F.size("campos").alias("largura"), "pos_tempo"
     )
     corpo = linhas.filter(F.col("nr_linha") != 0).select("arquivo", "nr_linha", "linha")
     tem_linha = F.col("nr_linha") > 0

@@ -11,6 +11,7 @@ from fasor.functions import eletrica, texto
 from fasor.functions.numero import arredonda, numero_br
 from fasor.functions.tempo import trunca_hora
 from fasor.operators import base, cadastro, carga, coincidente, composicao, kpi, limpeza, perfis
+from fasor.operators.materializa import materializa
 from fasor.plans import entradas as e
 
 INSTANTE = datetime(1997, 1, 8, 13)
@@ -28,17 +29,18 @@ def consulta(funcao: Consulta) -> Consulta:
 # ---- shared pieces -------------------------------------------------------------------------
 
 
-def _interpretadas(s: SparkSession, d: str) -> DataFrame:
-    linhas = e.linhas(s, d)
-    return limpeza.interpreta(linhas, limpeza.canais_por_arquivo(limpeza.cabecalhos(linhas)))
+def _cabecalhos(s: SparkSession, d: str) -> DataFrame:
+    return materializa(limpeza.cabecalhos(e.linhas(s, d)))
 
 
-def _horas_dos_arquivos(s: SparkSession, d: str) -> DataFrame:
-    return limpeza.soma_horaria(limpeza.sem_duplicatas(limpeza.leituras(_interpretadas(s, d))))
+def _interpretadas(s: SparkSession, d: str, cab: DataFrame | None = None) -> DataFrame:
+    cab = _cabecalhos(s, d) if cab is None else cab
+    return limpeza.interpreta(e.linhas(s, d), limpeza.canais_por_arquivo(cab))
 
 
-def _colunas(s: SparkSession, d: str) -> DataFrame:
-    return limpeza.colunas_dos_arquivos(limpeza.cabecalhos(e.linhas(s, d)))
+def _horas_dos_arquivos(s: SparkSession, d: str, cab: DataFrame | None = None) -> DataFrame:
+    lidas = limpeza.leituras(_interpretadas(s, d, cab))
+    return limpeza.soma_horaria(limpeza.sem_duplicatas(lidas))
 
 
 def _catalogo_vazio(s: SparkSession) -> DataFrame:
@@ -46,9 +48,10 @@ def _catalogo_vazio(s: SparkSession) -> DataFrame:
 
 
 def _carga(s: SparkSession, d: str, modo: str) -> DataFrame:
-    colunas = _colunas(s, d)
-    catalogo = carga.cresce_catalogo(_catalogo_vazio(s), colunas)
-    largas = limpeza.linhas_largas(_horas_dos_arquivos(s, d))
+    cab = _cabecalhos(s, d)
+    colunas = materializa(limpeza.colunas_dos_arquivos(cab))
+    catalogo = materializa(carga.cresce_catalogo(_catalogo_vazio(s), colunas))
+    largas = limpeza.linhas_largas(_horas_dos_arquivos(s, d, cab))
     tabela = carga.sobrepoe(carga.alinha(largas, colunas, catalogo), modo)
     return carga.celulas_nomeadas(tabela, catalogo)
 
@@ -73,11 +76,8 @@ def _demanda(s: SparkSession, d: str) -> DataFrame:
 
 
 def _limites(s: SparkSession, d: str) -> DataFrame:
-    return kpi.limites(_demanda(s, d), kpi.teto_por_cadastro(e.equipamentos(s, d)))
-
-
-def _teto(s: SparkSession, d: str) -> int:
-    return kpi.teto_por_cadastro(e.equipamentos(s, d))
+    demanda = materializa(_demanda(s, d))
+    return kpi.limites(demanda, materializa(kpi.estatisticas(demanda)))
 
 
 # ---- scans, sources, sinks -----------------------------------------------------------------
@@ -148,7 +148,7 @@ def arquivos_validos(s, d):
         linhas.filter("nr_linha > 0")
         .groupBy("arquivo")
         .agg(F.count(F.lit(1)).alias("linhas"))
-        .join(validos, "arquivo", "left_semi")
+        .join(validos.select("arquivo"), "arquivo", "left_semi")
     )
 
 
@@ -222,12 +222,16 @@ def arredonda_2(s, d):
 
 @consulta
 def colunas_repetidas(s, d):
-    return limpeza.sem_repetidas(e.cabecalhos(s, d)).drop("membro")
+    unicas = limpeza.sem_repetidas(e.cabecalhos(s, d))
+    pares = F.arrays_zip("posicoes", "nomes")
+    return unicas.select("arquivo", F.explode(pares).alias("par")).select(
+        "arquivo", F.col("par.posicoes").alias("pos"), F.col("par.nomes").alias("coluna")
+    )
 
 
 @consulta
 def normaliza_colunas(s, d):
-    return limpeza.sem_colisoes(e.cabecalhos(s, d)).drop("membro")
+    return e.colunas_entregues(s, d)
 
 
 @consulta
@@ -235,7 +239,7 @@ def nome_tabela(s, d):
     nomes = (
         e.linhas(s, d)
         .select("membro")
-        .unionByName(e.cabecalhos(s, d).select("membro"))
+        .unionByName(e.linhas_de_cabecalho(s, d).select("membro"))
         .unionByName(e.le(s, d, "part").select(F.concat("p_name", F.lit(" - 01.TXT.txt")).alias("membro")))
         .distinct()
     )
@@ -275,15 +279,16 @@ def upsert_celula(s, d):
 
 @consulta
 def chaves_duplicadas(s, d):
-    colunas = _colunas(s, d).select("arquivo", "tabela").distinct()
-    horas = _horas_dos_arquivos(s, d).select("arquivo", "data_hora").distinct()
+    cab = _cabecalhos(s, d)
+    colunas = limpeza.colunas_dos_arquivos(cab).select("arquivo", "tabela").distinct()
+    horas = _horas_dos_arquivos(s, d, cab).select("arquivo", "data_hora").distinct()
     return carga.chaves_duplicadas(horas.join(colunas, "arquivo"))
 
 
 @consulta
 def diagnostico_colunas(s, d):
     catalogo = e.cabecalhos(s, d).select(
-        texto.nome_tabela(F.col("membro")).alias("tabela"), F.col("coluna").alias("descricao")
+        texto.nome_tabela(F.col("membro")).alias("tabela"), F.explode("campos").alias("descricao")
     )
     return carga.diagnostico_colunas(carga.com_chave_normalizada(catalogo))
 
@@ -494,8 +499,8 @@ def fp_global(s, d):
 
 @consulta
 def maximo_filtrado(s, d):
-    demanda = _demanda(s, d)
-    figuras = kpi.maximo_filtrado(demanda, kpi.estatisticas(demanda), _teto(s, d))
+    demanda = materializa(_demanda(s, d))
+    figuras = kpi.maximo_filtrado(demanda, materializa(kpi.estatisticas(demanda)))
     return figuras.select("codigo", "max_p_filtrado")
 
 
@@ -521,27 +526,25 @@ def horas_ultrapassagem(s, d):
 
 @consulta
 def instante_maximo(s, d):
-    demanda = _demanda(s, d)
-    teto = _teto(s, d)
-    return kpi.horas_do_extremo(demanda, kpi.limites(demanda, teto), "max_p_robusto", teto).drop("ordem")
+    demanda, figuras = kpi.gravadas(_demanda(s, d))
+    return kpi.horas_do_extremo(demanda, figuras, "max_p_robusto").drop("ordem")
 
 
 @consulta
 def instante_minimo(s, d):
-    demanda = _demanda(s, d)
-    return kpi.horas_do_extremo(demanda, kpi.estatisticas(demanda), "min_p", _teto(s, d)).drop("ordem")
+    demanda = materializa(_demanda(s, d))
+    figuras = materializa(kpi.estatisticas(demanda))
+    return kpi.horas_do_extremo(demanda, figuras, "min_p").drop("ordem")
 
 
 @consulta
 def q_no_extremo(s, d):
-    demanda = _demanda(s, d)
-    teto = _teto(s, d)
-    return kpi.extremos(demanda, kpi.limites(demanda, teto), teto)
+    return kpi.extremos(*kpi.gravadas(_demanda(s, d)))
 
 
 @consulta
 def painel_demanda(s, d):
-    return kpi.painel(_demanda(s, d), e.equipamentos(s, d))
+    return kpi.painel(_demanda(s, d))
 
 
 @consulta
@@ -559,7 +562,7 @@ def serie_anual(s, d):
 
 @consulta
 def linhas_referencia(s, d):
-    return kpi.linhas_referencia(_demanda(s, d), e.equipamentos(s, d))
+    return kpi.linhas_referencia(_limites(s, d))
 
 
 @consulta

@@ -20,6 +20,12 @@ def le(spark: SparkSession, pasta: str, tabela: str) -> DataFrame:
     return spark.read.parquet(f"{pasta}/{tabela}.parquet")
 
 
+def espalha(df: DataFrame, chave: str) -> DataFrame:
+    """Use every core on an input of fewer splits than cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, chave) if df.rdd.getNumPartitions() < cores else df
+
+
 def codigo_de(chave: Column) -> Column:
     """Equipment code of a number: even ones are transformers, odd ones feeders."""
     prefixo = F.when(chave % 2 == 0, "TR-").otherwise("F")
@@ -269,7 +275,7 @@ def linhas(spark: SparkSession, pasta: str) -> DataFrame:
         F.col("l_linestatus"),
         F.lit(".txt"),
     )
-    corpo = le(spark, pasta, "lineitem").select(
+    corpo = espalha(le(spark, pasta, "lineitem"), "l_orderkey").select(
         arquivo.alias("arquivo"),
         arquivo.alias("membro"),
         (F.col("l_orderkey") * 10 + nr + 1).alias("nr_linha"),
@@ -292,8 +298,11 @@ def linhas(spark: SparkSession, pasta: str) -> DataFrame:
     return corpo.unionByName(primeiras)
 
 
-def cabecalhos(spark: SparkSession, pasta: str) -> DataFrame:
-    """Header fields, from all of ``part``: names repeated exactly or up to accents and case."""
+def linhas_de_cabecalho(spark: SparkSession, pasta: str) -> DataFrame:
+    """Header lines, from all of ``part``: names repeated exactly or up to accents and case.
+
+    A file takes the parts of one type out of 100 successive ones, so a line stays short.
+    """
     nome, tamanho = F.col("p_name"), F.col("p_size")
     coluna = (
         F.when(tamanho % 4 == 0, F.upper(nome))
@@ -308,21 +317,23 @@ def cabecalhos(spark: SparkSession, pasta: str) -> DataFrame:
         F.lpad(F.floor(F.col("p_partkey") / 100).cast("string"), 9, "0"),
         F.lit(".txt"),
     )
-    return le(spark, pasta, "part").select(
-        membro.alias("arquivo"),
-        membro.alias("membro"),
-        F.col("p_partkey").alias("pos"),
-        F.concat(coluna, F.when(tamanho % 5 == 0, " 2º").otherwise("")).alias("coluna"),
+    pares = F.struct("p_partkey", F.concat(coluna, F.when(tamanho % 5 == 0, " 2º").otherwise("")).alias("c"))
+    nomes = F.transform(F.array_sort(F.collect_list(pares)), lambda par: par["c"])
+    return (
+        le(spark, pasta, "part")
+        .groupBy(membro.alias("arquivo"))
+        .agg(F.concat_ws(";", F.lit("DATA/Hora"), nomes).alias("linha"))
+        .select("arquivo", F.col("arquivo").alias("membro"), F.lit(0).alias("nr_linha"), "linha")
     )
 
 
+def cabecalhos(spark: SparkSession, pasta: str) -> DataFrame:
+    return limpeza.cabecalhos(linhas_de_cabecalho(spark, pasta))
+
+
 def colunas_entregues(spark: SparkSession, pasta: str) -> DataFrame:
     """Channels of the headers above, with the table of their file."""
-    cab = cabecalhos(spark, pasta)
-    com_tempo = cab.select("arquivo", "membro").distinct().select(
-        "arquivo", "membro", F.lit(-1).cast("bigint").alias("pos"), F.lit("DATA/Hora").alias("coluna")
-    )
-    return limpeza.colunas_dos_arquivos(com_tempo.unionByName(cab))
+    return limpeza.colunas_dos_arquivos(cabecalhos(spark, pasta))
 
 
 def formulas(spark: SparkSession, pasta: str) -> DataFrame:

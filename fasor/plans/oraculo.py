@@ -249,18 +249,21 @@ FROM orders GROUP BY ALL"""
 
 CTE["cab"] = """
 SELECT 'Export (' || p_type || ') ' || lpad(CAST(p_partkey // 100 AS VARCHAR), 9, '0') || '.txt' AS arquivo,
-       lower(p_type) AS tabela, p_partkey AS pos, p_partkey // 100 AS lote,
+       lower(p_type) AS tabela, p_partkey // 100 AS lote,
+       row_number() OVER (PARTITION BY p_type, p_partkey // 100 ORDER BY p_partkey) AS pos,
        CASE p_size % 4 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, 'a', 'á')
                        WHEN 2 THEN replace(p_name, ' ', '-') || ' ' ELSE p_name END
        || CASE WHEN p_size % 5 = 0 THEN ' 2º' ELSE '' END AS coluna
 FROM part"""
 
 CTE["cab_norma"] = f"""
-SELECT *, {_norma('coluna')} AS descricao_norm FROM cab"""
+SELECT *, {_norma('coluna')} AS descricao_norm,
+       dense_rank() OVER (PARTITION BY arquivo ORDER BY primeira) - 1 AS indice
+FROM (SELECT *, min(pos) OVER (PARTITION BY arquivo, coluna) AS primeira FROM cab)"""
 
 CTE["entregues"] = """
-SELECT arquivo, replace(replace(tabela, ' ', '_'), '-', '_') AS tabela, lote, pos, coluna AS descricao,
-       descricao_norm
+SELECT arquivo, replace(replace(tabela, ' ', '_'), '-', '_') AS tabela, lote, pos, CAST(indice AS INTEGER) AS indice,
+       coluna AS descricao, descricao_norm
 FROM cab_norma
 QUALIFY row_number() OVER (PARTITION BY arquivo, descricao_norm ORDER BY pos) = 1"""
 
@@ -403,10 +406,10 @@ SQL: dict[str, str] = {
         f" {_r2('l_extendedprice * (1 + l_tax) / 7')} AS arredondado FROM lineitem"
     ),
     "colunas_repetidas": _com(
-        "SELECT arquivo, min(pos) AS pos, coluna FROM cab GROUP BY arquivo, coluna", "cab"
+        "SELECT arquivo, CAST(min(pos) AS INTEGER) AS pos, coluna FROM cab GROUP BY arquivo, coluna", "cab"
     ),
     "normaliza_colunas": _com(
-        "SELECT arquivo, pos, descricao AS coluna, descricao_norm FROM entregues", "entregues"
+        "SELECT arquivo, tabela, indice, descricao, descricao_norm FROM entregues", "entregues"
     ),
     "nome_tabela": _com(
         "SELECT membro, replace(replace(lower(CASE WHEN contains(membro, '(')"
@@ -468,7 +471,9 @@ SQL: dict[str, str] = {
     "diagnostico_colunas": _com(
         "SELECT replace(replace(tabela, ' ', '_'), '-', '_') AS tabela, CAST(sum(n) AS BIGINT) AS n_colunas,"
         " count(*) FILTER (n > 1) AS n_repetidas"
-        " FROM (SELECT tabela, descricao_norm, count(*) AS n FROM cab_norma GROUP BY ALL) GROUP BY tabela",
+        " FROM (SELECT tabela, descricao_norm, count(*) AS n FROM (SELECT tabela, descricao_norm FROM cab_norma"
+        " UNION ALL SELECT tabela, 'datahora' FROM (SELECT DISTINCT arquivo, tabela FROM cab)) GROUP BY ALL)"
+        " GROUP BY tabela",
         "cab_norma",
     ),
     # registry

@@ -32,7 +32,7 @@ def _celula(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return 0.0 if v == 0 else float(f"{v:.11g}")
+        return 0.0 if v == 0 else v
     if hasattr(v, "isoformat"):
         return v.isoformat(" ")
     return v

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fasor.operators.base import base_horaria, com_potencias, no_instante, tabelas_elegiveis
 from fasor.operators.juncao import bytes_de, junta
+from fasor.operators.materializa import materializa
 
 # Headings of the delivered table.
 TITULOS = {
@@ -29,7 +30,7 @@ def linhas_no_instante(
     other hours, so the full scan runs for these few and, when there are none, not at all: their
     broadcast is then empty and the adaptive plan drops the branch.
     """
-    elegiveis = tabelas_elegiveis(catalogo, resolvidos, caso="sensivel")
+    elegiveis = materializa(tabelas_elegiveis(catalogo, resolvidos, caso="sensivel"))
     teto = bytes_de(elegiveis)
     no_momento = base_horaria(no_instante(medicoes, instante), elegiveis, teto)
     provadas = no_momento.filter(F.col("eae").isNotNull())

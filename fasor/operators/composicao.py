@@ -8,6 +8,7 @@ from fasor.functions import eletrica
 from fasor.operators.base import POSICOES, primeira_tabela
 from fasor.operators.cadastro import LUGARES, canais
 from fasor.operators.juncao import junta
+from fasor.operators.materializa import materializa
 
 OPERADORES = ("Somar", "Subtrair")
 
@@ -59,10 +60,10 @@ def demanda_composta(medicoes: DataFrame, lugares: DataFrame, termos: DataFrame)
     ``lugares``, see ``base.lugares_nas_tabelas``) add 0 and are not counted. Sums combine before the shuffle, so a formula may have any number of terms.
     """
     # the same equipment in two slots adds its signs up
-    pesos = termos.groupBy("formula", "codigo").agg(F.sum("sinal").alias("peso"))
-    dos_termos = lugares.join(pesos, "codigo", "left_semi")
+    pesos = materializa(termos.groupBy("formula", "codigo").agg(F.sum("sinal").alias("peso")))
+    dos_termos = materializa(lugares.join(pesos, "codigo", "left_semi"))
     n_termos = (
-        pesos.join(lugares, "codigo", "left_semi")
+        pesos.join(dos_termos, "codigo", "left_semi")
         .groupBy("formula")
         .agg(F.count(F.lit(1)).alias("n_termos"))
     )

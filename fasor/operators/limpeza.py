@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fasor.functions.estrutura import calcula_uma_vez
 from fasor.functions.numero import arredonda, numeros_br
 from fasor.functions.tempo import FORMATO_PADRAO, le_data_hora, trunca_hora
 from fasor.functions.texto import nome_tabela, normaliza_nome, padroniza_coluna_tempo
@@ -97,17 +98,10 @@ def interpreta(
     corpo = linhas.filter(F.col("nr_linha") > 0).select("arquivo", "nr_linha", "linha")
     partes = junta(corpo, canais, ["arquivo"], espalhar_por=["nr_linha"])
     texto = F.get(campos(F.col("linha")), F.col("pos_tempo"))
-    # One element per row. The optimiser moves neither filters nor expressions through a generated
-    # column: each line is split and parsed once, not again inside the join condition or once per
-    # channel inside a lambda.
-    lidos = F.inline(
-        F.array(
-            F.struct(
-                texto.alias("texto_tempo"),
-                le_data_hora(texto, formatos).alias("instante"),
-                numeros_br(F.col("linha")).alias("numeros"),
-            )
-        )
+    lidos = calcula_uma_vez(
+        texto.alias("texto_tempo"),
+        le_data_hora(texto, formatos).alias("instante"),
+        numeros_br(F.col("linha")).alias("numeros"),
     )
     return partes.select("arquivo", "nr_linha", "linha", "posicoes", lidos).filter(
         ~F.col("texto_tempo").eqNullSafe(F.lit(RODAPE))

@@ -62,13 +62,11 @@ def _resolvidos(s: SparkSession, d: str) -> DataFrame:
 
 
 def _elegiveis(s: SparkSession, d: str, caso: str = "insensivel") -> DataFrame:
-    return base.tabelas_elegiveis(
-        e.catalogo(s, d), cadastro.completos(_resolvidos(s, d)), caso
-    )
+    return base.tabelas_elegiveis(e.catalogo(s, d), cadastro.completos(_resolvidos(s, d)), caso)
 
 
 def _base(s: SparkSession, d: str) -> DataFrame:
-    return base.base_horaria(e.medicoes(s, d), _elegiveis(s, d))
+    return base.base_horaria(e.medicoes(s, d), materializa(_elegiveis(s, d)))
 
 
 def _demanda(s: SparkSession, d: str) -> DataFrame:
@@ -396,7 +394,7 @@ def dedup_primeira_tabela(s, d):
 @consulta
 def filtro_instante(s, d):
     linhas = base.no_instante(e.medicoes(s, d), INSTANTE)
-    return base.base_horaria(linhas, _elegiveis(s, d))
+    return base.base_horaria(linhas, materializa(_elegiveis(s, d)))
 
 
 @consulta

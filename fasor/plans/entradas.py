@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from fasor.functions.estrutura import calcula_uma_vez
 from fasor.functions.tempo import trunca_hora
 from fasor.functions.texto import SUFIXOS, codigo_relatorio, normaliza_nome
 from fasor.operators import limpeza
@@ -56,7 +57,7 @@ def amostras(spark: SparkSession, pasta: str) -> DataFrame:
     """Sub-hour samples of every equipment, from all of ``lineitem``."""
     preco, imposto = F.col("l_extendedprice"), F.col("l_tax")
     chave, marca = F.col("l_suppkey"), F.col("l_returnflag")
-    return le(spark, pasta, "lineitem").select(
+    return espalha(le(spark, pasta, "lineitem"), "l_orderkey").select(
         chave.alias("equip"),
         marca.alias("marca"),
         _instante(F.col("l_shipdate"), F.col("l_partkey"), F.col("l_linenumber")).alias("instante"),
@@ -99,7 +100,8 @@ def medicoes(spark: SparkSession, pasta: str) -> DataFrame:
     return (
         horario(spark, pasta)
         .groupBy("tabela", "data_hora")
-        .agg(por_lugar.alias("m"))
+        .agg(por_lugar.alias("entradas"))
+        .select("tabela", "data_hora", calcula_uma_vez(F.col("entradas").alias("m")))
         .select(
             "tabela",
             "data_hora",

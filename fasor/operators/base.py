@@ -88,12 +88,19 @@ def tabelas_com_dados(base: DataFrame) -> DataFrame:
 def primeira_tabela(base: DataFrame, valores: Sequence[str] = LUGARES) -> DataFrame:
     """One row per equipment and hour: the first table wins, even with missing values.
 
-    ``min_by`` over the table number keeps this a hash aggregate with map-side combine. The name
-    of the table is left to ``com_tabela``: text in the buffer would force a sort.
+    ``min_by`` over the table number keeps this a hash aggregate; the name of the table is left to
+    ``com_tabela``, as text in the buffer would force a sort. The one shuffle is by equipment and
+    day: hours of a day stay together, so later sums per equipment combine them before their own
+    shuffle, while an equipment with a large share of all rows still spreads over its days.
     """
-    return base.groupBy("codigo", "data_hora").agg(
-        F.min("tabela_ordem").alias("tabela_ordem"),
-        *[F.min_by(v, "tabela_ordem").alias(v) for v in valores],
+    por_dia = base.withColumn("_dia", F.to_date("data_hora")).repartition("codigo", "_dia")
+    return (
+        por_dia.groupBy("codigo", "_dia", "data_hora")
+        .agg(
+            F.min("tabela_ordem").alias("tabela_ordem"),
+            *[F.min_by(v, "tabela_ordem").alias(v) for v in valores],
+        )
+        .drop("_dia")
     )
 
 

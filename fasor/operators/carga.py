@@ -36,24 +36,24 @@ def colunas_novas(colunas: DataFrame, catalogo: DataFrame) -> DataFrame:
 def cresce_catalogo(catalogo: DataFrame, colunas: DataFrame) -> DataFrame:
     """Catalogue after a load: known channels keep their place, new ones follow in load order.
 
-    Tables are numbered in the order of their first load. That numbering runs over one row per
-    new region table, the other window over the new header names of one table.
+    Tables are numbered in the order of their first load; ``zipWithIndex`` numbers sorted rows
+    without bringing them into one task. The window runs over the new header names of one table.
     """
+    spark = catalogo.sparkSession
     novas = colunas_novas(colunas, catalogo)
     conhecidas = catalogo.groupBy("tabela").agg(
         F.max("tabela_ordem").alias("ordem_conhecida"), (F.max("pos") + 1).alias("proxima")
     )
-    ultima = catalogo.agg(F.coalesce(F.max("tabela_ordem") + 1, F.lit(0)).alias("primeira_livre"))
-    tabelas_novas = (
+    livre = catalogo.agg(F.coalesce(F.max("tabela_ordem") + 1, F.lit(0))).first()[0]
+    por_chegada = (
         novas.groupBy("tabela")
         .agg(F.min("arquivo").alias("arquivo"))
         .join(conhecidas, "tabela", "left_anti")
-        .withColumn(
-            "sequencia", F.row_number().over(Window.orderBy("arquivo", "tabela")).cast("int") - 1
-        )
-        .withColumn("_um", F.lit(1))
-        .join(ultima.withColumn("_um", F.lit(1)), "_um")
-        .select("tabela", (F.col("primeira_livre") + F.col("sequencia")).alias("ordem_nova"))
+        .orderBy("arquivo", "tabela")
+    )
+    tabelas_novas = spark.createDataFrame(
+        por_chegada.rdd.zipWithIndex().map(lambda par: (par[0]["tabela"], livre + par[1])),
+        "tabela string, ordem_nova int",
     )
     na_tabela = Window.partitionBy("tabela").orderBy("arquivo", "indice")
     numeradas = (

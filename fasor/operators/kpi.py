@@ -18,6 +18,16 @@ from fasor.operators.materializa import materializa
 
 LIMITE_RAZAO = 1.10
 DESVIOS = 3.0
+COLUNAS = (
+    "codigo",
+    "data_hora",
+    "tabela_ordem",
+    "p",
+    "q",
+    "s",
+    "potencia_instalada",
+    "ultrapassagem",
+)
 
 
 def estatisticas(demanda: DataFrame) -> DataFrame:
@@ -150,7 +160,7 @@ def extremos(demanda: DataFrame, figuras: DataFrame) -> DataFrame:
 
 def gravadas(demanda: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The demand and its limits, each computed and written once."""
-    demanda = materializa(demanda)
+    demanda = materializa(demanda.select(*COLUNAS))
     figuras = materializa(estatisticas(demanda))
     return demanda, materializa(limites(demanda, figuras))
 

@@ -166,11 +166,10 @@ def auditoria(
     larguras = cabecalhos(linhas).select(
         "arquivo", F.size("campos").alias("largura"), "pos_tempo"
     )
+    corpo = linhas.filter(F.col("nr_linha") != 0).select("arquivo", "nr_linha", "linha")
     # the reader marks what gave no line with a reason; other sources of lines may have no marks
     marca = F.col("situacao") if "situacao" in linhas.columns else F.lit(None).cast("string")
-    corpo = linhas.filter(F.col("nr_linha") != 0).select(
-        "arquivo", "nr_linha", "linha", marca.alias("marca")
-    )
+    marcas = linhas.filter(F.col("nr_linha") < 0).select("arquivo", marca.alias("marca"))
     tem_linha = F.col("nr_linha") > 0
     lidas = junta(corpo, larguras, ["arquivo"], "left", espalhar_por=["nr_linha"]).withColumn(
         "campos", campos(F.col("linha"))
@@ -186,7 +185,6 @@ def auditoria(
         (valida & ~rodape & instante.isNull()).cast("bigint").alias("rejeitada"),
         (valida & (F.size("campos") > F.col("largura"))).cast("bigint").alias("extra"),
         F.when(valida & ~rodape, trunca_hora(instante)).alias("data_hora"),
-        "marca",
     )
     somas = marcadas.groupBy("arquivo").agg(
         F.max("valido").alias("valido"),
@@ -195,13 +193,12 @@ def auditoria(
         F.sum("rejeitada").alias("rejeitadas"),
         F.sum("extra").alias("linhas_com_campo_extra"),
         F.countDistinct("data_hora").alias("horas"),
-        F.max("marca").alias("marca"),
     )
     # a file that has a header and nothing else appears only here
     so_cabecalho = larguras.select(
         "arquivo", F.col("pos_tempo").isNotNull().alias("valido")
     ).join(somas, "arquivo", "left_anti")
-    zeros = [F.lit(0).cast("bigint").alias(c) for c in somas.columns[2:-1]]
+    zeros = [F.lit(0).cast("bigint").alias(c) for c in somas.columns[2:]]
     situacao = (
         F.when(F.col("marca").isNotNull(), F.col("marca"))
         .when(~F.col("valido"), "sem_coluna_de_tempo")
@@ -209,9 +206,8 @@ def auditoria(
         .otherwise("ok")
     )
     return (
-        somas.unionByName(
-            so_cabecalho.select("arquivo", "valido", *zeros), allowMissingColumns=True
-        )
+        somas.unionByName(so_cabecalho.select("arquivo", "valido", *zeros))
+        .join(marcas, "arquivo", "left")
         .withColumn("situacao", situacao)
         .drop("valido", "marca")
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHAVE = "spark.checkpoint.dir"
+_PROPRIAS: dict[str, str] = {}
 
 
 def pasta_compartilhada(spark: SparkSession) -> str | None:
@@ -16,10 +19,13 @@ def pasta_compartilhada(spark: SparkSession) -> str | None:
     A cluster that names none gets None: a folder of one machine would be no use to the others.
     """
     pasta = spark.conf.get(CHAVE, None)
-    if pasta is None and spark.sparkContext.master.startswith("local"):
-        pasta = tempfile.mkdtemp(prefix="fasor-")
-        spark.conf.set(CHAVE, pasta)
-    return pasta
+    if pasta is not None or not spark.sparkContext.master.startswith("local"):
+        return pasta
+    aplicacao = spark.sparkContext.applicationId
+    if aplicacao not in _PROPRIAS:
+        _PROPRIAS[aplicacao] = tempfile.mkdtemp(prefix="fasor-")
+        atexit.register(shutil.rmtree, _PROPRIAS[aplicacao], ignore_errors=True)
+    return _PROPRIAS[aplicacao]
 
 
 def materializa(df: DataFrame) -> DataFrame:

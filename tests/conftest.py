@@ -17,6 +17,7 @@ def spark():
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="fasor-testes-"),
         },
     )

@@ -150,10 +150,23 @@ def chaves_duplicadas(linhas: DataFrame) -> DataFrame:
     )
 
 
+def colunas_da_tabela(catalogo: DataFrame) -> DataFrame:
+    """Every column of every table, in order: ``(tabela, pos, descricao, tipo)``, time first."""
+    tempo = catalogo.select("tabela").distinct().select(
+        "tabela",
+        F.lit(0).alias("pos"),
+        F.lit("Data_Hora").alias("descricao"),
+        F.lit("DATETIME").alias("tipo"),
+    )
+    return tempo.unionByName(
+        catalogo.select("tabela", (F.col("pos") + 1).alias("pos"), "descricao", "tipo")
+    )
+
+
 def diagnostico_colunas(catalogo: DataFrame) -> DataFrame:
-    """Per table: number of columns and number of names that repeat after normalisation."""
+    """Per table: number of columns, the time included, and of names that repeat once normalised."""
     por_nome = catalogo.groupBy("tabela", "descricao_norm").agg(F.count(F.lit(1)).alias("n"))
     return por_nome.groupBy("tabela").agg(
-        F.sum("n").alias("n_colunas"),
+        (F.sum("n") + 1).alias("n_colunas"),
         F.sum((F.col("n") > 1).cast("bigint")).alias("n_repetidas"),
     )

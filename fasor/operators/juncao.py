@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 LIMITE_BYTES = 64 << 20
-SAIS = 64
+SAIS = 8
 
 
 def _largura(campo: T.StructField) -> Column:
@@ -42,6 +42,8 @@ def junta(
     proved) is within ``limite_bytes``. Beyond it the join shuffles on the keys plus a salt: every
     row of the large side takes one salt from the hash of ``espalhar_por``, every dimension row is
     repeated for each salt. A hash, unlike ``rand()``, gives the same salt when a lost task reruns.
+    A few salts are enough: they also keep later steps from depending on the partitioning of the
+    join, which is what lets the adaptive plan cut partitions that are still too large.
     """
     chaves = list(chaves)
     tamanho = bytes_de(dimensao) if teto_bytes is None else teto_bytes

@@ -188,6 +188,23 @@ def painel(demanda: DataFrame) -> DataFrame:
     )
 
 
+def para_exibir(painel: DataFrame) -> DataFrame:
+    """The card as text where the page shows text: loading in percent, day-first times."""
+    return painel.select(
+        "codigo",
+        "max_p_robusto",
+        F.format_string("%.2f%%", "carregamento_pct").alias("carregamento"),
+        F.rint("potencia_instalada").alias("potencia_instalada"),
+        "min_p_robusto",
+        "fp_global",
+        "horas_ultrapassagem",
+        F.date_format("instante_maximo", "dd-MM-yyyy HH:mm").alias("instante_maximo"),
+        "q_no_maximo",
+        F.date_format("instante_minimo", "dd-MM-yyyy HH:mm").alias("instante_minimo"),
+        "q_no_minimo",
+    )
+
+
 def janela_da_serie(figuras: DataFrame) -> DataFrame:
     """First and last time of the series, in base order."""
     return figuras.withColumn("t0", instante_da_ordem(F.col("primeira_ordem"))).withColumn(

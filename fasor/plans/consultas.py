@@ -111,7 +111,7 @@ def listar_tabelas(s, d):
 
 @consulta
 def listar_colunas(s, d):
-    return e.catalogo(s, d).select("tabela", "pos", "descricao", "tipo")
+    return carga.colunas_da_tabela(e.catalogo(s, d))
 
 
 @consulta
@@ -285,8 +285,9 @@ def chaves_duplicadas(s, d):
 
 @consulta
 def diagnostico_colunas(s, d):
+    canais = F.explode(F.filter("campos", lambda c: c != limpeza.COLUNA_TEMPO))
     catalogo = e.cabecalhos(s, d).select(
-        texto.nome_tabela(F.col("membro")).alias("tabela"), F.explode("campos").alias("descricao")
+        texto.nome_tabela(F.col("membro")).alias("tabela"), canais.alias("descricao")
     )
     return carga.diagnostico_colunas(carga.com_chave_normalizada(catalogo))
 
@@ -545,6 +546,11 @@ def painel_demanda(s, d):
     return kpi.painel(_demanda(s, d))
 
 
+@consulta
+def painel_exibido(s, d):
+    return kpi.para_exibir(kpi.painel(_demanda(s, d)))
+
+
 @consulta
 def faixa_inversao(s, d):
     return kpi.faixa_inversao(_demanda(s, d))
@@ -589,6 +595,11 @@ def demanda_coincidente(s, d):
     )
 
 
+@consulta
+def coincidente_titulos(s, d):
+    return coincidente.com_titulos(demanda_coincidente(s, d))
+
+
 @consulta
 def composicao_spec(s, d):
     return composicao.composicao_spec(e.formulas(s, d))

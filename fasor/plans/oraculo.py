@@ -358,7 +358,9 @@ SQL: dict[str, str] = {
     ),
     "listar_tabelas": _com("SELECT DISTINCT tabela FROM catalogo", "catalogo"),
     "listar_colunas": _com(
-        "SELECT tabela, pos, descricao, 'REAL' AS tipo FROM catalogo", "catalogo"
+        "SELECT tabela, CAST(pos + 1 AS INTEGER) AS pos, descricao, 'REAL' AS tipo FROM catalogo"
+        " UNION ALL SELECT DISTINCT tabela, CAST(0 AS INTEGER), 'Data_Hora', 'DATETIME' FROM catalogo",
+        "catalogo",
     ),
     "cadastro_sem_nulos": _com("SELECT * FROM equipamentos WHERE codigo IS NOT NULL", "equipamentos"),
     "scan_cadastro": _com("SELECT * FROM equipamentos", "equipamentos"),
@@ -469,11 +471,9 @@ SQL: dict[str, str] = {
         "horas",
     ),
     "diagnostico_colunas": _com(
-        "SELECT replace(replace(tabela, ' ', '_'), '-', '_') AS tabela, CAST(sum(n) AS BIGINT) AS n_colunas,"
+        "SELECT replace(replace(tabela, ' ', '_'), '-', '_') AS tabela, CAST(sum(n) + 1 AS BIGINT) AS n_colunas,"
         " count(*) FILTER (n > 1) AS n_repetidas"
-        " FROM (SELECT tabela, descricao_norm, count(*) AS n FROM (SELECT tabela, descricao_norm FROM cab_norma"
-        " UNION ALL SELECT tabela, 'datahora' FROM (SELECT DISTINCT arquivo, tabela FROM cab)) GROUP BY ALL)"
-        " GROUP BY tabela",
+        " FROM (SELECT tabela, descricao_norm, count(*) AS n FROM cab_norma GROUP BY ALL) GROUP BY tabela",
         "cab_norma",
     ),
     # registry
@@ -632,6 +632,15 @@ SQL: dict[str, str] = {
         "limites",
         "extremos",
     ),
+    "painel_exibido": _com(
+        "SELECT codigo, max_p_robusto, printf('%.2f%%', carregamento_pct) AS carregamento,"
+        " round_even(potencia_instalada, 0) AS potencia_instalada, min_p_robusto, fp_global,"
+        " horas_ultrapassagem, strftime(instante_maximo, '%d-%m-%Y %H:%M') AS instante_maximo, q_no_maximo,"
+        " strftime(instante_minimo, '%d-%m-%Y %H:%M') AS instante_minimo, q_no_minimo"
+        " FROM limites JOIN extremos USING (codigo)",
+        "limites",
+        "extremos",
+    ),
     "faixa_inversao": _com(
         "SELECT codigo, t0, t1, least(coalesce(min_p, 0), 0) AS y0, CAST(0 AS DOUBLE) AS y1"
         " FROM est JOIN pontas USING (codigo)",
@@ -690,3 +699,9 @@ SQL: dict[str, str] = {
         "formulas",
     ),
 }
+
+SQL["coincidente_titulos"] = (
+    'SELECT codigo AS "Equipamento", data_hora AS "Data/Hora", p AS "Potência Ativa (kW)",'
+    ' q AS "Potência Reativa (kvar)", s AS "Potência Aparente (kVA)", fp AS "FP"'
+    f" FROM ({SQL['demanda_coincidente']})"
+)

@@ -6,10 +6,11 @@ by time. The catalogue is written as a new version per load under ``<base>/catal
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fasor.operators.cadastro import sem_chave_nula
 from fasor.operators.carga import ESQUEMA_CATALOGO
@@ -87,18 +88,27 @@ def le_cadastro(
     return sem_chave_nula(lido, chave, exige)
 
 
-def grava_csv(df: DataFrame, destino: str, codificacao: str = "ISO-8859-1") -> None:
-    """CSV as the pages deliver it: ``;``, header, latin-1. One file per task."""
-    (
+def grava_csv(
+    df: DataFrame, destino: str, por: Sequence[str] = (), codificacao: str = "ISO-8859-1"
+) -> None:
+    """CSV as the pages deliver it: ``;``, header, latin-1; a folder per value of ``por``."""
+    escrita = (
         df.write.mode("overwrite")
         .option("sep", ";")
         .option("header", True)
         .option("encoding", codificacao)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(destino)
     )
+    (escrita.partitionBy(*por) if por else escrita).csv(destino)
+
+
+def exporta_curva(curva: DataFrame, pasta: str) -> None:
+    """Curves of all equipments (``perfis.curva_para_exportar``), one folder per equipment."""
+    grava_csv(curva, f"{pasta}/curvas", por=["codigo"])
 
 
-def destino_coincidente(pasta: str, instante: datetime) -> str:
-    """Path of the coincident table of an instant."""
-    return f"{pasta}/demanda_coincidente_{instante:%Y%m%d_%H%M}"
+def exporta_coincidente(resultado: DataFrame, pasta: str, instante: datetime) -> str:
+    """Coincident table (``coincidente.com_titulos``) under the name of its instant."""
+    destino = f"{pasta}/demanda_coincidente_{instante:%Y%m%d_%H%M}"
+    grava_csv(resultado, destino)
+    return destino

@@ -180,7 +180,11 @@ def test_csv_sink(spark, tmp_path):
     tabelas.grava_csv(df.select("Data_Hora", "nome", "valor").coalesce(1), destino)
     (arquivo,) = (tmp_path / "curva").glob("*.csv")
     assert arquivo.read_bytes().decode("latin-1") == "Data_Hora;nome;valor\n2024-02-01 03:00:00;São;1.5\n"
-    assert tabelas.destino_coincidente("x", datetime(2024, 1, 2, 3)) == "x/demanda_coincidente_20240102_0300"
+    tabelas.exporta_curva(df.withColumn("codigo", F.lit("F1")), str(tmp_path))
+    assert (tmp_path / "curvas" / "codigo=F1").is_dir()
+    feito = tabelas.exporta_coincidente(df, str(tmp_path), datetime(2024, 1, 2, 3))
+    assert feito == f"{tmp_path}/demanda_coincidente_20240102_0300"
+    assert spark.read.option("sep", ";").option("header", True).csv(feito).count() == 1
 
 
 def test_registry_file(spark, tmp_path):

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +34,25 @@ MINUSCULA = np.arange(256, dtype=np.uint8)
 MINUSCULA[0x41:0x5B] += 32
 
 
+_LEVADO: set[str] = set()
+
+
+def leva_codigo(spark: SparkSession) -> None:
+    """Hand this package to the Python workers of the session, once, as ``--py-files`` would."""
+    aplicacao = spark.sparkContext.applicationId
+    if aplicacao in _LEVADO:
+        return
+    raiz = Path(__file__).resolve().parents[2]
+    pasta = tempfile.mkdtemp(prefix="fasor-codigo-")  # Spark serves it from the driver
+    atexit.register(shutil.rmtree, pasta, ignore_errors=True)
+    arquivo = f"{pasta}/fasor_llm.zip"
+    with zipfile.ZipFile(arquivo, "w") as z:
+        for f in sorted((raiz / "fasor").rglob("*.py")):
+            z.write(f, f.relative_to(raiz))
+    spark.sparkContext.addPyFile(arquivo)
+    _LEVADO.add(aplicacao)
+
+
 def le(spark: SparkSession, pasta: str, tabela: str) -> DataFrame:
     return spark.read.parquet(f"{pasta.rstrip('/')}/{tabela}.parquet")
 
@@ -42,6 +66,11 @@ def minusculas(texto: Column) -> Column:
     )
 
 
+def resto_do_id(id: Column) -> Column:
+    """crc32 of the id as text, modulo 3; NULL counts as empty text."""
+    return F.crc32(F.coalesce(id.cast("string"), F.lit(""))) % 3
+
+
 def mistura(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers over the whole word."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -65,8 +94,8 @@ def _potencia(nome: str, base: np.uint64, n: int) -> np.ndarray:
     return p[:n]
 
 
-def blocos(textos: pa.Array, alvo: int = BLOCO) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
-    """Cut a column of binary texts into runs of rows of about ``alvo`` bytes.
+def blocos(textos: pa.Array, alvo: int = BLOCO, max_linhas: int = 1 << 20) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """Cut a column of binary texts into runs of rows of about ``alvo`` bytes and at most ``max_linhas`` rows.
 
     Yields first row, end row, the texts joined by spaces with a space at both ends, and the offset of each text
     (one more at the end). NULL counts as empty.
@@ -75,7 +104,7 @@ def blocos(textos: pa.Array, alvo: int = BLOCO) -> Iterator[tuple[int, int, byte
     n = len(textos)
     for i in range(n):
         t = textos[i].as_py() or b""
-        if linhas and tamanho + len(t) > alvo:
+        if linhas and (tamanho + len(t) > alvo or len(linhas) >= max_linhas):
             yield primeira, i, *_junta(linhas)
             linhas, tamanho, primeira = [], 0, i
         linhas.append(t)

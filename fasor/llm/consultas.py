@@ -6,16 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fasor.llm import descontaminacao, exatos, fragmentos, segredos
-from fasor.llm.comum import le
+from fasor.llm import descontaminacao, empacotamento, exatos, fragmentos, idioma, jaccard, paginas, segredos, toxicidade
+from fasor.llm.comum import le, leva_codigo
 
-CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_OPERADORES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_empacotamento": lambda s, d: empacotamento.op1_empacotamento(le(s, d, "documents")),
     "op2_segredos": lambda s, d: segredos.op2_segredos(le(s, d, "documents")),
+    "op3_idioma": lambda s, d: idioma.op3_idioma(le(s, d, "documents")),
+    "op4_jaccard": lambda s, d: jaccard.op4_jaccard(s, le(s, d, "documents")),
     "op5_fragmentos": lambda s, d: fragmentos.op5_fragmentos(s, le(s, d, "documents")),
     "op6_descontaminacao": lambda s, d: descontaminacao.op6_descontaminacao(le(s, d, "documents"), le(s, d, "benchmark")),
+    "op8_toxicidade": lambda s, d: toxicidade.op8_toxicidade(le(s, d, "documents"), le(s, d, "labels")),
     "op9_exatos": lambda s, d: exatos.op9_exatos(s, le(s, d, "documents")),
+    "op10_paginas": lambda s, d: paginas.op10_paginas(le(s, d, "pages")),
 }
 
+
+def _consulta(operador: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def consulta(spark: SparkSession, pasta: str) -> DataFrame:
+        leva_codigo(spark)
+        return operador(spark, pasta)
+
+    return consulta
+
+
+CONSULTAS = {nome: _consulta(operador) for nome, operador in _OPERADORES.items()}
+
 SQL: dict[str, str] = {
     "op6_descontaminacao": descontaminacao.SQL,
     "op9_exatos": exatos.SQL,

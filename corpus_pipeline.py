@@ -1,8 +1,67 @@
-"""Clean a corpus: stages over the documents, each written as Parquet and read again by the next."""
+"""Clean a corpus: stages over the documents, each written as Parquet and read again by the next.
+
+Language identification drops documents without a recognisable language; of equal texts the largest id stays; of each
+near-duplicate component the least id stays; benchmark passages are cut out, and documents that are mostly benchmark
+go; what is left is packed into bins.
+"""
 
 from __future__ import annotations
 
-from fasor.llm import consultas
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fasor.llm import consultas, descontaminacao, empacotamento, exatos, idioma, jaccard
+from fasor.llm.comum import le, leva_codigo, materializa
+
+#: Documents whose two nearest languages are close and that score less are no language's.
+SCORE_MINIMO = 0.4
+
+
+def idiomas(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    leva_codigo(spark)
+    previstos = idioma.identifica(docs)
+    rejeitado = (F.col("lang_pred") == idioma.SEM_IDIOMA) | (F.col("ambiguous") & (F.col("score") < SCORE_MINIMO))
+    return previstos.filter(~rejeitado).select(*docs.columns)
+
+
+def copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exatos.deduplica(docs)
+
+
+def quase_copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    leva_codigo(spark)
+    return jaccard.um_por_componente(docs)
+
+
+def sem_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    leva_codigo(spark)
+    return descontaminacao.descontamina(docs, le(spark, sf_dir, "benchmark"))
+
+
+def empacotados(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    leva_codigo(spark)
+    return empacotamento.op1_empacotamento(docs)
+
+
+STAGES = [
+    ("idioma", idiomas),
+    ("exatos", copias),
+    ("jaccard", quase_copias),
+    ("descontaminacao", sem_benchmark),
+    ("empacotamento", empacotados),
+]
+
+#: No SQL expresses the first stage; tests hold the rows against plain Python versions of all stages.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the last stage over the table ``documents``."""
+    docs = le(spark, sf_dir, "documents")
+    for _, etapa in STAGES[:-1]:
+        docs = materializa(etapa(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
+
 
-CONSULTAS = dict(consultas.CONSULTAS)
+CONSULTAS = {**consultas.CONSULTAS, "pipeline": run}
 SQL = dict(consultas.SQL)

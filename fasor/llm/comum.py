@@ -34,6 +34,32 @@ MINUSCULA = np.arange(256, dtype=np.uint8)
 MINUSCULA[0x41:0x5B] += 32
 
 
+#: A key that more than one row in so many has is joined by broadcast: at most so many such keys exist.
+QUENTES = 64
+#: Ids are broadcast up to this number (8 bytes each), beyond it they are shuffled.
+MAX_IDS = 500_000
+
+
+def a_cada_linha(linhas: DataFrame, nos: DataFrame, chave: list[str], copias: str) -> DataFrame:
+    """Inner join of rows with one row per key, which counts the rows of the key in ``copias``.
+
+    Keys that hold a large share of all rows are at most QUENTES and go by broadcast, so that no task gets all the rows
+    of one key; the others are shuffled. ``nos`` should have been written out: it is read several times.
+    """
+    limite = (nos.agg(F.sum(copias)).first()[0] or 0) // QUENTES + 1
+    quentes = F.broadcast(nos.filter(F.col(copias) >= limite))
+    outras = nos.filter(F.col(copias) < limite)
+    return linhas.join(quentes, chave).unionByName(
+        linhas.join(quentes.select(*chave), chave, "left_anti").join(outras, chave)
+    )
+
+
+def sem_ids(df: DataFrame, ids: DataFrame, coluna: str) -> DataFrame:
+    """Rows of ``df`` whose ``coluna`` is not in ``ids``, which has been written out."""
+    poucos = ids.limit(MAX_IDS + 1).count() <= MAX_IDS
+    return df.join(F.broadcast(ids) if poucos else ids, coluna, "left_anti")
+
+
 _LEVADO: set[str] = set()
 
 

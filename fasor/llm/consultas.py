@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fasor.llm import descontaminacao, empacotamento, exatos, fragmentos, idioma, jaccard, paginas, segredos, toxicidade
+from fasor.llm import descontaminacao, empacotamento, exatos, fragmentos, idioma, jaccard, paginas, paragrafos, segredos, toxicidade
 from fasor.llm.comum import le, leva_codigo
 
 _OPERADORES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ _OPERADORES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard": lambda s, d: jaccard.op4_jaccard(s, le(s, d, "documents")),
     "op5_fragmentos": lambda s, d: fragmentos.op5_fragmentos(s, le(s, d, "documents")),
     "op6_descontaminacao": lambda s, d: descontaminacao.op6_descontaminacao(le(s, d, "documents"), le(s, d, "benchmark")),
+    "op7_paragrafos": lambda s, d: paragrafos.op7_paragrafos(le(s, d, "documents")),
     "op8_toxicidade": lambda s, d: toxicidade.op8_toxicidade(le(s, d, "documents"), le(s, d, "labels")),
     "op9_exatos": lambda s, d: exatos.op9_exatos(s, le(s, d, "documents")),
     "op10_paginas": lambda s, d: paginas.op10_paginas(le(s, d, "pages")),

@@ -17,10 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fasor.llm.comum import materializa, minusculas, pasta_compartilhada
-
-#: A text that more than one row in so many has is joined by broadcast: at most so many such texts exist.
-QUENTES = 64
+from fasor.llm.comum import a_cada_linha, materializa, minusculas, pasta_compartilhada, sem_ids
 
 
 @dataclass(frozen=True)
@@ -77,7 +74,7 @@ def situacao(lote: DataFrame, indice: Indice, cargas: list[str]) -> DataFrame:
     """One row per document of ``lote``: what the index says of its text, and how many rows of ``lote`` have it.
 
     Columns doc_id, linha, digest, keep_id, group_size, kept. ``cargas`` names the loads that ``lote`` went in by.
-    A row in many is joined by broadcast, so that no task gets all copies of one text.
+    A text of many copies is joined by broadcast, so that no task gets all of them.
     """
     grupos = materializa(
         lote.groupBy("digest")
@@ -90,14 +87,7 @@ def situacao(lote: DataFrame, indice: Indice, cargas: list[str]) -> DataFrame:
             F.when(F.col("carga").isin(cargas), F.col("linha")).alias("fica"),
         )
     )
-    total = grupos.agg(F.sum("group_size")).first()[0] or 0
-    limite = total // QUENTES + 1
-    quentes = grupos.filter(F.col("group_size") >= limite)
-    muitas = lote.join(F.broadcast(quentes), "digest")
-    outras = lote.join(F.broadcast(quentes.select("digest")), "digest", "left_anti").join(
-        grupos.filter(F.col("group_size") < limite), "digest"
-    )
-    return muitas.unionByName(outras).select(
+    return a_cada_linha(lote, grupos, ["digest"], "group_size").select(
         "doc_id", "linha", "digest", "keep_id", "group_size", F.equal_null("linha", "fica").alias("kept")
     )
 
@@ -107,7 +97,7 @@ def deduplica(docs: DataFrame, indice: Indice | None = None) -> DataFrame:
     spark = docs.sparkSession
     indice = indice or abre_indice(spark)
     carga = uuid.uuid4().hex
-    # the text stays in place: only the digests travel, and then the rows that stay, by the number of the row
+    # only digests and numbers of rows travel, where few enough rows go
     numerados = materializa(docs.withColumn("__linha", F.monotonically_increasing_id()))
     lote = materializa(
         numerados.select(
@@ -117,8 +107,9 @@ def deduplica(docs: DataFrame, indice: Indice | None = None) -> DataFrame:
         )
     )
     carrega(lote, indice, carga)
-    ficam = indice.le().filter(F.col("carga") == carga).select(F.col("linha").alias("__linha"))
-    return numerados.join(ficam, "__linha", "left_semi").select(*docs.columns)
+    ficam = indice.le().filter(F.col("carga") == carga).select("linha")
+    saem = materializa(lote.select("linha").join(ficam, "linha", "left_anti").withColumnRenamed("linha", "__linha"))
+    return sem_ids(numerados, saem, "__linha").select(*docs.columns)
 
 
 def op9_exatos(spark: SparkSession, documentos: DataFrame) -> DataFrame:

@@ -25,7 +25,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fasor.llm import ligacoes
-from fasor.llm.comum import blocos, conjuntos, hashes, janelas, materializa, mistura, palavras, pasta_compartilhada, semente
+from fasor.llm.comum import (
+    a_cada_linha,
+    blocos,
+    conjuntos,
+    hashes,
+    janelas,
+    materializa,
+    mistura,
+    palavras,
+    pasta_compartilhada,
+    sem_ids,
+    semente,
+)
 
 #: Cells of the counts, and the runs in which tasks hand them on.
 CELULAS = 21
@@ -34,7 +46,6 @@ _PARTES = 64
 ORDENS = 3
 #: A token's rows are dealt to parts of about this size.
 LINHAS_POR_PARTE = 4096
-QUENTES = 64
 
 
 def sombras(bloco: bytes, inicio: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -229,31 +240,16 @@ def junta(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
             "n", "d1", "d2", "copias", F.coalesce("componente", "id").alias("component_id")
         )
     )
-    return _a_cada_linha(linhas, nos).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-
-
-def _a_cada_linha(linhas: DataFrame, nos: DataFrame) -> DataFrame:
-    """Bring the component of a set to all its documents; sets of many rows, at most QUENTES of them, by broadcast."""
-    chave = ["n", "d1", "d2"]
-    limite = (nos.agg(F.sum("copias")).first()[0] or 0) // QUENTES + 1
-    quentes = F.broadcast(nos.filter(F.col("copias") >= limite).drop("copias"))
-    vazias = linhas.filter("n = 0").withColumn("component_id", F.col("doc_id"))
-    cheias = linhas.filter("n > 0")
-    return (
-        cheias.join(quentes, chave)
-        .unionByName(
-            cheias.join(quentes.select(*chave), chave, "left_anti").join(
-                nos.filter(F.col("copias") < limite).drop("copias"), chave
-            )
-        )
-        .unionByName(vazias)
+    todas = a_cada_linha(linhas.filter("n > 0"), nos, ["n", "d1", "d2"], "copias").drop("copias")
+    return todas.unionByName(linhas.filter("n = 0").withColumn("component_id", F.col("doc_id"))).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
 
 
 def um_por_componente(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
     """The documents of which each component keeps one, that of the least id; all columns. Documents without shingles stay."""
-    comps = junta(docs, k, limiar).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(comps, "doc_id", "left_anti")
+    outros = junta(docs, k, limiar).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return sem_ids(docs, materializa(outros), "doc_id").select(*docs.columns)
 
 
 def op4_jaccard(spark: SparkSession, documentos: DataFrame) -> DataFrame:

@@ -2,8 +2,12 @@
 
 Two texts can only reach the threshold if they share a token among the first few of each, under any one order of all
 tokens. Several orders are used: each puts common tokens last, by the same counts of all shingles, and breaks ties by
-another hash. The first order's prefixes are the keys that make candidates; a candidate pair must then share a prefix
-token under every other order too, before the sets are compared exactly.
+another hash. The first order's prefixes are the keys that make candidates; a candidate pair must then share prefix tokens
+under every other order too, before the sets are compared exactly.
+
+How many it must share follows from the sizes: of the two prefixes, the one that ends first holds all common tokens up
+to its end among the shared ones, so the rest of that set bounds what else can be common. The other orders' prefixes
+travel as 32-bit numbers; two tokens with one number only let a pair through to the exact comparison.
 
 The counts are kept in 2^21 cells by hash; every shingle of every document is counted. They only choose the order, so
 cells shared by several shingles cost candidates, never links.
@@ -128,17 +132,39 @@ def _classes(medidas: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return contas, np.ceil(np.log2(contas + 1)).astype(np.uint8)
 
 
-def _textos(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Texts of the documents in ``ids``, as a table bucketed by id: joins by id then move only the other side."""
+def _textos(docs: DataFrame, ids: DataFrame, classe, k: int, limiar: int) -> DataFrame:
+    """Texts (id, n, t) and prefixes under the other orders (p1, ...) of the documents in ``ids``.
+
+    A table bucketed by id: joins by id then move only the other side.
+    """
     spark = docs.sparkSession
     baldes = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nome = f"textos_{uuid.uuid4().hex}"
     pasta = f"{pasta_compartilhada(spark).rstrip('/')}/fasor/{nome}"
+    ordens = range(1, ORDENS)
+    nomes = ["id", "n", "t", *(f"p{o}" for o in ordens)]
+
+    def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = classe.value
+        for lote in lotes:
+            for a, z, bloco, inicio in blocos(lote.column(1)):
+                s, linha = sombras(bloco, inicio, k)
+                n = np.bincount(linha, minlength=z - a)
+                listas = []
+                for o in ordens:
+                    em = prefixos(s, linha, n, c, o, limiar)
+                    fim = np.concatenate(([0], np.cumsum(np.bincount(linha[em], minlength=z - a))))
+                    listas.append(pa.ListArray.from_arrays(pa.array(fim.astype(np.int32)), pa.array(s[em].astype(np.uint32).view(np.int32))))
+                yield pa.RecordBatch.from_arrays(
+                    [lote.column(0).slice(a, z - a), pa.array(n), lote.column(1).slice(a, z - a), *listas], names=nomes
+                )
+
     (
         docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("t"))
         .filter("t IS NOT NULL")
         .repartition(baldes, "id")
         .join(ids.select("id").repartition(baldes, "id"), "id", "left_semi")
+        .mapInArrow(tarefa, "id bigint, n bigint, t binary" + "".join(f", p{o} array<int>" for o in ordens))
         .write.bucketBy(baldes, "id")
         .option("path", pasta)
         .saveAsTable(nome)
@@ -146,11 +172,15 @@ def _textos(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return spark.table(nome)
 
 
-def _verificador(textos: DataFrame, classe, k: int, limiar: int):
-    """Function from pairs a, b to those whose texts pass the filters of all orders and then the threshold."""
+def _podem(limiar: int):
+    """Sizes that differ too much cannot reach the threshold."""
+    return lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * limiar
+
+
+def _verificador(textos: DataFrame, k: int, limiar: int):
+    """Function from pairs a, b to those that pass the filters of all orders and then the threshold."""
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = classe.value
         for lote in lotes:
             ta, tb = lote.column(2), lote.column(3)
             ida, idb = np.array(lote.column(0)), np.array(lote.column(1))
@@ -159,44 +189,52 @@ def _verificador(textos: DataFrame, classe, k: int, limiar: int):
             while i < len(lote):  # runs of pairs of about a block of text; texts of equal a come together
                 f, bytes_, unicos, quem = i, 0, [], []
                 while f < len(lote) and (f == i or bytes_ < 1 << 20):
-                    if f == i or ida[f] != ida[f - 1]:
+                    novo = f == i or ida[f] != ida[f - 1]
+                    if novo:
                         unicos.append(ta[f].as_py())
                         bytes_ += len(unicos[-1])
-                    a = len(unicos) - 1 if f == i or ida[f] != ida[f - 1] else quem[-1][0]
+                    a = len(unicos) - 1 if novo else quem[-1][0]
                     unicos.append(tb[f].as_py())
                     bytes_ += len(unicos[-1])
                     quem.append((a, len(unicos) - 1))
                     f += 1
-                fica[i:f] = _passam(unicos, quem, c, k, limiar)
+                fica[i:f] = _passam(unicos, quem, k, limiar)
                 i = f
             yield pa.RecordBatch.from_arrays([pa.array(ida[fica]), pa.array(idb[fica])], names=["a", "b"])
 
+    def lado(letra: str, *colunas: str) -> DataFrame:
+        return textos.select(F.col("id").alias(letra), *[F.col(c).alias(f"{c}{letra}") for c in colunas])
+
+    def filtra(pares: DataFrame) -> DataFrame:
+        prefixos_ = [f"p{o}" for o in range(1, ORDENS)]
+        com = pares.join(lado("b", "n", *prefixos_), "b").join(lado("a", "n", *prefixos_), "a")
+        # common tokens that the threshold asks for, less what the rest of either set can hold
+        pedidos = F.ceil(F.lit(limiar) * (F.col("na") + F.col("nb")) / F.lit(100 + limiar))
+        resto = F.ceil(F.lit(limiar) * F.greatest("na", "nb") / F.lit(100)) - 1
+        minimo = F.greatest(pedidos - resto, F.lit(1))
+        for p in prefixos_:
+            com = com.filter(F.size(F.array_intersect(f"{p}a", f"{p}b")) >= minimo)
+        return materializa(com.select("a", "b"))
+
     def verifica(pares: DataFrame) -> DataFrame:
         # the second text travels once per pair; the first is met where it lies
-        com_b = pares.join(textos.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
-        com_a = com_b.join(textos.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-        return com_a.select("a", "b", "ta", "tb").mapInArrow(tarefa, "a bigint, b bigint").distinct()
+        com = filtra(pares).join(lado("b", "t"), "b").join(lado("a", "t"), "a")
+        return com.select("a", "b", "ta", "tb").mapInArrow(tarefa, "a bigint, b bigint").distinct()
 
     return verifica
 
 
-def _passam(textos: list[bytes], pares: list[tuple[int, int]], classe: np.ndarray, k: int, limiar: int) -> np.ndarray:
+def _passam(textos: list[bytes], pares: list[tuple[int, int]], k: int, limiar: int) -> np.ndarray:
+    """Which pairs of texts reach the threshold, exactly."""
     (_, _, bloco, inicio) = next(blocos(pa.array(textos, pa.binary()), alvo=1 << 62))
     s, linha = sombras(bloco, inicio, k)
     n = np.bincount(linha, minlength=len(textos))
     fim = np.cumsum(n)
     conj = [s[f - m : f] for f, m in zip(fim, n)]
-    fica = np.array([100 * min(n[a], n[b]) >= limiar * max(n[a], n[b]) > 0 for a, b in pares])
-    for ordem in range(1, ORDENS):
-        if not fica.any():
-            return fica
-        em = prefixos(s, linha, n, classe, ordem, limiar)
-        pref = [conj[i][em[f - m : f]] for i, (f, m) in enumerate(zip(fim, n))]
-        fica &= [bool(f) and len(np.intersect1d(pref[a], pref[b], True)) > 0 for f, (a, b) in zip(fica, pares)]
-    for i in np.flatnonzero(fica):
-        a, b = pares[i]
+    fica = np.zeros(len(pares), bool)
+    for i, (a, b) in enumerate(pares):
         comuns = len(np.intersect1d(conj[a], conj[b], True))
-        fica[i] = 100 * comuns >= limiar * (n[a] + n[b] - comuns)
+        fica[i] = comuns and 100 * comuns >= limiar * (n[a] + n[b] - comuns)
     return fica
 
 
@@ -210,7 +248,7 @@ def junta(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
     conjuntos_ = materializa(
         linhas.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copias"))
     )
-    textos = _textos(docs, conjuntos_.filter("id IS NOT NULL"))
+    textos = _textos(docs, conjuntos_.filter("id IS NOT NULL"), classe, k, limiar)
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, cl = conta.value, classe.value
@@ -228,13 +266,15 @@ def junta(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
                     [
                         pa.array(s[outros].view(np.int64)),
                         pa.array(ids[a:z][linha[outros]]),
+                        pa.array(n[linha[outros]]),
                         pa.array((c_do_token[outros] // LINHAS_POR_PARTE + 1)),
                     ],
-                    names=["chave", "id", "partes"],
+                    names=["chave", "id", "peso", "partes"],
                 )
 
-    chaves = textos.select("id", "t").mapInArrow(tarefa, "chave bigint, id bigint, partes bigint")
-    comps = ligacoes.liga(ligacoes.grupos(chaves, F.col("partes")), _verificador(textos, classe, k, limiar))
+    chaves = textos.select("id", "t").mapInArrow(tarefa, "chave bigint, id bigint, peso bigint, partes bigint")
+    linhas_de_chaves = ligacoes.grupos(chaves, F.col("partes"))
+    comps = ligacoes.liga(linhas_de_chaves, _verificador(textos, k, limiar), _podem(limiar))
     nos = materializa(
         conjuntos_.join(comps, "id", "left").select(
             "n", "d1", "d2", "copias", F.coalesce("componente", "id").alias("component_id")

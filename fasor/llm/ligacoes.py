@@ -54,37 +54,51 @@ def componentes(ligacoes: DataFrame) -> DataFrame:
 
 
 def grupos(chaves: DataFrame, partes: Column | None = None) -> DataFrame:
-    """Rows of keys that more than one id has: columns chave, id, centro (one id of the group).
+    """Rows of keys that more than one id has: columns chave, id, peso, centro, peso_centro (one id of the group).
 
-    ``chaves`` has chave and id, each pair once. ``partes`` (of at least 1) says into how many parts the rows of a key
-    are dealt, each with a centre of its own, so that a common key does not end in one task.
+    ``chaves`` has chave, id and peso (a number of the id, or NULL), each key and id once. ``partes`` (of at least 1)
+    says into how many parts the rows of a key are dealt, each with a centre of its own, so that a common key does not
+    end in one task.
     """
     parte = F.lit(0) if partes is None else F.pmod(F.xxhash64("id", "chave"), partes.cast("bigint"))
     grupo = Window.partitionBy("chave", "__parte")
     return materializa(
         chaves.withColumns({"__parte": parte, "__dividida": F.lit(False) if partes is None else partes > 1})
-        .withColumns({"__n": F.count("*").over(grupo), "centro": F.min("id").over(grupo)})
+        .withColumns(
+            {"__n": F.count("*").over(grupo), "centro": F.min("id").over(grupo), "peso_centro": F.min_by("peso", "id").over(grupo)}
+        )
         .filter("__n > 1 OR __dividida")
-        .select("chave", "id", "centro")
+        .select("chave", "id", "peso", "centro", "peso_centro")
     )
 
 
-def liga(linhas: DataFrame, verifica: Callable[[DataFrame], DataFrame], rodadas: int = RODADAS) -> DataFrame:
+def liga(
+    linhas: DataFrame,
+    verifica: Callable[[DataFrame], DataFrame],
+    podem: Callable[[Column, Column], Column] = lambda a, b: F.lit(True),
+    rodadas: int = RODADAS,
+) -> DataFrame:
     """Components from the rows of ``grupos``: columns id, componente.
 
-    ``verifica`` gets distinct pairs a < b and returns those that are links.
+    ``verifica`` gets distinct pairs a < b and returns those that are links. ``podem`` says from their weights whether
+    two ids can be linked at all.
     """
 
     def pares(df: DataFrame) -> DataFrame:
-        return df.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        return (
+            df.filter((F.col("x") != F.col("y")) & podem(F.col("px"), F.col("py")))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+            .distinct()
+        )
 
-    vistos = materializa(pares(linhas.select(F.col("id").alias("x"), F.col("centro").alias("y"))))
+    x, px = F.col("id").alias("x"), F.col("peso").alias("px")
+    vistos = materializa(pares(linhas.select(x, px, F.col("centro").alias("y"), F.col("peso_centro").alias("py"))))
     links = materializa(verifica(vistos))
     total = linhas.count()
     for rodada in range(1, rodadas + 1):
         comps = materializa(componentes(links))
         marcadas = linhas.join(comps, "id", "left").select(
-            "chave", "id", F.coalesce("componente", "id").alias("componente")
+            "chave", "id", "peso", F.coalesce("componente", "id").alias("componente")
         )
         # how many pairs of different components each key still has
         por_chave = (
@@ -92,28 +106,25 @@ def liga(linhas: DataFrame, verifica: Callable[[DataFrame], DataFrame], rodadas:
             .agg(F.count("*").cast("double").alias("n"))
             .groupBy("chave")
             .agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"))
-            .filter("s * s > q")
+            .select("chave", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p"))
+            .filter("p > 0")
         )
-        restam = materializa(marcadas.join(por_chave.select("chave", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("p")), "chave"))
+        restam = materializa(marcadas.join(por_chave, "chave"))
         n = restam.select("chave", "p").distinct().agg(F.sum("p")).first()[0] or 0
         if not n:
             return comps
         if n <= PARES_POR_LINHA * total or rodada == rodadas:
             break
         # another centre for every key: the least id by another hash
+        outro_hash = F.xxhash64("id", F.lit(rodada))
         centros = materializa(
-            restam.groupBy("chave").agg(F.min(F.struct(F.xxhash64("id", F.lit(rodada)), "id")).getField("id").alias("y"))
+            restam.groupBy("chave").agg(F.min_by("id", outro_hash).alias("y"), F.min_by("peso", outro_hash).alias("py"))
         )
-        novos = pares(restam.join(centros, "chave").select(F.col("id").alias("x"), "y"))
+        novos = pares(restam.select("chave", x, px).join(centros, "chave"))
         novos = materializa(novos.join(vistos, ["a", "b"], "left_anti"))
         vistos = materializa(vistos.union(novos))
         links = materializa(links.union(verifica(novos)))
-    outro = restam.select("chave", F.col("id").alias("y"), F.col("componente").alias("__outro"))
-    ultimos = (
-        restam.select("chave", F.col("id").alias("x"), "componente")
-        .join(outro, "chave")
-        .filter("componente < __outro")
-        .select("x", "y")
-    )
-    ultimos = pares(ultimos).join(vistos, ["a", "b"], "left_anti")
+    um = restam.select("chave", x, px, "componente")
+    outro = restam.select("chave", F.col("id").alias("y"), F.col("peso").alias("py"), F.col("componente").alias("__outro"))
+    ultimos = pares(um.join(outro, "chave").filter("componente < __outro")).join(vistos, ["a", "b"], "left_anti")
     return componentes(links.union(verifica(materializa(ultimos))))

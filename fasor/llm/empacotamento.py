@@ -1,7 +1,7 @@
 """Pack documents into bins of a fixed number of tokens, best fit under conflicts.
 
 Rows are dealt by the hash of their id to groups of about ``por_grupo`` pieces; each group is packed on its own, pieces
-in decreasing size, into bins kept in the order of their residual. A bin carries two bitmaps: of the duplicate clusters
+in decreasing size (those with duplicates in the group before the others, while all bins have room), into bins kept in the order of their residual. A bin carries two bitmaps: of the duplicate clusters
 that it holds, and of the sources that have filled their quota in it. A piece goes to the tightest bin that fits and
 has neither bit: the search starts at the least sufficient residual and moves on to the next bin until one is
 compatible, else a new bin is opened. Pieces alike in size, cluster and source go on where the last one stopped, since
@@ -114,8 +114,11 @@ def empacota(
     pecas = pecas.withColumn("grupo", F.pmod(F.xxhash64("doc_id", "piece", "n_tokens", "cluster", "fonte"), F.lit(grupos)))
 
     def grupo(linhas: pd.DataFrame) -> pd.DataFrame:
-        linhas = linhas.sort_values(
-            ["n_tokens", "cluster", "fonte", "doc_id", "piece"], ascending=[False, True, True, True, True], kind="stable"
+        copias = linhas["cluster"].map(linhas["cluster"].value_counts()) > 1
+        linhas = linhas.assign(copias=copias).sort_values(
+            ["copias", "n_tokens", "cluster", "fonte", "doc_id", "piece"],
+            ascending=[False, False, True, True, True, True],
+            kind="stable",
         )
         itens = [
             (int(n), None if pd.isna(c) else int(c), f if isinstance(f, str) else None)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fasor.functions import eletrica
 from fasor.operators.cadastro import LUGARES, potencia_instalada
 from fasor.operators.juncao import junta
+from fasor.operators.materializa import materializa
 
 POSICOES = tuple(f"pos_{lugar}" for lugar in LUGARES)
 
@@ -120,14 +121,40 @@ def com_potencias(base: DataFrame, politica: str = "U") -> DataFrame:
     )
 
 
+def base_unica(medicoes: DataFrame, elegiveis: DataFrame) -> DataFrame:
+    """One row per equipment and hour, straight from the measurements.
+
+    Only an equipment that several tables serve can have an hour twice; the rows of the others need no shuffle.
+    ``elegiveis`` tells before any scan.
+    """
+    tabelas = F.count(F.lit(1)).over(Window.partitionBy("codigo"))
+    contados = materializa(elegiveis.withColumn("_tabelas", tabelas))
+    uma, varias = contados.filter("_tabelas = 1"), contados.filter("_tabelas > 1")
+    colunas = ["codigo", "data_hora", "tabela_ordem", *LUGARES]
+    if uma.isEmpty():
+        return primeira_tabela(base_horaria(medicoes, varias)).select(*colunas)
+    direta = base_horaria(medicoes, uma).select(*colunas)
+    if varias.isEmpty():
+        return direta
+    return direta.unionByName(primeira_tabela(base_horaria(medicoes, varias)).select(*colunas))
+
+
+def demanda(medicoes: DataFrame, elegiveis: DataFrame, equipamentos: DataFrame) -> DataFrame:
+    """Hourly demand of every equipment that has an eligible table and installed power."""
+    return _demanda(base_unica(medicoes, elegiveis), equipamentos)
+
+
 def demanda_horaria(base: DataFrame, equipamentos: DataFrame) -> DataFrame:
     """Hourly demand of every registered equipment, from rows of any number of tables.
 
-    Equipments without installed power show no demand (see ``sem_potencia``).
+    Equipments without installed power show no demand (see ``sem_dados``).
     """
+    return _demanda(primeira_tabela(base), equipamentos)
+
+
+def _demanda(unica: DataFrame, equipamentos: DataFrame) -> DataFrame:
     potencias = potencia_instalada(equipamentos).filter(F.col("potencia_instalada").isNotNull())
-    unica = com_potencias(primeira_tabela(base))
-    return junta(unica, potencias, ["codigo"], espalhar_por=["data_hora"]).withColumn(
+    return junta(com_potencias(unica), potencias, ["codigo"], espalhar_por=["data_hora"]).withColumn(
         "ultrapassagem", eletrica.ultrapassagem(F.col("s"), F.col("potencia_instalada"))
     )
 

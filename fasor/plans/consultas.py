@@ -70,7 +70,7 @@ def _base(s: SparkSession, d: str) -> DataFrame:
 
 
 def _demanda(s: SparkSession, d: str) -> DataFrame:
-    return base.demanda_horaria(e.horario(s, d), e.equipamentos(s, d))
+    return base.demanda(e.medicoes(s, d), _elegiveis(s, d), e.equipamentos(s, d))
 
 
 def _limites(s: SparkSession, d: str) -> DataFrame:
@@ -410,6 +410,11 @@ def equipamentos_sem_dados(s, d):
     )
 
 
+@consulta
+def coincidente_sem_dados(s, d):
+    return base.sem_dados(cadastro.codigos(e.equipamentos(s, d)), _resolvidos(s, d), demanda_coincidente(s, d))
+
+
 # ---- electrical quantities -----------------------------------------------------------------
 
 

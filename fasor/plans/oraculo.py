@@ -82,7 +82,7 @@ FROM (SELECT {_tabela('s_suppkey', 'marca')} AS tabela, {_ordem('s_suppkey', 'ma
              marca = 'A' AND s_suppkey % 10 = 6 AS minuscula
       FROM supplier CROSS JOIN (VALUES ('A'), ('N'), ('R')) m(marca)
            CROSS JOIN (VALUES (0, 'EAE'), (1, 'EAR'), (2, 'ERE'), (3, 'ERR')) v(lugar, sufixo)
-      WHERE NOT (marca = 'N' AND sufixo = 'ERR' AND s_suppkey % 10 = 4))"""
+      WHERE s_suppkey % 20 <> 11 AND NOT (marca = 'N' AND sufixo = 'ERR' AND s_suppkey % 10 = 4))"""
 
 CTE["resolvidos"] = """
 SELECT c.codigo, max(CASE WHEN sufixo = 'EAE' THEN descricao END) AS eae,
@@ -122,8 +122,9 @@ SELECT u.*, sqrt(p * p + q * q) AS s, potencia_instalada,
        CAST(coalesce(CASE WHEN potencia_instalada = 0 THEN sqrt(p * p + q * q) > 0
                           ELSE sqrt(p * p + q * q) / potencia_instalada >= 1.0 END, false) AS INTEGER)
          AS ultrapassagem
-FROM (SELECT codigo, data_hora, tabela, tabela_ordem, eae, ear, ere, err, eae - ear AS p, ere - err AS q
-      FROM horario
+FROM (SELECT codigo, data_hora, tabela_origem AS tabela, tabela_ordem, eae, ear, ere, err, eae - ear AS p,
+             ere - err AS q
+      FROM base
       QUALIFY row_number() OVER (PARTITION BY codigo, data_hora ORDER BY tabela_ordem) = 1) u
      JOIN potencias USING (codigo)
 WHERE potencia_instalada IS NOT NULL"""
@@ -301,7 +302,7 @@ PRECISA = {
     "elegiveis": ["resolvidos", "catalogo"],
     "base": ["elegiveis", "horario"],
     "potencias": ["equipamentos"],
-    "demanda": ["horario", "potencias"],
+    "demanda": ["base", "potencias"],
     "est": ["demanda"],
     "filtrado": ["est", "demanda"],
     "limites": ["est", "filtrado"],
@@ -705,3 +706,10 @@ SQL["coincidente_titulos"] = (
     ' q AS "Potência Reativa (kvar)", s AS "Potência Aparente (kVA)", fp AS "FP"'
     f" FROM ({SQL['demanda_coincidente']})"
 )
+
+SQL["coincidente_sem_dados"] = _com(
+    "SELECT codigo, CASE WHEN eae IS NULL OR ear IS NULL OR ere IS NULL OR err IS NULL"
+    " THEN 'canal_sem_cadastro' ELSE 'sem_medicao' END AS motivo"
+    f" FROM resolvidos WHERE codigo NOT IN (SELECT codigo FROM ({SQL['demanda_coincidente']}))",
+    "resolvidos",
+)

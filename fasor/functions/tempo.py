@@ -14,7 +14,10 @@ FORMATO_PADRAO = "d/M/yyyy H:mm"
 
 
 def le_data_hora(texto: Column, formatos: str | Sequence[str] = FORMATO_PADRAO) -> Column:
-    """Text to ``timestamp_ntz``; the first format that fits wins, NULL when none does."""
+    """Text to ``timestamp_ntz``; the first format that fits wins, NULL when none does.
+
+    Years outside 1800 to 3999 are no readings either: ``ordem_na_base`` holds times of some 2000 years around 1970.
+    """
     if isinstance(formatos, str):
         formatos = [formatos]
     epoca = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -24,7 +27,8 @@ def le_data_hora(texto: Column, formatos: str | Sequence[str] = FORMATO_PADRAO)
         instante = F.try_to_timestamp(F.concat(texto, F.lit(" Z")), F.lit(formato + " X"))
         return F.timestamp_add("SECOND", F.unix_seconds(instante), epoca)
 
-    return F.coalesce(*[tenta(f) for f in formatos])
+    lido = F.coalesce(*[tenta(f) for f in formatos])
+    return F.when(F.year(lido).between(1800, 3999), lido)
 
 
 def trunca_hora(instante: Column) -> Column:

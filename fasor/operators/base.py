@@ -53,6 +53,11 @@ def lugares_nas_tabelas(catalogo: DataFrame, resolvidos: DataFrame, caso: str =
     )
 
 
+def dos_codigos(df: DataFrame, codigos: Sequence[str] | None) -> DataFrame:
+    """Rows of the chosen equipments; all if none are chosen."""
+    return df if codigos is None else df.filter(F.col("codigo").isin(list(codigos)))
+
+
 def tabelas_elegiveis(catalogo: DataFrame, resolvidos: DataFrame, caso: str = "insensivel") -> DataFrame:
     """Tables that have all four columns of an equipment."""
     return lugares_nas_tabelas(catalogo, resolvidos, caso).dropna(subset=list(POSICOES))
@@ -77,12 +82,16 @@ def base_horaria(
     )
 
 
-def tabelas_com_dados(base: DataFrame) -> DataFrame:
-    """Tables in which the EAE column of the equipment has at least one value."""
-    return (
-        base.filter(F.col("eae").isNotNull())
-        .groupBy("codigo", "tabela_origem")
-        .agg(F.count(F.lit(1)).alias("horas_com_dado"))
+def com_valores(elegiveis: DataFrame, presenca: DataFrame) -> DataFrame:
+    """Eligible tables in which the EAE column of the equipment has at least one value, and ``horas_com_dado``."""
+    horas = presenca.select("tabela", F.col("pos").alias("pos_eae"), F.col("n").alias("horas_com_dado"))
+    return elegiveis.join(horas, ["tabela", "pos_eae"]).filter("horas_com_dado > 0")
+
+
+def tabelas_com_dados(elegiveis: DataFrame, presenca: DataFrame) -> DataFrame:
+    """Tables with data per equipment, from the counts that the load keeps: no measurement is read."""
+    return com_valores(elegiveis, presenca).select(
+        "codigo", F.col("tabela").alias("tabela_origem"), "horas_com_dado"
     )
 
 

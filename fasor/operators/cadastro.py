@@ -91,25 +91,62 @@ def insere_ou_ignora(dicionario: DataFrame, novos: DataFrame, ordem: str) -> Dat
     return dicionario.unionByName(primeiros.join(dicionario, "codigo", "left_anti"))
 
 
-def atualiza(cadastro: DataFrame, mudancas: DataFrame, operacao: str = "U") -> DataFrame:
+def _ultimas(mudancas: DataFrame, ordem: str | None) -> DataFrame:
+    """The last change of each id; without an order column, the one whose text sorts last."""
+    if ordem is None:
+        colunas = [c for c in mudancas.columns if c != "id"]
+        return mudancas.groupBy("id").agg(F.max(F.struct(*colunas)).alias("m")).select("id", "m.*")
+    outras = [c for c in mudancas.columns if c not in ("id", ordem)]
+    return mudancas.groupBy("id").agg(F.max_by(F.struct(*outras), ordem).alias("m")).select("id", "m.*")
+
+
+def _lidas(cadastro: DataFrame, mudancas: DataFrame, operacao: str, ordem: str | None) -> tuple[DataFrame, dict]:
+    tipos = {c.name: c.dataType for c in cadastro.schema.fields if c.name != "id"}
+    editaveis = {c: t for c, t in tipos.items() if c in mudancas.columns}
+    pedidas = mudancas.filter(F.col("op") == operacao).select("id", *editaveis, *([ordem] if ordem else []))
+    ultimas = _ultimas(pedidas, ordem)
+    for c, t in editaveis.items():
+        ultimas = ultimas.withColumn(f"_{c}", F.nullif(F.col(c), F.lit("")).try_cast(t))
+    return ultimas, editaveis
+
+
+def atualiza(cadastro: DataFrame, mudancas: DataFrame, operacao: str = "U", ordem: str | None = None) -> DataFrame:
     """Replace the non-id columns of the rows named by the changes marked ``operacao``.
 
-    Changes come as text and are cast to the registry types; empty text becomes NULL.
-    One change per id is expected.
+    Changes come as text and are cast to the registry types; empty text becomes NULL, and text that cannot be read
+    leaves the value as it is (see ``mudancas_ilegiveis``). Of several changes of one id the last by ``ordem`` counts.
     """
-    tipos = {c.name: c.dataType for c in cadastro.schema.fields if c.name != "id"}
-    editaveis = [c for c in tipos if c in mudancas.columns]
-    pedidas = mudancas.filter(F.col("op") == operacao).select(
-        "id",
-        F.lit(True).alias("_muda"),
-        *[F.nullif(F.col(c), F.lit("")).try_cast(tipos[c]).alias(f"_{c}") for c in editaveis],
-    )
-    return cadastro.join(pedidas, "id", "left").select(
-        "id",
+    ultimas, editaveis = _lidas(cadastro, mudancas, operacao, ordem)
+    pedidas = ultimas.select("id", F.lit(True).alias("_muda"), *[F.col(c).alias(f"_t_{c}") for c in editaveis], *[f"_{c}" for c in editaveis])
+
+    def valor(c: str):
+        if c not in editaveis:
+            return F.col(c)
+        ilegivel = F.col(f"_{c}").isNull() & (F.coalesce(f"_t_{c}", F.lit("")) != "")
+        return F.when(F.col("_muda") & ~ilegivel, F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+
+    return cadastro.join(pedidas, "id", "left").select("id", *[valor(c) for c in cadastro.columns if c != "id"])
+
+
+def mudancas_ilegiveis(
+    cadastro: DataFrame, mudancas: DataFrame, operacao: str = "U", ordem: str | None = None
+) -> DataFrame:
+    """Values of counting changes that cannot be read in the registry's type: ``(id, coluna, texto)``."""
+    ultimas, editaveis = _lidas(cadastro, mudancas, operacao, ordem)
+    pares = F.array(
         *[
-            (F.when(F.col("_muda"), F.col(f"_{c}")).otherwise(F.col(c)) if c in editaveis else F.col(c)).alias(c)
-            for c in tipos
-        ],
+            F.when(
+                F.col(f"_{c}").isNull() & (F.coalesce(c, F.lit("")) != ""),
+                F.struct(F.lit(c).alias("coluna"), F.col(c).alias("texto")),
+            )
+            for c in editaveis
+        ]
+    )
+    conhecidos = cadastro.select("id")
+    return (
+        ultimas.join(conhecidos, "id", "left_semi")
+        .select("id", F.explode(F.filter(pares, lambda x: x.isNotNull())).alias("par"))
+        .select("id", "par.coluna", "par.texto")
     )
 
 

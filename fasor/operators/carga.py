@@ -8,10 +8,13 @@ of their array reads as NULL.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fasor.functions.texto import normaliza_nome
 from fasor.operators.juncao import junta
+from fasor.operators.materializa import materializa
 
 ESQUEMA_CATALOGO = (
     "tabela string, tabela_ordem int, pos int, descricao string, descricao_norm string, tipo string"
@@ -33,13 +36,35 @@ def colunas_novas(colunas: DataFrame, catalogo: DataFrame) -> DataFrame:
     )
 
 
+def confere_lugares(catalogo: DataFrame) -> None:
+    """Raise ValueError if the places of some table are not 0, 1, 2, ...: values would be read from wrong ones."""
+    ruins = (
+        catalogo.groupBy("tabela")
+        .agg(F.min("pos").alias("a"), F.max("pos").alias("z"), F.count_distinct("pos").alias("n"), F.count("*").alias("m"))
+        .filter("a <> 0 OR n <> z + 1 OR n <> m")
+        .select("tabela")
+        .take(3)
+    )
+    if ruins:
+        raise ValueError(f"the catalogue has gaps or repeated places, in {[r[0] for r in ruins]}")
+
+
+def presenca(medicoes: DataFrame, por: Sequence[str] = ()) -> DataFrame:
+    """Number of values in every place of every table: ``(tabela, pos, n, *por)``."""
+    return (
+        medicoes.select("tabela", *por, F.posexplode("valores").alias("pos", "valor"))
+        .filter(F.col("valor").isNotNull())
+        .groupBy("tabela", "pos", *por)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("tabela", "pos", "n", *por)
+    )
+
+
 def cresce_catalogo(catalogo: DataFrame, colunas: DataFrame) -> DataFrame:
     """Catalogue after a load: known channels keep their place, new ones follow in load order.
 
-    Tables are numbered in the order of their first load; ``zipWithIndex`` numbers sorted rows
-    without bringing them into one task. The window runs over the new header names of one table.
+    Tables are numbered in the order of their first load. The window runs over the new header names of one table.
     """
-    spark = catalogo.sparkSession
     novas = colunas_novas(colunas, catalogo)
     conhecidas = catalogo.groupBy("tabela").agg(
         F.max("tabela_ordem").alias("ordem_conhecida"), (F.max("pos") + 1).alias("proxima")
@@ -49,12 +74,8 @@ def cresce_catalogo(catalogo: DataFrame, colunas: DataFrame) -> DataFrame:
         novas.groupBy("tabela")
         .agg(F.min("arquivo").alias("arquivo"))
         .join(conhecidas, "tabela", "left_anti")
-        .orderBy("arquivo", "tabela")
-    )
-    tabelas_novas = spark.createDataFrame(
-        por_chegada.rdd.zipWithIndex().map(lambda par: (par[0]["tabela"], livre + par[1])),
-        "tabela string, ordem_nova int",
     )
+    tabelas_novas = _numera(por_chegada, ["arquivo", "tabela"], "ordem_nova", livre).select("tabela", "ordem_nova")
     na_tabela = Window.partitionBy("tabela").orderBy("arquivo", "indice")
     numeradas = (
         novas.join(conhecidas, "tabela", "left")
@@ -73,6 +94,22 @@ def cresce_catalogo(catalogo: DataFrame, colunas: DataFrame) -> DataFrame:
     return catalogo.unionByName(numeradas)
 
 
+def _numera(df: DataFrame, ordem: Sequence[str], nome: str, primeiro: int) -> DataFrame:
+    """Number the rows in order, without bringing them into one task: rows per sorted partition, then within each."""
+    ordenado = materializa(df.repartitionByRange(*ordem).withColumn("_parte", F.spark_partition_id()))
+    antes = Window.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    inicios = ordenado.groupBy("_parte").count().select(
+        "_parte", F.coalesce(F.sum("count").over(antes), F.lit(0)).alias("_antes")
+    )
+    na_parte = Window.partitionBy("_parte").orderBy(*ordem)
+    return (
+        ordenado.join(F.broadcast(inicios), "_parte")
+        .withColumn(nome, (F.col("_antes") + F.row_number().over(na_parte) - 1 + primeiro).cast("int"))
+        .drop("_parte", "_antes")
+    )
+
+
 def alinha(largas: DataFrame, colunas: DataFrame, catalogo: DataFrame) -> DataFrame:
     """Put the values of each file in the places of its table.
 
@@ -87,8 +124,12 @@ def alinha(largas: DataFrame, colunas: DataFrame, catalogo: DataFrame) -> DataFr
             "left",
         )
         .groupBy("arquivo", "tabela")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "indice"))).alias("lugares"))
-        .select("arquivo", "tabela", F.transform("lugares", lambda c: c["indice"]).alias("mapa"))
+        .agg(F.max("pos").alias("ultimo"), F.map_from_entries(F.collect_list(F.struct("pos", "indice"))).alias("de"))
+        .select(
+            "arquivo",
+            "tabela",
+            F.transform(F.sequence(F.lit(0), "ultimo"), lambda pos: F.try_element_at("de", pos)).alias("mapa"),
+        )
     )
     return junta(largas, lugares, ["arquivo"], espalhar_por=["data_hora"]).select(
         "arquivo",

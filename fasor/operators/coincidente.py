@@ -6,8 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from fasor.operators.base import base_horaria, com_potencias, no_instante, tabelas_elegiveis
-from fasor.operators.juncao import bytes_de, junta
+from fasor.operators.base import base_horaria, com_potencias, com_valores, no_instante, tabelas_elegiveis
 from fasor.operators.materializa import materializa
 
 # Headings of the delivered table.
@@ -22,43 +21,26 @@ TITULOS = {
 
 
 def linhas_no_instante(
-    medicoes: DataFrame, catalogo: DataFrame, resolvidos: DataFrame, instante: datetime
+    medicoes: DataFrame, presenca: DataFrame, catalogo: DataFrame, resolvidos: DataFrame, instante: datetime
 ) -> DataFrame:
     """Rows of the instant from tables in which the EAE column has a value at some hour.
 
-    A row with EAE at the instant proves that by itself. Only the pairs without one look at the
-    other hours, so the full scan runs for these few and, when there are none, not at all: their
-    broadcast is then empty and the adaptive plan drops the branch.
+    ``presenca`` (see ``carga.presenca``), kept by the load, tells which tables these are; only the rows of the instant
+    are read.
     """
-    elegiveis = materializa(tabelas_elegiveis(catalogo, resolvidos, caso="sensivel"))
-    teto = bytes_de(elegiveis)
-    no_momento = base_horaria(no_instante(medicoes, instante), elegiveis, teto)
-    provadas = no_momento.filter(F.col("eae").isNotNull())
-    em_duvida = no_momento.filter(F.col("eae").isNull())
-    pares = em_duvida.select("codigo", F.col("tabela_origem").alias("tabela")).distinct().join(
-        elegiveis.select("codigo", "tabela", "pos_eae"), ["codigo", "tabela"]
-    )
-    com_valor = (
-        # the pairs are some of the eligible rows, whose size is the bound
-        junta(medicoes, pares, ["tabela"], espalhar_por=["data_hora"], teto_bytes=teto)
-        .filter(F.get("valores", F.col("pos_eae")).isNotNull())
-        .select("codigo", F.col("tabela").alias("tabela_origem"))
-        .distinct()
-    )
-    return provadas.unionByName(
-        em_duvida.join(com_valor, ["codigo", "tabela_origem"], "left_semi")
-    )
+    elegiveis = com_valores(tabelas_elegiveis(catalogo, resolvidos, caso="sensivel"), presenca)
+    return base_horaria(no_instante(medicoes, instante), materializa(elegiveis.drop("horas_com_dado")))
 
 
 def demanda_coincidente(
-    medicoes: DataFrame, catalogo: DataFrame, resolvidos: DataFrame, instante: datetime
+    medicoes: DataFrame, presenca: DataFrame, catalogo: DataFrame, resolvidos: DataFrame, instante: datetime
 ) -> DataFrame:
     """One row per equipment with data at the instant.
 
     With several tables the maxima of P, Q, S and power factor are taken independently.
     """
     linhas = com_potencias(
-        linhas_no_instante(medicoes, catalogo, resolvidos, instante), politica="C"
+        linhas_no_instante(medicoes, presenca, catalogo, resolvidos, instante), politica="C"
     )
     return linhas.groupBy("codigo", "data_hora").agg(
         *[F.max(c).alias(c) for c in ("p", "q", "s", "fp")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -10,12 +11,21 @@ LIMITE_BYTES = 64 << 20
 SAIS = 8
 
 
-def _largura(campo: T.StructField) -> Column:
-    coluna = F.col(f"`{campo.name}`")
-    if isinstance(campo.dataType, (T.StringType, T.BinaryType)):
+def _bytes(coluna: Column, tipo: T.DataType) -> Column:
+    """Bytes of a value, those of nested ones counted element by element."""
+    if isinstance(tipo, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(coluna), F.lit(0)).cast("bigint") + 8
-    if isinstance(campo.dataType, T.ArrayType):
-        return F.greatest(F.size(coluna), F.lit(0)).cast("bigint") * 8 + 24
+    if isinstance(tipo, T.StructType):
+        partes = [_bytes(coluna.getField(c.name), c.dataType) for c in tipo.fields]
+        return reduce(lambda a, b: a + b, partes, F.lit(16).cast("bigint"))
+    if isinstance(tipo, T.MapType):
+        pares = T.ArrayType(T.StructType([T.StructField("key", tipo.keyType), T.StructField("value", tipo.valueType)]))
+        return _bytes(F.map_entries(coluna), pares)
+    if isinstance(tipo, T.ArrayType):
+        if isinstance(tipo.elementType, (T.NumericType, T.BooleanType, T.DatetimeType, T.TimestampNTZType)):
+            return F.greatest(F.size(coluna), F.lit(0)).cast("bigint") * 8 + 24
+        soma = F.aggregate(coluna, F.lit(0).cast("bigint"), lambda a, x: a + _bytes(x, tipo.elementType))
+        return F.coalesce(soma, F.lit(0)).cast("bigint") + 24
     return F.lit(8).cast("bigint")
 
 
@@ -23,7 +33,7 @@ def bytes_de(df: DataFrame) -> int:
     """Bytes held by the rows of ``df``: one aggregate over it, one number to the driver."""
     linha = F.lit(16).cast("bigint")
     for campo in df.schema.fields:
-        linha = linha + _largura(campo)
+        linha = linha + _bytes(F.col(f"`{campo.name}`"), campo.dataType)
     return df.agg(F.sum(linha).alias("b")).first()["b"] or 0
 
 

@@ -7,14 +7,16 @@ in load order, ``membro`` is its name inside the ZIP, line 0 is the header.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fasor.functions.estrutura import calcula_uma_vez
 from fasor.functions.numero import arredonda, numeros_br
 from fasor.functions.tempo import FORMATO_PADRAO, le_data_hora, trunca_hora
 from fasor.functions.texto import nome_tabela, normaliza_nome, padroniza_coluna_tempo
 from fasor.operators.juncao import junta
+from fasor.operators.materializa import materializa
 
 COLUNA_TEMPO = "DATA/Hora"
 RODAPE = "TOTAL"
@@ -46,14 +48,19 @@ def arquivos_validos(cab: DataFrame) -> DataFrame:
 def sem_repetidas(cab: DataFrame) -> DataFrame:
     """Channels of each file, repeated names read once, at their first place.
 
-    ``(arquivo, membro, pos_tempo, nomes array<string>, posicoes array<int>)``
+    ``(arquivo, membro, pos_tempo, largura, nomes array<string>, posicoes array<int>)``
     """
     nomes = F.array_except("campos", F.array(F.lit(COLUNA_TEMPO)))
     posicoes = F.transform(
         nomes, lambda nome: (F.array_position(F.col("campos"), nome) - 1).cast("int")
     )
     return cab.select(
-        "arquivo", "membro", "pos_tempo", nomes.alias("nomes"), posicoes.alias("posicoes")
+        "arquivo",
+        "membro",
+        "pos_tempo",
+        F.size("campos").alias("largura"),
+        nomes.alias("nomes"),
+        posicoes.alias("posicoes"),
     )
 
 
@@ -88,6 +95,65 @@ def colunas_dos_arquivos(cab: DataFrame) -> DataFrame:
     )
 
 
+def colunas_omitidas(cab: DataFrame) -> DataFrame:
+    """Header names of valid files that give no channel: ``(arquivo, pos, coluna, motivo)``.
+
+    ``nome_repetido``: the same name stands before; ``nome_equivalente``: one that is equal after normalisation does;
+    ``coluna_de_tempo``: the name normalises like the time column, which hides it.
+    """
+    nomes = (
+        arquivos_validos(cab)
+        .select("arquivo", F.posexplode("campos").alias("pos", "coluna"))
+        .filter(F.col("coluna") != COLUNA_TEMPO)
+        .withColumn("norma", normaliza_nome(F.col("coluna")))
+    )
+    # a header is one line, so these groups are small
+    primeiro_nome = F.min("pos").over(Window.partitionBy("arquivo", "coluna"))
+    primeira_norma = F.min("pos").over(Window.partitionBy("arquivo", "norma"))
+    motivo = (
+        F.when(F.col("pos") != F.col("_nome"), "nome_repetido")
+        .when(F.col("norma") == "datahora", "coluna_de_tempo")
+        .when(F.col("pos") != F.col("_norma"), "nome_equivalente")
+    )
+    return (
+        nomes.withColumns({"_nome": primeiro_nome, "_norma": primeira_norma})
+        .select("arquivo", "pos", "coluna", motivo.alias("motivo"))
+        .filter(F.col("motivo").isNotNull())
+    )
+
+
+def examina(linhas: DataFrame, cab: DataFrame, formatos: str | Sequence[str] = FORMATO_PADRAO) -> DataFrame:
+    """Every body line, read once: what it says, and whether it counts.
+
+    ``(arquivo, nr_linha, linha, valido, rodape, extra, texto_tempo, instante, numeros, posicoes)``. The data are the
+    lines that are ``valido`` and not ``rodape``; ``linha`` stays only where the time cannot be read.
+    """
+    onde = sem_repetidas(cab).select("arquivo", "pos_tempo", "largura", "posicoes")
+    corpo = linhas.filter(F.col("nr_linha") > 0).select("arquivo", "nr_linha", "linha")
+    partes = campos(F.col("linha"))
+    lidos = calcula_uma_vez(
+        F.size(partes).alias("n_campos"),
+        F.get(partes, F.col("pos_tempo")).alias("texto_tempo"),
+        le_data_hora(F.get(partes, F.col("pos_tempo")), formatos).alias("instante"),
+        numeros_br(F.col("linha")).alias("numeros"),
+    )
+    valido = F.col("pos_tempo").isNotNull()
+    return junta(corpo, onde, ["arquivo"], "left", espalhar_por=["nr_linha"]).select(
+        "arquivo", "nr_linha", "linha", "pos_tempo", "largura", "posicoes", lidos
+    ).select(
+        "arquivo",
+        "nr_linha",
+        F.when(F.col("instante").isNull(), F.col("linha")).alias("linha"),
+        valido.alias("valido"),
+        (valido & F.col("texto_tempo").eqNullSafe(F.lit(RODAPE))).alias("rodape"),
+        (valido & (F.col("n_campos") > F.col("largura"))).alias("extra"),
+        "texto_tempo",
+        "instante",
+        "numeros",
+        "posicoes",
+    )
+
+
 def interpreta(
     linhas: DataFrame, canais: DataFrame, formatos: str | Sequence[str] = FORMATO_PADRAO
 ) -> DataFrame:
@@ -125,23 +191,61 @@ def leituras(interpretadas: DataFrame) -> DataFrame:
     )
 
 
-def sem_duplicatas(lidas: DataFrame, por: str = "hora") -> DataFrame:
-    """Exact duplicates count once.
+#: A file's hour of more lines than this is dealt to several tasks.
+LINHAS_POR_PARTE = 200_000
 
-    ``por='hora'`` compares after the floor to the hour, so equal samples of one hour collapse;
-    ``por='carimbo'`` compares the original time stamps.
+
+def _por_hora(lidas: DataFrame, limite: int) -> list[tuple[DataFrame, list[str]]]:
+    """Lines dealt once so that all later steps find them together: by file and hour, and hours of very many lines
+    also by the hash of their values, which equal lines share. With each part the columns it is dealt by besides.
     """
+    hora = ["arquivo", "data_hora"]
+    quentes = materializa(
+        lidas.groupBy(*hora)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > limite)
+        .select(*hora, F.ceil(F.col("n") / F.lit(limite)).alias("_partes"))
+    )
+    if quentes.isEmpty():
+        return [(lidas.repartition(*hora), [])]
+    frias = junta(lidas, quentes.select(*hora), hora, "left_anti", ["valores"])
+    parte = F.pmod(F.xxhash64("valores"), F.col("_partes"))
+    partidas = junta(lidas, quentes, hora, espalhar_por=["valores"]).withColumn("_parte", parte).drop("_partes")
+    return [(frias.repartition(*hora), []), (partidas.repartition(*hora, "_parte"), ["_parte"])]
+
+
+def _unicas(lidas: DataFrame, por: str, parte: Sequence[str]) -> DataFrame:
     chave = {"hora": "data_hora", "carimbo": "instante"}[por]
-    return lidas.dropDuplicates(["arquivo", chave, "valores"]).select(
+    return lidas.dropDuplicates(list(dict.fromkeys(["arquivo", "data_hora", *parte, chave, "valores"]))).select(
         "arquivo", "data_hora", "valores"
     )
 
 
-def soma_horaria(lidas: DataFrame) -> DataFrame:
-    """Hourly sum of every channel: ``(arquivo, data_hora, indice, valor)``.
+def _uniao(partes: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, partes)
+
+
+def sem_duplicatas(lidas: DataFrame, por: str = "hora", limite: int = LINHAS_POR_PARTE) -> DataFrame:
+    """Exact duplicates count once.
 
-    Cells are summed before the shuffle; a file or an hour of any size spreads over the tasks.
+    ``por='hora'`` compares after the floor to the hour, so equal samples of one hour collapse;
+    ``por='carimbo'`` compares the original time stamps.
     """
+    return _uniao([_unicas(df, por, parte) for df, parte in _por_hora(lidas, limite)])
+
+
+def horas_largas(lidas: DataFrame, por: str = "hora", limite: int = LINHAS_POR_PARTE) -> DataFrame:
+    """Hourly sums without duplicates, one row per file and hour: ``(arquivo, data_hora, valores)``.
+
+    The lines move once, by file and hour; removing duplicates, summing the cells and putting them back into a row all
+    find them there.
+    """
+    partes = _por_hora(lidas, limite)
+    return _uniao([linhas_largas(soma_horaria(_unicas(df, por, parte))) for df, parte in partes])
+
+
+def soma_horaria(lidas: DataFrame) -> DataFrame:
+    """Hourly sum of every channel: ``(arquivo, data_hora, indice, valor)``, combined map-side."""
     celulas = lidas.select(
         "arquivo", "data_hora", F.posexplode("valores").alias("indice", "valor")
     )
@@ -159,46 +263,29 @@ def linhas_largas(celulas: DataFrame) -> DataFrame:
     )
 
 
-def auditoria(
-    linhas: DataFrame, formatos: str | Sequence[str] = FORMATO_PADRAO
-) -> DataFrame:
-    """One row per file: what was read, what was left out, and why."""
-    larguras = cabecalhos(linhas).select(
-        "arquivo", F.size("campos").alias("largura"), "pos_tempo"
-    )
-    corpo = linhas.filter(F.col("nr_linha") != 0).select("arquivo", "nr_linha", "linha")
-    # the reader marks what gave no line with a reason; other sources of lines may have no marks
+def marcas(linhas: DataFrame) -> DataFrame:
+    """What the reader marked as giving no line: ``(arquivo, marca)``; other sources of lines may have no marks."""
     marca = F.col("situacao") if "situacao" in linhas.columns else F.lit(None).cast("string")
-    marcas = linhas.filter(F.col("nr_linha") < 0).select("arquivo", marca.alias("marca"))
-    tem_linha = F.col("nr_linha") > 0
-    lidas = junta(corpo, larguras, ["arquivo"], "left", espalhar_por=["nr_linha"]).withColumn(
-        "campos", campos(F.col("linha"))
-    )
-    valida = tem_linha & F.col("pos_tempo").isNotNull()
-    rodape = F.get("campos", F.col("pos_tempo")).eqNullSafe(F.lit(RODAPE))
-    instante = le_data_hora(F.get("campos", F.col("pos_tempo")), formatos)
-    marcadas = lidas.select(
-        "arquivo",
-        F.col("pos_tempo").isNotNull().alias("valido"),
-        tem_linha.cast("bigint").alias("linha"),
-        (valida & rodape).cast("bigint").alias("rodape"),
-        (valida & ~rodape & instante.isNull()).cast("bigint").alias("rejeitada"),
-        (valida & (F.size("campos") > F.col("largura"))).cast("bigint").alias("extra"),
-        F.when(valida & ~rodape, trunca_hora(instante)).alias("data_hora"),
-    )
-    somas = marcadas.groupBy("arquivo").agg(
+    return linhas.filter(F.col("nr_linha") < 0).select("arquivo", marca.alias("marca"))
+
+
+def auditoria(examinadas: DataFrame, cab: DataFrame, marcas: DataFrame) -> DataFrame:
+    """One row per file: what was read, what was left out, and why. One grouped count of ``examina``."""
+    valida = F.col("valido") & ~F.col("rodape")
+    somas = examinadas.groupBy("arquivo").agg(
         F.max("valido").alias("valido"),
-        F.sum("linha").alias("linhas"),
-        F.sum("rodape").alias("rodapes"),
-        F.sum("rejeitada").alias("rejeitadas"),
-        F.sum("extra").alias("linhas_com_campo_extra"),
-        F.countDistinct("data_hora").alias("horas"),
-    )
-    # a file that has a header and nothing else appears only here
-    so_cabecalho = larguras.select(
-        "arquivo", F.col("pos_tempo").isNotNull().alias("valido")
-    ).join(somas, "arquivo", "left_anti")
+        F.count(F.lit(1)).alias("linhas"),
+        F.sum(F.col("rodape").cast("bigint")).alias("rodapes"),
+        F.sum((valida & F.col("instante").isNull()).cast("bigint")).alias("rejeitadas"),
+        F.sum(F.col("extra").cast("bigint")).alias("linhas_com_campo_extra"),
+        F.countDistinct(F.when(valida, trunca_hora(F.col("instante")))).alias("horas"),
+    )
+    # files of a header and nothing else, or of a mark and nothing else, appear only here
+    outros = cab.select("arquivo", F.col("pos_tempo").isNotNull().alias("valido")).unionByName(
+        marcas.select("arquivo", F.lit(False).alias("valido"))
+    )
     zeros = [F.lit(0).cast("bigint").alias(c) for c in somas.columns[2:]]
+    so_cabecalho = outros.join(somas, "arquivo", "left_anti").select("arquivo", "valido", *zeros)
     situacao = (
         F.when(F.col("marca").isNotNull(), F.col("marca"))
         .when(~F.col("valido"), "sem_coluna_de_tempo")
@@ -206,7 +293,7 @@ def auditoria(
         .otherwise("ok")
     )
     return (
-        somas.unionByName(so_cabecalho.select("arquivo", "valido", *zeros))
+        somas.unionByName(so_cabecalho)
         .join(marcas, "arquivo", "left")
         .withColumn("situacao", situacao)
         .drop("valido", "marca")

@@ -38,9 +38,8 @@ def _interpretadas(s: SparkSession, d: str, cab: DataFrame | None = None) -> Dat
     return limpeza.interpreta(e.linhas(s, d), limpeza.canais_por_arquivo(cab))
 
 
-def _horas_dos_arquivos(s: SparkSession, d: str, cab: DataFrame | None = None) -> DataFrame:
-    lidas = limpeza.leituras(_interpretadas(s, d, cab))
-    return limpeza.soma_horaria(limpeza.sem_duplicatas(lidas))
+def _largas(s: SparkSession, d: str, cab: DataFrame | None = None) -> DataFrame:
+    return limpeza.horas_largas(limpeza.leituras(_interpretadas(s, d, cab)))
 
 
 def _catalogo_vazio(s: SparkSession) -> DataFrame:
@@ -51,8 +50,7 @@ def _carga(s: SparkSession, d: str, modo: str) -> DataFrame:
     cab = _cabecalhos(s, d)
     colunas = materializa(limpeza.colunas_dos_arquivos(cab))
     catalogo = materializa(carga.cresce_catalogo(_catalogo_vazio(s), colunas))
-    largas = limpeza.linhas_largas(_horas_dos_arquivos(s, d, cab))
-    tabela = carga.sobrepoe(carga.alinha(largas, colunas, catalogo), modo)
+    tabela = carga.sobrepoe(carga.alinha(_largas(s, d, cab), colunas, catalogo), modo)
     return carga.celulas_nomeadas(tabela, catalogo)
 
 
@@ -202,12 +200,13 @@ def dedup_eventos(s, d):
 
 @consulta
 def serie_ordenada(s, d):
-    return perfis.serie(_demanda(s, d)).orderBy("codigo", "data_hora")
+    # sorted within partitions by equipment, as it is written: no global sort of the history
+    return perfis.serie(_demanda(s, d)).repartition("codigo", F.year("data_hora")).sortWithinPartitions("codigo", "data_hora")
 
 
 @consulta
 def agrega_hora(s, d):
-    return _horas_dos_arquivos(s, d)
+    return _largas(s, d).select("arquivo", "data_hora", F.posexplode("valores").alias("indice", "valor"))
 
 
 @consulta
@@ -246,7 +245,14 @@ def nome_tabela(s, d):
 
 @consulta
 def auditoria_carga(s, d):
-    return limpeza.auditoria(e.linhas(s, d))
+    linhas = materializa(e.linhas(s, d))
+    cab = materializa(limpeza.cabecalhos(linhas))
+    return limpeza.auditoria(limpeza.examina(linhas, cab), cab, limpeza.marcas(linhas))
+
+
+@consulta
+def colunas_omitidas(s, d):
+    return limpeza.colunas_omitidas(e.cabecalhos(s, d))
 
 
 # ---- upsert, schema evolution, integrity ---------------------------------------------------
@@ -275,11 +281,29 @@ def upsert_celula(s, d):
     return _carga(s, d, "celula")
 
 
+@consulta
+def upsert_existente(s, d):
+    """The F files as the stored rows, then the O files as a second load into them, by row and by cell."""
+    cab = _cabecalhos(s, d)
+    colunas = materializa(limpeza.colunas_dos_arquivos(cab))
+    largas = materializa(_largas(s, d, cab))
+    do_f = F.col("arquivo").endswith("F.txt")
+    primeiro = materializa(carga.cresce_catalogo(_catalogo_vazio(s), colunas.filter(do_f)))
+    segundo = materializa(carga.cresce_catalogo(primeiro, colunas.filter(~do_f)))
+    atuais = materializa(carga.sobrepoe(carga.alinha(largas.filter(do_f), colunas.filter(do_f), primeiro)))
+    novas = materializa(carga.alinha(largas.filter(~do_f), colunas.filter(~do_f), segundo))
+    por_modo = [
+        carga.celulas_nomeadas(carga.upsert(atuais, novas, modo), segundo).withColumn("modo", F.lit(modo))
+        for modo in ("linha", "celula")
+    ]
+    return por_modo[0].unionByName(por_modo[1])
+
+
 @consulta
 def chaves_duplicadas(s, d):
     cab = _cabecalhos(s, d)
     colunas = limpeza.colunas_dos_arquivos(cab).select("arquivo", "tabela").distinct()
-    horas = _horas_dos_arquivos(s, d, cab).select("arquivo", "data_hora").distinct()
+    horas = _largas(s, d, cab).select("arquivo", "data_hora")
     return carga.chaves_duplicadas(horas.join(colunas, "arquivo"))
 
 
@@ -351,7 +375,12 @@ def nome_equipamento(s, d):
 
 @consulta
 def cadastro_atualiza(s, d):
-    return cadastro.atualiza(e.equipamentos(s, d), e.mudancas(s, d))
+    return cadastro.atualiza(e.equipamentos(s, d), e.mudancas(s, d), ordem="ordem")
+
+
+@consulta
+def mudancas_ilegiveis(s, d):
+    return cadastro.mudancas_ilegiveis(e.equipamentos(s, d), e.mudancas(s, d), ordem="ordem")
 
 
 @consulta
@@ -376,7 +405,7 @@ def tabelas_elegiveis(s, d):
 
 @consulta
 def tabelas_com_dados(s, d):
-    return base.tabelas_com_dados(_base(s, d))
+    return base.tabelas_com_dados(_elegiveis(s, d), e.presenca(s, d))
 
 
 @consulta
@@ -596,7 +625,7 @@ def demanda_mensal(s, d):
 @consulta
 def demanda_coincidente(s, d):
     return coincidente.demanda_coincidente(
-        e.medicoes(s, d), e.catalogo(s, d), cadastro.completos(_resolvidos(s, d)), INSTANTE
+        e.medicoes(s, d), e.presenca(s, d), e.catalogo(s, d), cadastro.completos(_resolvidos(s, d)), INSTANTE
     )
 
 

@@ -106,6 +106,16 @@ def medicoes(spark: SparkSession, pasta: str) -> DataFrame:
     )
 
 
+def presenca(spark: SparkSession, pasta: str) -> DataFrame:
+    """Number of values in every place of the region tables, as a load would keep it."""
+    contas = horario(spark, pasta).groupBy("tabela", "equip").agg(*[F.count(c).alias(c) for c in LUGARES])
+    return (
+        contas.select("tabela", "equip", F.posexplode(F.array(*LUGARES)).alias("lugar", "n"))
+        .filter("n > 0")
+        .select("tabela", (F.col("equip") % POR_TABELA * 4 + F.col("lugar")).cast("int").alias("pos"), "n")
+    )
+
+
 def catalogo(spark: SparkSession, pasta: str) -> DataFrame:
     """Columns of the region tables. Some lack an ERR column, some differ in case only, some equipments have none."""
     chave = F.col("s_suppkey")
@@ -209,14 +219,15 @@ def maximas_mensais(spark: SparkSession, pasta: str) -> DataFrame:
 
 
 def mudancas(spark: SparkSession, pasta: str) -> DataFrame:
-    """Registry changes as text, from all of ``customer``."""
+    """Registry changes as text, from all of ``customer``: two for most ids, some powers unreadable."""
     chave = F.col("c_custkey")
     potencia = F.floor(F.abs("c_acctbal")).cast("string")
     return le(spark, pasta, "customer").select(
-        chave.alias("id"),
+        F.floor(chave / 2).alias("id"),
+        chave.alias("ordem"),
         F.when(chave % 3 == 0, "U").when(chave % 3 == 1, "D").otherwise("X").alias("op"),
         F.concat(codigo_de(chave), F.lit("N")).alias("codigo"),
-        F.when(chave % 11 == 3, "").otherwise(potencia).alias("potencia_instalada"),
+        F.when(chave % 13 == 5, "abc").when(chave % 11 == 3, "").otherwise(potencia).alias("potencia_instalada"),
     )
 
 

@@ -7,24 +7,29 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fasor.functions.tempo import FORMATO_PADRAO
 from fasor.operators import carga, limpeza
-from fasor.operators.juncao import junta
-from fasor.operators.materializa import materializa
+from fasor.operators.materializa import apaga, materializa, provisorios
 from fasor.sources import tabelas, zips
 
 
 @dataclass
 class Resultado:
-    """What a load leaves to look at; nothing here is collected."""
+    """What a load leaves to look at; nothing here is collected. ``descarta`` deletes what it was computed from."""
 
     auditoria: DataFrame
     rejeitados: DataFrame
     colunas_novas: DataFrame
+    colunas_omitidas: DataFrame
+    chaves_duplicadas: DataFrame
+    _escritos: list[str] = field(default_factory=list, repr=False)
+
+    def descarta(self) -> None:
+        apaga(self.auditoria.sparkSession, self._escritos)
 
 
 def carrega_linhas(
@@ -37,37 +42,43 @@ def carrega_linhas(
 ) -> Resultado:
     """Clean, sum to the hour and upsert export lines into the tables under ``base``.
 
-    The lines are read once and written to the shared folder, since headers, body and audit each
-    need them. Only the table-month partitions that the new rows touch are read and rewritten, and
-    the merged rows are complete in the shared folder before the first stored file is replaced.
+    The lines are read once and parsed once: data, rejects and audit come from the same written rows. Only the stored
+    partitions that the new rows touch are read and rewritten, and the merged rows are complete in the shared folder
+    before the first stored file is replaced. A new version of the catalogue is written only if a column is new.
     """
-    linhas = materializa(linhas)
-    cab = materializa(limpeza.cabecalhos(linhas))
-    interpretadas = limpeza.interpreta(linhas, limpeza.canais_por_arquivo(cab), formatos)
-    colunas = materializa(limpeza.colunas_dos_arquivos(cab))
-
-    anterior = tabelas.le_catalogo(spark, base)
-    novas_colunas = materializa(carga.colunas_novas(colunas, anterior))
-    catalogo = materializa(carga.cresce_catalogo(anterior, colunas))
-
-    horas = limpeza.soma_horaria(limpeza.sem_duplicatas(limpeza.leituras(interpretadas), dedup))
-    novas = carga.alinha(limpeza.linhas_largas(horas), colunas, catalogo)
-    novas = materializa(tabelas.com_particoes(novas))
-
-    tocadas = novas.select(*tabelas.PARTICOES).distinct()
-    atuais = junta(
-        tabelas.le_medicoes(spark, base), tocadas, tabelas.PARTICOES, "left_semi", ["data_hora"]
-    )
-    fundidas = materializa(carga.upsert(atuais, novas, modo))
-
-    # new columns first: a catalogue that is ahead of the data only reads as NULL
-    tabelas.grava_catalogo(catalogo, base)
-    tabelas.grava_medicoes(fundidas, base)
-    return Resultado(
-        auditoria=limpeza.auditoria(linhas, formatos),
-        rejeitados=limpeza.rejeitados(interpretadas),
-        colunas_novas=novas_colunas,
-    )
+    with provisorios() as escritos:
+        linhas = materializa(linhas)
+        cab = materializa(limpeza.cabecalhos(linhas))
+        examinadas = materializa(limpeza.examina(linhas, cab, formatos))
+        interpretadas = examinadas.filter("valido AND NOT rodape")
+        colunas = materializa(limpeza.colunas_dos_arquivos(cab))
+
+        anterior = tabelas.le_catalogo(spark, base)
+        carga.confere_lugares(anterior)
+        novas_colunas = materializa(carga.colunas_novas(colunas, anterior))
+        mudou = not novas_colunas.isEmpty()
+        catalogo = materializa(carga.cresce_catalogo(anterior, colunas)) if mudou else anterior
+
+        largas = limpeza.horas_largas(limpeza.leituras(interpretadas), dedup)
+        novas = materializa(tabelas.com_particoes(carga.alinha(largas, colunas, catalogo)))
+        tocadas = materializa(novas.select(*tabelas.PARTICOES).distinct())
+        atuais = tabelas.nas_particoes(tabelas.le_medicoes(spark, base), tocadas)
+        fundidas = materializa(carga.upsert(atuais, novas, modo))
+
+        # new columns first: a catalogue that is ahead of the data only reads as NULL
+        if mudou:
+            tabelas.grava_catalogo(catalogo, base)
+        tabelas.grava_medicoes(fundidas, base)
+        return Resultado(
+            auditoria=limpeza.auditoria(examinadas, cab, limpeza.marcas(linhas)),
+            rejeitados=limpeza.rejeitados(interpretadas),
+            colunas_novas=novas_colunas,
+            colunas_omitidas=limpeza.colunas_omitidas(cab),
+            chaves_duplicadas=carga.chaves_duplicadas(
+                tabelas.nas_particoes(tabelas.le_medicoes(spark, base), tocadas)
+            ),
+            _escritos=escritos,
+        )
 
 
 def carrega_pasta(spark: SparkSession, pasta: str, base: str, **opcoes) -> Resultado:

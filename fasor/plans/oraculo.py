@@ -189,11 +189,15 @@ SELECT codigo, tabela, data_hora, sum(CASE WHEN canal = 'EAE' THEN valor END) AS
 FROM (SELECT DISTINCT * FROM leituras) WHERE canal IS NOT NULL GROUP BY codigo, tabela, data_hora"""
 
 CTE["mudancas"] = f"""
-SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN 'U' WHEN 1 THEN 'D' ELSE 'X' END AS op,
-       {_codigo('c_custkey')} || 'N' AS codigo,
+SELECT c_custkey // 2 AS id, c_custkey AS ordem,
+       CASE c_custkey % 3 WHEN 0 THEN 'U' WHEN 1 THEN 'D' ELSE 'X' END AS op,
+       {_codigo('c_custkey')} || 'N' AS codigo, c_custkey % 13 = 5 AS ilegivel,
        CASE WHEN c_custkey % 11 = 3 THEN NULL ELSE floor(abs(c_acctbal)) END AS potencia_instalada
 FROM customer"""
 
+CTE["atualizacoes"] = """
+SELECT * FROM mudancas WHERE op = 'U' QUALIFY row_number() OVER (PARTITION BY id ORDER BY ordem DESC) = 1"""
+
 CTE["corpo"] = f"""
 SELECT 'Medicao (Regiao ' || CAST(l_suppkey // 25 AS VARCHAR) || '-' || l_returnflag || ') '
          || l_linestatus || '.txt' AS arquivo,
@@ -309,6 +313,7 @@ PRECISA = {
     "extremos": ["limites", "demanda"],
     "pontas": ["demanda"],
     "em_linha": ["leituras"],
+    "atualizacoes": ["mudancas"],
     "partes": ["corpo"],
     "lidas": ["partes"],
     "unicas": ["lidas"],
@@ -411,6 +416,13 @@ SQL: dict[str, str] = {
     "colunas_repetidas": _com(
         "SELECT arquivo, CAST(min(pos) AS INTEGER) AS pos, coluna FROM cab GROUP BY arquivo, coluna", "cab"
     ),
+    "colunas_omitidas": _com(
+        "SELECT arquivo, CAST(pos AS INTEGER) AS pos, coluna, motivo FROM (SELECT arquivo, pos, coluna,"
+        " CASE WHEN pos <> primeira THEN 'nome_repetido' WHEN pos <> min(pos) OVER"
+        " (PARTITION BY arquivo, descricao_norm) THEN 'nome_equivalente' END AS motivo FROM cab_norma)"
+        " WHERE motivo IS NOT NULL",
+        "cab_norma",
+    ),
     "normaliza_colunas": _com(
         "SELECT arquivo, tabela, indice, descricao, descricao_norm FROM entregues", "entregues"
     ),
@@ -521,10 +533,16 @@ SQL: dict[str, str] = {
     ),
     "cadastro_atualiza": _com(
         "SELECT e.id, CASE WHEN m.id IS NULL THEN e.codigo ELSE m.codigo END AS codigo,"
-        " CASE WHEN m.id IS NULL THEN e.potencia_instalada ELSE m.potencia_instalada END AS potencia_instalada"
-        " FROM equipamentos e LEFT JOIN (SELECT * FROM mudancas WHERE op = 'U') m ON m.id = e.id",
+        " CASE WHEN m.id IS NULL OR m.ilegivel THEN e.potencia_instalada ELSE m.potencia_instalada END"
+        " AS potencia_instalada FROM equipamentos e LEFT JOIN atualizacoes m ON m.id = e.id",
         "equipamentos",
-        "mudancas",
+        "atualizacoes",
+    ),
+    "mudancas_ilegiveis": _com(
+        "SELECT id, 'potencia_instalada' AS coluna, 'abc' AS texto FROM atualizacoes"
+        " WHERE ilegivel AND id IN (SELECT id FROM equipamentos)",
+        "equipamentos",
+        "atualizacoes",
     ),
     "cadastro_exclui": _com(
         "SELECT * FROM equipamentos WHERE id NOT IN (SELECT id FROM mudancas WHERE op = 'D')",
@@ -713,3 +731,8 @@ SQL["coincidente_sem_dados"] = _com(
     f" FROM resolvidos WHERE codigo NOT IN (SELECT codigo FROM ({SQL['demanda_coincidente']}))",
     "resolvidos",
 )
+
+SQL["upsert_existente"] = (
+    f"SELECT *, 'linha' AS modo FROM ({SQL['upsert_linha']}) UNION ALL"
+    f" SELECT *, 'celula' AS modo FROM ({SQL['upsert_celula']})"
+)

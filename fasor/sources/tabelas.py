@@ -1,7 +1,9 @@
 """Stored measurement tables, registry files and delivered files.
 
-Measurements are Parquet under ``<base>/medicoes``, partitioned by table, year and month, sorted
-by time. The catalogue is written as a new version per load under ``<base>/catalogo``.
+Measurements are Parquet under ``<base>/medicoes``, partitioned by year, month and a hash class of the table, sorted by
+table and time; so a month of many small tables makes few large files, and a load touches the classes of its tables
+only. ``<base>/presenca`` counts, in the same partitions, the values of every place of every table. The catalogue is
+written as a new version under ``<base>/catalogo`` by every load that changes it.
 """
 
 from __future__ import annotations
@@ -13,79 +15,155 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fasor.operators.cadastro import sem_chave_nula
-from fasor.operators.carga import ESQUEMA_CATALOGO
+from fasor.operators.carga import ESQUEMA_CATALOGO, presenca
 
+#: Classes of tables within a month. Fixed for the life of a base.
+CLASSES = 16
 ESQUEMA_MEDICOES = (
-    "data_hora timestamp_ntz, valores array<double>, tabela string, ano int, mes int"
+    "tabela string, data_hora timestamp_ntz, valores array<double>, ano int, mes int, classe int"
 )
-PARTICOES = ("tabela", "ano", "mes")
+ESQUEMA_PRESENCA = "tabela string, pos int, n bigint, ano int, mes int, classe int"
+PARTICOES = ("ano", "mes", "classe")
+
+
+def classe_da_tabela(tabela) -> F.Column:
+    return F.pmod(F.xxhash64(tabela), F.lit(CLASSES)).cast("int")
 
 
 def com_particoes(medicoes: DataFrame) -> DataFrame:
-    return medicoes.withColumn("ano", F.year("data_hora")).withColumn("mes", F.month("data_hora"))
+    return medicoes.withColumns(
+        {"ano": F.year("data_hora"), "mes": F.month("data_hora"), "classe": classe_da_tabela("tabela")}
+    )
 
 
-def le_medicoes(spark: SparkSession, base: str) -> DataFrame:
-    """All measurement tables as one DataFrame; filters on table, year and month prune files."""
+def _le(spark: SparkSession, pasta: str, esquema: str) -> DataFrame:
     try:
-        return spark.read.schema(ESQUEMA_MEDICOES).parquet(f"{base}/medicoes")
+        return spark.read.schema(esquema).parquet(pasta)
     except AnalysisException as erro:
         if erro.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ESQUEMA_MEDICOES)
+        return spark.createDataFrame([], esquema)
+
+
+def le_medicoes(spark: SparkSession, base: str) -> DataFrame:
+    """All measurement tables as one DataFrame; filters on year, month and class prune files."""
+    return _le(spark, f"{base}/medicoes", ESQUEMA_MEDICOES)
+
+
+def le_presenca(spark: SparkSession, base: str) -> DataFrame:
+    """Values of every place: ``(tabela, pos, n)``, summed over the months that have any."""
+    return (
+        _le(spark, f"{base}/presenca", ESQUEMA_PRESENCA)
+        .groupBy("tabela", "pos")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
+def nas_tabelas(medicoes: DataFrame, tabelas: Sequence[str]) -> DataFrame:
+    """Rows of some tables; of a stored base only their classes are read."""
+    if "classe" in medicoes.columns:
+        classes = medicoes.sparkSession.createDataFrame([(t,) for t in tabelas], "t string")
+        numeros = [r[0] for r in classes.select(classe_da_tabela("t")).distinct().collect()]
+        medicoes = medicoes.filter(F.col("classe").isin(numeros))
+    return medicoes.filter(F.col("tabela").isin(list(tabelas)))
+
+
+def nas_particoes(medicoes: DataFrame, tocadas: DataFrame) -> DataFrame:
+    """Stored rows of the partitions in ``tocadas``; no other file is read.
+
+    The years are a static range. Within it the partitions, at most twelve times ``CLASSES`` a year, are found while the
+    query runs: the comparison makes them a selective side.
+    """
+    anos = tocadas.agg(F.min("ano"), F.max("ano")).first()
+    if anos[0] is None:
+        return medicoes.limit(0)
+    no_periodo = F.col("ano").between(anos[0], anos[1])
+    quais = tocadas.select(*PARTICOES).distinct().filter(no_periodo)
+    return medicoes.filter(no_periodo).join(F.broadcast(quais), list(PARTICOES), "left_semi")
 
 
 def grava_medicoes(medicoes: DataFrame, base: str) -> None:
-    """Replace the table-month partitions present in ``medicoes``; the others stay."""
-    (
-        com_particoes(medicoes)
-        .select("data_hora", "valores", *PARTICOES)
-        # one writer per table and month, however many rows come in for it: at one row per hour
-        # such a group has at most 744
-        .repartition(*PARTICOES)
-        .sortWithinPartitions(*PARTICOES, "data_hora")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTICOES)
-        .parquet(f"{base}/medicoes")
+    """Replace the partitions present in ``medicoes``, and their counts; the others stay."""
+    prontas = com_particoes(medicoes)
+
+    def grava(df: DataFrame, nome: str) -> None:
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*PARTICOES)
+            .parquet(f"{base}/{nome}")
+        )
+
+    # partitions of any size: small ones share a writer, large ones are cut
+    grava(
+        prontas.select("tabela", "data_hora", "valores", *PARTICOES)
+        .hint("rebalance", *PARTICOES)
+        .sortWithinPartitions(*PARTICOES, "tabela", "data_hora"),
+        "medicoes",
     )
+    grava(presenca(prontas, PARTICOES).coalesce(1), "presenca")
+
+
+def versoes_completas(spark: SparkSession, base: str) -> list[int]:
+    """Versions of the catalogue whose write has ended, in order."""
+    return sorted(_numeros(spark, f"{base}/catalogo/versao=*/_SUCCESS", 1))
+
+
+def _numeros(spark: SparkSession, padrao: str, acima: int) -> list[int]:
+    caminho = spark._jvm.org.apache.hadoop.fs.Path(padrao)
+    achados = caminho.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(caminho) or []
+    return [int(a.getPath().toString().split("/")[-1 - acima].split("=")[1]) for a in achados]
 
 
 def le_catalogo(spark: SparkSession, base: str) -> DataFrame:
-    """Newest version of the catalogue; empty before the first load."""
-    versoes = _versoes(spark, base)
-    if versoes is None:
+    """Newest complete version of the catalogue; empty before the first load."""
+    versoes = versoes_completas(spark, base)
+    if not versoes:
         return spark.createDataFrame([], ESQUEMA_CATALOGO)
-    ultima = versoes.agg(F.max("versao")).first()[0]
-    return versoes.filter(F.col("versao") == ultima).drop("versao")
+    return spark.read.schema(ESQUEMA_CATALOGO).parquet(f"{base}/catalogo/versao={versoes[-1]}")
 
 
 def grava_catalogo(catalogo: DataFrame, base: str) -> None:
-    """Add a version. Readers see the previous one until this one is complete."""
+    """Add a version, beyond all that were begun. Readers see the previous one until this one is complete."""
     spark = catalogo.sparkSession
-    versoes = _versoes(spark, base)
-    proxima = 0 if versoes is None else versoes.agg(F.max("versao")).first()[0] + 1
+    proxima = max(_numeros(spark, f"{base}/catalogo/versao=*", 0), default=-1) + 1
     catalogo.write.parquet(f"{base}/catalogo/versao={proxima}")
 
 
-def _versoes(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(f"{ESQUEMA_CATALOGO}, versao int").parquet(f"{base}/catalogo")
-    except AnalysisException as erro:
-        if erro.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def le_cadastro(
     spark: SparkSession, caminho: str, esquema: str, chave: str, exige: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Registry sheet saved as CSV (``;``, header) or Parquet, without rows that lack the key."""
+    """Registry sheet saved as CSV (``;``, header) or Parquet, without rows that lack the key.
+
+    Columns are found by the names in the header, whatever their order; required ones that it lacks raise ValueError,
+    other columns of ``esquema`` are NULL.
+    """
     if caminho.endswith(".parquet"):
-        lido = spark.read.parquet(caminho)
-    else:
-        lido = spark.read.schema(esquema).option("header", True).option("sep", ";").csv(caminho)
-    return sem_chave_nula(lido, chave, exige)
+        return sem_chave_nula(spark.read.parquet(caminho), chave, exige)
+    lido = spark.read.option("header", True).option("sep", ";").csv(caminho)
+    sem_chave_nula(lido, chave, exige)
+    tipos = spark.createDataFrame([], esquema).schema
+    return sem_chave_nula(
+        lido.select(
+            *[
+                (F.col(f"`{c.name}`") if c.name in lido.columns else F.lit(None)).try_cast(c.dataType).alias(c.name)
+                for c in tipos
+            ]
+        ),
+        chave,
+    )
+
+
+def grava_cadastro(cadastro: DataFrame, destino: str) -> None:
+    """Write a registry or a dictionary back as Parquet. The rows are complete beside ``destino`` before it is replaced."""
+    spark = cadastro.sparkSession
+    novo = f"{destino.rstrip('/')}.novo"
+    cadastro.write.mode("overwrite").parquet(novo)
+    caminhos = spark._jvm.org.apache.hadoop.fs.Path
+    fs = caminhos(destino).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(caminhos(destino), True)
+    if not fs.rename(caminhos(novo), caminhos(destino)):
+        raise OSError(f"{novo} holds the new registry, but could not be renamed")
 
 
 def grava_csv(
@@ -103,8 +181,13 @@ def grava_csv(
 
 
 def exporta_curva(curva: DataFrame, pasta: str) -> None:
-    """Curves of all equipments (``perfis.curva_para_exportar``), one folder per equipment."""
-    grava_csv(curva, f"{pasta}/curvas", por=["codigo"])
+    """Curves of all equipments (``perfis.curva_para_exportar``), one folder per equipment and year, in order of time.
+
+    An equipment's year has at most 8784 rows, so it is one file of one task.
+    """
+    com_ano = curva.withColumn("ano", F.year("Data_Hora"))
+    juntas = com_ano.repartition("codigo", "ano").sortWithinPartitions("codigo", "ano", "Data_Hora")
+    grava_csv(juntas, f"{pasta}/curvas", por=["codigo", "ano"])
 
 
 def exporta_coincidente(resultado: DataFrame, pasta: str, instante: datetime) -> str:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,7 +21,7 @@ LINHAS_POR_LOTE = 50_000
 BYTES_POR_LEITURA = 1 << 20
 
 # Marker rows (``nr_linha`` = -1) for what gives no line.
-VAZIO, SEM_TXT, ZIP_INVALIDO = "vazio", "sem_txt", "zip_invalido"
+VAZIO, SEM_TXT, ZIP_INVALIDO, MEMBRO_INVALIDO = "vazio", "sem_txt", "zip_invalido", "membro_invalido"
 
 
 def linhas_de(texto: io.BufferedIOBase) -> Iterator[str]:
@@ -49,6 +50,11 @@ def _linhas_do_zip(caminho: str, conteudo: bytes) -> Iterator[tuple]:
         for i, membro in membros:
             # sorts by ZIP name, then by place in the ZIP: the load order
             arquivo = f"{nome_zip}#{i:09d}"
+            try:
+                _confere(pacote, membro)
+            except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, OSError, EOFError):
+                yield arquivo, membro, -1, None, MEMBRO_INVALIDO
+                continue
             nr = -1
             with pacote.open(membro) as texto:
                 for nr, linha in enumerate(linhas_de(texto)):
@@ -57,6 +63,13 @@ def _linhas_do_zip(caminho: str, conteudo: bytes) -> Iterator[tuple]:
                 yield arquivo, membro, -1, None, VAZIO
 
 
+def _confere(pacote: zipfile.ZipFile, membro: str) -> None:
+    """Read a member through: a wrong checksum, a password or an unknown method raise before any line is handed on."""
+    with pacote.open(membro) as texto:
+        while texto.read(BYTES_POR_LEITURA):
+            pass
+
+
 def _desempacota(lotes: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     colunas = ["arquivo", "membro", "nr_linha", "linha", "situacao"]
     for lote in lotes:

@@ -27,7 +27,7 @@ def inicia_carga(
     """Start the continuous load; ``gatilho`` is passed to ``trigger`` (default: what is there now)."""
 
     def carrega_lote(linhas: DataFrame, _lote: int) -> None:
-        carrega_linhas(linhas.sparkSession, linhas, base, **opcoes)
+        carrega_linhas(linhas.sparkSession, linhas, base, **opcoes).descarta()
 
     binarios = (
         spark.readStream.format("binaryFile")

@@ -19,7 +19,7 @@ def grava_zip(caminho, **membros):
             z.writestr(nome, texto.encode("latin-1"))
 
 
-SINOP = "x (Sinop - Norte).txt"
+LAGO = "x (Lago - Norte).txt"
 A = "\n".join(
     [
         "DATA/Hora;SE São-EAE;SE São-EAR",
@@ -39,7 +39,7 @@ B = "\n".join(["DATA/Hora;SE SAO EAE;SE Sao-ERE", "01/02/2024 01:30;8;9", "01/03
 def pasta(tmp_path):
     entrada = tmp_path / "entrada"
     entrada.mkdir()
-    grava_zip(entrada / "a.zip", **{SINOP: A, "sem parenteses-01.txt": "DATA/Hora;C\n01/02/2024 05:59;3"})
+    grava_zip(entrada / "a.zip", **{LAGO: A, "sem parenteses-01.txt": "DATA/Hora;C\n01/02/2024 05:59;3"})
     grava_zip(entrada / "c.zip", **{"vazio.txt": "", "sem_data.txt": "Data;C\n01/02/2024 00:00;1"})
     grava_zip(
         entrada / "d.zip",
@@ -48,6 +48,11 @@ def pasta(tmp_path):
     grava_zip(entrada / "e.ZIP", **{"e (Nao).txt": A})
     grava_zip(entrada / "f.zip", **{"leia.md": "nada"})
     (entrada / "g.zip").write_bytes(b"isto nao e um zip")
+    # a flipped byte in the first member, a good second one
+    grava_zip(entrada / "i.zip", **{"mau (Mau).txt": "DATA/Hora;C\n01/02/2024 07:00;1\n" * 50, "bom (Bom).txt": "DATA/Hora;C\n01/02/2024 07:00;9"})
+    crus = bytearray((entrada / "i.zip").read_bytes())
+    crus[crus.index(b"01/02/2024 07:00;1") + 17] ^= 1
+    (entrada / "i.zip").write_bytes(crus)
     return entrada
 
 
@@ -63,9 +68,10 @@ def test_zip_lines(spark, pasta):
     por_arquivo = {r.arquivo for r in linhas}
     assert por_arquivo == {
         "a.zip#000000000", "a.zip#000000001", "c.zip#000000000", "c.zip#000000001", "d.zip#000000000",
-        "f.zip", "g.zip",
+        "f.zip", "g.zip", "i.zip#000000000", "i.zip#000000001",
     }
-    assert {r.situacao for r in linhas if r.nr_linha < 0} == {"vazio", "sem_txt", "zip_invalido"}
+    assert {r.situacao for r in linhas if r.nr_linha < 0} == {"vazio", "sem_txt", "zip_invalido", "membro_invalido"}
+    assert [r.nr_linha for r in linhas if r.arquivo == "i.zip#000000000"] == [-1]
     do_a = sorted((r.nr_linha, r.linha) for r in linhas if r.arquivo == "a.zip#000000000")
     assert [texto for _, texto in do_a] == A.splitlines()
 
@@ -81,14 +87,15 @@ def test_load(spark, pasta, tmp_path):
     base = str(tmp_path / "base")
     resultado = carrega_pasta(spark, str(pasta), base)
     assert celulas(spark, base) == {
-        ("sinop___norte", "01/02 00", "SE São-EAE"): 3.75,
-        ("sinop___norte", "01/02 00", "SE São-EAR"): 10.0,
-        ("sinop___norte", "01/02 01", "SE São-EAE"): 0.0,
-        ("sinop___norte", "01/02 01", "SE São-EAR"): 7.0,  # 7.005 rounds half to even
-        ("sinop___norte", "01/02 02", "SE São-EAE"): 4.0,
-        ("sinop___norte", "01/02 02", "SE São-EAR"): 0.0,
+        ("lago___norte", "01/02 00", "SE São-EAE"): 3.75,
+        ("lago___norte", "01/02 00", "SE São-EAR"): 10.0,
+        ("lago___norte", "01/02 01", "SE São-EAE"): 0.0,
+        ("lago___norte", "01/02 01", "SE São-EAR"): 7.0,  # 7.005 rounds half to even
+        ("lago___norte", "01/02 02", "SE São-EAE"): 4.0,
+        ("lago___norte", "01/02 02", "SE São-EAR"): 0.0,
         ("sem_parenteses_01", "01/02 05", "C"): 3.0,
         ("ruim", "01/02 07", "C"): 1.0,
+        ("bom", "01/02 07", "C"): 9.0,
     }
     rejeitados = resultado.rejeitados.collect()
     assert sorted(r.texto_tempo for r in rejeitados) == ["", "01/02/2024 24:00", "31/02/2024 10:00"]
@@ -101,6 +108,13 @@ def test_load(spark, pasta, tmp_path):
     assert situacao["d.zip#000000000"].rejeitadas == 3
     assert situacao["f.zip"].situacao == "sem_txt"
     assert situacao["g.zip"].situacao == "zip_invalido"
+    assert situacao["i.zip#000000000"].situacao == "membro_invalido"
+    assert situacao["i.zip#000000001"].situacao == "ok"
+    assert [tuple(r) for r in resultado.colunas_omitidas.collect()] == [("d.zip#000000000", 2, "C", "nome_repetido")]
+    assert resultado.chaves_duplicadas.count() == 0
+    # rows of the counts equal those of the stored values
+    presenca = sorted(map(tuple, tabelas.le_presenca(spark, base).collect()))
+    assert presenca == sorted(map(tuple, carga.presenca(tabelas.le_medicoes(spark, base)).collect()))
 
 
 def test_second_load_replaces_rows_and_grows_columns(spark, pasta, tmp_path):
@@ -108,45 +122,91 @@ def test_second_load_replaces_rows_and_grows_columns(spark, pasta, tmp_path):
     carrega_pasta(spark, str(pasta), base)
     outra = tmp_path / "outra"
     outra.mkdir()
-    grava_zip(outra / "b.zip", **{"y (Sinop - Norte).txt": B})
+    grava_zip(outra / "b.zip", **{"y (Lago - Norte).txt": B})
     novas = carrega_pasta(spark, str(outra), base).colunas_novas.collect()
-    assert [(r.tabela, r.descricao) for r in novas] == [("sinop___norte", "SE Sao-ERE")]
-    depois = {k: v for k, v in celulas(spark, base).items() if k[0] == "sinop___norte"}
+    assert [(r.tabela, r.descricao) for r in novas] == [("lago___norte", "SE Sao-ERE")]
+    depois = {k: v for k, v in celulas(spark, base).items() if k[0] == "lago___norte"}
     assert depois == {
-        ("sinop___norte", "01/02 00", "SE São-EAE"): 3.75,
-        ("sinop___norte", "01/02 00", "SE São-EAR"): 10.0,
-        ("sinop___norte", "01/02 00", "SE Sao-ERE"): None,
+        ("lago___norte", "01/02 00", "SE São-EAE"): 3.75,
+        ("lago___norte", "01/02 00", "SE São-EAR"): 10.0,
+        ("lago___norte", "01/02 00", "SE Sao-ERE"): None,
         # the whole row is replaced: the channel the later file lacks becomes NULL
-        ("sinop___norte", "01/02 01", "SE São-EAE"): 8.0,
-        ("sinop___norte", "01/02 01", "SE São-EAR"): None,
-        ("sinop___norte", "01/02 01", "SE Sao-ERE"): 9.0,
-        ("sinop___norte", "01/02 02", "SE São-EAE"): 4.0,
-        ("sinop___norte", "01/02 02", "SE São-EAR"): 0.0,
-        ("sinop___norte", "01/02 02", "SE Sao-ERE"): None,
-        ("sinop___norte", "01/03 00", "SE São-EAE"): 5.0,
-        ("sinop___norte", "01/03 00", "SE São-EAR"): None,
-        ("sinop___norte", "01/03 00", "SE Sao-ERE"): 6.0,
+        ("lago___norte", "01/02 01", "SE São-EAE"): 8.0,
+        ("lago___norte", "01/02 01", "SE São-EAR"): None,
+        ("lago___norte", "01/02 01", "SE Sao-ERE"): 9.0,
+        ("lago___norte", "01/02 02", "SE São-EAE"): 4.0,
+        ("lago___norte", "01/02 02", "SE São-EAR"): 0.0,
+        ("lago___norte", "01/02 02", "SE Sao-ERE"): None,
+        ("lago___norte", "01/03 00", "SE São-EAE"): 5.0,
+        ("lago___norte", "01/03 00", "SE São-EAR"): None,
+        ("lago___norte", "01/03 00", "SE Sao-ERE"): 6.0,
     }
     # loading the same folder again changes nothing
     carrega_pasta(spark, str(outra), base)
-    assert {k: v for k, v in celulas(spark, base).items() if k[0] == "sinop___norte"} == depois
+    assert {k: v for k, v in celulas(spark, base).items() if k[0] == "lago___norte"} == depois
     assert carga.chaves_duplicadas(tabelas.le_medicoes(spark, base)).count() == 0
 
 
+def test_catalogue_version_that_was_not_finished_does_not_count(spark, pasta, tmp_path):
+    base = str(tmp_path / "base")
+    carrega_pasta(spark, str(pasta), base)
+    antes = celulas(spark, base)
+    catalogo = tabelas.le_catalogo(spark, base)
+    assert tabelas.versoes_completas(spark, base) == [0]
+    # a version that holds some tables only, and never came to its end
+    catalogo.filter("tabela = 'bom'").write.parquet(f"{base}/catalogo/versao=1")
+    (tmp_path / "base" / "catalogo" / "versao=1" / "_SUCCESS").unlink()
+    assert celulas(spark, base) == antes
+    outra = tmp_path / "outra"
+    outra.mkdir()
+    grava_zip(outra / "b.zip", **{"y (Lago - Norte).txt": B})
+    carrega_pasta(spark, str(outra), base)
+    assert tabelas.versoes_completas(spark, base) == [0, 2]
+    depois = celulas(spark, base)
+    assert depois[("lago___norte", "01/02 00", "SE São-EAE")] == 3.75
+    assert depois[("lago___norte", "01/02 01", "SE Sao-ERE")] == 9.0
+    # a load without new columns writes no version
+    carrega_pasta(spark, str(outra), base)
+    assert tabelas.versoes_completas(spark, base) == [0, 2]
+
+
+def test_catalogue_with_a_gap_is_refused_and_values_go_by_place(spark):
+    esquema = carga.ESQUEMA_CATALOGO
+    com_falha = spark.createDataFrame([("t", 0, 0, "A", "a", "REAL"), ("t", 0, 2, "B", "b", "REAL")], esquema)
+    with pytest.raises(ValueError):
+        carga.confere_lugares(com_falha)
+    largas = spark.createDataFrame([("f", datetime(2024, 1, 1), [7.0, 8.0])], "arquivo string, data_hora timestamp_ntz, valores array<double>")
+    colunas = spark.createDataFrame([("f", "t", 0, "B", "b"), ("f", "t", 1, "A", "a")], "arquivo string, tabela string, indice int, descricao string, descricao_norm string")
+    assert carga.alinha(largas, colunas, com_falha).first().valores == [8.0, None, 7.0]
+
+
+def test_nothing_stays_behind(spark, pasta, tmp_path):
+    from pathlib import Path
+
+    provisorio = Path(spark.conf.get("spark.checkpoint.dir")) / "fasor"
+    provisorio.mkdir(exist_ok=True)
+    antes = set(provisorio.iterdir())
+    base = str(tmp_path / "base")
+    carrega_pasta(spark, str(pasta), base).descarta()
+    inicia_carga(spark, str(pasta), str(tmp_path / "outra"), str(tmp_path / "ponto"), zips_por_lote=3).awaitTermination()
+    assert set(provisorio.iterdir()) == antes
+    assert celulas(spark, base) == celulas(spark, str(tmp_path / "outra"))
+
+
 def test_cell_mode_keeps_channels_the_later_file_lacks(spark, pasta, tmp_path):
     base = str(tmp_path / "base")
-    grava_zip(pasta / "z.zip", **{"y (Sinop - Norte).txt": B})
+    grava_zip(pasta / "z.zip", **{"y (Lago - Norte).txt": B})
     carrega_pasta(spark, str(pasta), base, modo="celula")
     valores = celulas(spark, base)
-    assert valores[("sinop___norte", "01/02 01", "SE São-EAE")] == 8.0
-    assert valores[("sinop___norte", "01/02 01", "SE São-EAR")] == 7.0
-    assert valores[("sinop___norte", "01/02 01", "SE Sao-ERE")] == 9.0
+    assert valores[("lago___norte", "01/02 01", "SE São-EAE")] == 8.0
+    assert valores[("lago___norte", "01/02 01", "SE São-EAR")] == 7.0
+    assert valores[("lago___norte", "01/02 01", "SE Sao-ERE")] == 9.0
 
 
 def test_dedup_by_original_stamp(spark, pasta, tmp_path):
     base = str(tmp_path / "base")
     carrega_pasta(spark, str(pasta), base, dedup="carimbo")
-    assert celulas(spark, base)[("sinop___norte", "01/02 00", "SE São-EAE")] == 5.25
+    assert celulas(spark, base)[("lago___norte", "01/02 00", "SE São-EAE")] == 5.25
 
 
 def test_partition_pruning_reaches_the_scan(spark, pasta, tmp_path):
@@ -166,10 +226,10 @@ def test_continuous_load(spark, pasta, tmp_path):
     consulta = inicia_carga(spark, str(pasta), base, str(tmp_path / "ponto"))
     consulta.awaitTermination()
     antes = celulas(spark, base)
-    assert antes[("sinop___norte", "01/02 01", "SE São-EAE")] == 0.0
-    grava_zip(pasta / "h.zip", **{"y (Sinop - Norte).txt": B})
+    assert antes[("lago___norte", "01/02 01", "SE São-EAE")] == 0.0
+    grava_zip(pasta / "h.zip", **{"y (Lago - Norte).txt": B})
     inicia_carga(spark, str(pasta), base, str(tmp_path / "ponto")).awaitTermination()
-    assert celulas(spark, base)[("sinop___norte", "01/02 01", "SE São-EAE")] == 8.0
+    assert celulas(spark, base)[("lago___norte", "01/02 01", "SE São-EAE")] == 8.0
 
 
 def test_csv_sink(spark, tmp_path):
@@ -181,7 +241,17 @@ def test_csv_sink(spark, tmp_path):
     (arquivo,) = (tmp_path / "curva").glob("*.csv")
     assert arquivo.read_bytes().decode("latin-1") == "Data_Hora;nome;valor\n2024-02-01 03:00:00;São;1.5\n"
     tabelas.exporta_curva(df.withColumn("codigo", F.lit("F1")), str(tmp_path))
-    assert (tmp_path / "curvas" / "codigo=F1").is_dir()
+    assert (tmp_path / "curvas" / "codigo=F1" / "ano=2024").is_dir()
+    horas = spark.range(500).select(
+        F.timestamp_add("HOUR", F.pmod(F.col("id") * 37, F.lit(500)), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("Data_Hora"),
+        F.concat(F.lit("F"), F.col("id") % 3).alias("codigo"),
+    )
+    tabelas.exporta_curva(horas.repartition(7), str(tmp_path / "muitas"))
+    arquivos = sorted((tmp_path / "muitas" / "curvas").glob("codigo=*/ano=*/*.csv"))
+    assert len(arquivos) == 3  # one file each, in order of time
+    for a in arquivos:
+        linhas = a.read_text().splitlines()[1:]
+        assert linhas == sorted(linhas) and len(linhas) in (166, 167)
     feito = tabelas.exporta_coincidente(df, str(tmp_path), datetime(2024, 1, 2, 3))
     assert feito == f"{tmp_path}/demanda_coincidente_20240102_0300"
     assert spark.read.option("sep", ";").option("header", True).csv(feito).count() == 1
@@ -192,8 +262,23 @@ def test_registry_file(spark, tmp_path):
     caminho.write_text("Codigo;descricao\nT1-EAE;c1\n;sem chave\n")
     lido = tabelas.le_cadastro(spark, str(caminho), "Codigo string, descricao string", "Codigo", ("descricao",))
     assert [tuple(r) for r in lido.collect()] == [("T1-EAE", "c1")]
+    caminho.write_text("descricao;Codigo;sobra\nc1;T1-EAE;x\n")  # by name, not by place
+    lido = tabelas.le_cadastro(spark, str(caminho), "Codigo string, descricao string, potencia double", "Codigo")
+    assert [tuple(r) for r in lido.collect()] == [("T1-EAE", "c1", None)]
+    caminho.write_text("Codigo;outra\nT1-EAE;c1\n")
     with pytest.raises(ValueError):
-        tabelas.le_cadastro(spark, str(caminho), "Codigo string, d string", "Codigo", ("descricao",))
+        tabelas.le_cadastro(spark, str(caminho), "Codigo string, descricao string", "Codigo", ("descricao",))
+
+
+def test_registry_is_written_back(spark, tmp_path):
+    from fasor.operators import cadastro
+
+    destino = str(tmp_path / "equipamentos.parquet")
+    tabelas.grava_cadastro(spark.createDataFrame([(1, "A", 5.0), (2, "B", 6.0)], "id bigint, codigo string, potencia_instalada double"), destino)
+    mudancas = spark.createDataFrame([(1, "U", "A2"), (2, "D", None)], "id bigint, op string, codigo string")
+    lido = tabelas.le_cadastro(spark, destino, "", "codigo")
+    tabelas.grava_cadastro(cadastro.exclui(cadastro.atualiza(lido, mudancas), mudancas), destino)
+    assert [tuple(r) for r in tabelas.le_cadastro(spark, destino, "", "codigo").collect()] == [(1, "A2", 5.0)]
 
 
 def test_lines_can_come_from_anywhere(spark, tmp_path):

@@ -60,6 +60,11 @@ def test_time_does_not_pass_through_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zona)
 
 
+def test_far_dates_are_no_readings(spark):
+    df = spark.createDataFrame([("31/12/9999 10:00",), ("01/01/3999 00:00",), ("01/01/1700 00:00",)], "t string")
+    assert [r.t and r.t.year for r in df.select(le_data_hora(F.col("t")).alias("t")).collect()] == [None, 3999, None]
+
+
 def test_order_key_round_trip(spark):
     pares = [(0, datetime(1969, 12, 31, 23)), (0, datetime(2024, 1, 1)), (3, datetime(1995, 5, 5, 5, 7, 9))]
     df = spark.createDataFrame(pares, "o int, t timestamp_ntz").withColumn("k", ordem_na_base(F.col("o"), F.col("t")))
@@ -223,6 +228,12 @@ def test_salted_join_equals_broadcast(spark, como):
     assert sorted(map(tuple, difundida.collect()), key=str) == sorted(map(tuple, salgada.collect()), key=str)
 
 
+def test_size_counts_nested_text(spark):
+    df = spark.sql("SELECT array('abc', repeat('x', 1000)) a, named_struct('t', repeat('y', 500)) s, map('k', repeat('z', 300)) m")
+    assert 1800 < juncao.bytes_de(df) < 2200
+    assert juncao.bytes_de(spark.sql("SELECT cast(null as array<string>) a, cast(null as struct<t:string>) s")) < 200
+
+
 # ---- tables, coincident demand, composition ------------------------------------------------
 
 
@@ -270,14 +281,26 @@ def test_first_table_wins_even_with_missing_values(spark):
     assert {tuple(r) for r in motivos.collect()} == {("C", "canal_sem_cadastro"), ("D", "canal_sem_cadastro")}
 
 
+def test_one_table_needs_no_shuffle_and_gives_the_same(spark):
+    medicoes, catalogo, codigos, medidores = tabelas_de_teste(spark)
+    elegiveis = base.tabelas_elegiveis(catalogo, cadastro.completos(cadastro.resolve_canais(codigos, medidores)))
+    esperado = sorted(map(tuple, base.primeira_tabela(base.base_horaria(medicoes, elegiveis)).select(
+        "codigo", "data_hora", "tabela_ordem", *cadastro.LUGARES).collect()), key=str)
+    assert sorted(map(tuple, base.base_unica(medicoes, elegiveis).collect()), key=str) == esperado
+    so_b = base.base_unica(medicoes, base.dos_codigos(elegiveis, ["B"]))
+    assert "Exchange hashpartitioning" not in so_b._jdf.queryExecution().executedPlan().toString()
+    assert {r.codigo for r in so_b.collect()} == {"B"}
+    assert base.base_unica(medicoes, base.dos_codigos(elegiveis, [])).count() == 0
+
+
 def test_coincident(spark):
     medicoes, catalogo, codigos, medidores = tabelas_de_teste(spark)
     resolvidos = cadastro.completos(cadastro.resolve_canais(codigos, medidores))
-    lidos = coincidente.demanda_coincidente(medicoes, catalogo, resolvidos, T0).collect()
+    lidos = coincidente.demanda_coincidente(medicoes, carga.presenca(medicoes), catalogo, resolvidos, T0).collect()
     # t1 gives a row of zeros, t2 gives P = 3 and Q = 4; B fails the exact name test
     assert [tuple(r) for r in lidos] == [("A", T0, 3.0, 4.0, 5.0, 0.6)]
     assert coincidente.com_titulos(
-        coincidente.demanda_coincidente(medicoes, catalogo, resolvidos, T0)
+        coincidente.demanda_coincidente(medicoes, carga.presenca(medicoes), catalogo, resolvidos, T0)
     ).columns == ["Equipamento", "Data/Hora", "Potência Ativa (kW)", "Potência Reativa (kvar)", "Potência Aparente (kVA)", "FP"]
     with pytest.raises(ValueError):
         base.no_instante(medicoes, datetime(2024, 1, 1, 0, 30))
@@ -289,7 +312,7 @@ def test_coincident_leaves_out_tables_without_any_eae(spark):
     sem_eae = medicoes.filter("tabela = 't1'").withColumn(
         "valores", F.array(F.lit(None).cast("double"), F.lit(1.0), F.lit(7.0), F.lit(1.0))
     )
-    linhas = coincidente.linhas_no_instante(sem_eae, catalogo, resolvidos, T0)
+    linhas = coincidente.linhas_no_instante(sem_eae, carga.presenca(sem_eae), catalogo, resolvidos, T0)
     assert linhas.count() == 0
 
 
@@ -297,12 +320,12 @@ def test_coincident_of_all_is_the_union_of_singles(spark):
     medicoes, catalogo, codigos, medidores = tabelas_de_teste(spark)
     catalogo = catalogo.withColumn("descricao", F.upper("descricao"))
     resolvidos = cadastro.completos(cadastro.resolve_canais(codigos, medidores))
-    todos = coincidente.demanda_coincidente(medicoes, catalogo, resolvidos, T0).collect()
+    todos = coincidente.demanda_coincidente(medicoes, carga.presenca(medicoes), catalogo, resolvidos, T0).collect()
     sozinhos = [
         r
         for c in ("A", "B")
         for r in coincidente.demanda_coincidente(
-            medicoes, catalogo, resolvidos.filter(F.col("codigo") == c), T0
+            medicoes, carga.presenca(medicoes), catalogo, resolvidos.filter(F.col("codigo") == c), T0
         ).collect()
     ]
     assert sorted(map(tuple, todos)) == sorted(map(tuple, sozinhos)) and len(todos) == 2
@@ -344,6 +367,17 @@ def test_registry_edits(spark):
     )
     assert sorted(map(tuple, cadastro.atualiza(cad, mud).collect())) == [(1, "A2", None), (2, "B", 20.0), (3, "C", 7.5)]
     assert sorted(r.id for r in cadastro.exclui(cad, mud).collect()) == [1, 3]
+    # several changes of one id: the last counts; what cannot be read changes nothing and is reported
+    varias = spark.createDataFrame(
+        [(1, "U", "A3", "5", 1), (1, "U", "A4", "abc", 2), (2, "U", "B2", "7", 9), (2, "U", "B1", "6", 8), (7, "U", "x", "abc", 1)],
+        "id bigint, op string, codigo string, potencia_instalada string, n int",
+    )
+    assert sorted(map(tuple, cadastro.atualiza(cad, varias, ordem="n").collect())) == [
+        (1, "A4", 10.0), (2, "B2", 7.0), (3, "C", None),
+    ]
+    assert [tuple(r) for r in cadastro.mudancas_ilegiveis(cad, varias, ordem="n").collect()] == [
+        (1, "potencia_instalada", "abc")
+    ]
     dic = spark.createDataFrame([("k1", "velho")], "codigo string, descricao string")
     novos = spark.createDataFrame(
         [("k1", "novo", 1), ("k2", "b", 3), ("k2", "a", 2), (None, "x", 0)], "codigo string, descricao string, n int"

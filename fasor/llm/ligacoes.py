@@ -8,23 +8,56 @@ for the size of the input; until then further rounds take other centres. The com
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fasor.llm.comum import materializa
 
-#: Remaining pairs are listed when there are at most so many for each row of the groups, or after so many rounds.
-PARES_POR_LINHA = 2
+#: Remaining pairs, one for each key that they share, are listed when there are at most so many for each row of the
+#: groups, or after so many rounds.
+PARES_POR_LINHA = 8
 RODADAS = 4
+#: Edges that a task holds at once, some 100 bytes each.
+ARESTAS_POR_TAREFA = 500_000
+
+
+def _contrai(arestas: DataFrame) -> DataFrame:
+    """Replace the edges of each task by stars of the same components. A task takes about ARESTAS_POR_TAREFA edges."""
+
+    def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pai: dict[int, int] = {}
+
+        def raiz(x: int) -> int:
+            fim = x
+            while (p := pai.get(fim, fim)) != fim:
+                fim = p
+            while x != fim:
+                pai[x], x = fim, pai.get(x, x)
+            return fim
+
+        for lote in lotes:
+            for u, v in zip(lote.column(0).to_pylist(), lote.column(1).to_pylist()):
+                a, b = raiz(u), raiz(v)
+                if a != b:
+                    pai[max(a, b)] = min(a, b)
+        nos = list(pai)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nos, pa.int64()), pa.array([raiz(x) for x in nos], pa.int64())], names=["u", "v"]
+        )
+
+    tarefas = -(-arestas.count() // ARESTAS_POR_TAREFA) or 1
+    return materializa(arestas.coalesce(tarefas).mapInArrow(tarefa, "u bigint, v bigint"))
 
 
 def componentes(ligacoes: DataFrame) -> DataFrame:
     """Component (least id) of every id that has a link: columns id, componente. ``ligacoes`` has a and b.
 
-    Alternates two steps until nothing changes: all larger neighbours of a node move to its least neighbour, then all
-    smaller ones do. Each step is written out, so that a lost executor costs a re-read.
+    Tasks first turn the edges that they have into stars. Then, until all components are stars, all larger neighbours
+    of a node move to its least neighbour, all smaller ones do, and the tasks contract again. Each step is written out,
+    so that a lost executor costs a re-read.
     """
 
     def move(arestas: DataFrame, maiores: bool) -> DataFrame:
@@ -38,16 +71,18 @@ def componentes(ligacoes: DataFrame) -> DataFrame:
             novas = juntos.select(v.alias("u"), F.col("m").alias("v")).union(menor.select("u", F.col("m").alias("v")))
         return materializa(novas.filter(u > v).distinct())
 
-    def marca(arestas: DataFrame) -> tuple:
-        return tuple(arestas.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+    def pronta(arestas: DataFrame) -> bool:
+        """Every node has one edge, to a node that has none: all components are stars."""
+        n, nos = arestas.agg(F.count("*"), F.count_distinct("u")).first()
+        if n != nos:
+            return False
+        return arestas.join(arestas.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
 
-    arestas = materializa(
-        ligacoes.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct()
+    arestas = _contrai(
+        materializa(ligacoes.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v"))
     )
-    antes = None
-    while (agora := marca(arestas)) != antes and agora[0]:
-        antes = agora
-        arestas = move(move(arestas, True), False)
+    while not pronta(arestas):
+        arestas = _contrai(move(move(arestas, True), False))
     return arestas.select(F.col("u").alias("id"), F.col("v").alias("componente")).union(
         arestas.select("v", "v").distinct()
     )

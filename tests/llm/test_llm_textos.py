@@ -109,10 +109,12 @@ def test_jaccard_keeps_one_of_each(spark):
     assert {x.doc_id for x in fica.collect()} == esperado and fica.columns == d.columns
 
 
-def test_components(spark):
+@pytest.mark.parametrize("por_tarefa", [500_000, 40])
+def test_components(spark, monkeypatch, por_tarefa):
+    monkeypatch.setattr(ligacoes, "ARESTAS_POR_TAREFA", por_tarefa)
     g = random.Random(2)
     pares = [(g.randrange(400), g.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 560)] + [(3, 3)]
-    r = {x.id: x.componente for x in ligacoes.componentes(spark.createDataFrame(pares, "a bigint, b bigint")).collect()}
+    r = {x.id: x.componente for x in ligacoes.componentes(spark.createDataFrame(pares, "a bigint, b bigint").repartition(16)).collect()}
     esperado = componentes_simples(pares, {n for p in pares for n in p})
     assert r == {n: c for n, c in esperado.items() if n in r}
     assert all(n in r for p in pares if p[0] != p[1] for n in p)

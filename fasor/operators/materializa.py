@@ -51,14 +51,14 @@ def materializa(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def provisorios() -> Iterator[list[str]]:
-    """The list of what ``materializa`` writes in this thread while the block runs."""
+    """The list of what ``materializa`` writes in this thread while the block runs. Blocks may nest."""
     escritos: list[str] = []
     listas = _ESCOPO.__dict__.setdefault("listas", [])
     listas.append(escritos)
     try:
         yield escritos
     finally:
-        listas.remove(escritos)
+        listas.pop()
 
 
 def apaga(spark: SparkSession, escritos: list[str]) -> None:

@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fasor.llm.comum import a_cada_linha, materializa, minusculas, pasta_compartilhada, sem_ids
+from fasor.llm.comum import MAX_IDS, a_cada_linha, materializa, minusculas, pasta_compartilhada
+from fasor.operators.materializa import apaga, provisorios
 
 
 @dataclass(frozen=True)
@@ -52,11 +53,15 @@ def digestos(docs: DataFrame, id: str = "doc_id", texto: str = "text") -> DataFr
         docs.select(
             F.col(id).cast("bigint").alias("doc_id"),
             F.monotonically_increasing_id().alias("linha"),
-            F.unhex(F.sha2(minusculas(F.col(texto)), 256)).alias("digest"),
+            _digest(F.col(texto)).alias("digest"),
         )
     )
 
 
+def _digest(texto):
+    return F.unhex(F.sha2(minusculas(texto), 256))
+
+
 def carrega(lote: DataFrame, indice: Indice, carga: str) -> None:
     """Append to the index the digests of ``lote`` that it does not have, with the row that stays for each."""
     ficam = lote.groupBy("digest").agg(F.max(F.struct("doc_id", "linha")).alias("fica"))
@@ -93,23 +98,43 @@ def situacao(lote: DataFrame, indice: Indice, cargas: list[str]) -> DataFrame:
 
 
 def deduplica(docs: DataFrame, indice: Indice | None = None) -> DataFrame:
-    """The documents that stay, all their columns, after one load into ``indice`` (a new one if none is given)."""
+    """The documents that stay, all their columns, after one load into ``indice`` (a new one if none is given).
+
+    Only digests travel, where few enough rows go: the documents are read again and meet the keys of the rows that go.
+    """
     spark = docs.sparkSession
     indice = indice or abre_indice(spark)
     carga = uuid.uuid4().hex
-    # only digests and numbers of rows travel, where few enough rows go
-    numerados = materializa(docs.withColumn("__linha", F.monotonically_increasing_id()))
-    lote = materializa(
-        numerados.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"),
-            F.col("__linha").alias("linha"),
-            F.unhex(F.sha2(minusculas(F.col("text")), 256)).alias("digest"),
-        )
-    )
-    carrega(lote, indice, carga)
-    ficam = indice.le().filter(F.col("carga") == carga).select("linha")
-    saem = materializa(lote.select("linha").join(ficam, "linha", "left_anti").withColumnRenamed("linha", "__linha"))
-    return sem_ids(numerados, saem, "__linha").select(*docs.columns)
+    with provisorios() as escritos:
+        lote = digestos(docs)
+        carrega(lote, indice, carga)
+        estado = situacao(lote, indice, [carga])
+        chave = ["doc_id", "digest"]
+        saem = materializa(estado.filter(~F.col("kept")).select(*chave).distinct())
+        # rows equal in id and text, of which one stays: told apart only by dropping repeats
+        repetem = materializa(estado.filter("kept").select(*chave).join(_lado(saem), _iguais(), "left_semi"))
+        apaga(spark, escritos[:-2])
+    com_digest = docs.withColumn("__digest", _digest(F.col("text")))
+
+    def junta(df: DataFrame, chaves: DataFrame, como: str) -> DataFrame:
+        poucas = chaves.limit(MAX_IDS + 1).count() <= MAX_IDS
+        lado = _lado(chaves)
+        condicao = F.equal_null(F.col("doc_id").cast("bigint"), F.col("__id")) & (F.col("__digest") == F.col("__d"))
+        return df.join(F.broadcast(lado) if poucas else lado, condicao, como)
+
+    ficam = junta(com_digest, saem, "left_anti").select(*docs.columns)
+    if repetem.isEmpty():
+        return ficam
+    unicas = junta(com_digest, repetem, "left_semi").dropDuplicates(["doc_id", "__digest"]).select(*docs.columns)
+    return ficam.unionByName(unicas)
+
+
+def _lado(chaves: DataFrame) -> DataFrame:
+    return chaves.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__d"))
+
+
+def _iguais():
+    return F.equal_null("doc_id", "__id") & (F.col("digest") == F.col("__d"))
 
 
 def op9_exatos(spark: SparkSession, documentos: DataFrame) -> DataFrame:

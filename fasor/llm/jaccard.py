@@ -9,9 +9,12 @@ How many it must share follows from the sizes: of the two prefixes, the one that
 to its end among the shared ones, so the rest of that set bounds what else can be common. The other orders' prefixes
 travel as 32-bit numbers; two tokens with one number only let a pair through to the exact comparison.
 
-The counts are kept in 2^21 cells by hash; every shingle of every document is counted. They only choose the order, so
+The counts are kept in 2^24 cells by hash; every shingle of every document is counted. They only choose the order, so
 cells shared by several shingles cost candidates, never links.
 
+A pair needs to be met only at the first token that it has in common, before which nothing is. There the places of the
+token in the two sets bound what they can share, so most chance meetings end before anything is moved for them.
+
 Texts of equal sets are one node. Defined results: words are runs between ASCII white space, A-Z lower-cased; a text of
 fewer words than a shingle is one shingle; NULL, empty and wordless texts have none and are linked with nothing. Rows
 that repeat an id are one vertex. A NULL id gets the component of its text. Further columns are not read, or travel with
@@ -21,6 +24,7 @@ their rows. Shingles are compared by 64-bit hashes within a pair, sets by 128 bi
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,9 +46,10 @@ from fasor.llm.comum import (
     sem_ids,
     semente,
 )
+from fasor.operators.materializa import apaga, provisorios
 
 #: Cells of the counts, and the runs in which tasks hand them on.
-CELULAS = 21
+CELULAS = 24
 _PARTES = 64
 #: Orders of the tokens: the first makes candidates, the others filter them.
 ORDENS = 3
@@ -64,13 +69,19 @@ def prefixo(n: np.ndarray, limiar: int) -> np.ndarray:
     return n - (limiar * n + 99) // 100 + 1
 
 
-def prefixos(s: np.ndarray, linha: np.ndarray, n: np.ndarray, classe: np.ndarray, ordem: int, limiar: int) -> np.ndarray:
-    """Which of the tokens (sorted by row) are in the prefix of their row under an order. Rows have ``n`` tokens."""
+def prefixos(
+    s: np.ndarray, linha: np.ndarray, n: np.ndarray, classe: np.ndarray, ordem: int, limiar: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the tokens (sorted by row) are in the prefix of their row under an order, and the places of these.
+
+    Rows have ``n`` tokens.
+    """
     chave = mistura(s * semente(100 + ordem))  # one to one, so no ties
     lugar = np.lexsort((chave, classe[s >> np.uint64(64 - CELULAS)], linha))
     posicao = np.empty(len(s), np.int64)
     posicao[lugar] = np.arange(len(s)) - np.repeat(np.cumsum(n) - n, n)
-    return posicao < np.repeat(prefixo(n, limiar), n)
+    em = posicao < np.repeat(prefixo(n, limiar), n)
+    return em, posicao[em]
 
 
 def _medidas(docs: DataFrame, k: int) -> DataFrame:
@@ -91,56 +102,52 @@ def _medidas(docs: DataFrame, k: int) -> DataFrame:
                         fim = np.cumsum(n)
                         soma = corrida[fim] - corrida[fim - n]
                     d.append(pa.array(soma.view(np.int64)))
-                contas += np.bincount((s >> np.uint64(64 - CELULAS)).astype(np.int64), minlength=1 << CELULAS).astype(np.int32)
+                cheias, vezes = np.unique(s >> np.uint64(64 - CELULAS), return_counts=True)
+                contas[cheias] += vezes.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [lote.column(0).slice(a, z - a), pa.array(n), *d, pa.nulls(z - a, pa.int32()), pa.nulls(z - a, pa.binary())],
                     names=nomes,
                 )
         partes = contas.reshape(_PARTES, -1)
-        cheias = [i for i in range(_PARTES) if partes[i].any()]
-        if cheias:
-            vazio = pa.nulls(len(cheias), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [vazio] * 4 + [pa.array(cheias, pa.int32()), pa.array([partes[i].tobytes() for i in cheias], pa.binary())],
-                names=nomes,
-            )
+        for i in range(_PARTES):
+            if partes[i].any():
+                um_vazio = pa.nulls(1, pa.int64())
+                escrita = pa.array([zlib.compress(partes[i].tobytes(), 1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([um_vazio] * 4 + [pa.array([i], pa.int32()), escrita], names=nomes)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary").alias("t")).mapInArrow(
         tarefa, "doc_id bigint, n bigint, d1 bigint, d2 bigint, parte int, contas binary"
     )
 
 
-def _classes(medidas: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all cells (8 MB at most, whatever the input), and the number of bits of each."""
+def _classes(medidas: DataFrame) -> np.ndarray:
+    """Twice the binary logarithm of the count of every cell (16 MB, whatever the input): 0 for none, 2 for one."""
 
     def soma(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         somas: dict[int, np.ndarray] = {}
         for lote in lotes:
             for p, c in zip(lote.column(0).to_pylist(), lote.column(1)):
-                c = np.frombuffer(c.as_py(), np.int32)
+                c = np.frombuffer(zlib.decompress(c.as_py()), np.int32)
                 somas[p] = somas[p] + c if p in somas else c.astype(np.int64)
+        classes = [np.round(2 * np.log2(x + 1)).astype(np.uint8).tobytes() for x in somas.values()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(somas), pa.int32()), pa.array([x.tobytes() for x in somas.values()], pa.binary())],
-            names=["parte", "contas"],
+            [pa.array(list(somas), pa.int32()), pa.array(classes, pa.binary())], names=["parte", "classes"]
         )
 
     partes = medidas.filter("parte IS NOT NULL").select("parte", "contas").repartition(_PARTES // 4, "parte")
-    contas = np.zeros((_PARTES, (1 << CELULAS) // _PARTES), np.int64)
-    for r in partes.mapInArrow(soma, "parte int, contas binary").collect():
-        contas[r["parte"]] = np.frombuffer(r["contas"], np.int64)
-    contas = contas.reshape(-1)
-    return contas, np.ceil(np.log2(contas + 1)).astype(np.uint8)
+    classes = np.zeros((_PARTES, (1 << CELULAS) // _PARTES), np.uint8)
+    for r in partes.mapInArrow(soma, "parte int, classes binary").collect():
+        classes[r["parte"]] = np.frombuffer(r["classes"], np.uint8)
+    return classes.reshape(-1)
 
 
-def _textos(docs: DataFrame, ids: DataFrame, classe, k: int, limiar: int) -> DataFrame:
-    """Texts (id, n, t) and prefixes under the other orders (p1, ...) of the documents in ``ids``.
+def _grava_textos(docs: DataFrame, ids: DataFrame, classe, k: int, limiar: int, nome: str, pasta: str) -> None:
+    """Write texts (id, n, t) and prefixes under the other orders (p1, ...) of the documents in ``ids``.
 
     A table bucketed by id: joins by id then move only the other side.
     """
     spark = docs.sparkSession
     baldes = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nome = f"textos_{uuid.uuid4().hex}"
-    pasta = f"{pasta_compartilhada(spark).rstrip('/')}/fasor/{nome}"
     ordens = range(1, ORDENS)
     nomes = ["id", "n", "t", *(f"p{o}" for o in ordens)]
 
@@ -152,7 +159,7 @@ def _textos(docs: DataFrame, ids: DataFrame, classe, k: int, limiar: int) -> Dat
                 n = np.bincount(linha, minlength=z - a)
                 listas = []
                 for o in ordens:
-                    em = prefixos(s, linha, n, c, o, limiar)
+                    em, _ = prefixos(s, linha, n, c, o, limiar)
                     fim = np.concatenate(([0], np.cumsum(np.bincount(linha[em], minlength=z - a))))
                     listas.append(pa.ListArray.from_arrays(pa.array(fim.astype(np.int32)), pa.array(s[em].astype(np.uint32).view(np.int32))))
                 yield pa.RecordBatch.from_arrays(
@@ -169,12 +176,20 @@ def _textos(docs: DataFrame, ids: DataFrame, classe, k: int, limiar: int) -> Dat
         .option("path", pasta)
         .saveAsTable(nome)
     )
-    return spark.table(nome)
 
 
 def _podem(limiar: int):
-    """Sizes that differ too much cannot reach the threshold."""
-    return lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * limiar
+    """Whether two sets can reach the threshold if this token, at its places, is the first that they have in common.
+
+    Nothing before it is common, so at most it and what follows it in either set is.
+    """
+
+    def podem(a, b):
+        na, nb = ligacoes.tamanho(a), ligacoes.tamanho(b)
+        pedidos = F.ceil(F.lit(limiar) * (na + nb) / F.lit(100 + limiar))
+        return F.least(na - ligacoes.lugar(a), nb - ligacoes.lugar(b)) >= pedidos
+
+    return podem
 
 
 def _verificador(textos: DataFrame, k: int, limiar: int):
@@ -241,55 +256,70 @@ def _passam(textos: list[bytes], pares: list[tuple[int, int]], k: int, limiar: i
 def junta(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id. ``limiar`` in hundredths."""
     spark = docs.sparkSession
-    medidas = materializa(_medidas(docs, k))
-    contas, classes = _classes(medidas)
-    conta, classe = spark.sparkContext.broadcast(contas), spark.sparkContext.broadcast(classes)
-    linhas = medidas.filter("n IS NOT NULL").select("doc_id", "n", "d1", "d2")
-    conjuntos_ = materializa(
-        linhas.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copias"))
+    with provisorios() as escritos:
+        medidas = materializa(_medidas(docs, k))
+        classe = spark.sparkContext.broadcast(_classes(medidas))
+        linhas = medidas.filter("n IS NOT NULL").select("doc_id", "n", "d1", "d2")
+        conjuntos_ = materializa(
+            linhas.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copias"))
+        )
+        nome_dos_textos = f"textos_{uuid.uuid4().hex}"
+        pasta_dos_textos = f"{pasta_compartilhada(spark)}/fasor/{nome_dos_textos}"
+        _grava_textos(docs, conjuntos_.filter("id IS NOT NULL"), classe, k, limiar, nome_dos_textos, pasta_dos_textos)
+        textos = spark.table(nome_dos_textos)
+        ficam = len(escritos)
+        comps = ligacoes.liga(_grupos(textos, classe, k, limiar), _verificador(textos, k, limiar), _podem(limiar))
+        nos = materializa(
+            conjuntos_.join(comps, "id", "left").select(
+                "n", "d1", "d2", "copias", F.coalesce("componente", "id").alias("component_id")
+            )
+        )
+        # texts, keys and pairs are done with; the result reads the first and the last of what was written
+        apaga(spark, [*escritos[ficam:-1], pasta_dos_textos])
+        spark.sql(f"DROP TABLE IF EXISTS {nome_dos_textos}")
+    todas = a_cada_linha(linhas.filter("n > 0"), nos, ["n", "d1", "d2"], "copias").drop("copias")
+    return todas.unionByName(linhas.filter("n = 0").withColumn("component_id", F.col("doc_id"))).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
-    textos = _textos(docs, conjuntos_.filter("id IS NOT NULL"), classe, k, limiar)
+
+
+def _grupos(textos: DataFrame, classe, k: int, limiar: int) -> DataFrame:
+    """Prefix tokens of the first order that more than one text may have, and their groups."""
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, cl = conta.value, classe.value
+        cl = classe.value
         for lote in lotes:
             ids = np.array(lote.column(0))
             for a, z, bloco, inicio in blocos(lote.column(1)):
                 s, linha = sombras(bloco, inicio, k)
                 n = np.bincount(linha, minlength=z - a)
-                em = prefixos(s, linha, n, cl, 0, limiar)
+                em, lugar = prefixos(s, linha, n, cl, 0, limiar)
                 s, linha = s[em], linha[em]
-                # a shingle that is alone in its cell is in one document only
-                c_do_token = c[s >> np.uint64(64 - CELULAS)]
-                outros = c_do_token > 1
+                # a shingle that is alone in its cell (class 2) is in one document only
+                c = cl[s >> np.uint64(64 - CELULAS)].astype(np.int64)
+                outros = c > 2
+                partes = np.maximum(1, (1 << np.minimum(c // 2, 40)) // LINHAS_POR_PARTE)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(s[outros].view(np.int64)),
                         pa.array(ids[a:z][linha[outros]]),
-                        pa.array(n[linha[outros]]),
-                        pa.array((c_do_token[outros] // LINHAS_POR_PARTE + 1)),
+                        pa.array((n[linha[outros]] << 32) + lugar[outros]),
+                        pa.array(partes[outros]),
                     ],
                     names=["chave", "id", "peso", "partes"],
                 )
 
     chaves = textos.select("id", "t").mapInArrow(tarefa, "chave bigint, id bigint, peso bigint, partes bigint")
-    linhas_de_chaves = ligacoes.grupos(chaves, F.col("partes"))
-    comps = ligacoes.liga(linhas_de_chaves, _verificador(textos, k, limiar), _podem(limiar))
-    nos = materializa(
-        conjuntos_.join(comps, "id", "left").select(
-            "n", "d1", "d2", "copias", F.coalesce("componente", "id").alias("component_id")
-        )
-    )
-    todas = a_cada_linha(linhas.filter("n > 0"), nos, ["n", "d1", "d2"], "copias").drop("copias")
-    return todas.unionByName(linhas.filter("n = 0").withColumn("component_id", F.col("doc_id"))).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id"
-    )
+    return ligacoes.grupos(chaves, F.col("partes"))
 
 
 def um_por_componente(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
     """The documents of which each component keeps one, that of the least id; all columns. Documents without shingles stay."""
-    outros = junta(docs, k, limiar).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return sem_ids(docs, materializa(outros), "doc_id").select(*docs.columns)
+    with provisorios() as escritos:
+        outros = junta(docs, k, limiar).filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+        outros = materializa(outros)
+        apaga(docs.sparkSession, escritos[:-1])
+    return sem_ids(docs, outros, "doc_id").select(*docs.columns)
 
 
 def op4_jaccard(spark: SparkSession, documentos: DataFrame) -> DataFrame:

@@ -91,47 +91,57 @@ def componentes(ligacoes: DataFrame) -> DataFrame:
 def grupos(chaves: DataFrame, partes: Column | None = None) -> DataFrame:
     """Rows of keys that more than one id has: columns chave, id, peso, centro, peso_centro (one id of the group).
 
-    ``chaves`` has chave, id and peso (a number of the id, or NULL), each key and id once. ``partes`` (of at least 1)
-    says into how many parts the rows of a key are dealt, each with a centre of its own, so that a common key does not
-    end in one task.
+    ``chaves`` has chave, id and peso (see ``peso``, or NULL), each key and id once. ``partes`` (of at least 1) says into
+    how many parts the rows of a key are dealt, each with a centre of its own, so that a common key does not end in one
+    task. The centre has the key earliest in its order, so it has few tokens that the others lack.
     """
     parte = F.lit(0) if partes is None else F.pmod(F.xxhash64("id", "chave"), partes.cast("bigint"))
     grupo = Window.partitionBy("chave", "__parte")
     return materializa(
         chaves.withColumns({"__parte": parte, "__dividida": F.lit(False) if partes is None else partes > 1})
-        .withColumns(
-            {"__n": F.count("*").over(grupo), "centro": F.min("id").over(grupo), "peso_centro": F.min_by("peso", "id").over(grupo)}
-        )
+        .withColumns({"__n": F.count("*").over(grupo), "__c": F.min(F.struct(lugar("peso"), "id", "peso")).over(grupo)})
         .filter("__n > 1 OR __dividida")
-        .select("chave", "id", "peso", "centro", "peso_centro")
+        .select("chave", "id", "peso", F.col("__c.id").alias("centro"), F.col("__c.peso").alias("peso_centro"))
     )
 
 
+def peso(n: Column, lugar: Column) -> Column:
+    """Size of the set of an id, and the place of the key in its order, as one number."""
+    return F.shiftleft(n.cast("bigint"), 32) + lugar
+
+
+def tamanho(peso: Column | str) -> Column:
+    return F.shiftright(peso, 32)
+
+
+def lugar(peso: Column | str) -> Column:
+    return (F.col(peso) if isinstance(peso, str) else peso).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def liga(
     linhas: DataFrame,
     verifica: Callable[[DataFrame], DataFrame],
-    podem: Callable[[Column, Column], Column] = lambda a, b: F.lit(True),
+    podem: Callable[[Column, Column], Column] | None = None,
     rodadas: int = RODADAS,
 ) -> DataFrame:
     """Components from the rows of ``grupos``: columns id, componente.
 
-    ``verifica`` gets distinct pairs a < b and returns those that are links. ``podem`` says from their weights whether
-    two ids can be linked at all.
+    ``verifica`` gets distinct pairs a < b and returns those that are links. ``podem`` says from the weights of two ids
+    in a key whether they can be linked *and* have this key first in common: a linked pair does so at one of its keys,
+    and needs to be met only there.
     """
 
     def pares(df: DataFrame) -> DataFrame:
-        return (
-            df.filter((F.col("x") != F.col("y")) & podem(F.col("px"), F.col("py")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct()
-        )
+        df = df.filter("x <> y")
+        df = df if podem is None else df.filter(podem(F.col("px"), F.col("py")))
+        return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
     x, px = F.col("id").alias("x"), F.col("peso").alias("px")
     vistos = materializa(pares(linhas.select(x, px, F.col("centro").alias("y"), F.col("peso_centro").alias("py"))))
     links = materializa(verifica(vistos))
     total = linhas.count()
     for rodada in range(1, rodadas + 1):
-        comps = materializa(componentes(links))
+        comps = componentes(links)
         marcadas = linhas.join(comps, "id", "left").select(
             "chave", "id", "peso", F.coalesce("componente", "id").alias("componente")
         )

@@ -133,7 +133,7 @@ def test_prefix_filter_never_loses_a_link():
         classe = g.integers(0, 4, 1 << jaccard.CELULAS).astype(np.uint8)
         for ordem in range(3):
             s, linha, m = np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), np.array([len(a), len(b)])
-            em = jaccard.prefixos(s, linha, m, classe, ordem, 85)
+            em, _ = jaccard.prefixos(s, linha, m, classe, ordem, 85)
             assert len(np.intersect1d(s[em & (linha == 0)], s[em & (linha == 1)]))
 
 

@@ -101,7 +101,7 @@ def grava_medicoes(medicoes: DataFrame, base: str) -> None:
         .sortWithinPartitions(*PARTICOES, "tabela", "data_hora"),
         "medicoes",
     )
-    grava(presenca(prontas, PARTICOES).coalesce(1), "presenca")
+    grava(presenca(prontas, PARTICOES).hint("rebalance", *PARTICOES), "presenca")
 
 
 def versoes_completas(spark: SparkSession, base: str) -> list[int]:

@@ -64,12 +64,12 @@ def _digest(texto):
 
 def carrega(lote: DataFrame, indice: Indice, carga: str) -> None:
     """Append to the index the digests of ``lote`` that it does not have, with the row that stays for each."""
-    ficam = lote.groupBy("digest").agg(F.max(F.struct("doc_id", "linha")).alias("fica"))
+    # numbers only, so that equal digests combine in hash maps before they move
+    id_ou_menor = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    ficam = lote.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.max_by("linha", id_ou_menor).alias("linha"))
     novos = (
         ficam.join(indice.le().select("digest").hint("merge"), "digest", "left_anti")
-        .select(
-            "digest", F.col("fica.doc_id").alias("keep_id"), F.lit(carga).alias("carga"), F.col("fica.linha").alias("linha")
-        )
+        .select("digest", "keep_id", F.lit(carga).alias("carga"), "linha")
         .repartition(indice.baldes, "digest")
     )
     novos.write.insertInto(indice.tabela)

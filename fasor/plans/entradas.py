@@ -227,7 +227,7 @@ def mudancas(spark: SparkSession, pasta: str) -> DataFrame:
         chave.alias("ordem"),
         F.when(chave % 3 == 0, "U").when(chave % 3 == 1, "D").otherwise("X").alias("op"),
         F.concat(codigo_de(chave), F.lit("N")).alias("codigo"),
-        F.when(chave % 13 == 5, "abc").when(chave % 11 == 3, "").otherwise(potencia).alias("potencia_instalada"),
+        F.when(chave % 13 == 11, "abc").when(chave % 11 == 3, "").otherwise(potencia).alias("potencia_instalada"),
     )
 
 

@@ -191,7 +191,7 @@ FROM (SELECT DISTINCT * FROM leituras) WHERE canal IS NOT NULL GROUP BY codigo,
 CTE["mudancas"] = f"""
 SELECT c_custkey // 2 AS id, c_custkey AS ordem,
        CASE c_custkey % 3 WHEN 0 THEN 'U' WHEN 1 THEN 'D' ELSE 'X' END AS op,
-       {_codigo('c_custkey')} || 'N' AS codigo, c_custkey % 13 = 5 AS ilegivel,
+       {_codigo('c_custkey')} || 'N' AS codigo, c_custkey % 13 = 11 AS ilegivel,
        CASE WHEN c_custkey % 11 = 3 THEN NULL ELSE floor(abs(c_acctbal)) END AS potencia_instalada
 FROM customer"""
 

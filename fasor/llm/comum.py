@@ -54,10 +54,15 @@ def a_cada_linha(linhas: DataFrame, nos: DataFrame, chave: list[str], copias: st
     )
 
 
-def sem_ids(df: DataFrame, ids: DataFrame, coluna: str) -> DataFrame:
+def sem_ids(df: DataFrame, ids: DataFrame, coluna: str, como: str = "left_anti") -> DataFrame:
     """Rows of ``df`` whose ``coluna`` is not in ``ids``, which has been written out."""
     poucos = ids.limit(MAX_IDS + 1).count() <= MAX_IDS
-    return df.join(F.broadcast(ids) if poucos else ids, coluna, "left_anti")
+    return df.join(F.broadcast(ids) if poucos else ids, coluna, como)
+
+
+def com_ids(df: DataFrame, ids: DataFrame, coluna: str) -> DataFrame:
+    """Rows of ``df`` whose ``coluna`` is in ``ids``, which has been written out."""
+    return sem_ids(df, ids, coluna, "left_semi")
 
 
 _LEVADO: set[str] = set()

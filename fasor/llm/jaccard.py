@@ -9,7 +9,7 @@ How many it must share follows from the sizes: of the two prefixes, the one that
 to its end among the shared ones, so the rest of that set bounds what else can be common. The other orders' prefixes
 travel as 32-bit numbers; two tokens with one number only let a pair through to the exact comparison.
 
-The counts are kept in 2^24 cells by hash; every shingle of every document is counted. They only choose the order, so
+The counts are kept in 2^21 cells by hash; every shingle of every document is counted. They only choose the order, so
 cells shared by several shingles cost candidates, never links.
 
 A pair needs to be met only at the first token that it has in common, before which nothing is. There the places of the
@@ -36,6 +36,7 @@ from fasor.llm import ligacoes
 from fasor.llm.comum import (
     a_cada_linha,
     blocos,
+    com_ids,
     conjuntos,
     hashes,
     janelas,
@@ -49,7 +50,7 @@ from fasor.llm.comum import (
 from fasor.operators.materializa import apaga, provisorios
 
 #: Cells of the counts, and the runs in which tasks hand them on.
-CELULAS = 24
+CELULAS = 21
 _PARTES = 64
 #: Orders of the tokens: the first makes candidates, the others filter them.
 ORDENS = 3
@@ -121,7 +122,7 @@ def _medidas(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _classes(medidas: DataFrame) -> np.ndarray:
-    """Twice the binary logarithm of the count of every cell (16 MB, whatever the input): 0 for none, 2 for one."""
+    """Twice the binary logarithm of the count of every cell (2 MB, whatever the input): 0 for none, 2 for one."""
 
     def soma(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         somas: dict[int, np.ndarray] = {}
@@ -141,12 +142,12 @@ def _classes(medidas: DataFrame) -> np.ndarray:
     return classes.reshape(-1)
 
 
-def _grava_textos(docs: DataFrame, ids: DataFrame, classe, k: int, limiar: int, nome: str, pasta: str) -> None:
+def _grava_textos(unicos: DataFrame, ids: DataFrame, classe, k: int, limiar: int, nome: str, pasta: str) -> None:
     """Write texts (id, n, t) and prefixes under the other orders (p1, ...) of the documents in ``ids``.
 
     A table bucketed by id: joins by id then move only the other side.
     """
-    spark = docs.sparkSession
+    spark = unicos.sparkSession
     baldes = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordens = range(1, ORDENS)
     nomes = ["id", "n", "t", *(f"p{o}" for o in ordens)]
@@ -167,10 +168,8 @@ def _grava_textos(docs: DataFrame, ids: DataFrame, classe, k: int, limiar: int,
                 )
 
     (
-        docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("t"))
-        .filter("t IS NOT NULL")
+        com_ids(unicos, ids, "id")
         .repartition(baldes, "id")
-        .join(ids.select("id").repartition(baldes, "id"), "id", "left_semi")
         .mapInArrow(tarefa, "id bigint, n bigint, t binary" + "".join(f", p{o} array<int>" for o in ordens))
         .write.bucketBy(baldes, "id")
         .option("path", pasta)
@@ -192,8 +191,12 @@ def _podem(limiar: int):
     return podem
 
 
-def _verificador(textos: DataFrame, k: int, limiar: int):
-    """Function from pairs a, b to those that pass the filters of all orders and then the threshold."""
+def _verificador(unicos: DataFrame, classe, k: int, limiar: int):
+    """Function from pairs a, b to those that pass the filters of all orders and then the threshold.
+
+    Only the texts of the pairs move, and they are deleted when the pairs are done.
+    """
+    spark = unicos.sparkSession
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lote in lotes:
@@ -217,11 +220,9 @@ def _verificador(textos: DataFrame, k: int, limiar: int):
                 i = f
             yield pa.RecordBatch.from_arrays([pa.array(ida[fica]), pa.array(idb[fica])], names=["a", "b"])
 
-    def lado(letra: str, *colunas: str) -> DataFrame:
-        return textos.select(F.col("id").alias(letra), *[F.col(c).alias(f"{c}{letra}") for c in colunas])
+    prefixos_ = [f"p{o}" for o in range(1, ORDENS)]
 
-    def filtra(pares: DataFrame) -> DataFrame:
-        prefixos_ = [f"p{o}" for o in range(1, ORDENS)]
+    def filtra(pares: DataFrame, lado) -> DataFrame:
         com = pares.join(lado("b", "n", *prefixos_), "b").join(lado("a", "n", *prefixos_), "a")
         # common tokens that the threshold asks for, less what the rest of either set can hold
         pedidos = F.ceil(F.lit(limiar) * (F.col("na") + F.col("nb")) / F.lit(100 + limiar))
@@ -232,9 +233,23 @@ def _verificador(textos: DataFrame, k: int, limiar: int):
         return materializa(com.select("a", "b"))
 
     def verifica(pares: DataFrame) -> DataFrame:
+        if pares.isEmpty():
+            return pares
+        nome = f"textos_{uuid.uuid4().hex}"
+        pasta = f"{pasta_compartilhada(spark)}/fasor/{nome}"
+        ids = materializa(pares.select(F.col("a").alias("id")).union(pares.select("b")).distinct())
+        _grava_textos(unicos, ids, classe, k, limiar, nome, pasta)
+        textos = spark.table(nome)
+
+        def lado(letra: str, *colunas: str) -> DataFrame:
+            return textos.select(F.col("id").alias(letra), *[F.col(c).alias(f"{c}{letra}") for c in colunas])
+
         # the second text travels once per pair; the first is met where it lies
-        com = filtra(pares).join(lado("b", "t"), "b").join(lado("a", "t"), "a")
-        return com.select("a", "b", "ta", "tb").mapInArrow(tarefa, "a bigint, b bigint").distinct()
+        com = filtra(pares, lado).join(lado("b", "t"), "b").join(lado("a", "t"), "a")
+        links = materializa(com.select("a", "b", "ta", "tb").mapInArrow(tarefa, "a bigint, b bigint").distinct())
+        apaga(spark, [pasta])
+        spark.sql(f"DROP TABLE {nome}")
+        return links
 
     return verifica
 
@@ -263,27 +278,32 @@ def junta(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
         conjuntos_ = materializa(
             linhas.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copias"))
         )
-        nome_dos_textos = f"textos_{uuid.uuid4().hex}"
-        pasta_dos_textos = f"{pasta_compartilhada(spark)}/fasor/{nome_dos_textos}"
-        _grava_textos(docs, conjuntos_.filter("id IS NOT NULL"), classe, k, limiar, nome_dos_textos, pasta_dos_textos)
-        textos = spark.table(nome_dos_textos)
+        # documents that have another's set, and are not themselves the least id of some set
+        repetidos = a_cada_linha(linhas.filter("n > 0"), conjuntos_, ["n", "d1", "d2"], "copias")
+        sobram = materializa(
+            repetidos.filter("doc_id <> id")
+            .select(F.col("doc_id").alias("id"))
+            .distinct()
+            .join(conjuntos_.select("id"), "id", "left_anti")
+        )
+        com_texto = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("t"))
+        unicos = sem_ids(com_texto.filter("id IS NOT NULL AND t IS NOT NULL"), sobram, "id")
         ficam = len(escritos)
-        comps = ligacoes.liga(_grupos(textos, classe, k, limiar), _verificador(textos, k, limiar), _podem(limiar))
+        comps = ligacoes.liga(_grupos(unicos, classe, k, limiar), _verificador(unicos, classe, k, limiar), _podem(limiar))
         nos = materializa(
             conjuntos_.join(comps, "id", "left").select(
                 "n", "d1", "d2", "copias", F.coalesce("componente", "id").alias("component_id")
             )
         )
-        # texts, keys and pairs are done with; the result reads the first and the last of what was written
-        apaga(spark, [*escritos[ficam:-1], pasta_dos_textos])
-        spark.sql(f"DROP TABLE IF EXISTS {nome_dos_textos}")
+        # keys and pairs are done with; the result reads the first and the last of what was written
+        apaga(spark, escritos[ficam:-1])
     todas = a_cada_linha(linhas.filter("n > 0"), nos, ["n", "d1", "d2"], "copias").drop("copias")
     return todas.unionByName(linhas.filter("n = 0").withColumn("component_id", F.col("doc_id"))).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
 
 
-def _grupos(textos: DataFrame, classe, k: int, limiar: int) -> DataFrame:
+def _grupos(unicos: DataFrame, classe, k: int, limiar: int) -> DataFrame:
     """Prefix tokens of the first order that more than one text may have, and their groups."""
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,22 +315,23 @@ def _grupos(textos: DataFrame, classe, k: int, limiar: int) -> DataFrame:
                 n = np.bincount(linha, minlength=z - a)
                 em, lugar = prefixos(s, linha, n, cl, 0, limiar)
                 s, linha = s[em], linha[em]
-                # a shingle that is alone in its cell (class 2) is in one document only
+                # the rows of tokens that very many texts may have are dealt to parts by document
                 c = cl[s >> np.uint64(64 - CELULAS)].astype(np.int64)
-                outros = c > 2
-                partes = np.maximum(1, (1 << np.minimum(c // 2, 40)) // LINHAS_POR_PARTE)
+                partes = (1 << np.minimum(c // 2, 40)) // LINHAS_POR_PARTE
+                sorte = mistura(s ^ ids[a:z][linha].astype(np.int64).view(np.uint64)) % np.maximum(partes, 1).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(s[outros].view(np.int64)),
-                        pa.array(ids[a:z][linha[outros]]),
-                        pa.array((n[linha[outros]] << 32) + lugar[outros]),
-                        pa.array(partes[outros]),
+                        pa.array(s.view(np.int64)),
+                        pa.array(ids[a:z][linha]),
+                        pa.array((n[linha] << 32) + lugar),
+                        pa.array(np.where(partes > 1, sorte.astype(np.int64) + 1, 0).astype(np.int32)),
                     ],
-                    names=["chave", "id", "peso", "partes"],
+                    names=["chave", "id", "peso", "parte"],
                 )
 
-    chaves = textos.select("id", "t").mapInArrow(tarefa, "chave bigint, id bigint, peso bigint, partes bigint")
-    return ligacoes.grupos(chaves, F.col("partes"))
+    return ligacoes.grupos(
+        unicos.select("id", "t").mapInArrow(tarefa, "chave bigint, id bigint, peso bigint, parte int")
+    )
 
 
 def um_por_componente(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:

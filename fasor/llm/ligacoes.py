@@ -88,19 +88,19 @@ def componentes(ligacoes: DataFrame) -> DataFrame:
     )
 
 
-def grupos(chaves: DataFrame, partes: Column | None = None) -> DataFrame:
+def grupos(chaves: DataFrame) -> DataFrame:
     """Rows of keys that more than one id has: columns chave, id, peso, centro, peso_centro (one id of the group).
 
-    ``chaves`` has chave, id and peso (see ``peso``, or NULL), each key and id once. ``partes`` (of at least 1) says into
-    how many parts the rows of a key are dealt, each with a centre of its own, so that a common key does not end in one
-    task. The centre has the key earliest in its order, so it has few tokens that the others lack.
+    ``chaves`` has chave, id and peso (see ``peso``, or NULL), each key and id once, and may have parte: a common key's
+    rows are dealt to parts, each with a centre of its own, so that it does not end in one task. Rows of part 0 and of a
+    key without others are dropped; so ``parte`` counts from 1 for keys that are dealt. The centre has the key earliest
+    in its order, so it has few tokens that the others lack.
     """
-    parte = F.lit(0) if partes is None else F.pmod(F.xxhash64("id", "chave"), partes.cast("bigint"))
-    grupo = Window.partitionBy("chave", "__parte")
+    chaves = chaves if "parte" in chaves.columns else chaves.withColumn("parte", F.lit(0))
+    grupo = Window.partitionBy("chave", "parte")
     return materializa(
-        chaves.withColumns({"__parte": parte, "__dividida": F.lit(False) if partes is None else partes > 1})
-        .withColumns({"__n": F.count("*").over(grupo), "__c": F.min(F.struct(lugar("peso"), "id", "peso")).over(grupo)})
-        .filter("__n > 1 OR __dividida")
+        chaves.withColumns({"__n": F.count("*").over(grupo), "__c": F.min(F.struct(lugar("peso"), "id", "peso")).over(grupo)})
+        .filter("__n > 1 OR parte > 0")
         .select("chave", "id", "peso", F.col("__c.id").alias("centro"), F.col("__c.peso").alias("peso_centro"))
     )
 

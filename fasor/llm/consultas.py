@@ -34,6 +34,7 @@ def _consulta(operador: Callable[[SparkSession, str], DataFrame]) -> Callable[[S
 CONSULTAS = {nome: _consulta(operador) for nome, operador in _OPERADORES.items()}
 
 SQL: dict[str, str] = {
+    "op4_jaccard": jaccard.SQL,
     "op6_descontaminacao": descontaminacao.SQL,
     "op9_exatos": exatos.SQL,
 }

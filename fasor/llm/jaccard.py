@@ -345,3 +345,22 @@ def um_por_componente(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFram
 
 def op4_jaccard(spark: SparkSession, documentos: DataFrame) -> DataFrame:
     return junta(documentos)
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + least(4, len(w)) - 1], ' ') AS g, least(4, len(w)) AS m
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pares AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+          FROM s a JOIN s b ON a.g = b.g AND a.m = b.m AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pares JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+          WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+lados AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+alcanca AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT l.y, a.r FROM alcanca a JOIN lados l ON l.x = a.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM d JOIN alcanca USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+"""

@@ -191,6 +191,17 @@ def _podem(limiar: int):
     return podem
 
 
+def _vivo(limiar: int):
+    """Whether a set can reach the threshold with one of at least the least size, if this token is the first in common."""
+
+    def vivo(peso, menor):
+        n = ligacoes.tamanho(peso)
+        outro = F.greatest(menor, F.ceil(n * limiar / 100))
+        return n - ligacoes.lugar(peso) >= F.ceil(F.lit(limiar) * (n + outro) / F.lit(100 + limiar))
+
+    return vivo
+
+
 def _verificador(unicos: DataFrame, classe, k: int, limiar: int):
     """Function from pairs a, b to those that pass the filters of all orders and then the threshold.
 
@@ -289,7 +300,9 @@ def junta(docs: DataFrame, k: int = 4, limiar: int = 85) -> DataFrame:
         com_texto = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("t"))
         unicos = sem_ids(com_texto.filter("id IS NOT NULL AND t IS NOT NULL"), sobram, "id")
         ficam = len(escritos)
-        comps = ligacoes.liga(_grupos(unicos, classe, k, limiar), _verificador(unicos, classe, k, limiar), _podem(limiar))
+        linhas_de_chaves = _grupos(unicos, classe, k, limiar)
+        verifica = _verificador(unicos, classe, k, limiar)
+        comps = ligacoes.liga(linhas_de_chaves, verifica, _podem(limiar), _vivo(limiar))
         nos = materializa(
             conjuntos_.join(comps, "id", "left").select(
                 "n", "d1", "d2", "copias", F.coalesce("componente", "id").alias("component_id")

@@ -19,7 +19,7 @@ from fasor.llm.comum import materializa
 #: Remaining pairs, one for each key that they share, are listed when there are at most so many for each row of the
 #: groups, or after so many rounds.
 PARES_POR_LINHA = 8
-RODADAS = 4
+RODADAS = 2
 #: Edges that a task holds at once, some 100 bytes each.
 ARESTAS_POR_TAREFA = 500_000
 
@@ -122,13 +122,15 @@ def liga(
     linhas: DataFrame,
     verifica: Callable[[DataFrame], DataFrame],
     podem: Callable[[Column, Column], Column] | None = None,
+    vivo: Callable[[Column, Column], Column] | None = None,
     rodadas: int = RODADAS,
 ) -> DataFrame:
     """Components from the rows of ``grupos``: columns id, componente.
 
     ``verifica`` gets distinct pairs a < b and returns those that are links. ``podem`` says from the weights of two ids
     in a key whether they can be linked *and* have this key first in common: a linked pair does so at one of its keys,
-    and needs to be met only there.
+    and needs to be met only there. ``vivo`` says the same of a weight and the least size in the key: rows that not even
+    that could be linked with are left out after the first round.
     """
 
     def pares(df: DataFrame) -> DataFrame:
@@ -139,6 +141,11 @@ def liga(
     x, px = F.col("id").alias("x"), F.col("peso").alias("px")
     vistos = materializa(pares(linhas.select(x, px, F.col("centro").alias("y"), F.col("peso_centro").alias("py"))))
     links = materializa(verifica(vistos))
+    if vivo is not None:
+        menores = linhas.groupBy("chave").agg(F.min(tamanho("peso")).alias("__menor"))
+        linhas = materializa(
+            linhas.join(menores, "chave").filter(vivo(F.col("peso"), F.col("__menor"))).select("chave", "id", "peso")
+        )
     total = linhas.count()
     for rodada in range(1, rodadas + 1):
         comps = componentes(links)

@@ -3,7 +3,10 @@
 A first pass parses every page and hashes its block subtrees (tags and text, no attributes). Spark counts, per host, in
 how many different pages each occurs; pages of one title count once, so that copies of an article do not make its
 paragraphs a template. A second pass deletes the subtrees that recur across many pages of their host, then the parts
-that their tag, class, id or role names as no part of an article, and returns the text of what is left.
+that their tag, class, id or role names as no part of an article, and returns the text of what is left. Names are weak:
+no class or id deletes a heading or what is or holds an ``article`` or ``main`` (nor does ``form``, around a whole page);
+inside an article only a whole class or id counts (``social``, not ``category-social``), elsewhere any part of it, unless
+that leaves nothing of the page. The exception is an ``article`` without a heading whose class or id begins with such a name.
 
 Defined results: NULL and empty pages have empty text. The text comes from the outermost ``article`` elements, else from
 ``main``, else from ``body``, else from all. Pages without a host take part in no template. Unclosed and stray tags are
@@ -53,13 +56,16 @@ _FORA = frozenset(
 _PAPEIS = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split()
 )
-_NOMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|newsletter|"
+_NOME = (
+    r"(?:ads?|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|newsletter|"
     r"subscri\w*|signup|popup|modal|overlay|side-?bar|rail|menu\w*|nav|navbar|navigation|bread-?crumbs?|masthead|"
     r"site-?header|page-?header|header|footer|site-?footer|comments?|commentlist|disqus|replies|respond|shar(?:e|ing)|"
-    r"social|related|recommend\w*|widget|copyright|skip-?link|toolbar|pagination|pager|login|alert)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"social|related|recommend\w*|widget|copyright|skip-?link|toolbar|pagination|pager|login|alert)"
 )
+#: A part of a class or id names boilerplate, all of it does, or its first part does.
+_NOMES = re.compile(rf"(?:^|[\s_-]){_NOME}(?:$|[\s_-])", re.IGNORECASE)
+_NOMES_INTEIROS = re.compile(rf"(?:^|\s){_NOME}(?:$|\s)", re.IGNORECASE)
+_NOMES_PRIMEIROS = re.compile(rf"(?:^|\s){_NOME}(?:$|[\s_-])", re.IGNORECASE)
 #: An open element of these is closed by the start of one of those.
 _FECHA = {
     "li": frozenset(["li"]),
@@ -189,16 +195,39 @@ def subarvores(pagina: str) -> tuple[int, set[tuple[int, bool]]]:
     return int.from_bytes(t, "big", signed=True), achados
 
 
-def _de_fora(no: No, dentro: bool) -> bool:
-    if no.tag in _FORA or no.tag == "header" and not dentro:
+def _principal(no: No) -> bool:
+    return no.tag == "main" or 'role="main"' in no.atributos
+
+
+def _guardados(raiz: No) -> set[int]:
+    """Identities of the elements that are or hold a ``main`` or an outermost ``article``: no name deletes them."""
+    saida: set[int] = set()
+    for no, dentro in reversed(list(_itera(raiz))):  # children before parents
+        if no.tag == "article" and not dentro or _principal(no) or any(id(f) in saida for f in no.filhos):
+            saida.add(id(no))
+    return saida
+
+
+def _anuncio(no: No) -> bool:
+    """An article without a heading whose class or id begins with a name of boilerplate, as adverts and comments have."""
+    nomeado = any(n.lower() in ("class", "id") and _NOMES_PRIMEIROS.search(a or b or c) for n, a, b, c in _ATRIBUTO.findall(no.atributos))
+    return nomeado and not any(f.tag in _TITULOS for f, _ in _itera(no))
+
+
+def _de_fora(no: No, dentro: bool, guardado: bool, inteiros: bool) -> bool:
+    """Whether tag, role, class or id name no part of an article; with ``inteiros`` whole classes and ids only."""
+    if no.tag in _FORA and not (guardado and no.tag == "form") or no.tag == "header" and not dentro:
+        return True
+    if no.tag == "article" and not dentro and _anuncio(no):
         return True
     if not no.atributos or no.tag in ("html", "body", "main"):
         return False
+    nomes = _NOMES_INTEIROS if dentro or inteiros else _NOMES
     for nome, a, b, c in _ATRIBUTO.findall(no.atributos):
         nome, valor = nome.lower(), a or b or c
-        if nome in ("class", "id") and _NOMES.search(valor):
+        if nome in ("class", "id") and not guardado and no.tag not in _TITULOS and nomes.search(valor):
             return True
-        if nome == "role" and valor.lower() in _PAPEIS or nome == "hidden":
+        if nome == "role" and valor.lower() in _PAPEIS and not (guardado and valor.lower() == "form") or nome == "hidden":
             return True
         if nome == "aria-hidden" and valor.lower() == "true":
             return True
@@ -213,9 +242,15 @@ def texto_principal(pagina: str | None, modelos: frozenset[int] | set[int] = fro
         return ""
     raiz = arvore(pagina)
     por_no = _resumos(raiz) if modelos else {}
+    # names of wrappers that leave nothing of a page are no boilerplate
+    return _texto(raiz, por_no, modelos, False) or _texto(raiz, por_no, modelos, True)
+
+
+def _texto(raiz: No, por_no: dict[int, tuple[int, int]], modelos: frozenset[int] | set[int], inteiros: bool) -> str:
+    guardados = _guardados(raiz)
 
     def fica(no: No, dentro: bool) -> bool:
-        return not _de_fora(no, dentro) and not (id(no) in por_no and por_no[id(no)][0] in modelos)
+        return not _de_fora(no, dentro, id(no) in guardados, inteiros) and not (id(no) in por_no and por_no[id(no)][0] in modelos)
 
     # outermost articles that stay, else main, else body, else everything
     artigos, mains, corpos = [], [], []
@@ -227,7 +262,7 @@ def texto_principal(pagina: str | None, modelos: frozenset[int] | set[int] = fro
         if no.tag == "article":
             artigos.append(no)
             continue
-        if no.tag == "main" or 'role="main"' in no.atributos:
+        if _principal(no):
             mains.append(no)
         elif no.tag == "body":
             corpos.append(no)

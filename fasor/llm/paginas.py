@@ -1,8 +1,9 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
 A first pass parses every page and hashes its block subtrees (tags and text, no attributes). Spark counts, per host, in
-how many different pages each occurs; pages of one title count once, so that copies of an article do not make its
-paragraphs a template. A second pass deletes the subtrees that recur across many pages of their host, then the parts
+how many different pages each occurs, inside an article and outside; pages of one main text count once, so that copies of
+an article do not make its paragraphs a template. A second pass deletes the subtrees that recur across many pages of their
+host, by share or by number, where they recur (a sidebar's teaser does not delete the paragraph it repeats), then the parts
 that their tag, class, id or role names as no part of an article, and returns the text of what is left. Names are weak:
 no class or id deletes a heading or what is or holds an ``article`` or ``main`` (nor does ``form``, around a whole page);
 inside an article only a whole class or id counts (``social``, not ``category-social``), elsewhere any part of it, unless
@@ -28,12 +29,14 @@ from pyspark.sql import types as T
 
 from fasor.llm.comum import materializa
 
-#: A subtree is a template from so many titles of its host on, and so large a share of them: outside an article, inside.
-MIN_TITULOS = (3, 8)
-PARTE_DOS_TITULOS = (0.2, 0.5)
-#: Shorter texts inside an article recur by chance.
+#: A subtree is a template from so many pages of its host on, outside an article and inside, and so large a share of them ...
+MIN_PAGINAS = (3, 8)
+PARTE_DAS_PAGINAS = (0.2, 0.5)
+#: ... or, on a large host, so many pages whatever the share.
+MUITAS_PAGINAS = (100, 1000)
+#: Shorter texts recur by chance inside an article, in a text block, and at a small share of a host.
 MIN_LETRAS = 25
-#: With more templates than this over all hosts, pages meet them by a shuffle instead of a broadcast.
+#: With more templates than this over all hosts, they meet the pages by a shuffle instead of a broadcast.
 MAX_BROADCAST = 100_000
 
 _MARCA = re.compile(
@@ -49,6 +52,10 @@ _BLOCOS = frozenset(
     "tbody td tfoot th thead tr ul".split()
 )
 _TITULOS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_DE_TEXTO = _TITULOS | frozenset("p li dt dd td th tr blockquote pre caption figcaption summary".split())
+#: Templates of a host outside articles and inside.
+_Modelos = tuple[frozenset[int], frozenset[int]]
+_SEM_MODELOS: _Modelos = (frozenset(), frozenset())
 _FORA = frozenset(
     "head script style noscript template iframe svg math canvas object embed applet audio video textarea select button "
     "nav footer aside form menu dialog search title".split()
@@ -178,20 +185,18 @@ def _resumos(raiz: No) -> dict[int, tuple[int, int]]:
     return saida
 
 
-def subarvores(pagina: str) -> tuple[int, set[tuple[int, bool]]]:
-    """Digest of the title, and digests of the subtrees with whether they lie inside an article."""
+def subarvores(pagina: str) -> tuple[int, set[tuple[int, bool, bool]]]:
+    """Digest of the main text, and digests of the subtrees, whether they lie inside an article, whether they are long."""
     raiz = arvore(pagina)
     por_no = _resumos(raiz)
-    titulo = ""
     achados = set()
     for no, dentro in _itera(raiz):
-        if not titulo and no.tag in ("title", "h1"):
-            titulo = _limpo("".join(f for f in no.filhos if isinstance(f, str)))
         if id(no) in por_no:
             d, letras = por_no[id(no)]
-            if not dentro or letras >= MIN_LETRAS:
-                achados.add((d, dentro))
-    t = hashlib.blake2b(titulo.encode("utf-8", "replace"), digest_size=8).digest()
+            longo = letras >= MIN_LETRAS
+            if longo or not dentro and no.tag not in _DE_TEXTO:
+                achados.add((d, dentro, longo))
+    t = hashlib.blake2b(_texto(raiz, {}, _SEM_MODELOS).encode("utf-8", "replace"), digest_size=8).digest()
     return int.from_bytes(t, "big", signed=True), achados
 
 
@@ -215,14 +220,14 @@ def _anuncio(no: No) -> bool:
 
 
 def _de_fora(no: No, dentro: bool, guardado: bool, inteiros: bool) -> bool:
-    """Whether tag, role, class or id name no part of an article; with ``inteiros`` whole classes and ids only."""
+    """Whether tag, role, class or id name no part of an article; with ``inteiros`` only whole classes and ids count."""
     if no.tag in _FORA and not (guardado and no.tag == "form") or no.tag == "header" and not dentro:
         return True
     if no.tag == "article" and not dentro and _anuncio(no):
         return True
     if not no.atributos or no.tag in ("html", "body", "main"):
         return False
-    nomes = _NOMES_INTEIROS if dentro or inteiros else _NOMES
+    nomes = _NOMES_INTEIROS if inteiros else _NOMES
     for nome, a, b, c in _ATRIBUTO.findall(no.atributos):
         nome, valor = nome.lower(), a or b or c
         if nome in ("class", "id") and not guardado and no.tag not in _TITULOS and nomes.search(valor):
@@ -236,21 +241,29 @@ def _de_fora(no: No, dentro: bool, guardado: bool, inteiros: bool) -> bool:
     return False
 
 
-def texto_principal(pagina: str | None, modelos: frozenset[int] | set[int] = frozenset()) -> str:
-    """Text of the article of a page. ``modelos`` are digests of subtrees to delete."""
+def texto_principal(pagina: str | None, modelos: _Modelos = _SEM_MODELOS) -> str:
+    """Text of the article of a page. ``modelos`` are digests of subtrees to delete outside articles and inside."""
     if not pagina:
         return ""
     raiz = arvore(pagina)
-    por_no = _resumos(raiz) if modelos else {}
+    return _texto(raiz, _resumos(raiz) if any(modelos) else {}, modelos)
+
+
+def _texto(raiz: No, por_no: dict[int, tuple[int, int]], modelos: _Modelos) -> str:
     # names of wrappers that leave nothing of a page are no boilerplate
-    return _texto(raiz, por_no, modelos, False) or _texto(raiz, por_no, modelos, True)
+    return _texto_de(raiz, por_no, modelos, False) or _texto_de(raiz, por_no, modelos, True)
 
 
-def _texto(raiz: No, por_no: dict[int, tuple[int, int]], modelos: frozenset[int] | set[int], inteiros: bool) -> str:
+def _texto_de(raiz: No, por_no: dict[int, tuple[int, int]], modelos: _Modelos, inteiros: bool) -> str:
     guardados = _guardados(raiz)
 
     def fica(no: No, dentro: bool) -> bool:
-        return not _de_fora(no, dentro, id(no) in guardados, inteiros) and not (id(no) in por_no and por_no[id(no)][0] in modelos)
+        d = por_no[id(no)][0] if id(no) in por_no else None
+        if d is not None and d in modelos[dentro]:
+            return False
+        # inside an article a part of a name counts for what recurs on the host
+        so_inteiros = (inteiros or dentro) and not (d is not None and d in modelos[not dentro])
+        return not _de_fora(no, dentro, id(no) in guardados, so_inteiros)
 
     # outermost articles that stay, else main, else body, else everything
     artigos, mains, corpos = [], [], []
@@ -303,61 +316,99 @@ def _host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def modelos(paginas: DataFrame, url: str = "url", pagina: str = "html") -> DataFrame:
-    """Hosts with the digests of their templates: columns host, modelos.
+def _com_host(paginas: DataFrame, url: str, pagina: str) -> DataFrame:
+    return paginas.select(_host(F.col(url)).alias("host"), F.col(pagina).cast("string").alias("p")).filter("host <> ''")
+
 
-    A host has at most as many templates as its pages have subtrees on average, divided by the least share.
-    """
+def _subarvores(com_host: DataFrame, chave: bool = False) -> DataFrame:
+    """Distinct subtrees of the pages of a host: pages told apart by main text, or with ``chave`` by the hash of the page."""
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lote in lotes:
-            hosts, titulos, nos, dentros = [], [], [], []
-            for h, p in zip(lote.column(0).to_pylist(), lote.column(1)):
-                titulo, achados = subarvores(p.as_py() or "")
+            hosts, textos, nos, dentros, longos = [], [], [], [], []
+            chaves = lote.column(2).to_pylist() if chave else None
+            for i, (h, p) in enumerate(zip(lote.column(0).to_pylist(), lote.column(1))):
+                texto, achados = subarvores(p.as_py() or "")
                 hosts += [h] * len(achados)
-                titulos += [titulo] * len(achados)
-                nos += [d for d, _ in achados]
-                dentros += [d for _, d in achados]
+                textos += [chaves[i] if chave else texto] * len(achados)
+                for d, dentro, longo in achados:
+                    nos.append(d)
+                    dentros.append(dentro)
+                    longos.append(longo)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(titulos, pa.int64()), pa.array(nos, pa.int64()), pa.array(dentros, pa.bool_())],
-                names=["host", "titulo", "no", "dentro"],
+                [
+                    pa.array(hosts, pa.string()),
+                    pa.array(textos, pa.int64()),
+                    pa.array(nos, pa.int64()),
+                    pa.array(dentros, pa.bool_()),
+                    pa.array(longos, pa.bool_()),
+                ],
+                names=["host", "pagina", "no", "dentro", "longo"],
             )
 
-    com_host = paginas.select(_host(F.col(url)).alias("host"), F.col(pagina).cast("string").alias("p")).filter("host <> ''")
-    # once per host, title and subtree, then once per host and subtree: a host of any size spreads over its titles
-    achados = materializa(
-        com_host.mapInArrow(tarefa, "host string, titulo bigint, no bigint, dentro boolean").distinct()
-    )
-    titulos = achados.select("host", "titulo").distinct().groupBy("host").agg(F.count("*").alias("titulos"))
-    contas = achados.groupBy("host", "no", "dentro").agg(F.count("*").alias("n"))
-    minimo = F.when(F.col("dentro"), MIN_TITULOS[1]).otherwise(MIN_TITULOS[0])
-    parte = F.when(F.col("dentro"), PARTE_DOS_TITULOS[1]).otherwise(PARTE_DOS_TITULOS[0])
+    if chave:
+        com_host = com_host.select("host", "p", F.xxhash64("p").alias("chave"))
+    return com_host.mapInArrow(tarefa, "host string, pagina bigint, no bigint, dentro boolean, longo boolean").distinct()
+
+
+def modelos(paginas: DataFrame, url: str = "url", pagina: str = "html") -> DataFrame:
+    """Templates of the hosts: columns host, no (digest), dentro (inside articles)."""
+    # once per host, main text and subtree, then once per host and subtree: a host of any size spreads over its pages
+    achados = materializa(_subarvores(_com_host(paginas, url, pagina)))
+    totais = achados.select("host", "pagina").distinct().groupBy("host").agg(F.count("*").alias("paginas"))
+    contas = achados.groupBy("host", "no", "dentro", "longo").agg(F.count("*").alias("n"))
+
+    def limite(fora_e_dentro: tuple) -> Column:
+        return F.when(F.col("dentro"), fora_e_dentro[1]).otherwise(fora_e_dentro[0])
+
+    muitas = F.col("longo") & (F.col("n") >= limite(MUITAS_PAGINAS))
     return (
-        contas.filter(F.col("n") >= minimo)
-        .join(titulos, "host")
-        .filter(F.col("n") >= parte * F.col("titulos"))
-        .groupBy("host")
-        .agg(F.collect_set("no").alias("modelos"))
+        contas.filter(F.col("n") >= limite(MIN_PAGINAS))
+        .join(totais, "host")
+        .filter(muitas | (F.col("n") >= limite(PARTE_DAS_PAGINAS) * F.col("paginas")))
+        .select("host", "no", "dentro")
     )
 
 
 def extrai(paginas: DataFrame, url: str = "url", pagina: str = "html") -> DataFrame:
     """Add text and n_chars (code points) to every page. Columns of these names are replaced."""
-    por_host = materializa(modelos(paginas, url, pagina))
-    quantos = por_host.agg(F.sum(F.size("modelos"))).first()[0] or 0
-    direita = por_host.select(F.col("host").alias("__host"), F.col("modelos").alias("__modelos"))
-    if quantos <= MAX_BROADCAST:
-        direita = F.broadcast(direita)
+    todos = materializa(modelos(paginas, url, pagina))
     colunas = [c for c in paginas.columns if c not in ("text", "n_chars")]
     onde = len(colunas)
     campos = [pa.field("text", pa.string()), pa.field("n_chars", pa.int64())]
+    com_host = paginas.withColumn("__host", _host(F.col(url))).withColumn("__pagina", F.col(pagina).cast("string"))
+    poucos = todos.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    if poucos:
+        por_host: dict[str, tuple[set[int], set[int]]] = {}
+        for host, no, dentro in todos.collect():
+            por_host.setdefault(host, (set(), set()))[dentro].add(no)
+        b = paginas.sparkSession.sparkContext.broadcast({h: (frozenset(f), frozenset(d)) for h, (f, d) in por_host.items()})
+        linhas = com_host.select(*colunas, "__pagina", "__host")
+    else:  # every page meets the templates among its own subtrees
+        b = None
+        por_pagina = (
+            _subarvores(_com_host(paginas, url, pagina), chave=True)
+            .join(todos, ["host", "no", "dentro"], "left_semi")
+            .groupBy(F.col("host").alias("__host"), F.col("pagina").alias("__chave"))
+            .agg(
+                F.collect_list(F.when(~F.col("dentro"), F.col("no"))).alias("__fora"),
+                F.collect_list(F.when(F.col("dentro"), F.col("no"))).alias("__dentro"),
+            )
+        )
+        linhas = (
+            com_host.withColumn("__chave", F.xxhash64("__pagina"))
+            .join(por_pagina, ["__host", "__chave"], "left")
+            .select(*colunas, "__pagina", "__fora", "__dentro")
+        )
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lote in lotes:
-            textos = [
-                texto_principal(p.as_py(), frozenset(m.as_py() or ()))
-                for p, m in zip(lote.column(onde), lote.column(onde + 1))
-            ]
+            if poucos:
+                dos_hosts = b.value
+                ms = [dos_hosts.get(h, _SEM_MODELOS) for h in lote.column(onde + 1).to_pylist()]
+            else:
+                ms = ((frozenset(f.as_py() or ()), frozenset(d.as_py() or ())) for f, d in zip(lote.column(onde + 1), lote.column(onde + 2)))
+            textos = [texto_principal(p.as_py(), m) for p, m in zip(lote.column(onde), ms)]
             yield pa.RecordBatch.from_arrays(
                 [lote.column(i) for i in range(onde)] + [pa.array(textos, pa.string()), pa.array([len(t) for t in textos], pa.int64())],
                 schema=pa.schema([lote.schema.field(i) for i in range(onde)] + campos),
@@ -366,12 +417,7 @@ def extrai(paginas: DataFrame, url: str = "url", pagina: str = "html") -> DataFr
     esquema = T.StructType(
         [paginas.schema[c] for c in colunas] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
     )
-    return (
-        paginas.withColumn("__host", _host(F.col(url)))
-        .join(direita, "__host", "left")
-        .select(*colunas, F.col(pagina).cast("string").alias("__pagina"), "__modelos")
-        .mapInArrow(tarefa, esquema)
-    )
+    return linhas.mapInArrow(tarefa, esquema)
 
 
 def op10_paginas(paginas: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
-"""Articles in wrappers whose names look like boilerplate."""
+"""Articles in wrappers whose names look like boilerplate; templates of hosts."""
+
+import random
 
 import pytest
 
 from fasor.llm import paginas
+from fasor.llm.comum import leva_codigo
 
 
 @pytest.mark.parametrize(
@@ -28,3 +31,40 @@ def test_whole_names_and_comments_go():
     p = """<article><h1>T</h1><p class="lead-header">a</p><div class="social">b</div><section id="comments"><article>c</article></section>
     <form>d</form></article><article class="comment">e</article><div class="sidebar"><p>f</p></div>"""
     assert paginas.texto_principal(p) == "T\n\na"
+
+
+@pytest.fixture
+def prosa():
+    g = random.Random(3)
+    return lambda: " ".join("".join(g.choices("abcdefgh", k=6)) for _ in range(12))
+
+
+def textos(spark, paginas_html):
+    leva_codigo(spark)
+    d = spark.createDataFrame([(i, "http://a.example/x", h) for i, h in enumerate(paginas_html)], "page_id bigint, url string, html string")
+    return {x.page_id: x.text for x in paginas.op10_paginas(d).collect()}
+
+
+@pytest.mark.parametrize("max_broadcast", [paginas.MAX_BROADCAST, 0])
+def test_templates_of_one_title_and_of_a_section(spark, monkeypatch, prosa, max_broadcast):
+    """Pages that share a title; boilerplate on one page in twenty of a host; copies of a page."""
+    monkeypatch.setattr(paginas, "MAX_BROADCAST", max_broadcast)
+    corpos = [prosa() for _ in range(2400)] + [prosa()] * 600
+    secao = "<div><p>Todas as notícias desta secção do nosso site</p></div>"
+    feitas = [
+        f"<title>Site</title><body><div>Comum a todos</div>{secao if i % 20 == 0 and i < 2400 else ''}<h2>Introdução</h2><p>{c}</p></body>"
+        for i, c in enumerate(corpos)
+    ]
+    assert textos(spark, feitas) == {i: f"Introdução\n\n{c}" for i, c in enumerate(corpos)}
+
+
+def test_teaser_keeps_the_paragraph_it_repeats(spark, prosa):
+    chamadas = [prosa() for _ in range(40)]
+    feitas = [
+        f"<title>T{i}</title><body><div><p>{chamadas[0]}</p></div><article><p>{c}</p><div class='leia-related'><p>{chamadas[0]}</p></div></article></body>"
+        if i in (5, 6)
+        else f"<title>T{i}</title><body><div class='leia-related'><p>{chamadas[0]}</p></div><article><p>{c}</p></article></body>"
+        for i, c in enumerate(chamadas)
+    ]
+    # the lead of page 0 stays in its article; a part of a name counts where the element recurs on the host
+    assert textos(spark, feitas) == dict(enumerate(chamadas))

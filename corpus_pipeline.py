@@ -15,6 +15,9 @@ from fasor.llm.comum import le, leva_codigo, materializa
 
 #: Documents whose two nearest languages are close and that score less are no language's.
 SCORE_MINIMO = 0.4
+#: Near duplicates share at least so many hundredths of their runs of so many words.
+LIMIAR = 80
+SOMBRA = 5
 
 
 def idiomas(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +33,7 @@ def copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quase_copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leva_codigo(spark)
-    return jaccard.um_por_componente(docs)
+    return jaccard.um_por_componente(docs, k=SOMBRA, limiar=LIMIAR)
 
 
 def sem_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fasor.llm import bpe, busca, descontaminacao, empacotamento, exatos, fragmentos, idioma, jaccard, paginas, paragrafos, segredos, toxicidade
+from fasor.llm import bpe, busca, conversas, descontaminacao, empacotamento, exatos, fragmentos, idioma, jaccard, paginas, paragrafos, segredos, toxicidade
 from fasor.llm.comum import le, leva_codigo
 
 _OPERADORES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ _OPERADORES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicidade": lambda s, d: toxicidade.op8_toxicidade(le(s, d, "documents"), le(s, d, "labels")),
     "op9_exatos": lambda s, d: exatos.op9_exatos(s, le(s, d, "documents")),
     "op10_paginas": lambda s, d: paginas.op10_paginas(le(s, d, "pages")),
+    "op11_conversas": lambda s, d: conversas.op11_conversas(le(s, d, "conversations")),
     "op12_busca": lambda s, d: busca.op12_busca(s, le(s, d, "documents"), le(s, d, "benchmark")),
     "op13_bpe": lambda s, d: bpe.op13_bpe(le(s, d, "documents")),
 }
@@ -39,5 +40,6 @@ SQL: dict[str, str] = {
     "op4_jaccard": jaccard.SQL,
     "op6_descontaminacao": descontaminacao.SQL,
     "op9_exatos": exatos.SQL,
+    "op11_conversas": conversas.SQL,
     "op12_busca": busca.SQL,
 }

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fasor.functions import eletrica
+from fasor.operators.blocos import CASAS, leituras
 from fasor.operators.cadastro import LUGARES, potencia_instalada
 from fasor.operators.juncao import junta
 from fasor.operators.materializa import materializa
@@ -29,7 +30,8 @@ def _canais_em_linhas(resolvidos: DataFrame) -> DataFrame:
 def lugares_nas_tabelas(catalogo: DataFrame, resolvidos: DataFrame, caso: str = "insensivel") -> DataFrame:
     """Place of each channel in each table that has at least one of them.
 
-    ``(codigo, tabela, tabela_ordem, pos_eae, pos_ear, pos_ere, pos_err)``.
+    ``(codigo, tabela, tabela_ordem, pos_eae, pos_ear, pos_ere, pos_err)``; of a stored catalogue also where the channels
+    lie in blocks (``casa_eae`` ...), and whether these blocks have every hour of the table (``completo``).
     """
     if caso not in ("insensivel", "sensivel"):
         raise ValueError(f"caso must be 'insensivel' or 'sensivel', got {caso!r}")
@@ -37,7 +39,8 @@ def lugares_nas_tabelas(catalogo: DataFrame, resolvidos: DataFrame, caso: str =
     def chave(nome: str):
         return F.lower(nome) if caso == "insensivel" else F.col(nome)
 
-    colunas = catalogo.select("tabela", "tabela_ordem", "pos", chave("descricao").alias("_chave"))
+    guardado = ["casa", "inteiro"] if "casa" in catalogo.columns else []
+    colunas = catalogo.select("tabela", "tabela_ordem", "pos", *guardado, chave("descricao").alias("_chave"))
     pedidos = _canais_em_linhas(resolvidos).select(
         "codigo", "lugar", chave("descricao").alias("_chave")
     )
@@ -48,7 +51,15 @@ def lugares_nas_tabelas(catalogo: DataFrame, resolvidos: DataFrame, caso: str =
             *[
                 F.min(F.when(F.col("lugar") == l, F.col("pos"))).alias(p)
                 for l, p in zip(LUGARES, POSICOES)
-            ]
+            ],
+            *(
+                [
+                    *[F.min_by("casa", F.when(F.col("lugar") == l, F.col("pos"))).alias(c) for l, c in zip(LUGARES, CASAS)],
+                    F.min("inteiro").alias("completo"),
+                ]
+                if guardado
+                else []
+            ),
         )
     )
 
@@ -69,8 +80,13 @@ def base_horaria(
     """Every row of every eligible table, per equipment; all tables in one plan.
 
     The data-dependent column of the source is a place in ``valores``, so this is one map-side
-    join on the table and four array reads, without any shuffle of the measurements.
+    join on the table and four array reads, without any shuffle of the measurements. Of stored
+    blocks it is a join on table and block (see ``blocos.leituras``).
     """
+    if "bloco" in medicoes.columns:
+        return leituras(medicoes, elegiveis, teto_bytes=teto_bytes).select(
+            "codigo", "data_hora", F.col("tabela").alias("tabela_origem"), "tabela_ordem", *LUGARES
+        )
     return junta(
         medicoes, elegiveis, ["tabela"], espalhar_por=["data_hora"], teto_bytes=teto_bytes
     ).select(
@@ -169,11 +185,13 @@ def _demanda(unica: DataFrame, equipamentos: DataFrame) -> DataFrame:
 
 
 def no_instante(df: DataFrame, instante: datetime) -> DataFrame:
-    """Rows of one hour. Month partitions of a stored table are pruned as well."""
+    """Rows of one hour. Of a stored base only the month's files and in them the day's pages are read."""
     if (instante.minute, instante.second, instante.microsecond) != (0, 0, 0):
         raise ValueError("the instant must be a whole hour")
     if {"ano", "mes"} <= set(df.columns):
         df = df.filter((F.col("ano") == instante.year) & (F.col("mes") == instante.month))
+    if "dia" in df.columns:
+        df = df.filter(F.col("dia") == instante.day)
     return df.filter(F.col("data_hora") == F.lit(instante.isoformat(" ")).cast("timestamp_ntz"))
 
 

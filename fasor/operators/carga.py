@@ -139,27 +139,28 @@ def alinha(largas: DataFrame, colunas: DataFrame, catalogo: DataFrame) -> DataFr
     )
 
 
+def _chave(linhas: DataFrame) -> list[str]:
+    return ["tabela", *(["bloco"] if "bloco" in linhas.columns else []), "data_hora"]
+
+
 def sobrepoe(linhas: DataFrame, modo: str = "linha") -> DataFrame:
-    """One row per table and hour out of ``(tabela, data_hora, valores, arquivo)``.
+    """One row per table and hour (and block, if there is one) out of ``(tabela, data_hora, valores, arquivo)``.
 
     ``modo='linha'``: the last file replaces the whole row, channels it lacks become NULL.
     ``modo='celula'``: the last file that has the channel gives its value.
     Rows already stored carry an empty ``arquivo``, which sorts before every file.
     """
+    chave = _chave(linhas)
     if modo == "linha":
-        return linhas.groupBy("tabela", "data_hora").agg(
-            F.max_by("valores", "arquivo").alias("valores")
-        )
+        return linhas.groupBy(*chave).agg(F.max_by("valores", "arquivo").alias("valores"))
     if modo != "celula":
         raise ValueError(f"modo must be 'linha' or 'celula', got {modo!r}")
-    celulas = linhas.select(
-        "tabela", "data_hora", "arquivo", F.posexplode("valores").alias("pos", "valor")
-    )
+    celulas = linhas.select(*chave, "arquivo", F.posexplode("valores").alias("pos", "valor"))
     presente = F.when(F.col("valor").isNotNull(), F.col("arquivo"))
-    ultimas = celulas.groupBy("tabela", "data_hora", "pos").agg(
+    ultimas = celulas.groupBy(*chave, "pos").agg(
         F.max_by("valor", presente).alias("valor")
     )
-    return ultimas.groupBy("tabela", "data_hora").agg(
+    return ultimas.groupBy(*chave).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("pos", "valor"))), lambda c: c["valor"]
         ).alias("valores")
@@ -167,11 +168,10 @@ def sobrepoe(linhas: DataFrame, modo: str = "linha") -> DataFrame:
 
 
 def upsert(atuais: DataFrame, novas: DataFrame, modo: str = "linha") -> DataFrame:
-    """Stored rows ``(tabela, data_hora, valores)`` after loading ``novas`` (with ``arquivo``)."""
-    antigas = atuais.select("tabela", "data_hora", "valores", F.lit("").alias("arquivo"))
-    return sobrepoe(
-        antigas.unionByName(novas.select("tabela", "data_hora", "valores", "arquivo")), modo
-    )
+    """Stored rows ``(tabela, data_hora, valores)`` after loading ``novas`` (with ``arquivo``). Both may be in blocks."""
+    chave = _chave(novas)
+    antigas = atuais.select(*chave, "valores", F.lit("").alias("arquivo"))
+    return sobrepoe(antigas.unionByName(novas.select(*chave, "valores", "arquivo")), modo)
 
 
 def celulas_nomeadas(medicoes: DataFrame, catalogo: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def celulas_nomeadas(medicoes: DataFrame, catalogo: DataFrame) -> DataFrame:
 def chaves_duplicadas(linhas: DataFrame) -> DataFrame:
     """Keys that occur more than once."""
     return (
-        linhas.groupBy("tabela", "data_hora")
+        linhas.groupBy(*_chave(linhas))
         .agg(F.count(F.lit(1)).alias("ocorrencias"))
         .filter(F.col("ocorrencias") > 1)
     )

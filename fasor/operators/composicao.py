@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fasor.functions import eletrica
 from fasor.operators.base import POSICOES, primeira_tabela
+from fasor.operators.blocos import leituras
 from fasor.operators.cadastro import LUGARES, canais
 from fasor.operators.juncao import junta
 from fasor.operators.materializa import materializa
@@ -40,6 +41,8 @@ def base_leniente(medicoes: DataFrame, lugares: DataFrame) -> DataFrame:
 
     A channel without a column counts as 0; a missing value in an existing column stays missing.
     """
+    if "bloco" in medicoes.columns:
+        return primeira_tabela(leituras(medicoes, lugares, sem_canal=F.lit(0.0)).drop("tabela"))
     lidas = junta(medicoes, lugares, ["tabela"], espalhar_por=["data_hora"]).select(
         "codigo",
         "data_hora",

@@ -12,9 +12,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fasor.functions.tempo import FORMATO_PADRAO
-from fasor.operators import carga, limpeza
+from fasor.operators import blocos, carga, limpeza
 from fasor.operators.materializa import apaga, materializa, provisorios
 from fasor.sources import tabelas, zips
+from fasor.sources.publicacao import CargaConcorrente, Estado, estado, nova_carga, publica
+
+#: A load that others overtake starts over from their state so many times.
+TENTATIVAS = 5
 
 
 @dataclass
@@ -43,44 +47,85 @@ def carrega_linhas(
     """Clean, sum to the hour and upsert export lines into the tables under ``base``.
 
     The lines are read once and parsed once: data, rejects and audit come from the same written rows. Only the stored
-    partitions that the new rows touch are read and rewritten, and the merged rows are complete in the shared folder
-    before the first stored file is replaced. A new version of the catalogue is written only if a column is new.
+    partitions that the new rows touch are read; their merged rows, counts and, if a column is new, the catalogue are
+    written beside the stored ones and take effect together, when the manifest is published.
     """
     with provisorios() as escritos:
-        linhas = materializa(linhas)
+        with provisorios() as crus:
+            linhas = materializa(linhas)
         cab = materializa(limpeza.cabecalhos(linhas))
         examinadas = materializa(limpeza.examina(linhas, cab, formatos))
+        marcas = materializa(limpeza.marcas(linhas))
+        apaga(spark, crus)
         interpretadas = examinadas.filter("valido AND NOT rodape")
         colunas = materializa(limpeza.colunas_dos_arquivos(cab))
 
-        anterior = tabelas.le_catalogo(spark, base)
-        carga.confere_lugares(anterior)
-        novas_colunas = materializa(carga.colunas_novas(colunas, anterior))
-        mudou = not novas_colunas.isEmpty()
-        catalogo = materializa(carga.cresce_catalogo(anterior, colunas)) if mudou else anterior
-
-        largas = limpeza.horas_largas(limpeza.leituras(interpretadas), dedup)
-        novas = materializa(tabelas.com_particoes(carga.alinha(largas, colunas, catalogo)))
-        tocadas = materializa(novas.select(*tabelas.PARTICOES).distinct())
-        atuais = tabelas.nas_particoes(tabelas.le_medicoes(spark, base), tocadas)
-        fundidas = materializa(carga.upsert(atuais, novas, modo))
-
-        # new columns first: a catalogue that is ahead of the data only reads as NULL
-        if mudou:
-            tabelas.grava_catalogo(catalogo, base)
-        tabelas.grava_medicoes(fundidas, base)
+        largas = materializa(limpeza.horas_largas(limpeza.leituras(interpretadas), dedup))
+        for tentativa in range(TENTATIVAS):
+            try:
+                novas_colunas, duplicadas = _funde(spark, base, largas, colunas, modo)
+                break
+            except CargaConcorrente:  # another load was published meanwhile: the same hours into the new state
+                if tentativa == TENTATIVAS - 1:
+                    raise
         return Resultado(
-            auditoria=limpeza.auditoria(examinadas, cab, limpeza.marcas(linhas)),
+            auditoria=limpeza.auditoria(examinadas, cab, marcas),
             rejeitados=limpeza.rejeitados(interpretadas),
             colunas_novas=novas_colunas,
             colunas_omitidas=limpeza.colunas_omitidas(cab),
-            chaves_duplicadas=carga.chaves_duplicadas(
-                tabelas.nas_particoes(tabelas.le_medicoes(spark, base), tocadas)
-            ),
+            chaves_duplicadas=duplicadas,
             _escritos=escritos,
         )
 
 
+def _funde(spark: SparkSession, base: str, largas: DataFrame, colunas: DataFrame, modo: str) -> tuple[DataFrame, DataFrame]:
+    """Merge hourly rows into the newest state and publish the next one: the new columns, and keys that repeat."""
+    antes = estado(spark, base)
+    anterior = tabelas.le_catalogo(spark, base, antes)
+    carga.confere_lugares(anterior)
+    sem_casas = anterior.drop("casa", "inteiro")
+    novas_colunas = materializa(carga.colunas_novas(colunas, sem_casas))
+    mudou = not novas_colunas.isEmpty()
+    catalogo = materializa(blocos.com_casas(carga.cresce_catalogo(sem_casas, colunas), anterior)) if mudou else anterior
+
+    novas = materializa(tabelas.com_particoes(blocos.em_blocos(carga.alinha(largas, colunas, catalogo), catalogo)))
+    tocadas = materializa(novas.select(*tabelas.PARTICOES).distinct())
+    particoes = [tuple(r) for r in tocadas.collect()]  # at most a year's months times the classes, for each year
+    atuais = tabelas.nas_particoes(tabelas.le_medicoes(spark, base, antes), tocadas)
+
+    depois = _publica(spark, base, antes, carga.upsert(atuais, novas, modo) if particoes else None, particoes, catalogo if mudou else None)
+    gravadas = tabelas.nas_particoes(tabelas.le_medicoes(spark, base, depois), tocadas)
+    return novas_colunas, carga.chaves_duplicadas(gravadas)
+
+
+def _publica(
+    spark: SparkSession, base: str, antes: Estado, prontas: DataFrame | None, particoes: list[tuple], catalogo: DataFrame | None
+) -> Estado:
+    """Write whole partitions of blocks and a catalogue, where there are any, and publish the state that has them."""
+    esta = nova_carga()
+    if catalogo is not None:
+        tabelas.grava_catalogo(catalogo, base, esta)
+    if prontas is not None:
+        tabelas.grava_medicoes(prontas, base, esta)
+    if prontas is None and catalogo is None:
+        return antes
+    depois = antes.depois(esta, particoes, None if catalogo is None else esta)
+    publica(spark, base, depois)
+    return depois
+
+
+def guarda(spark: SparkSession, base: str, largas: DataFrame, catalogo: DataFrame) -> Estado:
+    """Store wide rows ``(tabela, data_hora, valores)``; the partitions that they touch are replaced as a whole."""
+    antes = estado(spark, base)
+    with provisorios() as escritos:
+        catalogo = materializa(blocos.com_casas(catalogo, tabelas.le_catalogo(spark, base, antes)))
+        prontas = materializa(tabelas.com_particoes(blocos.em_blocos(largas, catalogo)))
+        particoes = [tuple(r) for r in prontas.select(*tabelas.PARTICOES).distinct().collect()]
+        depois = _publica(spark, base, antes, prontas, particoes, catalogo)
+    apaga(spark, escritos)
+    return depois
+
+
 def carrega_pasta(spark: SparkSession, pasta: str, base: str, **opcoes) -> Resultado:
     """Load every ZIP of a folder. Loading the same folder again changes nothing."""
     return carrega_linhas(spark, zips.le_zips(spark, pasta), base, **opcoes)

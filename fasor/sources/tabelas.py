@@ -1,9 +1,12 @@
 """Stored measurement tables, registry files and delivered files.
 
-Measurements are Parquet under ``<base>/medicoes``, partitioned by year, month and a hash class of the table, sorted by
-table and time; so a month of many small tables makes few large files, and a load touches the classes of its tables
-only. ``<base>/presenca`` counts, in the same partitions, the values of every place of every table. The catalogue is
-written as a new version under ``<base>/catalogo`` by every load that changes it.
+Measurements are Parquet in blocks of 16 channels (``operators/blocos``), partitioned by year, month and a hash class of
+the table; so a month of many small tables makes few large files, and a load touches the classes of its tables only.
+Within a partition rows are sorted by day, table, block and hour, and pages are small: the channels of an equipment and
+one day of all tables are both few pages, and the page index lets the scan skip the others.
+
+``presenca`` counts, in the same partitions, the values of every place of every block. What a base consists of is told by
+its newest manifest (``sources/publicacao``).
 """
 
 from __future__ import annotations
@@ -11,23 +14,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fasor.operators.blocos import CLASSES, classe_da_tabela, com_pos
 from fasor.operators.cadastro import sem_chave_nula
-from fasor.operators.carga import ESQUEMA_CATALOGO, presenca
+from fasor.operators.carga import ESQUEMA_CATALOGO
+from fasor.sources.publicacao import Estado, estado
+
+__all__ = ["CLASSES", "classe_da_tabela"]
 
-#: Classes of tables within a month. Fixed for the life of a base.
-CLASSES = 16
 ESQUEMA_MEDICOES = (
-    "tabela string, data_hora timestamp_ntz, valores array<double>, ano int, mes int, classe int"
+    "tabela string, bloco int, data_hora timestamp_ntz, dia int, valores array<double>, ano int, mes int, classe int"
 )
-ESQUEMA_PRESENCA = "tabela string, pos int, n bigint, ano int, mes int, classe int"
+ESQUEMA_PRESENCA = "tabela string, bloco int, lugar int, n bigint, ano int, mes int, classe int"
+ESQUEMA_GUARDADO = ESQUEMA_CATALOGO + ", casa int, inteiro boolean"
 PARTICOES = ("ano", "mes", "classe")
-
-
-def classe_da_tabela(tabela) -> F.Column:
-    return F.pmod(F.xxhash64(tabela), F.lit(CLASSES)).cast("int")
+#: Pages hold four blocks of one day, about 12 kB. Readings have no dictionary: a reader of few pages would have to
+#: read all of it.
+OPCOES = {"parquet.page.row.count.limit": "96", "parquet.enable.dictionary#valores.list.element": "false"}
 
 
 def com_particoes(medicoes: DataFrame) -> DataFrame:
@@ -36,27 +40,37 @@ def com_particoes(medicoes: DataFrame) -> DataFrame:
     )
 
 
-def _le(spark: SparkSession, pasta: str, esquema: str) -> DataFrame:
-    try:
-        return spark.read.schema(esquema).parquet(pasta)
-    except AnalysisException as erro:
-        if erro.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _le(spark: SparkSession, base: str, nome: str, esquema: str, agora: Estado | None) -> DataFrame:
+    agora = agora or estado(spark, base)
+    raiz = f"{base}/{nome}"
+    pastas = [f"{raiz}/carga={c}/ano={a}/mes={m}/classe={k}" for (a, m, k), c in sorted(agora.particoes.items())]
+    if not pastas:
         return spark.createDataFrame([], esquema)
+    return spark.read.schema(f"{esquema}, carga string").option("basePath", raiz).parquet(*pastas).drop("carga")
 
 
-def le_medicoes(spark: SparkSession, base: str) -> DataFrame:
-    """All measurement tables as one DataFrame; filters on year, month and class prune files."""
-    return _le(spark, f"{base}/medicoes", ESQUEMA_MEDICOES)
+def le_medicoes(spark: SparkSession, base: str, agora: Estado | None = None) -> DataFrame:
+    """All blocks of all tables; filters on year, month, class, table, block and time prune files and pages."""
+    return _le(spark, base, "medicoes", ESQUEMA_MEDICOES, agora)
 
 
-def le_presenca(spark: SparkSession, base: str) -> DataFrame:
+def le_presenca(spark: SparkSession, base: str, agora: Estado | None = None) -> DataFrame:
     """Values of every place: ``(tabela, pos, n)``, summed over the months that have any."""
-    return (
-        _le(spark, f"{base}/presenca", ESQUEMA_PRESENCA)
-        .groupBy("tabela", "pos")
+    agora = agora or estado(spark, base)
+    somas = (
+        _le(spark, base, "presenca", ESQUEMA_PRESENCA, agora)
+        .groupBy("tabela", "bloco", "lugar")
         .agg(F.sum("n").alias("n"))
     )
+    return com_pos(somas, le_catalogo(spark, base, agora))
+
+
+def le_catalogo(spark: SparkSession, base: str, agora: Estado | None = None) -> DataFrame:
+    """The catalogue of the newest state; empty before the first load."""
+    agora = agora or estado(spark, base)
+    if agora.catalogo is None:
+        return spark.createDataFrame([], ESQUEMA_GUARDADO)
+    return spark.read.schema(ESQUEMA_GUARDADO).parquet(f"{base}/catalogo/carga={agora.catalogo}")
 
 
 def nas_tabelas(medicoes: DataFrame, tabelas: Sequence[str]) -> DataFrame:
@@ -82,52 +96,33 @@ def nas_particoes(medicoes: DataFrame, tocadas: DataFrame) -> DataFrame:
     return medicoes.filter(no_periodo).join(F.broadcast(quais), list(PARTICOES), "left_semi")
 
 
-def grava_medicoes(medicoes: DataFrame, base: str) -> None:
-    """Replace the partitions present in ``medicoes``, and their counts; the others stay."""
-    prontas = com_particoes(medicoes)
+def grava_medicoes(blocos: DataFrame, base: str, carga: str) -> None:
+    """Write whole partitions, and their counts, as those of a load. Nothing reads them before they are published."""
+    prontas = com_particoes(blocos)
 
     def grava(df: DataFrame, nome: str) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTICOES)
-            .parquet(f"{base}/{nome}")
-        )
-
-    # partitions of any size: small ones share a writer, large ones are cut
+        # partitions of any size: small ones share a writer, large ones are cut
+        df.write.options(**OPCOES).partitionBy(*PARTICOES).parquet(f"{base}/{nome}/carga={carga}")
+
+    # The day stands as a number, as Parquet filters of this type of time are not pushed down. Every other day runs
+    # backwards: a page that holds the end of one day and the start of the next then spans few blocks, not all.
+    avante = F.col("dia") % 2 == 0
+    vaivem = [x for c in ("tabela", "bloco") for x in (F.when(avante, F.col(c)).asc(), F.when(~avante, F.col(c)).desc())]
+    ordem = (*PARTICOES, "dia", *vaivem, "data_hora")
     grava(
-        prontas.select("tabela", "data_hora", "valores", *PARTICOES)
+        prontas.select("tabela", "bloco", "data_hora", F.dayofmonth("data_hora").alias("dia"), "valores", *PARTICOES)
         .hint("rebalance", *PARTICOES)
-        .sortWithinPartitions(*PARTICOES, "tabela", "data_hora"),
+        .sortWithinPartitions(*ordem),
         "medicoes",
     )
-    grava(presenca(prontas, PARTICOES).hint("rebalance", *PARTICOES), "presenca")
-
-
-def versoes_completas(spark: SparkSession, base: str) -> list[int]:
-    """Versions of the catalogue whose write has ended, in order."""
-    return sorted(_numeros(spark, f"{base}/catalogo/versao=*/_SUCCESS", 1))
-
-
-def _numeros(spark: SparkSession, padrao: str, acima: int) -> list[int]:
-    caminho = spark._jvm.org.apache.hadoop.fs.Path(padrao)
-    achados = caminho.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(caminho) or []
-    return [int(a.getPath().toString().split("/")[-1 - acima].split("=")[1]) for a in achados]
-
-
-def le_catalogo(spark: SparkSession, base: str) -> DataFrame:
-    """Newest complete version of the catalogue; empty before the first load."""
-    versoes = versoes_completas(spark, base)
-    if not versoes:
-        return spark.createDataFrame([], ESQUEMA_CATALOGO)
-    return spark.read.schema(ESQUEMA_CATALOGO).parquet(f"{base}/catalogo/versao={versoes[-1]}")
+    celulas = prontas.select("tabela", "bloco", *PARTICOES, F.posexplode_outer("valores").alias("lugar", "valor"))
+    contas = celulas.groupBy("tabela", "bloco", "lugar", *PARTICOES).agg(F.count("valor").alias("n"))
+    grava(contas.hint("rebalance", *PARTICOES), "presenca")
 
 
-def grava_catalogo(catalogo: DataFrame, base: str) -> None:
-    """Add a version, beyond all that were begun. Readers see the previous one until this one is complete."""
-    spark = catalogo.sparkSession
-    proxima = max(_numeros(spark, f"{base}/catalogo/versao=*", 0), default=-1) + 1
-    catalogo.write.parquet(f"{base}/catalogo/versao={proxima}")
+def grava_catalogo(catalogo: DataFrame, base: str, carga: str) -> None:
+    """Write the catalogue of a load. Nothing reads it before it is published."""
+    catalogo.write.parquet(f"{base}/catalogo/carga={carga}")
 
 
 def le_cadastro(

@@ -7,9 +7,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from fasor.operators import carga
+from fasor.operators import blocos, carga
+from fasor.plans import ingestao
 from fasor.plans.ingestao import carrega_linhas, carrega_pasta
-from fasor.sources import tabelas, zips
+from fasor.sources import publicacao, tabelas, zips
 from fasor.streaming.carga_continua import inicia_carga
 
 
@@ -57,7 +58,8 @@ def pasta(tmp_path):
 
 
 def celulas(spark, base):
-    df = carga.celulas_nomeadas(tabelas.le_medicoes(spark, base), tabelas.le_catalogo(spark, base))
+    catalogo = tabelas.le_catalogo(spark, base)
+    df = carga.celulas_nomeadas(blocos.em_linhas(tabelas.le_medicoes(spark, base), catalogo), catalogo)
     return {
         (r.tabela, r.data_hora.strftime("%d/%m %H"), r.descricao): r.valor for r in df.collect()
     }
@@ -113,8 +115,9 @@ def test_load(spark, pasta, tmp_path):
     assert [tuple(r) for r in resultado.colunas_omitidas.collect()] == [("d.zip#000000000", 2, "C", "nome_repetido")]
     assert resultado.chaves_duplicadas.count() == 0
     # rows of the counts equal those of the stored values
-    presenca = sorted(map(tuple, tabelas.le_presenca(spark, base).collect()))
-    assert presenca == sorted(map(tuple, carga.presenca(tabelas.le_medicoes(spark, base)).collect()))
+    presenca = sorted(tuple(r) for r in tabelas.le_presenca(spark, base).collect() if r.n)
+    largas = blocos.em_linhas(tabelas.le_medicoes(spark, base), tabelas.le_catalogo(spark, base))
+    assert presenca == sorted(map(tuple, carga.presenca(largas).collect()))
 
 
 def test_second_load_replaces_rows_and_grows_columns(spark, pasta, tmp_path):
@@ -147,27 +150,84 @@ def test_second_load_replaces_rows_and_grows_columns(spark, pasta, tmp_path):
     assert carga.chaves_duplicadas(tabelas.le_medicoes(spark, base)).count() == 0
 
 
-def test_catalogue_version_that_was_not_finished_does_not_count(spark, pasta, tmp_path):
+class Morte(Exception):
+    pass
+
+
+def test_a_load_that_dies_leaves_the_old_state_whole(spark, pasta, tmp_path, monkeypatch):
+    """Killed before each of its writes in turn; running it again gives the state of a load that never died."""
+    base, sem_morte = str(tmp_path / "base"), str(tmp_path / "outra_base")
+    outra = tmp_path / "outra"
+    outra.mkdir()
+    grava_zip(outra / "b.zip", **{"y (Lago - Norte).txt": B})
+    for b in (base, sem_morte):
+        carrega_pasta(spark, str(pasta), b)
+    antes, presenca = celulas(spark, base), sorted(map(tuple, tabelas.le_presenca(spark, base).collect()))
+    passos = ("grava_catalogo", "grava_medicoes", "publica")
+    for passo in passos:
+        for depois_de_escrever in (False, True):
+            if passo == "publica" and depois_de_escrever:
+                continue
+            modulo = ingestao if passo == "publica" else tabelas
+            certo = getattr(modulo, passo)
+
+            def morre(*args, certo=certo, escreve=depois_de_escrever):
+                if escreve:
+                    certo(*args)
+                raise Morte
+
+            with monkeypatch.context() as m:
+                m.setattr(modulo, passo, morre)
+                with pytest.raises(Morte):
+                    carrega_pasta(spark, str(outra), base)
+            assert celulas(spark, base) == antes
+            assert sorted(map(tuple, tabelas.le_presenca(spark, base).collect())) == presenca
+            assert publicacao.estado(spark, base).numero == 1
+    carrega_pasta(spark, str(outra), base)
+    carrega_pasta(spark, str(outra), sem_morte)
+    assert celulas(spark, base) == celulas(spark, sem_morte) != antes
+    # what the dead loads left is deleted once it is old enough, and nothing else
+    assert publicacao.limpa(spark, base) == []
+    lidas = celulas(spark, base)
+    assert len(publicacao.limpa(spark, base, ociosas_ha_horas=0)) >= 4
+    assert celulas(spark, base) == lidas
+
+
+def test_of_two_loads_at_once_the_later_one_starts_over(spark, pasta, tmp_path, monkeypatch):
     base = str(tmp_path / "base")
     carrega_pasta(spark, str(pasta), base)
-    antes = celulas(spark, base)
-    catalogo = tabelas.le_catalogo(spark, base)
-    assert tabelas.versoes_completas(spark, base) == [0]
-    # a version that holds some tables only, and never came to its end
-    catalogo.filter("tabela = 'bom'").write.parquet(f"{base}/catalogo/versao=1")
-    (tmp_path / "base" / "catalogo" / "versao=1" / "_SUCCESS").unlink()
-    assert celulas(spark, base) == antes
     outra = tmp_path / "outra"
     outra.mkdir()
     grava_zip(outra / "b.zip", **{"y (Lago - Norte).txt": B})
+    certo = ingestao.publica
+    vezes = []
+
+    def ultrapassada(spark, base, novo):
+        vezes.append(novo.numero)
+        if len(vezes) == 1:  # another load publishes the same number first
+            linhas = spark.createDataFrame([("f", "f (T).txt", 0, "DATA/Hora;C", None), ("f", "f (T).txt", 1, "01/02/2024 03:10;1,5", None)], zips.ESQUEMA)
+            carrega_linhas(spark, linhas, base)
+        certo(spark, base, novo)
+
+    monkeypatch.setattr(ingestao, "publica", ultrapassada)
     carrega_pasta(spark, str(outra), base)
-    assert tabelas.versoes_completas(spark, base) == [0, 2]
-    depois = celulas(spark, base)
-    assert depois[("lago___norte", "01/02 00", "SE São-EAE")] == 3.75
-    assert depois[("lago___norte", "01/02 01", "SE Sao-ERE")] == 9.0
-    # a load without new columns writes no version
-    carrega_pasta(spark, str(outra), base)
-    assert tabelas.versoes_completas(spark, base) == [0, 2]
+    assert vezes == [2, 2, 3]
+    lidas = celulas(spark, base)
+    assert lidas[("t", "01/02 03", "C")] == 1.5 and lidas[("lago___norte", "01/02 01", "SE São-EAE")] == 8.0
+    with pytest.raises(publicacao.CargaConcorrente):
+        certo(spark, base, publicacao.Estado(3))
+
+
+def test_state_without_new_columns_keeps_its_catalogue(spark, pasta, tmp_path):
+    base = str(tmp_path / "base")
+    carrega_pasta(spark, str(pasta), base)
+    um = publicacao.estado(spark, base)
+    velho = tabelas.le_medicoes(spark, base, um).orderBy("tabela", "bloco", "data_hora").collect()
+    carrega_pasta(spark, str(pasta), base)
+    dois = publicacao.estado(spark, base)
+    assert (dois.numero, dois.catalogo) == (2, um.catalogo) and dois.particoes.keys() == um.particoes.keys()
+    # a reader that holds the older state still reads it
+    assert tabelas.le_medicoes(spark, base, um).orderBy("tabela", "bloco", "data_hora").collect() == velho
 
 
 def test_catalogue_with_a_gap_is_refused_and_values_go_by_place(spark):

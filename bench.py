@@ -14,11 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fasor.operators import base, cadastro, kpi
+from fasor.operators import base, cadastro, coincidente, kpi
 from fasor.operators.materializa import pasta_compartilhada
 from fasor.plans import entradas
-from fasor.plans.consultas import CONSULTAS
-from fasor.plans.ingestao import carrega_linhas
+from fasor.plans.consultas import CONSULTAS, ESCOLHIDOS, INSTANTE
+from fasor.plans.ingestao import carrega_linhas, guarda
 from fasor.session import sessao
 from fasor.sources import tabelas
 
@@ -47,13 +47,17 @@ def consome(df: DataFrame) -> None:
 def gravadas(spark: SparkSession, pasta: str) -> dict[str, Callable[[], None]]:
     """Load into an empty base, load again (upsert of all partitions), store the region tables, query them."""
     raiz = f"{pasta_compartilhada(spark)}/bench-{uuid.uuid4().hex}"
+    regioes = f"{raiz}/regioes"
     codigos = cadastro.codigos_distintos(entradas.equipamentos(spark, pasta))
     resolvidos = cadastro.completos(cadastro.resolve_canais(codigos, entradas.medidores(spark, pasta)))
 
-    def painel() -> None:
-        elegiveis = base.tabelas_elegiveis(entradas.catalogo(spark, pasta), resolvidos)
-        demanda = base.demanda(tabelas.le_medicoes(spark, f"{raiz}/regioes"), elegiveis, entradas.equipamentos(spark, pasta))
-        consome(kpi.painel(demanda))
+    def painel(escolhidos: tuple[str, ...] | None = None) -> None:
+        elegiveis = base.dos_codigos(base.tabelas_elegiveis(tabelas.le_catalogo(spark, regioes), resolvidos), escolhidos)
+        consome(kpi.painel(base.demanda(tabelas.le_medicoes(spark, regioes), elegiveis, entradas.equipamentos(spark, pasta))))
+
+    def instante() -> None:
+        lidas, presenca, catalogo = (le(spark, regioes) for le in (tabelas.le_medicoes, tabelas.le_presenca, tabelas.le_catalogo))
+        consome(coincidente.demanda_coincidente(lidas, presenca, catalogo, resolvidos, INSTANTE))
 
     def carrega(destino: str) -> None:
         carrega_linhas(spark, entradas.linhas(spark, pasta), destino).descarta()
@@ -61,8 +65,10 @@ def gravadas(spark: SparkSession, pasta: str) -> dict[str, Callable[[], None]]:
     return {
         "carga": lambda: carrega(f"{raiz}/{uuid.uuid4().hex}"),
         "carga_upsert": lambda: carrega(f"{raiz}/mesma"),
-        "grava_regioes": lambda: tabelas.grava_medicoes(entradas.medicoes(spark, pasta), f"{raiz}/regioes"),
+        "grava_regioes": lambda: guarda(spark, regioes, entradas.medicoes(spark, pasta), entradas.catalogo(spark, pasta)),
         "painel_gravado": painel,
+        "escolhidos_gravados": lambda: painel(ESCOLHIDOS),
+        "coincidente_gravado": instante,
     }
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from fasor.functions.texto import SUFIXOS
+from fasor.operators.juncao import junta
+from fasor.operators.materializa import materializa
 
 LUGARES = ("eae", "ear", "ere", "err")
 
@@ -154,3 +156,73 @@ def exclui(cadastro: DataFrame, mudancas: DataFrame, operacao: str = "D") -> Dat
     """Registry without the ids of the changes marked ``operacao``."""
     ids = mudancas.filter(F.col("op") == operacao).select("id")
     return cadastro.join(ids, "id", "left_anti")
+
+
+def _escritas(cadastro: DataFrame, edicoes: DataFrame, ordem: str) -> tuple[DataFrame, DataFrame]:
+    """What counts of ordered edits: the ids that live in the end, with the order of the insertion they live from (NULL:
+    from the registry), and the insertions and updates since then, read in the registry's types.
+    """
+    edicoes = edicoes.filter("id IS NOT NULL")
+    apagados = materializa(edicoes.filter("op = 'D'").groupBy("id").agg(F.max(ordem).alias("_apagado")))
+    vivas = junta(edicoes.filter("op IN ('I', 'U')"), apagados, ["id"], "left", espalhar_por=[ordem]).filter(
+        F.col("_apagado").isNull() | (F.col(ordem) > F.col("_apagado"))
+    )
+    nascidos = vivas.filter("op = 'I'").groupBy("id").agg(F.min(ordem).alias("_nasceu"))
+    do_cadastro = cadastro.select("id").join(apagados, "id", "left_anti").withColumn("_antigo", F.lit(True))
+    vidas = materializa(
+        do_cadastro.join(nascidos, "id", "full").select("id", F.when(F.col("_antigo").isNull(), F.col("_nasceu")).alias("_desde"))
+    )
+    contam = junta(vivas.drop("_apagado"), vidas, ["id"], espalhar_por=[ordem]).filter(
+        F.when(F.col("op") == "I", F.col(ordem) == F.col("_desde")).otherwise(
+            F.col("_desde").isNull() | (F.col(ordem) > F.col("_desde"))
+        )
+    )
+    for campo in cadastro.schema.fields:
+        if campo.name != "id" and campo.name in edicoes.columns:
+            contam = contam.withColumn(f"_{campo.name}", F.nullif(F.col(campo.name), F.lit("")).try_cast(campo.dataType))
+    return vidas, contam
+
+
+def aplica(cadastro: DataFrame, edicoes: DataFrame, ordem: str = "ordem") -> DataFrame:
+    """The registry after edits in their order: ``(id, op, <ordem>, columns as text)``.
+
+    ``I`` inserts a row where the id has none, ``U`` changes the columns that carry text, ``D`` deletes. Empty text
+    becomes NULL, NULL text leaves the value; of several values of a column the last one that can be read counts (see
+    ``edicoes_ilegiveis``). The orders of one id differ. Only the last deletion, the first insertion after it and the
+    last writings since then matter, so an id of any number of edits combines map-side.
+    """
+    vidas, contam = _escritas(cadastro, edicoes, ordem)
+    editadas = [c for c in cadastro.columns if c != "id" and c in edicoes.columns]
+
+    def ultima(c: str):
+        escreve = (F.col("op") == "I") | (F.col(c) == "") | F.col(f"_{c}").isNotNull()
+        return F.max_by(F.struct(F.col(f"_{c}").alias("v")), F.when(escreve, F.col(ordem))).alias(f"_u_{c}")
+
+    if not editadas:
+        return vidas.join(cadastro, "id", "left").select(*cadastro.columns)
+    escritas = contam.groupBy("id").agg(*[ultima(c) for c in editadas])
+    antigas = cadastro.select("id", *[F.col(c).alias(f"_a_{c}") for c in cadastro.columns if c != "id"])
+    juntas = vidas.join(antigas, "id", "left").join(escritas, "id", "left")
+    do_cadastro = F.col("_desde").isNull()
+
+    def valor(c: str):
+        antigo = F.when(do_cadastro, F.col(f"_a_{c}"))
+        if c not in editadas:
+            return antigo.alias(c)
+        return F.when(F.col(f"_u_{c}").isNotNull(), F.col(f"_u_{c}.v")).otherwise(antigo).alias(c)
+
+    return juntas.select(*["id" if c == "id" else valor(c) for c in cadastro.columns])
+
+
+def edicoes_ilegiveis(cadastro: DataFrame, edicoes: DataFrame, ordem: str = "ordem") -> DataFrame:
+    """Values of counting edits that cannot be read in the registry's type: ``(id, <ordem>, coluna, texto)``."""
+    _, contam = _escritas(cadastro, edicoes, ordem)
+    pares = [
+        F.when(F.col(f"_{c}").isNull() & (F.col(c) != ""), F.struct(F.lit(c).alias("coluna"), F.col(c).alias("texto")))
+        for c in cadastro.columns
+        if c != "id" and c in edicoes.columns
+    ]
+    return (
+        contam.select("id", ordem, F.explode(F.filter(F.array(*pares), lambda x: x.isNotNull())).alias("par"))
+        .select("id", ordem, "par.coluna", "par.texto")
+    )

@@ -122,19 +122,68 @@ def colunas_omitidas(cab: DataFrame) -> DataFrame:
     )
 
 
-def examina(linhas: DataFrame, cab: DataFrame, formatos: str | Sequence[str] = FORMATO_PADRAO) -> DataFrame:
-    """Every body line, read once: what it says, and whether it counts.
+def formatos_dos_arquivos(linhas: DataFrame, cab: DataFrame, formatos: Sequence[str]) -> DataFrame:
+    """The one format in which all times of a file are read: ``(arquivo, formato, lidas, ambiguo)``.
+
+    Every format is tried on every line of the file; the one that reads most of them counts, of equal ones the first.
+    ``ambiguo`` tells that another format reads as many lines, but some to another time. Counts per file combine
+    map-side, so a file of any size is spread.
+    """
+    corpo = linhas.filter("nr_linha > 0").select("arquivo", "nr_linha", "linha")
+    com_tempo = junta(corpo, arquivos_validos(cab).select("arquivo", "pos_tempo"), ["arquivo"], espalhar_por=["nr_linha"])
+    texto = F.get(campos(F.col("linha")), F.col("pos_tempo"))
+    lidos = calcula_uma_vez(*[le_data_hora(texto, f).alias(f"_{i}") for i, f in enumerate(formatos)])
+    n = range(len(formatos))
+    contas = (
+        com_tempo.select("arquivo", lidos)
+        .groupBy("arquivo")
+        .agg(
+            *[F.count(f"_{i}").alias(f"n_{i}") for i in n],
+            *[F.count_if(F.col(f"_{i}") != F.col(f"_{j}")).alias(f"d_{i}_{j}") for i in n for j in n if i < j],
+        )
+    )
+    melhor = F.greatest(*[F.col(f"n_{i}") for i in n], F.lit(-1))
+    escolhido = F.coalesce(*[F.when(F.col(f"n_{i}") == melhor, i) for i in n])
+    diferem = [
+        (F.col("formato") == i) & (F.col(f"n_{j}") == F.col("lidas")) & (F.col(f"d_{min(i, j)}_{max(i, j)}") > 0)
+        for i in n for j in n if i != j
+    ]
+    return contas.withColumns({"formato": escolhido, "lidas": melhor}).select(
+        "arquivo", "formato", "lidas", reduce(Column.__or__, diferem, F.lit(False)).alias("ambiguo")
+    )
+
+
+def _instante(texto: Column, formatos: Sequence[str]) -> Column:
+    """The time in the format of the file, whose number is in the column ``formato``."""
+    if len(formatos) == 1:
+        return le_data_hora(texto, formatos[0])
+    return F.coalesce(*[F.when(F.col("formato") == i, le_data_hora(texto, f)) for i, f in enumerate(formatos)])
+
+
+def _lista(formatos: str | Sequence[str]) -> list[str]:
+    return [formatos] if isinstance(formatos, str) else list(formatos)
+
+
+def examina(
+    linhas: DataFrame, cab: DataFrame, formatos: str | Sequence[str] = FORMATO_PADRAO, escolhidos: DataFrame | None = None
+) -> DataFrame:
+    """Every body line, read once: what it says, and whether it counts. Of several formats each file is read in one,
+    which ``escolhidos`` names (``formatos_dos_arquivos``; if it is not given, it is found here).
 
     ``(arquivo, nr_linha, linha, valido, rodape, extra, texto_tempo, instante, numeros, posicoes)``. The data are the
     lines that are ``valido`` and not ``rodape``; ``linha`` stays only where the time cannot be read.
     """
+    formatos = _lista(formatos)
     onde = sem_repetidas(cab).select("arquivo", "pos_tempo", "largura", "posicoes")
+    if len(formatos) > 1:
+        escolhidos = formatos_dos_arquivos(linhas, cab, formatos) if escolhidos is None else escolhidos
+        onde = onde.join(escolhidos.select("arquivo", "formato"), "arquivo", "left")
     corpo = linhas.filter(F.col("nr_linha") > 0).select("arquivo", "nr_linha", "linha")
     partes = campos(F.col("linha"))
     lidos = calcula_uma_vez(
         F.size(partes).alias("n_campos"),
         F.get(partes, F.col("pos_tempo")).alias("texto_tempo"),
-        le_data_hora(F.get(partes, F.col("pos_tempo")), formatos).alias("instante"),
+        _instante(F.get(partes, F.col("pos_tempo")), formatos).alias("instante"),
         numeros_br(F.col("linha")).alias("numeros"),
     )
     valido = F.col("pos_tempo").isNotNull()
@@ -159,14 +208,16 @@ def interpreta(
 ) -> DataFrame:
     """Body lines of the valid files, without footers, with the parsed time.
 
-    ``instante`` is NULL where the time text cannot be read (see ``rejeitados``).
+    ``instante`` is NULL where the time text cannot be read (see ``rejeitados``). Of several formats each file is read
+    in one; ``canais`` then has its number in ``formato``.
     """
+    formatos = _lista(formatos)
     corpo = linhas.filter(F.col("nr_linha") > 0).select("arquivo", "nr_linha", "linha")
     partes = junta(corpo, canais, ["arquivo"], espalhar_por=["nr_linha"])
     texto = F.get(campos(F.col("linha")), F.col("pos_tempo"))
     lidos = calcula_uma_vez(
         texto.alias("texto_tempo"),
-        le_data_hora(texto, formatos).alias("instante"),
+        _instante(texto, formatos).alias("instante"),
         numeros_br(F.col("linha")).alias("numeros"),
     )
     return partes.select("arquivo", "nr_linha", "linha", "posicoes", lidos).filter(
@@ -195,13 +246,23 @@ def leituras(interpretadas: DataFrame) -> DataFrame:
 LINHAS_POR_PARTE = 200_000
 
 
-def _por_hora(lidas: DataFrame, limite: int) -> list[tuple[DataFrame, list[str]]]:
+def _por_hora(lidas: DataFrame, limite: int, linhas: DataFrame | None = None) -> list[tuple[DataFrame, list[str]]]:
     """Lines dealt once so that all later steps find them together: by file and hour, and hours of very many lines
     also by the hash of their values, which equal lines share. With each part the columns it is dealt by besides.
+
+    Only files of more than ``limite`` lines can have such an hour. ``linhas``, the raw lines, tells which these are
+    without reading a time or a number, so where there are none nothing is parsed for the count.
     """
     hora = ["arquivo", "data_hora"]
+    contadas = lidas
+    if linhas is not None:
+        por_arquivo = linhas.groupBy("arquivo").agg(F.count(F.lit(1)).alias("n"))
+        grandes = materializa(por_arquivo.filter(F.col("n") > limite).select("arquivo"))
+        if grandes.isEmpty():
+            return [(lidas.repartition(*hora), [])]
+        contadas = junta(lidas, grandes, ["arquivo"], "left_semi")
     quentes = materializa(
-        lidas.groupBy(*hora)
+        contadas.groupBy(*hora)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > limite)
         .select(*hora, F.ceil(F.col("n") / F.lit(limite)).alias("_partes"))
@@ -225,22 +286,26 @@ def _uniao(partes: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, partes)
 
 
-def sem_duplicatas(lidas: DataFrame, por: str = "hora", limite: int = LINHAS_POR_PARTE) -> DataFrame:
-    """Exact duplicates count once.
+def sem_duplicatas(
+    lidas: DataFrame, por: str = "hora", limite: int = LINHAS_POR_PARTE, linhas: DataFrame | None = None
+) -> DataFrame:
+    """Exact duplicates count once. ``linhas``: see ``_por_hora``.
 
     ``por='hora'`` compares after the floor to the hour, so equal samples of one hour collapse;
     ``por='carimbo'`` compares the original time stamps.
     """
-    return _uniao([_unicas(df, por, parte) for df, parte in _por_hora(lidas, limite)])
+    return _uniao([_unicas(df, por, parte) for df, parte in _por_hora(lidas, limite, linhas)])
 
 
-def horas_largas(lidas: DataFrame, por: str = "hora", limite: int = LINHAS_POR_PARTE) -> DataFrame:
+def horas_largas(
+    lidas: DataFrame, por: str = "hora", limite: int = LINHAS_POR_PARTE, linhas: DataFrame | None = None
+) -> DataFrame:
     """Hourly sums without duplicates, one row per file and hour: ``(arquivo, data_hora, valores)``.
 
     The lines move once, by file and hour; removing duplicates, summing the cells and putting them back into a row all
-    find them there.
+    find them there. ``linhas``: see ``_por_hora``.
     """
-    partes = _por_hora(lidas, limite)
+    partes = _por_hora(lidas, limite, linhas)
     return _uniao([linhas_largas(soma_horaria(_unicas(df, por, parte))) for df, parte in partes])
 
 

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fasor.functions import eletrica, texto
 from fasor.functions.numero import arredonda, numero_br
-from fasor.functions.tempo import trunca_hora
-from fasor.operators import base, cadastro, carga, coincidente, composicao, kpi, limpeza, perfis
+from fasor.functions.tempo import FORMATO_PADRAO, trunca_hora
+from fasor.operators import base, blocos, cadastro, carga, coincidente, composicao, kpi, limpeza, perfis
 from fasor.operators.materializa import materializa
 from fasor.plans import entradas as e
 
 INSTANTE = datetime(1997, 1, 8, 13)
 ANO, MES = 1997, 3
+CORTE = datetime(1995, 6, 1)
+ESCOLHIDOS = ("F000000001", "TR-000000002", "F000000007", "TR-000000010")
+FORMATOS = (FORMATO_PADRAO, "M/d/yyyy H:mm")
 
 Consulta = Callable[[SparkSession, str], DataFrame]
 CONSULTAS: dict[str, Consulta] = {}
@@ -39,7 +42,11 @@ def _interpretadas(s: SparkSession, d: str, cab: DataFrame | None = None) -> Dat
 
 
 def _largas(s: SparkSession, d: str, cab: DataFrame | None = None) -> DataFrame:
-    return limpeza.horas_largas(limpeza.leituras(_interpretadas(s, d, cab)))
+    return limpeza.horas_largas(limpeza.leituras(_interpretadas(s, d, cab)), linhas=_corpo(s, d))
+
+
+def _corpo(s: SparkSession, d: str) -> DataFrame:
+    return e.linhas(s, d).filter("nr_linha > 0").select("arquivo")
 
 
 def _catalogo_vazio(s: SparkSession) -> DataFrame:
@@ -59,6 +66,16 @@ def _resolvidos(s: SparkSession, d: str) -> DataFrame:
     return cadastro.resolve_canais(codigos, e.medidores(s, d))
 
 
+def _sem_casas(s: SparkSession) -> DataFrame:
+    return s.createDataFrame([], carga.ESQUEMA_CATALOGO + ", casa int, inteiro boolean")
+
+
+def _guardadas(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Catalogue and measurements as a base keeps them."""
+    catalogo = materializa(blocos.com_casas(e.catalogo(s, d), _sem_casas(s)))
+    return catalogo, materializa(blocos.em_blocos(e.medicoes(s, d), catalogo))
+
+
 def _elegiveis(s: SparkSession, d: str, caso: str = "insensivel") -> DataFrame:
     return base.tabelas_elegiveis(e.catalogo(s, d), cadastro.completos(_resolvidos(s, d)), caso)
 
@@ -158,6 +175,21 @@ def parse_data_hora(s, d):
     return _interpretadas(s, d).select("arquivo", "nr_linha", "texto_tempo", "instante")
 
 
+@consulta
+def formato_por_arquivo(s, d):
+    linhas = materializa(e.linhas_de_dois_formatos(s, d))
+    return limpeza.formatos_dos_arquivos(linhas, limpeza.cabecalhos(linhas), FORMATOS)
+
+
+@consulta
+def parse_formatos_mistos(s, d):
+    linhas = materializa(e.linhas_de_dois_formatos(s, d))
+    cab = materializa(limpeza.cabecalhos(linhas))
+    escolhidos = materializa(limpeza.formatos_dos_arquivos(linhas, cab, FORMATOS).select("arquivo", "formato"))
+    canais = limpeza.canais_por_arquivo(cab).join(escolhidos, "arquivo", "left")
+    return limpeza.interpreta(linhas, canais, FORMATOS).select("arquivo", "nr_linha", "texto_tempo", "instante")
+
+
 @consulta
 def rejeitados(s, d):
     return limpeza.rejeitados(_interpretadas(s, d))
@@ -187,7 +219,7 @@ def parse_numero_br(s, d):
 
 @consulta
 def dedup_leituras(s, d):
-    unicas = limpeza.sem_duplicatas(limpeza.leituras(_interpretadas(s, d)))
+    unicas = limpeza.sem_duplicatas(limpeza.leituras(_interpretadas(s, d)), linhas=_corpo(s, d))
     return unicas.select(
         "arquivo", "data_hora", *[F.get("valores", F.lit(i)).alias(f"v{i}") for i in range(4)]
     )
@@ -383,6 +415,16 @@ def mudancas_ilegiveis(s, d):
     return cadastro.mudancas_ilegiveis(e.equipamentos(s, d), e.mudancas(s, d), ordem="ordem")
 
 
+@consulta
+def cadastro_edicoes(s, d):
+    return cadastro.aplica(e.equipamentos(s, d), e.edicoes(s, d))
+
+
+@consulta
+def edicoes_ilegiveis(s, d):
+    return cadastro.edicoes_ilegiveis(e.equipamentos(s, d), e.edicoes(s, d))
+
+
 @consulta
 def cadastro_exclui(s, d):
     return cadastro.exclui(e.equipamentos(s, d), e.mudancas(s, d))
@@ -396,6 +438,35 @@ def base_horaria(s, d):
     return _base(s, d)
 
 
+@consulta
+def base_por_blocos(s, d):
+    """The same rows from blocks of 16 channels."""
+    catalogo, medidas = _guardadas(s, d)
+    return base.base_horaria(medidas, materializa(base.tabelas_elegiveis(catalogo, cadastro.completos(_resolvidos(s, d)))))
+
+
+@consulta
+def base_colunas_tardias(s, d):
+    """Half of the meters come with a second load, at ``CORTE``: their older hours are rows without values."""
+    todas = e.catalogo(s, d)
+    primeiro = materializa(blocos.com_casas(todas.filter("floor(pos / 4) % 2 = 0"), _sem_casas(s)))
+    segundo = materializa(blocos.com_casas(todas, primeiro))
+    antes = F.col("data_hora") < F.lit(CORTE.isoformat(" ")).cast("timestamp_ntz")
+    medidas = materializa(e.medicoes(s, d))
+    juntas = blocos.em_blocos(medidas.filter(antes), primeiro).unionByName(blocos.em_blocos(medidas.filter(~antes), segundo))
+    elegiveis = base.tabelas_elegiveis(segundo, cadastro.completos(_resolvidos(s, d)))
+    return base.base_horaria(juntas, materializa(elegiveis))
+
+
+@consulta
+def painel_escolhidos(s, d):
+    """Key figures of chosen equipments, of whose tables the blocks that hold them are read."""
+    catalogo, medidas = _guardadas(s, d)
+    elegiveis = base.tabelas_elegiveis(catalogo, cadastro.completos(_resolvidos(s, d)))
+    escolhidos = materializa(base.dos_codigos(elegiveis, ESCOLHIDOS))
+    return kpi.painel(base.demanda(medidas, escolhidos, e.equipamentos(s, d)))
+
+
 @consulta
 def tabelas_elegiveis(s, d):
     chaves = ["codigo", "tabela"]

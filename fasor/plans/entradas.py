@@ -231,6 +231,20 @@ def mudancas(spark: SparkSession, pasta: str) -> DataFrame:
     )
 
 
+def edicoes(spark: SparkSession, pasta: str) -> DataFrame:
+    """Ordered edits as text, from all of ``customer``: seven for most ids, of all kinds and in any order."""
+    chave = F.col("c_custkey")
+    potencia = F.floor(F.abs("c_acctbal")).cast("string")
+    tipo = (chave * 5 + F.floor(chave / 7)) % 4
+    return le(spark, pasta, "customer").select(
+        F.floor(chave / 7).alias("id"),
+        chave.alias("ordem"),
+        F.when(tipo == 1, "D").when(tipo == 2, "I").otherwise("U").alias("op"),
+        F.when(chave % 4 != 1, F.concat(codigo_de(chave), F.lit("N"))).alias("codigo"),
+        F.when(chave % 13 == 11, "abc").when(chave % 11 == 3, "").when(chave % 5 != 2, potencia).alias("potencia_instalada"),
+    )
+
+
 def medidores_novos(spark: SparkSession, pasta: str) -> DataFrame:
     """Dictionary rows to insert, from all of ``customer``: repeated, known and NULL codes."""
     chave = F.col("c_custkey")
@@ -246,6 +260,13 @@ CABECALHO_O = "DATA/Hora;linha sao-joão EAE;Trafo 1-EAR;Trafo 1-EAR;Trafo 2-ERR
 CABECALHO_SEM_TEMPO = "Data;Linha São João-EAE;Trafo 1-EAR;Trafo 1-ERE;Trafo 2-ERR"
 
 
+def linhas_de_dois_formatos(spark: SparkSession, pasta: str) -> DataFrame:
+    """The export lines, with the month before the day in the F files."""
+    trocada = F.regexp_replace("linha", r"^(\d\d)/(\d\d)/", "$2/$1/")
+    do_f = F.col("arquivo").endswith("F.txt")
+    return linhas(spark, pasta).withColumn("linha", F.when(do_f, trocada).otherwise(F.col("linha")))
+
+
 def linhas(spark: SparkSession, pasta: str) -> DataFrame:
     """Raw export lines, from all of ``lineitem``: footers, bad times, ragged and long rows."""
     peca, nr, qtd = F.col("l_partkey"), F.col("l_linenumber"), F.col("l_quantity")

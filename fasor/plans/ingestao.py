@@ -48,13 +48,16 @@ def carrega_linhas(
 
     The lines are read once and parsed once: data, rejects and audit come from the same written rows. Only the stored
     partitions that the new rows touch are read; their merged rows, counts and, if a column is new, the catalogue are
-    written beside the stored ones and take effect together, when the manifest is published.
+    written beside the stored ones and take effect together, when the manifest is published. Of several ``formatos`` each
+    file is read in the one that reads most of its lines; the audit names it, and files that two formats read differently.
     """
     with provisorios() as escritos:
         with provisorios() as crus:
             linhas = materializa(linhas)
         cab = materializa(limpeza.cabecalhos(linhas))
-        examinadas = materializa(limpeza.examina(linhas, cab, formatos))
+        varios = not isinstance(formatos, str) and len(formatos) > 1
+        escolhidos = materializa(limpeza.formatos_dos_arquivos(linhas, cab, formatos)) if varios else None
+        examinadas = materializa(limpeza.examina(linhas, cab, formatos, escolhidos))
         marcas = materializa(limpeza.marcas(linhas))
         apaga(spark, crus)
         interpretadas = examinadas.filter("valido AND NOT rodape")
@@ -68,8 +71,12 @@ def carrega_linhas(
             except CargaConcorrente:  # another load was published meanwhile: the same hours into the new state
                 if tentativa == TENTATIVAS - 1:
                     raise
+        auditoria = limpeza.auditoria(examinadas, cab, marcas)
+        if escolhidos is not None:
+            nome = F.get(F.array(*[F.lit(f) for f in formatos]), F.col("formato"))
+            auditoria = auditoria.join(escolhidos.select("arquivo", nome.alias("formato"), "ambiguo"), "arquivo", "left")
         return Resultado(
-            auditoria=limpeza.auditoria(examinadas, cab, marcas),
+            auditoria=auditoria,
             rejeitados=limpeza.rejeitados(interpretadas),
             colunas_novas=novas_colunas,
             colunas_omitidas=limpeza.colunas_omitidas(cab),

@@ -195,6 +195,41 @@ SELECT c_custkey // 2 AS id, c_custkey AS ordem,
        CASE WHEN c_custkey % 11 = 3 THEN NULL ELSE floor(abs(c_acctbal)) END AS potencia_instalada
 FROM customer"""
 
+CTE["edicoes"] = f"""
+SELECT c_custkey // 7 AS id, c_custkey AS ordem,
+       CASE (c_custkey * 5 + c_custkey // 7) % 4 WHEN 1 THEN 'D' WHEN 2 THEN 'I' ELSE 'U' END AS op,
+       CASE WHEN c_custkey % 4 <> 1 THEN {_codigo('c_custkey')} || 'N' END AS codigo,
+       CASE WHEN c_custkey % 13 = 11 THEN 'abc' WHEN c_custkey % 11 = 3 THEN ''
+            WHEN c_custkey % 5 <> 2 THEN CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR) END AS potencia
+FROM customer"""
+
+# one edit after the other; a row's state also says whether the last edit counted
+CTE["dobradas"] = """
+SELECT id, list_reduce([inicio] || edicoes, lambda s, e:
+  CASE WHEN e.op = 'D' THEN {'op': 'D', 'vive': false, 'codigo': NULL, 'texto': NULL, 'potencia': NULL, 'ruins': NULL}
+       WHEN e.op = 'I' AND s.vive OR e.op = 'U' AND NOT s.vive THEN s
+       WHEN e.op = 'I' THEN {'op': 'I', 'vive': true, 'codigo': e.codigo, 'texto': NULL, 'potencia': TRY_CAST(e.texto AS DOUBLE),
+            'ruins': CASE WHEN e.texto = 'abc' THEN e.ruins ELSE ''::VARCHAR END}
+       ELSE {'op': 'U', 'vive': true, 'codigo': coalesce(e.codigo, s.codigo), 'texto': NULL,
+             'potencia': CASE WHEN e.texto = '' THEN NULL ELSE coalesce(TRY_CAST(e.texto AS DOUBLE), s.potencia) END,
+             'ruins': s.ruins || CASE WHEN e.texto = 'abc' THEN e.ruins ELSE '' END} END) AS fim
+FROM (SELECT coalesce(q.id, x.id) AS id,
+             {'op': '', 'vive': q.id IS NOT NULL, 'codigo': q.codigo, 'texto': NULL::VARCHAR,
+              'potencia': q.potencia_instalada::DOUBLE, 'ruins': ''::VARCHAR} AS inicio,
+             coalesce(x.edicoes, []) AS edicoes
+      FROM equipamentos q FULL JOIN
+           (SELECT id, list({'op': op, 'vive': false, 'codigo': codigo, 'texto': potencia, 'potencia': NULL::DOUBLE,
+                             'ruins': ordem || ','} ORDER BY ordem) AS edicoes FROM edicoes GROUP BY id) x ON x.id = q.id)"""
+
+CTE["dois_formatos"] = """
+SELECT arquivo, nr_linha, t, try_strptime(t, '%d/%m/%Y %H:%M') AS a, try_strptime(t, '%m/%d/%Y %H:%M') AS b
+FROM (SELECT arquivo, nr_linha, CASE WHEN arquivo LIKE '%F.txt' THEN regexp_replace(c[1], '^(\\d\\d)/(\\d\\d)/', '\\2/\\1/')
+                                     ELSE c[1] END AS t FROM partes WHERE valido)"""
+
+CTE["formatos"] = """
+SELECT arquivo, CASE WHEN na >= nb THEN 0 ELSE 1 END AS formato, greatest(na, nb) AS lidas, na = nb AND diferem > 0 AS ambiguo
+FROM (SELECT arquivo, count(a) AS na, count(b) AS nb, count(*) FILTER (a <> b) AS diferem FROM dois_formatos GROUP BY arquivo)"""
+
 CTE["atualizacoes"] = """
 SELECT * FROM mudancas WHERE op = 'U' QUALIFY row_number() OVER (PARTITION BY id ORDER BY ordem DESC) = 1"""
 
@@ -314,6 +349,9 @@ PRECISA = {
     "pontas": ["demanda"],
     "em_linha": ["leituras"],
     "atualizacoes": ["mudancas"],
+    "dobradas": ["equipamentos", "edicoes"],
+    "dois_formatos": ["partes"],
+    "formatos": ["dois_formatos"],
     "partes": ["corpo"],
     "lidas": ["partes"],
     "unicas": ["lidas"],
@@ -544,6 +582,21 @@ SQL: dict[str, str] = {
         "equipamentos",
         "atualizacoes",
     ),
+    "cadastro_edicoes": _com(
+        "SELECT id, fim.codigo AS codigo, fim.potencia AS potencia_instalada FROM dobradas WHERE fim.vive", "dobradas"
+    ),
+    "edicoes_ilegiveis": _com(
+        "SELECT id, unnest(string_split(rtrim(fim.ruins, ','), ','))::BIGINT AS ordem, 'potencia_instalada' AS coluna,"
+        " 'abc' AS texto FROM dobradas WHERE fim.vive AND fim.ruins <> ''",
+        "dobradas",
+    ),
+    "formato_por_arquivo": _com("SELECT arquivo, formato, lidas, ambiguo FROM formatos", "formatos"),
+    "parse_formatos_mistos": _com(
+        "SELECT arquivo, nr_linha, t AS texto_tempo, CASE formato WHEN 0 THEN a ELSE b END AS instante"
+        " FROM dois_formatos JOIN formatos USING (arquivo) WHERE t <> 'TOTAL'",
+        "dois_formatos",
+        "formatos",
+    ),
     "cadastro_exclui": _com(
         "SELECT * FROM equipamentos WHERE id NOT IN (SELECT id FROM mudancas WHERE op = 'D')",
         "equipamentos",
@@ -553,6 +606,16 @@ SQL: dict[str, str] = {
     "base_horaria": _com(
         "SELECT codigo, data_hora, tabela_origem, tabela_ordem, eae, ear, ere, err FROM base", "base"
     ),
+    "base_por_blocos": _com(
+        "SELECT codigo, data_hora, tabela_origem, tabela_ordem, eae, ear, ere, err FROM base", "base"
+    ),
+    "base_colunas_tardias": _com(
+        "SELECT codigo, data_hora, tabela_origem, tabela_ordem, "
+        + ", ".join(f"CASE WHEN ja THEN {c} END AS {c}" for c in ("eae", "ear", "ere", "err"))
+        + " FROM (SELECT b.*, s_suppkey % 25 % 2 = 0 OR data_hora >= TIMESTAMP '1995-06-01 00:00:00' AS ja"
+        f" FROM base b JOIN supplier ON b.codigo = {_codigo('s_suppkey')})",
+        "base",
+    ),
     "tabelas_elegiveis": _com(
         "SELECT codigo, tabela, tabela_ordem, pos_eae, CAST(pos_eae + 1 AS INTEGER) AS pos_ear,"
         " CAST(pos_eae + 2 AS INTEGER) AS pos_ere, CAST(pos_eae + 3 AS INTEGER) AS pos_err, exato"
@@ -651,6 +714,14 @@ SQL: dict[str, str] = {
         "limites",
         "extremos",
     ),
+    "painel_escolhidos": _com(
+        "SELECT codigo, potencia_instalada, max_p_robusto, min_p_robusto, max_s, media_p, media_q, desvio_p,"
+        " fp_global, s_pico, carregamento_pct, horas_ultrapassagem, instante_maximo, q_no_maximo,"
+        " instante_minimo, q_no_minimo FROM limites JOIN extremos USING (codigo)"
+        " WHERE codigo IN ('F000000001', 'TR-000000002', 'F000000007', 'TR-000000010')",
+        "limites",
+        "extremos",
+    ),
     "painel_exibido": _com(
         "SELECT codigo, max_p_robusto, printf('%.2f%%', carregamento_pct) AS carregamento,"
         " round_even(potencia_instalada, 0) AS potencia_instalada, min_p_robusto, fp_global,"

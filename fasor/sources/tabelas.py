@@ -11,6 +11,7 @@ its newest manifest (``sources/publicacao``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -128,11 +129,13 @@ def grava_catalogo(catalogo: DataFrame, base: str, carga: str) -> None:
 def le_cadastro(
     spark: SparkSession, caminho: str, esquema: str, chave: str, exige: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Registry sheet saved as CSV (``;``, header) or Parquet, without rows that lack the key.
+    """Registry sheet saved as CSV (``;``, header), Parquet or by ``grava_cadastro``, without rows that lack the key.
 
     Columns are found by the names in the header, whatever their order; required ones that it lacks raise ValueError,
     other columns of ``esquema`` are NULL.
     """
+    if versoes := _versoes(spark, f"{caminho.rstrip('/')}/versao=*/_SUCCESS"):
+        caminho = f"{caminho.rstrip('/')}/versao={versoes[-1]}/*.parquet"
     if caminho.endswith(".parquet"):
         return sem_chave_nula(spark.read.parquet(caminho), chave, exige)
     lido = spark.read.option("header", True).option("sep", ";").csv(caminho)
@@ -150,15 +153,24 @@ def le_cadastro(
 
 
 def grava_cadastro(cadastro: DataFrame, destino: str) -> None:
-    """Write a registry or a dictionary back as Parquet. The rows are complete beside ``destino`` before it is replaced."""
+    """Write a registry or a dictionary back as a new version under ``destino``; ``le_cadastro`` reads the newest one
+    whose write has ended. The version before it stays, for those who are reading it; older ones are deleted.
+    """
     spark = cadastro.sparkSession
-    novo = f"{destino.rstrip('/')}.novo"
-    cadastro.write.mode("overwrite").parquet(novo)
-    caminhos = spark._jvm.org.apache.hadoop.fs.Path
-    fs = caminhos(destino).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(caminhos(destino), True)
-    if not fs.rename(caminhos(novo), caminhos(destino)):
-        raise OSError(f"{novo} holds the new registry, but could not be renamed")
+    destino = destino.rstrip("/")
+    iniciadas, prontas = (_versoes(spark, f"{destino}/versao=*{fim}") for fim in ("", "/_SUCCESS"))
+    cadastro.write.parquet(f"{destino}/versao={max(iniciadas, default=-1) + 1}")
+    caminho = spark._jvm.org.apache.hadoop.fs.Path
+    for velha in iniciadas:
+        if velha not in prontas[-1:]:
+            p = caminho(f"{destino}/versao={velha}")
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _versoes(spark: SparkSession, padrao: str) -> list[int]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(padrao)
+    achadas = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    return sorted(int(re.search(r"/versao=(\d+)", a.getPath().toString())[1]) for a in achadas)
 
 
 def grava_csv(

@@ -339,6 +339,15 @@ def test_registry_is_written_back(spark, tmp_path):
     lido = tabelas.le_cadastro(spark, destino, "", "codigo")
     tabelas.grava_cadastro(cadastro.exclui(cadastro.atualiza(lido, mudancas), mudancas), destino)
     assert [tuple(r) for r in tabelas.le_cadastro(spark, destino, "", "codigo").collect()] == [(1, "A2", 5.0)]
+    # a version whose write did not end is not read, and the next write gets rid of it
+    antes = lido.collect()
+    tabelas.le_cadastro(spark, destino, "", "codigo").write.parquet(f"{destino}/versao=2")
+    (tmp_path / "equipamentos.parquet" / "versao=2" / "_SUCCESS").unlink()
+    assert lido.collect() == antes  # a reader of the version before
+    assert tabelas.le_cadastro(spark, destino, "", "codigo").count() == 1
+    tabelas.grava_cadastro(lido.limit(0), destino)
+    assert tabelas.le_cadastro(spark, destino, "", "codigo").count() == 0
+    assert sorted(p.name for p in (tmp_path / "equipamentos.parquet").iterdir()) == ["versao=1", "versao=3"]
 
 
 def test_lines_can_come_from_anywhere(spark, tmp_path):
@@ -349,3 +358,28 @@ def test_lines_can_come_from_anywhere(spark, tmp_path):
     )
     carrega_linhas(spark, linhas, base, formatos=["d/M/yyyy H:mm", "yyyy-MM-dd HH:mm:ss"])
     assert celulas(spark, base) == {("t", "01/02 03", "C"): 1.5}
+
+
+def test_each_file_is_read_in_one_format(spark, tmp_path):
+    """02/03 and 13/03 of one file are months and days of one format; a file that says nothing is reported."""
+    base = str(tmp_path / "base")
+    arquivos = {
+        "a": ["02/03/2024 01:00", "13/03/2024 01:00", "ruim"],  # day first
+        "b": ["02/03/2024 01:00", "03/13/2024 01:00"],  # month first
+        "c": ["02/03/2024 01:00", "04/04/2024 01:00"],  # both, differently
+        "d": ["05/05/2024 01:00"],  # both, equally
+        "e": ["sem data"],
+        "f": ["13/01/2024 01:00", "01/13/2024 01:00", "01/14/2024 01:00"],  # mixed: the more frequent one
+    }
+    linhas = [(a, f"{a} ({a}).txt", 0, "DATA/Hora;C", None) for a in arquivos]
+    linhas += [(a, f"{a} ({a}).txt", i, f"{t};{i}", None) for a, todas in arquivos.items() for i, t in enumerate(todas, 1)]
+    df = spark.createDataFrame(linhas, zips.ESQUEMA).repartition(5)
+    resultado = carrega_linhas(spark, df, base, formatos=["d/M/yyyy H:mm", "M/d/yyyy H:mm"])
+    assert {(k[0], k[1]) for k in celulas(spark, base)} == {
+        ("a", "02/03 01"), ("a", "13/03 01"), ("b", "03/02 01"), ("b", "13/03 01"), ("c", "02/03 01"), ("c", "04/04 01"),
+        ("d", "05/05 01"), ("f", "13/01 01"), ("f", "14/01 01"),
+    }
+    dia, mes = "d/M/yyyy H:mm", "M/d/yyyy H:mm"
+    assert {r.arquivo: (r.formato, r.ambiguo, r.rejeitadas) for r in resultado.auditoria.collect()} == {
+        "a": (dia, False, 1), "b": (mes, False, 0), "c": (dia, True, 0), "d": (dia, False, 0), "e": (dia, False, 1), "f": (mes, False, 1),
+    }

@@ -1,6 +1,7 @@
 """Semantics on hand-made rows, with expected values computed by hand or in pandas."""
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -417,3 +418,37 @@ def test_period_filter(spark):
     )
     assert base.no_periodo(df, 2024).count() == 2
     assert [r.data_hora for r in base.no_periodo(df, 2024, 12).collect()] == [datetime(2024, 12, 31, 23)]
+
+
+def test_edits_in_order_against_a_loop(spark):
+    """Mixed edits of a few ids, one of them very often, applied one by one."""
+    sorte = random.Random(11)
+    inicio = {i: (f"c{i}", float(i)) for i in range(0, 40, 2)}
+    edicoes = []
+    for ordem in range(900):
+        i = 7 if ordem % 3 == 0 else sorte.randrange(45)
+        op = sorte.choice("IUUUDX")
+        edicoes.append((i, op, ordem, sorte.choice([None, "", f"n{ordem}"]), sorte.choice([None, "", "abc", str(ordem)])))
+    estado, ruins = dict(inicio), {}
+    for i, op, ordem, codigo, potencia in edicoes:
+        ilegivel = [(i, ordem, "potencia_instalada", "abc")] if potencia == "abc" else []
+        numero = float(potencia) if potencia and not ilegivel else None
+        if op == "D":
+            estado.pop(i, None)
+            ruins.pop(i, None)
+        elif op == "I" and i not in estado:
+            estado[i], ruins[i] = (codigo or None, numero), ilegivel
+        elif op == "U" and i in estado:
+            c, p = estado[i]
+            c = c if codigo is None else codigo or None
+            p = None if potencia == "" else p if numero is None else numero
+            estado[i], ruins[i] = (c, p), ruins.get(i, []) + ilegivel
+    registro = spark.createDataFrame([(i, *v) for i, v in inicio.items()], "id bigint, codigo string, potencia_instalada double")
+    df = spark.createDataFrame(edicoes, "id bigint, op string, ordem bigint, codigo string, potencia_instalada string").repartition(6)
+    assert {r.id: (r.codigo, r.potencia_instalada) for r in cadastro.aplica(registro, df).collect()} == estado
+    assert sorted(map(tuple, cadastro.edicoes_ilegiveis(registro, df).collect())) == sorted(x for r in ruins.values() for x in r)
+    # no edits, no registry, columns that the edits lack
+    assert cadastro.aplica(registro, df.filter("false")).count() == 20
+    assert cadastro.aplica(registro.filter("false"), df.filter("op = 'U'")).count() == 0
+    so_codigo = cadastro.aplica(registro, df.drop("potencia_instalada")).collect()
+    assert {r.id for r in so_codigo} == set(estado)

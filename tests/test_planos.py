@@ -19,7 +19,7 @@ COM_ESTRUTURA = {
     "colunas_novas", "cresce_catalogo", "insere_ou_ignora", "normaliza_colunas", "chaves_duplicadas",
     "upsert_linha", "upsert_celula", "canais_incompletos", "equipamentos_sem_dados", "nome_equipamento",
     "resolve_canais", "tabelas_elegiveis", "upsert_existente", "cadastro_atualiza", "mudancas_ilegiveis",
-    "coincidente_sem_dados", "tabelas_com_dados",
+    "coincidente_sem_dados", "tabelas_com_dados", "cadastro_edicoes", "edicoes_ilegiveis",
 }
 
 

@@ -51,6 +51,11 @@ def estatisticas(demanda: DataFrame) -> DataFrame:
         F.min(ordem).alias("primeira_ordem"),
         F.max(ordem).alias("ultima_ordem"),
     )
+    return com_faixa(somas)
+
+
+def com_faixa(somas: DataFrame) -> DataFrame:
+    """Statistics with the outlier bounds and the power factor of the means."""
     return (
         somas.withColumn("limite_inferior", F.rint(F.col("media_p") - DESVIOS * F.col("desvio_p")))
         .withColumn("limite_superior", F.col("media_p") + DESVIOS * F.col("desvio_p"))
@@ -92,9 +97,13 @@ def corta_maximo(maximo: Column, filtrado: Column) -> Column:
 
 def limites(demanda: DataFrame, figuras: DataFrame) -> DataFrame:
     """Statistics with the robust extremes, the peak apparent power and the loading."""
+    return com_limites(maximo_filtrado(demanda, figuras))
+
+
+def com_limites(figuras: DataFrame) -> DataFrame:
+    """``limites`` of statistics that have ``max_p_filtrado``."""
     return (
-        maximo_filtrado(demanda, figuras)
-        .withColumn("max_p_robusto", corta_maximo(F.col("max_p"), F.col("max_p_filtrado")))
+        figuras.withColumn("max_p_robusto", corta_maximo(F.col("max_p"), F.col("max_p_filtrado")))
         .withColumn(
             "min_p_robusto",
             F.when(F.col("min_p") < F.col("limite_inferior"), F.col("limite_inferior")).otherwise(
@@ -168,7 +177,12 @@ def gravadas(demanda: DataFrame) -> tuple[DataFrame, DataFrame]:
 def painel(demanda: DataFrame) -> DataFrame:
     """The card of all key figures, one row per equipment with measurements and installed power."""
     demanda, figuras = gravadas(demanda)
-    return figuras.join(extremos(demanda, figuras), "codigo", "left").select(
+    return cartao(figuras.join(extremos(demanda, figuras), "codigo", "left"))
+
+
+def cartao(figuras: DataFrame) -> DataFrame:
+    """The columns of the card."""
+    return figuras.select(
         "codigo",
         "potencia_instalada",
         "max_p_robusto",

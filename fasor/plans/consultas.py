@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fasor.functions import eletrica, texto
 from fasor.functions.numero import arredonda, numero_br
 from fasor.functions.tempo import FORMATO_PADRAO, trunca_hora
-from fasor.operators import base, blocos, cadastro, carga, coincidente, composicao, kpi, limpeza, perfis
+from fasor.operators import base, blocos, cadastro, carga, coincidente, composicao, kpi, limpeza, perfis, resumos
 from fasor.operators.materializa import materializa
 from fasor.plans import entradas as e
 
@@ -467,6 +467,23 @@ def painel_escolhidos(s, d):
     return kpi.painel(base.demanda(medidas, escolhidos, e.equipamentos(s, d)))
 
 
+def _painel_por_resumos(s: SparkSession, d: str, maiores: int) -> DataFrame:
+    demanda = materializa(_demanda(s, d))
+    return resumos.painel(materializa(resumos.resumo_mensal(demanda, maiores)), lambda _: demanda)
+
+
+@consulta
+def painel_por_resumos(s, d):
+    """The key figures from monthly summaries."""
+    return _painel_por_resumos(s, d, resumos.MAIORES)
+
+
+@consulta
+def painel_resumos_curtos(s, d):
+    """The same where months keep one value, so that those with outliers are read again."""
+    return _painel_por_resumos(s, d, 1)
+
+
 @consulta
 def tabelas_elegiveis(s, d):
     chaves = ["codigo", "tabela"]

@@ -807,3 +807,7 @@ SQL["upsert_existente"] = (
     f"SELECT *, 'linha' AS modo FROM ({SQL['upsert_linha']}) UNION ALL"
     f" SELECT *, 'celula' AS modo FROM ({SQL['upsert_celula']})"
 )
+
+# the same rows by another way
+for _nome in ("painel_por_resumos", "painel_resumos_curtos"):
+    SQL[_nome] = SQL["painel_demanda"]

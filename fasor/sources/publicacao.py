@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
-Particao = tuple[int, int, int]
+Particao = tuple[int, ...]
 
 
 class CargaConcorrente(RuntimeError):
@@ -32,9 +32,15 @@ class Estado:
     numero: int = 0
     catalogo: str | None = None
     particoes: dict[Particao, str] = field(default_factory=dict)  # partition: load
+    notas: dict[str, str] = field(default_factory=dict)
 
     def depois(self, carga: str, tocadas: Iterable[Particao], catalogo: str | None) -> Estado:
-        return Estado(self.numero + 1, catalogo or self.catalogo, self.particoes | dict.fromkeys(tocadas, carga))
+        return Estado(self.numero + 1, catalogo or self.catalogo, self.particoes | dict.fromkeys(tocadas, carga), self.notas)
+
+    def nos_meses(self, meses: Iterable[tuple[int, int]]) -> Estado:
+        """The same state, of some months only."""
+        meses = set(meses)
+        return Estado(self.numero, self.catalogo, {p: c for p, c in self.particoes.items() if p[:2] in meses}, self.notas)
 
     def cargas(self) -> set[str]:
         return {*self.particoes.values(), *([self.catalogo] if self.catalogo else [])}
@@ -65,7 +71,7 @@ def _le(spark: SparkSession, base: str, numero: int) -> Estado:
         entrada.close()
     lido = json.loads(texto)
     particoes = {tuple(x): carga for carga, todas in lido["particoes"].items() for x in todas}
-    return Estado(lido["numero"], lido["catalogo"], particoes)
+    return Estado(lido["numero"], lido["catalogo"], particoes, lido["notas"])
 
 
 def estado(spark: SparkSession, base: str) -> Estado:
@@ -79,7 +85,7 @@ def publica(spark: SparkSession, base: str, novo: Estado) -> None:
     por_carga: dict[str, list[Particao]] = {}
     for particao, carga in sorted(novo.particoes.items()):
         por_carga.setdefault(carga, []).append(particao)
-    texto = json.dumps({"numero": novo.numero, "catalogo": novo.catalogo, "particoes": por_carga})
+    texto = json.dumps({"numero": novo.numero, "catalogo": novo.catalogo, "particoes": por_carga, "notas": novo.notas})
     provisorio, fs = _fs(spark, f"{base}/manifestos/_{uuid.uuid4().hex}")
     fs.mkdirs(provisorio.getParent())
     saida = fs.create(provisorio, False)
@@ -114,7 +120,7 @@ def limpa(spark: SparkSession, base: str, manter: int = 2, ociosas_ha_horas: flo
         fs.delete(p, False)
     vivas = set().union(*(_le(spark, base, n).cargas() for n in numeros[-manter:]))
     apagadas = []
-    for nome in ("medicoes", "presenca", "catalogo"):
+    for nome in ("medicoes", "presenca", "catalogo", "linhas", "definicoes"):
         p, fs = _fs(spark, f"{base}/{nome}/carga=*")
         for pasta in fs.globStatus(p) or []:
             carga = pasta.getPath().getName().removeprefix("carga=")

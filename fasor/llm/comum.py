@@ -22,8 +22,13 @@ __all__ = ["materializa", "pasta_compartilhada"]
 BLOCO = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_potencias: dict[str, np.ndarray] = {}
+
+#: Two primes, and for each a base of which powers are taken. Polynomials modulo a prime have no families
+#: of words that meet whatever the base, as those modulo a power of two have.
+PRIMOS = ((np.uint64((1 << 31) - 1), 1_414_213_562), (np.uint64(2_147_483_629), 1_732_050_807))
+#: Sums of so many products of a byte and a power stay below 2^64.
+_SEM_RESTO = 1 << 23
+_potencias: dict[tuple[int, bool], np.ndarray] = {}
 
 ESPACO = np.zeros(256, bool)
 ESPACO[[0x20, *range(0x09, 0x0E)]] = True
@@ -114,14 +119,17 @@ def semente(n: int) -> np.uint64:
     return mistura(np.array([n + 1], np.uint64) * _BASE)[0] | np.uint64(1)
 
 
-def _potencia(nome: str, base: np.uint64, n: int) -> np.ndarray:
-    p = _potencias.get(nome)
+def _potencia(qual: int, n: int, inversa: bool = False) -> np.ndarray:
+    """The first ``n`` powers of a base, or of its inverse, modulo its prime."""
+    p = _potencias.get((qual, inversa))
     if p is None or len(p) < n:
-        p = np.full(max(n, BLOCO + (BLOCO >> 1)), base, np.uint64)
-        p[0] = 1
-        p = np.multiply.accumulate(p)
+        primo, base = PRIMOS[qual]
+        base = pow(base, -1, int(primo)) if inversa else base
+        p = np.ones(1, np.uint64)
+        while len(p) < max(n, BLOCO + (BLOCO >> 1)):
+            p = np.concatenate((p, p * np.uint64(pow(base, len(p), int(primo))) % primo))
         if len(p) <= 4 * BLOCO:
-            _potencias[nome] = p
+            _potencias[qual, inversa] = p
     return p[:n]
 
 
@@ -158,13 +166,29 @@ def palavras(bloco: bytes, inicio: np.ndarray, separador: np.ndarray = ESPACO):
     return ini, fim, np.searchsorted(inicio, ini, "right") - 1, b
 
 
+def hashes_de(numeros: np.ndarray, *faixas: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """64-bit hashes of the ranges [first, end) of whole numbers: two polynomials modulo two primes of 31 bits."""
+    saida = [np.zeros(len(ini), np.uint64) for ini, _ in faixas]
+    n = len(numeros)
+    s = np.empty(n + 1, np.uint64)
+    s[0] = 0
+    pequenos = numeros.dtype == np.uint8 and n <= _SEM_RESTO
+    for qual, (primo, _) in enumerate(PRIMOS):
+        if pequenos:
+            termos = (numeros.astype(np.uint64) + np.uint64(1)) * _potencia(qual, n)
+        else:
+            termos = (numeros.astype(np.uint64) % primo + np.uint64(1)) * _potencia(qual, n) % primo
+        np.cumsum(termos, out=s[1:])
+        inv = _potencia(qual, n, True)
+        for h, (ini, fim) in zip(saida, faixas):
+            h <<= np.uint64(31)
+            h |= (s[fim] - s[ini]) % primo * inv[ini] % primo
+    return [mistura(h) for h in saida]
+
+
 def hashes(b: np.ndarray, *faixas: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
     """64-bit hashes of the byte ranges [first, end), A-Z lower-cased."""
-    s = np.empty(len(b) + 1, np.uint64)
-    s[0] = 0
-    np.cumsum((MINUSCULA[b].astype(np.uint64) + np.uint64(1)) * _potencia("p", _BASE, len(b)), out=s[1:])
-    inv = _potencia("i", _BASE_INV, len(b))
-    return [mistura((s[fim] - s[ini]) * inv[ini]) for ini, fim in faixas]
+    return hashes_de(MINUSCULA[b], *faixas)
 
 
 def janelas(h: np.ndarray, linha: np.ndarray, k: int, n_linhas: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,8 +6,8 @@ it, never cut. Each task streams the words of its documents through it: the auto
 run ending there that occurs in some item. A run of at least ``janela`` words is a hit; an item of fewer words is hit
 where all of it occurs.
 
-Defined results: NULL and wordless texts have no words and no hits. Repeated items count each; an item without words is
-never hit. Without items nothing is hit. Further columns of both tables are not read, or travel with their rows.
+Defined results: NULL and wordless texts have no words and no hits. Rows of one item_id are one item, and rows without
+one hit words but are not counted; an item without words is never hit. Without items nothing is hit. Further columns of both tables are not read, or travel with their rows.
 """
 
 from __future__ import annotations
@@ -212,13 +212,13 @@ def examina(docs: DataFrame, automato: Automato, texto: str = "text", limpa: boo
                 seq = palavras(t)
                 faixas, itens = a.procura(seq)
                 unidas = _une(faixas)
-                nomes = sorted(str(a.ids[n]) for n in itens if a.ids[n] is not None)
+                nomes = sorted({str(a.ids[n]) for n in itens if a.ids[n] is not None})
                 for coluna, v in zip(
                     saida,
                     (
                         len(seq),
                         sum(f - i for i, f in unidas),
-                        len(itens),
+                        len(nomes),
                         hashlib.sha256(",".join(nomes).encode()).hexdigest(),
                         [list(f) for f in unidas],
                         _sem(t, unidas) if limpa and unidas else None,
@@ -249,18 +249,20 @@ def descontamina(
 ) -> DataFrame:
     """``docs`` without benchmark passages, the same columns: hit runs are cut out of the text, and a document goes
     where more than ``cobertura`` of its words were hit. ``n_chars``, if there, follows the text."""
-    achados = examina(docs, automato(itens, janela=janela, max_palavras=max_palavras), texto)
-    limpos = achados.filter(F.col("n_hit") <= cobertura * F.col("n_words")).withColumn(
-        texto, F.coalesce("text_clean", texto)
-    )
-    if "n_chars" in docs.columns:
-        limpos = limpos.withColumn(
-            "n_chars",
-            F.when(F.col("text_clean").isNull(), F.col("n_chars")).otherwise(
-                F.char_length("text_clean").cast(docs.schema["n_chars"].dataType)
-            ),
-        )
-    return limpos.select(*docs.columns)
+    # the documents travel in one column, so that none of theirs is taken for a result
+    inteiros = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col(f"`{texto}`").alias("__texto_original"))
+    achados = examina(inteiros, automato(itens, janela=janela, max_palavras=max_palavras), "__texto_original")
+    mudou = F.col("text_clean").isNotNull()
+
+    def coluna(c: str):
+        antes = F.col("__doc").getField(c)
+        if c == texto:
+            return F.coalesce("text_clean", antes).alias(c)
+        if c == "n_chars":
+            return F.when(mudou, F.char_length("text_clean").cast(docs.schema[c].dataType)).otherwise(antes).alias(c)
+        return antes.alias(c)
+
+    return achados.filter(F.col("n_hit") <= cobertura * F.col("n_words")).select(*[coluna(c) for c in docs.columns])
 
 
 def op6_descontaminacao(documentos: DataFrame, itens: DataFrame) -> DataFrame:

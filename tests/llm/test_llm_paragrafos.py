@@ -168,3 +168,21 @@ def test_two_long_words_are_not_linked(spark):
     linhas = [(1, w), (2, w.translate(str.maketrans("ab", "ba"))), (3, w)]
     df = spark.createDataFrame(linhas, DOCS).withColumn("x", F.lit(1))
     assert {r.doc_id: r.component_id for r in jaccard.op4_jaccard(spark, df).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_cells_lose_no_pair(spark):
+    g = random.Random(12)
+    conj = []
+    for _ in range(40):
+        a = [g.getrandbits(63) for _ in range(g.choice([2, 4, 5, 8, 9, 20, 60, 254, 300]))]
+        conj.append(a)
+        for _ in range(4):
+            conj.append(a[g.randint(0, 1 + len(a) // 6) :] + [g.getrandbits(63) for _ in range(g.randint(0, 1 + len(a) // 8))])
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(conj)], "id int, s array<bigint>").withColumn("peso", paragrafos._peso())
+    um, outro = (df.select(F.col("id").alias(f"i{x}"), F.col("s").alias(f"s{x}"), F.col("peso").alias(f"p{x}")) for x in "ab")
+    comuns = F.size(F.array_intersect("sa", "sb"))
+    r = um.join(outro, F.expr("ia < ib AND ia div 5 = ib div 5")).select(
+        paragrafos._podem(0.8)(F.col("pa"), F.col("pb")).alias("pode"), (comuns >= 0.8 * (F.size("sa") + F.size("sb") - comuns)).alias("liga")
+    )
+    contas = {(x.pode, x.liga): x["count"] for x in r.groupBy("pode", "liga").count().collect()}
+    assert (False, True) not in contas and contas[True, True] > 20 and contas[False, False] > 20

@@ -23,3 +23,17 @@ def test_near_copies_at_five_words_and_four_fifths(spark):
     cinco, quatro = (jaccard_simples(linhas + tabela, *x) for x in ((5, 80), (4, 85)))
     assert sorted(x.doc_id for x in r) == sorted(i for i, (_, c) in cinco.items() if c == i)
     assert sum(c != i for i, (_, c) in cinco.items()) > sum(c != i for i, (_, c) in quatro.items())
+
+
+def test_columns_that_bear_a_results_name_stay(spark):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.001"
+    nomes = {"score": 7.5, "spans": "texto", "n_words": 3, "n_hit": "h", "text_clean": "c", "lang_pred": "l", "ambiguous": 2, "id": 9, "componente": "k", "copias": 1.5, "keep_id": 4, "t": "u", "n": 5}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).withColumns({c: F.lit(v) for c, v in nomes.items()})
+    for nome, etapa in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materializa(etapa(spark, docs, sf))
+        linhas = docs.select(*nomes).distinct().collect()
+        assert [r.asDict() for r in linhas] == [nomes], nome
+        assert docs.columns[-len(nomes) :] == [*nomes], nome

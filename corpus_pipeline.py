@@ -23,7 +23,7 @@ SOMBRA = 5
 def idiomas(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leva_codigo(spark)
     # the documents travel in one column, so that none of theirs is taken for a result
-    previstos = idioma.identifica(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), "doc_id", "text"))
+    previstos = idioma.identifica(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), "doc_id", "text", "lang"))
     rejeitado = (F.col("lang_pred") == idioma.SEM_IDIOMA) | (F.col("ambiguous") & (F.col("score") < SCORE_MINIMO))
     return previstos.filter(~rejeitado).select("__doc.*")
 

@@ -249,15 +249,16 @@ def descontamina(
 ) -> DataFrame:
     """``docs`` without benchmark passages, the same columns: hit runs are cut out of the text, and a document goes
     where more than ``cobertura`` of its words were hit. ``n_chars``, if there, follows the text."""
-    # the documents travel in one column, so that none of theirs is taken for a result
-    inteiros = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col(f"`{texto}`").alias("__texto_original"))
+    # the other columns travel in one, so that none of them is taken for a result
+    outras = [F.col(f"`{c}`") for c in docs.columns if c != texto]
+    inteiros = docs.select(F.struct(F.lit(0).alias("__vazio"), *outras).alias("__doc"), F.col(f"`{texto}`").alias("__texto_original"))
     achados = examina(inteiros, automato(itens, janela=janela, max_palavras=max_palavras), "__texto_original")
     mudou = F.col("text_clean").isNotNull()
 
     def coluna(c: str):
-        antes = F.col("__doc").getField(c)
         if c == texto:
-            return F.coalesce("text_clean", antes).alias(c)
+            return F.coalesce("text_clean", "__texto_original").alias(c)
+        antes = F.col("__doc").getField(c)
         if c == "n_chars":
             return F.when(mudou, F.char_length("text_clean").cast(docs.schema[c].dataType)).otherwise(antes).alias(c)
         return antes.alias(c)

@@ -22,10 +22,11 @@ SOMBRA = 5
 
 def idiomas(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leva_codigo(spark)
-    # the documents travel in one column, so that none of theirs is taken for a result
-    previstos = idioma.identifica(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), "doc_id", "text", "lang"))
+    # the other columns travel in one, so that none of them is taken for a result
+    outras = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__doc")
+    previstos = idioma.identifica(docs.select(outras, "doc_id", "text", "lang"))
     rejeitado = (F.col("lang_pred") == idioma.SEM_IDIOMA) | (F.col("ambiguous") & (F.col("score") < SCORE_MINIMO))
-    return previstos.filter(~rejeitado).select("__doc.*")
+    return previstos.filter(~rejeitado).select(*[F.col("text") if c == "text" else F.col("__doc").getField(c).alias(c) for c in docs.columns])
 
 
 def copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

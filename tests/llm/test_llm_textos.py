@@ -158,8 +158,9 @@ def contaminacao_simples(documentos, itens):
                 if tuple(w[k : k + m]) in janelas:
                     hit |= set(range(k, k + m))
                     quais.add(n)
-        nomes = ",".join(sorted(str(seqs[n][0]) for n in quais if seqs[n][0] is not None))
-        saida.append((d, len(w), len(hit), len(quais), hashlib.sha256(nomes.encode()).hexdigest(), bool(hit)))
+        # an item is an item_id, as in the SQL: rows that share one are one item
+        nomes = sorted({str(seqs[n][0]) for n in quais if seqs[n][0] is not None})
+        saida.append((d, len(w), len(hit), len(nomes), hashlib.sha256(",".join(nomes).encode()).hexdigest(), bool(hit)))
     return sorted(saida, key=str)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fasor.plans.ingestao import carrega_linhas
-from fasor.sources.zips import linhas_dos_zips
+from fasor.sources import zips
 
 ESQUEMA_BINARIO = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -22,12 +22,15 @@ def inicia_carga(
     checkpoint: str,
     zips_por_lote: int = 1000,
     gatilho: dict | None = None,
+    intervalos: bool = True,
     **opcoes,
 ) -> StreamingQuery:
-    """Start the continuous load; ``gatilho`` is passed to ``trigger`` (default: what is there now)."""
+    """Start the continuous load; ``gatilho`` is passed to ``trigger`` (default: what is there now).
+    ``intervalos`` False reads whole ZIPs, for folders that executors can open through Spark only."""
 
-    def carrega_lote(linhas: DataFrame, _lote: int) -> None:
-        carrega_linhas(linhas.sparkSession, linhas, base, **opcoes).descarta()
+    def carrega_lote(lote: DataFrame, _lote: int) -> None:
+        linhas = zips.linhas_dos_caminhos(lote) if intervalos else zips.linhas_dos_zips(lote)
+        carrega_linhas(lote.sparkSession, linhas, base, **opcoes).descarta()
 
     binarios = (
         spark.readStream.format("binaryFile")
@@ -37,7 +40,7 @@ def inicia_carga(
         .load(pasta)
     )
     return (
-        linhas_dos_zips(binarios)
+        (binarios.select("path", "length") if intervalos else binarios)
         .writeStream.foreachBatch(carrega_lote)
         .option("checkpointLocation", checkpoint)
         .trigger(**(gatilho or {"availableNow": True}))

@@ -78,6 +78,51 @@ def test_zip_lines(spark, pasta):
     assert [texto for _, texto in do_a] == A.splitlines()
 
 
+def test_ranged_reads_give_the_lines_of_whole_zips(spark, pasta):
+    inteiros = sorted(map(tuple, zips.le_zips(spark, str(pasta), intervalos=False).collect()), key=repr)
+    assert sorted(map(tuple, zips.le_zips(spark, str(pasta), intervalos=True).collect()), key=repr) == inteiros
+    assert zips.le_zips(spark, str(pasta.parent)).count() == 0  # a folder without ZIPs
+
+
+def test_members_of_one_zip_are_many_tasks(spark, tmp_path):
+    pasta = tmp_path / "um"
+    pasta.mkdir()
+    texto = "DATA/Hora;C\n" + "\n".join(f"01/02/2024 {h:02d}:00;{h}" for h in range(24))
+    grava_zip(pasta / "um só.zip", **{f"m{i} (T{i}).txt": texto for i in range(40)}, **{"leia.md": "nada"})
+    caminhos = spark.read.format("binaryFile").load(str(pasta)).select("path", "length")
+    assert "content" not in caminhos._jdf.queryExecution().executedPlan().toString()
+    parte = 4 * len(texto.encode())
+    partes = zips.partes_dos_zips(caminhos, bytes_por_parte=parte).collect()
+    assert [(p.primeiro, p.ultimo) for p in sorted(partes, key=lambda p: p.primeiro)] == [(i, i + 3) for i in range(0, 40, 4)]
+    linhas = zips.linhas_dos_caminhos(caminhos, bytes_por_parte=parte)
+    por_tarefa = linhas.groupBy(F.spark_partition_id().alias("t")).agg(F.countDistinct("arquivo").alias("n")).collect()
+    assert len(por_tarefa) > 4 and sum(r.n for r in por_tarefa) == 40 and linhas.count() == 40 * 25
+
+
+def test_zip64_beyond_two_gigabytes_is_read_by_ranges(spark, tmp_path):
+    # a sparse file: the second member lies behind 5 GB that no directory entry names
+    caminho = tmp_path / "grande.zip"
+    with open(caminho, "wb") as cru, zipfile.ZipFile(cru, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a (A).txt", "DATA/Hora;C\n01/02/2024 07:00;1")
+        cru.seek(5 << 30)
+        z.start_dir = cru.tell()
+        z.writestr("b (B).txt", "DATA/Hora;C\n01/02/2024 08:00;2")
+    assert caminho.stat().st_size > 5 << 30
+    linhas = zips.le_zips(spark, str(tmp_path)).collect()
+    assert sorted((r.arquivo, r.nr_linha, r.linha) for r in linhas)[1::2] == [
+        ("grande.zip#000000000", 1, "01/02/2024 07:00;1"), ("grande.zip#000000001", 1, "01/02/2024 08:00;2"),
+    ]
+
+
+def test_failed_reads_are_no_marks(tmp_path):
+    class Quebrado(io.BytesIO):
+        def read(self, n=-1):
+            raise OSError("connection reset")
+
+    with pytest.raises(zips.FalhaDeLeitura):
+        zipfile.ZipFile(zips._Intervalos(Quebrado(b"PK" * 50)))
+
+
 def test_line_boundaries_do_not_depend_on_blocks(monkeypatch):
     texto = "a\r\nb\rc\x0bd\x85e\n\nf\r\n" * 7 + "fim"
     for tamanho in (1, 2, 3, 5, 1000):

@@ -4,10 +4,12 @@ Surface kinds are reported as they match: ``assign`` (a name, a sign and a value
 (long runs of hexadecimal digits). The others are reported only if their structure holds:
 
 * ``jwt``: three base64url parts; the first decodes to a JSON object with a text ``alg``, the second to a JSON object,
-  the third to some bytes unless ``alg`` is ``none``.
+  the third to some bytes unless ``alg`` is ``none``. Headers are found by decoding, however their object is written.
 * ``pem``: an armoured private key whose body decodes to a key encoding (or, with an encryption header, to whole cipher
   blocks).
-* ``key``: a bare run of base64 or hexadecimal digits that decodes to a key encoding.
+* ``key``: base64 or hexadecimal digits, on one line or wrapped into lines of one width, that decode to a key encoding, to an
+  armoured private key or to a signed token. A key may be glued to a path or a name by ``/``, ``-``, ``_`` or ``+``, and hexadecimal digits may
+  follow ``0x``; the span begins where the decoded digits do and ends where they or their padding do.
 
 A key encoding is a DER sequence whose nested lengths add up exactly and whose members are those of an RSA, DSA, EC,
 PKCS#8 or encrypted PKCS#8 key, or an OpenSSH key whose nested lengths do.
@@ -39,10 +41,27 @@ _ASSIGN = re.compile(
 _NOMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[^-]|-(?!----))*)-----END \1-----")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-_HEX_QUALQUER = re.compile(r"[0-9A-Fa-f]{64,}\Z")
+#: A token's header is a JSON object: ``{`` gives the digit ``e``, a quote, space or line break after it ``y`` or ``w``.
+_CABECALHO = re.compile(r"(?<![A-Za-z0-9])e[yw][A-Za-z0-9_-]*")
+_CABECALHO_COLADO = re.compile(r"(?<=[_-])e[yw]")
+_CORPO = re.compile(r"\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+#: First digits of a DER sequence, an OpenSSH key, an armour and a token, in base64; of the first two in hexadecimal.
+_INICIO = re.compile(r"(?<![A-Za-z0-9])(?:M[A-P]|b3BlbnNzaC1rZXktdjEA|LS0tLS1CRUdJTi|ZX[klcd])")
+_INICIO_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:30[0-9A-Fa-f]{38}|6[Ff]70656[Ee]7373682[Dd]6[Bb]65792[Dd])")
+#: What the first digits of an armour, a token and an OpenSSH key decode to, if they are worth decoding on.
+_COMECOS = {
+    "L": re.compile(rb"-----BEGIN [A-Z0-9 ]{0,40}PRIV"),
+    "Z": re.compile(rb"[A-Za-z0-9_.-]{40}"),
+    "b": re.compile(rb"openssh-key-v1\x00\x00\x00\x00[\x01-\x40]"),
+}
+_DIGITOS = re.compile(r"[A-Za-z0-9+/_-]+")
+_DIGITOS_HEX = re.compile(r"[0-9A-Fa-f]+")
+_QUEBRA = re.compile(r"(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+#: No key is longer, in bytes, unless it fills its run of digits from the first to the last; no header of a glued token in digits.
+MAX_CHAVE = 1 << 16
+MAX_CABECALHO = 1 << 14
 
 _SEQUENCIA, _INTEIRO, _OCTETOS, _OID = 0x30, 0x02, 0x04, 0x06
 
@@ -97,29 +116,44 @@ def _algoritmo(b: bytes) -> bool:
     return bool(membros) and membros[0][0] == _OID and len(membros[0][1]) >= 3
 
 
-def _chave_ssh(b: bytes) -> bool:
+def _fim_ssh(b: bytes) -> int:
+    """Length of the OpenSSH key that ``b`` begins with, or 0."""
     marca = b"openssh-key-v1\x00"
     if not b.startswith(marca):
-        return False
+        return 0
     i = len(marca)
     for campo in range(3):  # cipher, key derivation, its options
         n = int.from_bytes(b[i : i + 4], "big")
         i += 4 + n
         if i + 4 > len(b) or campo < 2 and not n:
-            return False
+            return 0
     quantas = int.from_bytes(b[i : i + 4], "big")
     i += 4
     if not 1 <= quantas <= 16:
-        return False
+        return 0
     for _ in range(quantas + 1):  # public keys, then the private block
         if i + 4 > len(b):
-            return False
+            return 0
         i += 4 + int.from_bytes(b[i : i + 4], "big")
-    return i == len(b)
+    return i if i <= len(b) else 0
+
+
+def _fim_der(b: bytes) -> int:
+    """Length that the DER sequence at the start of ``b`` claims, or 0 if its first member is none of a private key."""
+    if len(b) < 8 or b[0] != _SEQUENCIA:
+        return 0
+    k = b[1] & 0x7F if b[1] & 0x80 else 0
+    if k > 4 or len(b) < 5 + k:
+        return 0
+    n = int.from_bytes(b[2 : 2 + k], "big") if k else b[1]
+    dentro = b[2 + k :]
+    if dentro[0] == _SEQUENCIA or dentro[0] == _INTEIRO and dentro[1] == 1 and dentro[2] < 2:
+        return 2 + k + n
+    return 0
 
 
 def _chave(b: bytes | None) -> bool:
-    return bool(b) and (_chave_der(b) or _chave_ssh(b))
+    return bool(b) and (_chave_der(b) or _fim_ssh(b) == len(b))
 
 
 def _de_base64(s: str) -> bytes | None:
@@ -140,14 +174,28 @@ def _objeto(s: str) -> dict | None:
     return o if isinstance(o, dict) else None
 
 
-def _jwt(s: str) -> bool:
-    cabecalho, corpo, assinatura = s.split(".")
+def _jwt(cabecalho: str, corpo: str, assinatura: str) -> bool:
     h = _objeto(cabecalho)
     if h is None or not isinstance(h.get("alg"), str) or _objeto(corpo) is None:
         return False
     return h["alg"].lower() == "none" or bool(_de_base64(assinatura))
 
 
+def _tokens(texto: str) -> Iterator[tuple[int, int]]:
+    """Spans of signed tokens: dotted runs whose first, from its start or from a sign that glues it to a name, is a header."""
+    livre = 0
+    for m in _CABECALHO.finditer(texto):
+        resto = _CORPO.match(texto, m.end()) if m.start() >= livre else None
+        if resto is None:
+            continue
+        colados = (c.start() for c in _CABECALHO_COLADO.finditer(texto, max(m.start() + 1, m.end() - MAX_CABECALHO), m.end()))
+        for inicio in (m.start(), *colados):
+            if _jwt(texto[inicio : m.end()], resto.group(1), resto.group(2)):
+                livre = resto.end()
+                yield inicio, livre
+                break
+
+
 def _pem(corpo: str) -> bool:
     linhas = corpo.replace("\\r", "").replace("\\n", "\n").split("\n")
     dados = _de_base64("".join("".join(x.split()) for x in linhas if ":" not in x))
@@ -156,10 +204,93 @@ def _pem(corpo: str) -> bool:
     return _chave(dados)
 
 
-def _nua(s: str) -> bool:
-    if _HEX_QUALQUER.match(s) and len(s) % 2 == 0 and _chave(bytes.fromhex(s)):
-        return True
-    return _chave(_de_base64(s))
+def _junta(texto: str, i: int, quantos: int, digitos: re.Pattern) -> tuple[str, int]:
+    """Up to so many digits from ``i`` on, over line breaks and indentation, and where they end."""
+    partes, fim = [], i
+    while quantos and (m := digitos.match(texto, i, i + quantos)):
+        partes.append(m.group())
+        fim = m.end()
+        quantos -= fim - i
+        quebra = _QUEBRA.match(texto, fim) if quantos else None
+        if quebra is None:
+            break
+        i = quebra.end()
+    return "".join(partes), fim
+
+
+def _cifras(n: int) -> int:
+    """Base64 digits of ``n`` bytes, without padding."""
+    return (4 * n + 2) // 3
+
+
+def _prefixo(s: str) -> bytes:
+    return _de_base64(s[: len(s) - (len(s) % 4 == 1)]) or b""
+
+
+def _fim_em_base64(texto: str, i: int, fim_da_corrida: int) -> int:
+    """End of the key, armour or token whose base64 digits begin at ``i``, or 0."""
+    limite = _cifras(MAX_CHAVE)
+    if texto[i] == "M":
+        n = _fim_der(_prefixo(_junta(texto, i, 24, _DIGITOS)[0]))
+        if not n or _cifras(n) > max(limite, fim_da_corrida - i):
+            return 0
+        s, fim = _junta(texto, i, _cifras(n), _DIGITOS)
+        if len(s) < _cifras(n) or not _chave_der(_de_base64(s) or b""):
+            return 0
+        inteira = True
+    else:
+        if not _COMECOS[texto[i]].match(_prefixo(_junta(texto, i, 80, _DIGITOS)[0])):
+            return 0
+        dados = _prefixo(_junta(texto, i, max(limite, fim_da_corrida - i), _DIGITOS)[0])
+        n, inteira = _fim_ssh(dados), True
+        if not n:
+            escrito, inteira = dados.decode("latin-1"), False
+            if texto[i] == "L":
+                n = next((m.end() for m in _PEM.finditer(escrito) if _pem(m.group(2))), 0)
+            elif primeiro := next(_tokens(escrito), None):
+                n = primeiro[1] if primeiro[0] == 0 else 0
+            while 0 < n < len(dados) and dados[n] in b"\r\n\t ":
+                n += 1
+        if not n:
+            return 0
+        fim = _junta(texto, i, _cifras(n), _DIGITOS)[1]
+    enche = 0
+    while enche < -_cifras(n) % 4 and texto[fim : fim + 1] == "=":
+        fim, enche = fim + 1, enche + 1
+    # digits that go on behind a key belong to something longer
+    return 0 if inteira and not enche and texto[fim : fim + 1].isalnum() and texto[fim].isascii() else fim
+
+
+def _fim_em_hex(texto: str, i: int) -> int:
+    """End of the key whose hexadecimal digits begin at ``i``, or 0."""
+    m = _DIGITOS_HEX.match(texto, i)
+    limite = max(2 * MAX_CHAVE, m.end() - i)
+    if texto[i] == "3":
+        n = _fim_der(bytes.fromhex(texto[i : i + 40]))
+    else:
+        s = _junta(texto, i, limite, _DIGITOS_HEX)[0]
+        n = _fim_ssh(bytes.fromhex(s[: len(s) // 2 * 2]))
+    if not n or 2 * n > limite:
+        return 0
+    s, fim = _junta(texto, i, 2 * n, _DIGITOS_HEX)
+    if len(s) < 2 * n or not _chave(bytes.fromhex(s)):
+        return 0
+    return 0 if _DIGITOS_HEX.match(texto, fim) else fim
+
+
+def _chaves(texto: str) -> Iterator[tuple[int, int]]:
+    """Spans of encoded keys, armours and tokens; of overlapping ones the first, base64 and hexadecimal apart."""
+    livre = 0
+    for corrida in _BASE64.finditer(texto):
+        for m in _INICIO.finditer(texto, corrida.start(), corrida.end()):
+            if m.start() >= livre and (fim := _fim_em_base64(texto, m.start(), corrida.end())):
+                livre = fim
+                yield m.start(), fim
+    livre = 0
+    for m in _INICIO_HEX.finditer(texto):
+        if m.start() >= livre and (fim := _fim_em_hex(texto, m.start())):
+            livre = fim
+            yield m.start(), fim
 
 
 def procura(texto: str | None) -> list[tuple[int, int, int]]:
@@ -173,11 +304,10 @@ def procura(texto: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in texto:
         achados += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(texto) if m.end() - m.start() >= 16]
     achados += [(m.start(), 2, m.end()) for m in _HEX.finditer(texto)]
-    if "eyJ" in texto:
-        achados += [(m.start(), 3, m.end()) for m in _JWT.finditer(texto) if _jwt(m.group())]
+    achados += [(a, 3, z) for a, z in _tokens(texto)]
     if "-----BEGIN " in texto:
         achados += [(m.start(), 4, m.end()) for m in _PEM.finditer(texto) if _pem(m.group(2))]
-    achados += [(m.start(), 5, m.end()) for m in _BASE64.finditer(texto) if _nua(m.group())]
+    achados += [(a, 5, z) for a, z in _chaves(texto)]
     return sorted(achados)
 
 

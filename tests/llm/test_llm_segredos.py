@@ -116,3 +116,62 @@ def test_query_against_plain_scan(spark):
         assert [s for s in x.spans.split(",") if s.split(":")[0] in segredos.BASE] == base
     assert segredos.segredos(d).columns == ["doc_id", "text", *[f"n_{t}" for t in segredos.TIPOS], "base_sha256", "spans"]
     assert segredos.op2_segredos(d.limit(0)).count() == 0
+
+
+def achada(texto):
+    return [texto[a:z] for a, k, z in procura(texto) if segredos.TIPOS[k] == "key"]
+
+
+@pytest.mark.parametrize("chave", [RSA, PKCS8, EC, ssh()])
+def test_keys_wrapped_glued_and_prefixed(chave):
+    b = base64.b64encode(chave).decode()
+    for largura in (64, 76):
+        for quebra in ("\n", "\r\n", "\\n", "\n    "):
+            linhas = quebra.join(b[i : i + largura] for i in range(0, len(b), largura))
+            assert achada(f"chave: |\n    {linhas}\nfim") == [linhas]
+            perdida = quebra.join(b[i : i + largura] for i in range(0, len(b) - largura, largura))
+            assert achada(f"x {perdida}\n\nfim") == []
+    for antes in ("/", "dados_", "/etc/keys-", "a+"):
+        assert achada(f"x {antes}{b} y") == [b]
+    assert achada(f"x {b.rstrip('=')}/resto y") == [b.rstrip("=")]
+    assert achada(f"x {b.rstrip('=')}A y") == []
+    assert achada(f"k=0x{chave.hex()};") == [chave.hex()]
+    h = chave.hex().upper()
+    linhas = "\n".join(h[i : i + 60] for i in range(0, len(h), 60))
+    assert achada(f"k:\n{linhas}\nfim") == [linhas]
+    assert achada(f"k=0x{chave.hex()[:-2]};") == [] and achada(f"k={chave.hex()}0;") == []
+
+
+def test_armour_and_tokens_within_base64():
+    p = pem("RSA PRIVATE KEY", RSA)
+    b = base64.b64encode(f"{p}\n".encode()).decode()
+    assert b.startswith("LS0tLS1CRUdJTi") and achada(f"tls.key: {b}\n") == [b]
+    falsa = base64.b64encode(pem("RSA PRIVATE KEY", RSA[:-1]).encode()).decode()
+    assert achada(f"tls.key: {falsa}\n") == []
+    certificado = base64.b64encode(pem("CERTIFICATE", RSA).encode()).decode()
+    assert achada(certificado) == []
+    t = base64.b64encode(JWT.encode()).decode()
+    assert achada(f"token: {t}") == [t]
+    assert achada(base64.b64encode(("eyJhbGciOiJIUzI1NiJ9.nada." + "n" * 30).encode()).decode()) == []
+
+
+@pytest.mark.parametrize("cabecalho", [b'{ "alg": "HS256"}', b'{\n  "alg": "HS256"\n}', b'{\t"alg":"none"}'])
+@pytest.mark.parametrize("antes", ["", "token_", "Bearer-", "x.", "ey-"])
+def test_token_headers_are_found_by_decoding(cabecalho, antes):
+    t = ".".join([b64url(cabecalho), b64url(b'{"sub":"1"}'), b64url(b"s" * 32)])
+    assert [(a, z) for a, k, z in procura(f"{antes}{t} fim") if k == 3] == [(len(antes), len(antes) + len(t))]
+    mau = ".".join([b64url(cabecalho.replace(b"alg", b"gla")), b64url(b'{"sub":"1"}'), b64url(b"s" * 32)])
+    assert [k for _, k, _ in procura(f"{antes}{mau} fim") if k == 3] == []
+
+
+@pytest.mark.parametrize("pedaco", ["-ey", "/MIIE", "ZXlK/", "LS0tLS1CRUdJTi/", "eyJ.", "_M", "b3BlbnNzaC1r-", "30820"])
+def test_long_odd_texts_take_linear_time(pedaco):
+    import time
+
+    def segundos(n):
+        t = pedaco * (n // len(pedaco))
+        inicio = time.process_time()
+        assert [k for _, k, _ in procura(t) if k > 2] == []
+        return time.process_time() - inicio
+
+    assert segundos(200_000) < 10

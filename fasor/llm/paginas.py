@@ -39,10 +39,8 @@ MIN_LETRAS = 25
 #: With more templates than this over all hosts, they meet the pages by a shuffle instead of a broadcast.
 MAX_BROADCAST = 100_000
 
-_MARCA = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
-    re.DOTALL,
-)
+_MARCA = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_DO_FIM = re.compile(r"[>\"']")
 _ATRIBUTO = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _VAZIOS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CRUS = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -93,60 +91,139 @@ class No:
         self.tag, self.atributos, self.filhos = tag, atributos, []
 
 
+class _Marcas:
+    """Markup of a page in linear time: what a search has found, or that it finds nothing, is never looked for again."""
+
+    def __init__(self, pagina: str):
+        self._p = pagina
+        self._achados: dict[str, tuple[int, int]] = {}  # needle: searched from, found at (the length if nowhere)
+        self._especial = (0, -1, "")
+        self._fim_da_aspa: dict[int, int] = {}
+
+    def acha(self, agulha: str, i: int) -> int:
+        de, onde = self._achados.get(agulha, (0, -1))
+        if not de <= i <= onde:
+            onde = self._p.find(agulha, i)
+            onde = len(self._p) if onde < 0 else onde
+            self._achados[agulha] = i, onde
+        return onde
+
+    def _proximo(self, i: int) -> tuple[int, str]:
+        de, onde, qual = self._especial
+        if not de <= i <= onde:
+            m = _DO_FIM.search(self._p, i)
+            onde, qual = (m.start(), m.group()) if m else (len(self._p), "")
+            self._especial = i, onde, qual
+        return onde, qual
+
+    def fim(self, i: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``i``, outside quotes; -1 if there is none."""
+        passadas = []
+        while True:
+            onde, qual = self._proximo(i)
+            if qual in (">", ""):
+                fim = onde if qual else -1
+                break
+            if onde in self._fim_da_aspa:
+                fim = self._fim_da_aspa[onde]
+                break
+            passadas.append(onde)
+            i = self.acha(qual, onde + 1) + 1
+            if i > len(self._p):
+                fim = -1
+                break
+        for aspa in passadas:
+            self._fim_da_aspa[aspa] = fim
+        return fim
+
+
+class _Abertos:
+    """The open elements, with the places of each tag among them."""
+
+    def __init__(self, raiz: No):
+        self.nos = [raiz]
+        self._onde: dict[str, list[int]] = {}
+
+    def ultimo(self, tags: tuple | frozenset) -> int:
+        return max((self._onde[t][-1] for t in tags if self._onde.get(t)), default=0)
+
+    def abre(self, no: No) -> None:
+        self._onde.setdefault(no.tag, []).append(len(self.nos))
+        self.nos.append(no)
+
+    def corta(self, k: int) -> None:
+        while len(self.nos) > k:
+            self._onde[self.nos.pop().tag].pop()
+
+    def fecha(self, quais: tuple | frozenset, ate: tuple) -> None:
+        """Close the innermost of ``quais`` unless one of ``ate`` lies within it."""
+        k = self.ultimo(quais)
+        if k and k > self.ultimo(ate):
+            self.corta(k)
+
+
+_SEM_SAIDA = ("article", "main", "body", "table")
+
+
 def arvore(pagina: str) -> No:
     """Element tree of a page; text is kept as written."""
     raiz = No("")
-    abertos = [raiz]
-    i = 0
+    abertos = _Abertos(raiz)
+    marcas = _Marcas(pagina)
     n = len(pagina)
+    i = procura = 0  # text from i on is not yet taken
     while i < n:
-        m = _MARCA.search(pagina, i)
+        m = _MARCA.search(pagina, procura)
         if m is None:
-            abertos[-1].filhos.append(pagina[i:])
+            abertos.nos[-1].filhos.append(pagina[i:])
             break
-        if m.start() > i:
-            abertos[-1].filhos.append(pagina[i : m.start()])
-        i = m.end()
         tag = m.group(2)
+        inteiro = None
+        if tag is not None:
+            fim = marcas.fim(m.end())
+        elif m.group() == "<!--":
+            fim = min(marcas.acha("-->", m.end()) + 2, n - 1)
+        elif m.group() == "<![CDATA[":
+            onde = marcas.acha("]]>", m.end())
+            inteiro, fim = pagina[m.end() : onde], min(onde + 2, n - 1)
+        else:
+            onde = marcas.acha(">", m.end())
+            fim = onde if onde < n else -1
+        if fim < 0:  # no markup: the sign is text
+            procura = m.start() + 1
+            continue
+        if m.start() > i:
+            abertos.nos[-1].filhos.append(pagina[i : m.start()])
+        i = procura = fim + 1
+        if inteiro is not None:
+            abertos.nos[-1].filhos.append(html.escape(inteiro, False))
         if tag is None:
-            if m.group().startswith("<![CDATA["):
-                abertos[-1].filhos.append(html.escape(m.group()[9:].removesuffix("]]>"), False))
             continue
         tag = tag.lower()
         if m.group(1):
-            for k in range(len(abertos) - 1, 0, -1):
-                if abertos[k].tag == tag:
-                    del abertos[k:]
-                    break
-                if abertos[k].tag in ("article", "main", "body", "table") and tag not in _BLOCOS:
-                    break
+            k = abertos.ultimo((tag,))
+            if k and (tag in _BLOCOS or k > abertos.ultimo(tuple(t for t in _SEM_SAIDA if t != tag))):
+                abertos.corta(k)
             continue
         if tag in _BLOCOS and tag not in ("html", "body"):
-            _fecha(abertos, ("p",), ("button", "td", "th", "table", "article", "li", "div", "section"))
-            if tag in _TITULOS and abertos[-1].tag in _TITULOS:
-                abertos.pop()
+            abertos.fecha(("p",), ("button", "td", "th", "table", "article", "li", "div", "section"))
+            if tag in _TITULOS and abertos.nos[-1].tag in _TITULOS:
+                abertos.corta(len(abertos.nos) - 1)
         if tag in _FECHA:
-            _fecha(abertos, _FECHA[tag], _LIMITES.get(tag, ("select",)))
-        no = No(tag, m.group(3))
-        abertos[-1].filhos.append(no)
+            abertos.fecha(_FECHA[tag], _LIMITES.get(tag, ("select",)))
+        atributos = pagina[m.end() : fim]
+        no = No(tag, atributos)
+        abertos.nos[-1].filhos.append(no)
         if tag in _CRUS:
-            fim = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(pagina, i)
-            no.filhos.append(pagina[i : fim.start() if fim else n])
-            i = fim.end() if fim else n
-        elif tag not in _VAZIOS and not m.group(3).endswith("/"):
-            abertos.append(no)
+            fecho = re.compile(rf"</{tag}\b", re.IGNORECASE).search(pagina, i)
+            depois = marcas.acha(">", fecho.end()) if fecho else n
+            no.filhos.append(pagina[i : fecho.start() if depois < n else n])
+            i = procura = min(depois + 1, n)
+        elif tag not in _VAZIOS and not atributos.endswith("/"):
+            abertos.abre(no)
     return raiz
 
 
-def _fecha(abertos: list[No], quais: tuple | frozenset, ate: tuple) -> None:
-    for k in range(len(abertos) - 1, 0, -1):
-        if abertos[k].tag in quais:
-            del abertos[k:]
-            return
-        if abertos[k].tag in ate:
-            return
-
-
 def _limpo(s: str) -> str:
     return " ".join(html.unescape(s).split())
 
@@ -201,7 +278,9 @@ def subarvores(pagina: str) -> tuple[int, set[tuple[int, bool, bool]]]:
 
 
 def _principal(no: No) -> bool:
-    return no.tag == "main" or 'role="main"' in no.atributos
+    if no.tag == "main" or "main" not in no.atributos.lower():
+        return no.tag == "main"
+    return any(n.lower() == "role" and (a or b or c).strip().lower() == "main" for n, a, b, c in _ATRIBUTO.findall(no.atributos))
 
 
 def _guardados(raiz: No) -> set[int]:

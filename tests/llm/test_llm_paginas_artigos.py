@@ -68,3 +68,28 @@ def test_teaser_keeps_the_paragraph_it_repeats(spark, prosa):
     ]
     # the lead of page 0 stays in its article; a part of a name counts where the element recurs on the host
     assert textos(spark, feitas) == dict(enumerate(chamadas))
+
+
+@pytest.mark.parametrize("peca", ['<a "', "<a ' \"", "<a ", "<!", "<![CDATA[", "</i>", "</script", "<script></script", "<article><b></i>", "<!--", "<i><b></i", "<p><b>"])
+def test_pages_of_broken_markup_take_linear_time(peca):
+    import time
+
+    def segundos(n):
+        inicio = time.process_time()
+        paginas.texto_principal(peca * (n // len(peca)))
+        return time.process_time() - inicio
+
+    assert segundos(1_000_000) < 15
+
+
+def test_unclosed_markup_is_text_and_quotes_hide_signs():
+    assert paginas.texto_principal('<p>a <b "c</p> d') == 'a <b "c\n\nd'
+    assert paginas.texto_principal('<p title="x > y">a</p><p title=\'"\'>b</p>') == "a\n\nb"
+    assert paginas.texto_principal("<p>a</p><!-- b") == "a"
+    assert paginas.texto_principal("<p>1 < 2 <![CDATA[<i>]]> 3 <! 4") == "1 < 2 <i> 3 <! 4"
+
+
+@pytest.mark.parametrize("papel", ["role='main'", "role=main", 'ROLE="Main"', 'class="x" role = "main"'])
+def test_role_of_the_main_part_in_any_quotes(papel):
+    assert paginas.texto_principal(f"<body><div>lado</div><div {papel}><p>texto</p></div></body>") == "texto"
+    assert paginas.texto_principal('<body><div>lado</div><div class="main"><p>texto</p></div></body>') == "lado\n\ntexto"

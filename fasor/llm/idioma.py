@@ -4,8 +4,9 @@ Each language has a codeword of +1 and -1. For every bit a linear classifier ove
 by ridge regression; a text's language is the one whose codeword is nearest to the outputs under hinge loss, the bits
 weighted by their leave-one-out accuracy. Where the nearest two are close, the text is flagged ambiguous.
 
-The classifiers are fitted on at most ``por_idioma`` documents of each language, those of least hash of the id, and at
-most ``max_idiomas`` languages (more raise ValueError). Prediction reads every whole text.
+The classifiers are fitted on at most ``por_idioma`` documents of each language, those of least hash of the id, and on
+about ``max_linhas`` in all: with many languages each gives fewer, ``MIN_POR_IDIOMA`` at least. The ``max_idiomas`` languages with most labelled
+documents (ties by name) are learned; texts of rarer ones go to the nearest of these. Prediction reads every whole text.
 
 Defined results: NULL text and text without letters are ``und`` with score 0, not ambiguous. A single language is
 always predicted with score 1; without any labelled document everything is ``und``. NULL labels are not learned from.
@@ -29,7 +30,9 @@ from fasor.llm.comum import MINUSCULA, blocos, resto_do_id
 
 DIMENSOES = 4096
 POR_IDIOMA = 400
-MAX_IDIOMAS = 64
+MAX_IDIOMAS = 1024
+MAX_LINHAS = 8192
+MIN_POR_IDIOMA = 8
 SEM_IDIOMA = "und"
 
 #: Letters stay, everything else that is ASCII becomes a space.
@@ -100,7 +103,9 @@ class Modelo:
             n = len(x)
             return np.zeros(n, int), np.ones(n), np.zeros(n, bool)
         saida = x @ self.pesos + self.vies
-        perda = np.maximum(0, 1 - saida[:, None, :] * self.codigo[None]) @ self.peso_do_bit
+        # hinge loss of every bit for +1 and for -1, then summed over the bits of each codeword
+        de_mais, de_menos = np.maximum(0, 1 - saida) * self.peso_do_bit, np.maximum(0, 1 + saida) * self.peso_do_bit
+        perda = de_mais @ (self.codigo.T > 0) + de_menos @ (self.codigo.T < 0)
         ordem = np.argsort(perda, axis=1, kind="stable")
         linhas = np.arange(len(x))
         p = np.exp(-4 * (perda - perda.min(1, keepdims=True)))
@@ -114,29 +119,49 @@ def treina(x: np.ndarray, idiomas: list[str], regulariza: float = 0.05, margem:
     c = codigo(len(nomes)) if nomes else np.zeros((0, 0))
     if len(nomes) < 2:
         return Modelo(nomes, c, np.zeros((DIMENSOES, 0)), np.zeros(0), np.zeros(0), margem)
-    qual = np.array([nomes.index(i) for i in idiomas])
-    y = c[qual]
+    numero = {nome: i for i, nome in enumerate(nomes)}
+    y = c[[numero[i] for i in idiomas]]
     vies = y.mean(0)
     centro = x.mean(0, dtype=np.float64)
     xc = (x - centro).astype(np.float64)
-    inversa = np.linalg.inv(xc @ xc.T + regulariza * np.eye(len(x)))
-    a = inversa @ (y - vies)
-    pesos = xc.T @ a
-    fora = y - a / np.diag(inversa)[:, None]  # each document's output without itself
+    # of the two equal solutions the one that inverts the smaller matrix; ``fora``: each document's output without itself
+    if len(x) <= DIMENSOES:
+        inversa = np.linalg.inv(xc @ xc.T + regulariza * np.eye(len(x)))
+        a = inversa @ (y - vies)
+        pesos = xc.T @ a
+        fora = y - a / np.diag(inversa)[:, None]
+    else:
+        inversa = np.linalg.inv(xc.T @ xc + regulariza * np.eye(DIMENSOES))
+        pesos = inversa @ (xc.T @ (y - vies))
+        peso_de_si = np.concatenate([((p @ inversa) * p).sum(1) for p in np.array_split(xc, len(x) // 1024 + 1)])
+        fora = y - (y - vies - xc @ pesos) / (1 - peso_de_si)[:, None]
     acerto = (np.sign(fora) == y).mean(0)
     peso = np.maximum(acerto - 0.5, 0.01)
     return Modelo(nomes, c, pesos.astype(np.float32), (vies - centro @ pesos), peso / peso.sum(), margem)
 
 
-def amostra(docs: DataFrame, treino: Column, por_idioma: int = POR_IDIOMA, max_idiomas: int = MAX_IDIOMAS) -> tuple[np.ndarray, list[str]]:
+def _primeiros(n: int, de: int) -> int:
+    """A hash below which more than ``n`` of ``de`` documents lie, but for a chance of less than one in 10^20."""
+    return min((1 << 63) - 1, int((n + 10 * math.sqrt(n) + 50) / de * 2**64) - (1 << 63))
+
+
+def amostra(
+    docs: DataFrame, treino: Column, por_idioma: int = POR_IDIOMA, max_idiomas: int = MAX_IDIOMAS, max_linhas: int = MAX_LINHAS
+) -> tuple[np.ndarray, list[str]]:
     """Vectors and languages of the bounded sample of ``docs`` where ``treino`` holds."""
     candidatos = docs.filter(treino & F.col("lang").isNotNull()).select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
+    maiores = candidatos.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(max_idiomas).collect()
+    cada = min(por_idioma, max(MIN_POR_IDIOMA, max_linhas // max(1, len(maiores))))
+    # only hashes that may be among the least are dealt by language, so that no task takes all rows of one
+    limites = docs.sparkSession.createDataFrame([(r["__lang"], _primeiros(cada, r["count"])) for r in maiores], "__lang string, __limite bigint")
     ordem = Window.partitionBy("__lang").orderBy(F.xxhash64("__id"), "__id")
     ids = (
-        candidatos.withColumn("n", F.row_number().over(ordem)).filter(F.col("n") <= por_idioma).drop("n")
+        candidatos.join(F.broadcast(limites), "__lang")
+        .filter(F.xxhash64("__id") <= F.col("__limite"))
+        .withColumn("n", F.row_number().over(ordem))
+        .filter(F.col("n") <= cada)
+        .select("__id", "__lang")
     )
-    if candidatos.select("__lang").distinct().limit(max_idiomas + 1).count() > max_idiomas:
-        raise ValueError(f"more than {max_idiomas} languages")
 
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lote in lotes:
@@ -146,7 +171,7 @@ def amostra(docs: DataFrame, treino: Column, por_idioma: int = POR_IDIOMA, max_i
                     names=["__id", "__lang", "x"],
                 )
 
-    # por_idioma x max_idiomas rows at most: the bound of the broadcast and of what comes to the driver
+    # max_linhas rows, or MIN_POR_IDIOMA x max_idiomas, at most: the bound of the broadcast and of what comes to the driver
     tipo = docs.schema["doc_id"].dataType.simpleString()
     linhas = (
         docs.select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), F.col("text").cast("binary").alias("t"))

@@ -59,8 +59,37 @@ def test_language_few_labels(spark):
     assert {(x.lang_pred, x.score) for x in idioma.identifica(um).collect()} == {("pt", 1.0), ("und", 0.0)}
     nenhum = spark.createDataFrame([(1, "abc", None)], vazio.schema)
     assert [x.lang_pred for x in idioma.identifica(nenhum).collect()] == ["und"]
-    with pytest.raises(ValueError):
-        idioma.amostra(spark.createDataFrame([(i, "a", f"l{i}") for i in range(200)], vazio.schema), F.lit(True))
+    # more languages than are learned: those with most documents, by name where equal
+    muitos = spark.createDataFrame([(i, "a", f"l{i:03d}") for i in range(200)] + [(200, "a", "l150")], vazio.schema)
+    assert sorted(idioma.amostra(muitos, F.lit(True), max_idiomas=3)[1]) == ["l000", "l001", "l150", "l150"]
+
+
+def test_a_hundred_languages(spark):
+    import random
+
+    r = random.Random(5)
+    # languages of their own syllables; and misspelt tags that hardly occur
+    vocabularios = [["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 7))) for _ in range(30)] for _ in range(100)]
+    linhas = [(i, " ".join(r.choice(vocabularios[i % 100]) for _ in range(25)), f"l{i % 100:02d}") for i in range(4000)]
+    linhas += [(4000 + i, "nada disto", f"raro{i}") for i in range(20)]
+    docs = spark.createDataFrame(linhas, "doc_id bigint, text string, lang string").repartition(6)
+    x, quais = idioma.amostra(docs, idioma.resto_do_id(F.col("doc_id")) != 1, max_idiomas=100, max_linhas=2000)
+    assert len(set(quais)) == 100 and max(map(quais.count, set(quais))) <= 20 and not any(q.startswith("raro") for q in quais)
+    modelo = idioma.treina(x, quais)
+    certos = idioma.prediz(docs, modelo).filter(~F.col("lang").startswith("raro") & (idioma.resto_do_id(F.col("doc_id")) == 1)).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert certos > 0.95
+
+
+def test_both_solutions_are_equal(monkeypatch):
+    gerador = np.random.default_rng(2)
+    x = gerador.random((90, 32)).astype(np.float32)
+    quais = [f"l{i % 3}" for i in range(90)]
+    monkeypatch.setattr(idioma, "DIMENSOES", 32)
+    primal = idioma.treina(x, quais)
+    monkeypatch.setattr(idioma, "DIMENSOES", 90)
+    dual = idioma.treina(x, quais)
+    assert np.allclose(primal.pesos, dual.pesos, atol=1e-3) and np.allclose(primal.peso_do_bit, dual.peso_do_bit)
+    assert np.allclose(primal.vies, dual.vies, atol=1e-3)
 
 
 def test_machine_learns_a_pair():

@@ -7,8 +7,8 @@ text is cut there as elsewhere; copies of a text have the same paragraphs whatev
 
 Equal paragraphs (A-Z lower-cased, white space alike) are one content. Contents meet by MinHash bands of their five-word
 shingles, with as many rows as the recall at the threshold allows for ``MAX_BANDAS`` bands. A band key that many
-contents have, as those do that share one frequent phrase, is replaced by finer bands of more rows within it, tuned for
-the same recall. Contents that collide are compared by exact Jaccard similarity, and the links' components are clusters.
+contents have, as those do that share one frequent phrase, is replaced within it by the rarest shingles of each content,
+as many as any two that reach the threshold must share one of: no pair that the key has is lost. Contents that collide are compared by exact Jaccard similarity, and the links' components are clusters.
 Before their sets move, sizes and cells rule out pairs that cannot reach the threshold (see ``_podem``); no pair that can
 is lost by that.
 Repeated are the paragraphs of a cluster that more than one document has, where those that follow each other in a
@@ -42,11 +42,12 @@ LIMIAR = 0.8
 #: Share of pairs at the threshold that meet; more similar ones meet more often.
 RECALL = 0.98
 MAX_BANDAS = 4
-#: A key of more contents is replaced by keys of more rows.
+#: A key of more contents is replaced by finer ones, which lose no pair that can reach the threshold.
 CONTEUDOS_POR_CHAVE = 32
-MAX_BANDAS_FINAS = 16
 #: Contents of a batch of texts that share a key, from which on the key's rows are dealt to several tasks.
 QUENTE_NO_LOTE = 2000
+#: Rows of a finer key are dealt to parts of about this size.
+LINHAS_POR_PARTE = 4096
 #: Words of 64 cells, into which a content's shingles fall.
 PALAVRAS_DE_CELULAS = 4
 
@@ -174,6 +175,7 @@ def _chaves(docs: DataFrame, b: int, r: int) -> DataFrame:
     """Band keys of the contents: chave, id, parte. A content occurs once for each batch of texts that has it.
 
     A key that very many contents of a batch have is dealt to parts by its share, so that none of its groups is large.
+    Part 0, where other batches have it, is told by a row without id.
     """
     partes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -198,8 +200,15 @@ def _chaves(docs: DataFrame, b: int, r: int) -> DataFrame:
             distintas, qual, vezes = np.unique(chave, return_inverse=True, return_counts=True)
             em = np.where(vezes >= QUENTE_NO_LOTE, 4 * partes * vezes * b // len(chave) + 1, 0)[qual].astype(np.uint64)
             parte = np.where(em > 0, 1 + mistura(id) % np.maximum(em, 1), 0)
+            dadas = distintas[vezes >= QUENTE_NO_LOTE]
+            avisos = np.arange(len(id) + len(dadas)) >= len(id)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chave.view(np.int64)), pa.array(id.view(np.int64)), pa.array(parte.astype(np.int32))], names=["chave", "id", "parte"]
+                [
+                    pa.array(np.concatenate([chave, dadas]).view(np.int64)),
+                    pa.array(np.concatenate([id, dadas]).view(np.int64), mask=avisos),
+                    pa.array(np.concatenate([parte, np.zeros(len(dadas), parte.dtype)]).astype(np.int32)),
+                ],
+                names=["chave", "id", "parte"],
             )
 
     # one exchange serves the distinct rows here and the groups by key that follow
@@ -207,26 +216,39 @@ def _chaves(docs: DataFrame, b: int, r: int) -> DataFrame:
 
 
 def _grupos(chaves: DataFrame) -> DataFrame:
-    """Rows of keys that more than one content has: chave, id, centro (one of them), quente (more than a few)."""
+    """Rows of keys that more than one content has: chave, id, centro (one of them), quente (more than a few, or dealt to
+    parts anywhere, see ``_chaves``)."""
     grupo = Window.partitionBy("chave", "parte")
+    dada = (F.col("parte") > 0) | (F.col("__linhas") > F.col("__n"))  # the row without id
     return materializa(
-        chaves.withColumns({"__n": F.count("*").over(grupo), "centro": F.min("id").over(grupo)})
-        .filter("__n > 1 OR parte > 0")
-        .select("chave", "id", "centro", (F.greatest("__n", F.col("parte") * QUENTE_NO_LOTE) > CONTEUDOS_POR_CHAVE).alias("quente"))
+        chaves.withColumns({"__n": F.count("id").over(grupo), "__linhas": F.count("*").over(grupo), "centro": F.min("id").over(grupo)})
+        .filter(F.col("id").isNotNull() & ((F.col("__n") > 1) | dada))
+        .select("chave", "id", "centro", ((F.col("__n") > CONTEUDOS_POR_CHAVE) | dada).alias("quente"))
     )
 
 
-def _chaves_finas(quentes: DataFrame, conjuntos: DataFrame, b: int, r: int) -> DataFrame:
-    """Keys of more rows within the keys that many contents share."""
-    def minimo(k: int):
-        return F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(k))))
+def _chaves_finas(quentes: DataFrame, conjuntos: DataFrame, limiar: float) -> DataFrame:
+    """Keys within the keys that many contents share: the rarest shingles of each content.
 
-    bandas_ = F.array(*[F.xxhash64(F.lit(j), *[F.col("m")[j * r + k] for k in range(r)]) for j in range(b)])
-    minimos = conjuntos.join(quentes.select("id").distinct(), "id", "left_semi").select("id", F.array(*[minimo(k) for k in range(b * r)]).alias("m"))
-    finas = materializa(minimos.select("id", bandas_.alias("finas")))
+    A set of n elements shares at least t * n of them with any set that reaches the threshold with it, so the first
+    n - t * n + 1 of both, in one order of all shingles, have an element in common. Rare shingles come first.
+    """
+    usados = conjuntos.join(quentes.select("id").distinct(), "id", "left_semi")
+    sombras = materializa(usados.select("id", F.explode("s").alias("sombra")))
+    contas = materializa(sombras.groupBy("sombra").agg(F.count("*").alias("n")))
+    n = F.size("m")
+    primeiras = F.slice("m", 1, (n - F.ceil(F.lit(limiar) * n - F.lit(1e-9)) + 1).cast("int"))
+    finas = materializa(
+        a_cada_linha(sombras, contas, ["sombra"], "n")
+        .groupBy("id")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "sombra"))).alias("m"))
+        .select("id", primeiras.alias("finas"))
+    )
+    partes = F.floor(F.col("fina.n") / LINHAS_POR_PARTE)
+    parte = F.when(partes > 1, 1 + F.pmod(F.xxhash64("id"), partes)).otherwise(0)
     return (
         quentes.select("chave", "id").distinct().join(finas, "id").select("chave", "id", F.explode("finas").alias("fina"))
-        .select(F.xxhash64("chave", "fina").alias("chave"), "id", F.lit(0).alias("parte"))
+        .select(F.xxhash64("chave", "fina.sombra").alias("chave"), "id", parte.cast("int").alias("parte"))
         .distinct()
     )
 
@@ -276,7 +298,7 @@ def agrupa(docs: DataFrame, limiar: float = LIMIAR) -> DataFrame:
     ids = materializa(grupos.select("id").distinct())
     conjuntos = _conjuntos(docs, conteudos.join(ids, "id", "left_semi").select("id", "d0", "lugar"))
     conjuntos = materializa(conjuntos.withColumn("peso", _peso()))
-    finas = _grupos(_chaves_finas(grupos.filter("quente"), conjuntos, *bandas(limiar, maximo=MAX_BANDAS_FINAS)))
+    finas = _grupos(_chaves_finas(grupos.filter("quente"), conjuntos, limiar))
     pesos = conjuntos.select("id", "peso")
     linhas = materializa(
         grupos.filter("NOT quente").unionByName(finas).select("chave", "id", "centro")

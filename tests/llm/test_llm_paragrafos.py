@@ -132,6 +132,49 @@ def test_contents_that_share_a_frequent_phrase(spark, monkeypatch):
     assert len({d for d, _ in achado}) >= 0.95 * len({d for d in juntos if d % 4 == 0 and d + 1000 in juntos})
 
 
+def test_no_pair_of_a_frequent_key_is_lost(spark, monkeypatch):
+    """Contents in one key, with pairs right at the threshold: all of them are linked, not most."""
+    g = random.Random(8)
+    linhas = []
+    for i in range(900):
+        w = [x.strip(".") for x in prosa(g, 19)]
+        linhas += [(i, " ".join(w[:16])), (10000 + i, " ".join(w))]  # 12 of 15 shingles are common
+    inteiros = [p == [(h, 0, n)] for p, n in zip(partes([t for _, t in linhas]), [16, 19] * 900) for h in [p[0][0]]]
+    pares = [i for i in range(900) if inteiros[2 * i] and inteiros[2 * i + 1]]
+    chaves = paragrafos._chaves
+
+    def uma(docs, b, r):
+        return chaves(docs, b, r).filter("id IS NOT NULL").select(F.lit(1).cast("bigint").alias("chave"), "id", F.lit(0).alias("parte")).distinct()
+
+    monkeypatch.setattr(paragrafos, "_chaves", uma)
+    achados = defaultdict(set)
+    for x in paragrafos.op7_paragrafos(spark.createDataFrame(linhas, DOCS)).collect():
+        achados[x.cluster_id].add(x.doc_id)
+    juntos = {d: c for c, m in achados.items() for d in m}
+    assert len(pares) > 100
+    assert [i for i in pares if i not in juntos or juntos[i] != juntos.get(10000 + i)] == []
+
+
+def test_rows_of_a_key_that_another_batch_deals_to_parts_stay(spark):
+    """Part 0 of such a key has few rows or one; it is replaced by finer keys like the parts."""
+    linhas = [(1, 10, 1), (1, 11, 2), (1, 12, 0), (1, None, 0), (2, 13, 0), (3, None, 0), (4, 14, 0), (4, 15, 0)]
+    df = spark.createDataFrame(linhas, "chave bigint, id bigint, parte int")
+    assert {(x.chave, x.id, x.quente) for x in paragrafos._grupos(df).collect()} == {
+        (1, 10, True), (1, 11, True), (1, 12, True), (4, 14, False), (4, 15, False)
+    }
+
+
+def test_dealt_keys_are_told(spark, monkeypatch):
+    g = random.Random(9)
+    frase = [x.strip(".") for x in prosa(g, 9)]
+    linhas = [(i, " ".join(frase + [x.strip(".") for x in prosa(g, 4)])) for i in range(60)]
+    monkeypatch.setattr(paragrafos, "QUENTE_NO_LOTE", 10)
+    chaves = paragrafos._chaves(spark.createDataFrame(linhas, DOCS).coalesce(1), 4, 1).collect()
+    dadas = {x.chave for x in chaves if x.parte > 0}
+    assert dadas and dadas == {x.chave for x in chaves if x.id is None}
+    assert all(x.parte == 0 for x in chaves if x.id is None)
+
+
 def test_no_words_of_a_family_meet():
     """A word of 1024 letters and its complement, whose polynomials are equal modulo any power of two up to 2^64."""
     w = "a"

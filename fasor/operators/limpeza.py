@@ -244,6 +244,16 @@ def leituras(interpretadas: DataFrame) -> DataFrame:
 
 #: A file's hour of more lines than this is dealt to several tasks.
 LINHAS_POR_PARTE = 200_000
+#: Lines that a task takes to sum hours.
+LINHAS_POR_TAREFA = 200_000
+
+
+def _reparte(df: DataFrame, n: int, chave: Sequence[str]) -> DataFrame:
+    """Deal rows by key to tasks that grow in number with the ``n`` lines, so that the rows of one do not."""
+    if n <= LINHAS_POR_TAREFA:
+        return df.repartition(*chave)
+    paralelas = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(-(-n // LINHAS_POR_TAREFA), paralelas), *chave)
 
 
 def _por_hora(lidas: DataFrame, limite: int, linhas: DataFrame | None = None) -> list[tuple[DataFrame, list[str]]]:
@@ -251,28 +261,37 @@ def _por_hora(lidas: DataFrame, limite: int, linhas: DataFrame | None = None) ->
     also by the hash of their values, which equal lines share. With each part the columns it is dealt by besides.
 
     Only files of more than ``limite`` lines can have such an hour. ``linhas``, the raw lines, tells which these are
-    without reading a time or a number, so where there are none nothing is parsed for the count.
+    without reading a time or a number, so where there are none nothing is parsed for the count. The number of all lines
+    sets the number of tasks (see ``_reparte``).
     """
     hora = ["arquivo", "data_hora"]
     contadas = lidas
+    total = None
     if linhas is not None:
-        por_arquivo = linhas.groupBy("arquivo").agg(F.count(F.lit(1)).alias("n"))
-        grandes = materializa(por_arquivo.filter(F.col("n") > limite).select("arquivo"))
+        por_arquivo = materializa(linhas.groupBy("arquivo").agg(F.count(F.lit(1)).alias("n")))
+        total = por_arquivo.agg(F.sum("n")).first()[0] or 0
+        grandes = por_arquivo.filter(F.col("n") > limite).select("arquivo")
         if grandes.isEmpty():
-            return [(lidas.repartition(*hora), [])]
+            return [(_reparte(lidas, total, hora), [])]
         contadas = junta(lidas, grandes, ["arquivo"], "left_semi")
+    por_hora = contadas.groupBy(*hora).agg(F.count(F.lit(1)).alias("n"))
+    if total is None:
+        por_hora = materializa(por_hora)
+        total = por_hora.agg(F.sum("n")).first()[0] or 0
     quentes = materializa(
-        contadas.groupBy(*hora)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > limite)
-        .select(*hora, F.ceil(F.col("n") / F.lit(limite)).alias("_partes"))
+        por_hora.filter(F.col("n") > limite).select(*hora, "n", F.ceil(F.col("n") / F.lit(limite)).alias("_partes"))
     )
     if quentes.isEmpty():
-        return [(lidas.repartition(*hora), [])]
+        return [(_reparte(lidas, total, hora), [])]
+    nas_quentes = quentes.agg(F.sum("n")).first()[0]
+    quentes = quentes.drop("n")
     frias = junta(lidas, quentes.select(*hora), hora, "left_anti", ["valores"])
     parte = F.pmod(F.xxhash64("valores"), F.col("_partes"))
     partidas = junta(lidas, quentes, hora, espalhar_por=["valores"]).withColumn("_parte", parte).drop("_partes")
-    return [(frias.repartition(*hora), []), (partidas.repartition(*hora, "_parte"), ["_parte"])]
+    return [
+        (_reparte(frias, total - nas_quentes, hora), []),
+        (_reparte(partidas, nas_quentes, [*hora, "_parte"]), ["_parte"]),
+    ]
 
 
 def _unicas(lidas: DataFrame, por: str, parte: Sequence[str]) -> DataFrame:

@@ -86,6 +86,25 @@ def test_hour_of_very_many_lines_spreads(spark):
     assert limpeza.sem_duplicatas(lidas, limite=100).count() == 3000
 
 
+@pytest.mark.parametrize("com_linhas", [True, False])
+def test_tasks_that_sum_hours_grow_in_number_with_the_lines(spark, monkeypatch, com_linhas):
+    monkeypatch.setattr(limpeza, "LINHAS_POR_TAREFA", 100, raising=False)
+    lidas = lidas_de_teste(spark, 20000)
+
+    def dealt(limite):
+        partes = limpeza._por_hora(lidas, limite, lidas.select("arquivo") if com_linhas else None)
+        return [df.rdd.getNumPartitions() for df, _ in partes]
+
+    assert dealt(10**9) == [200]
+    assert sum(dealt(3000)) >= 200  # one part for the hours of many lines, if there are any
+    poucas = lidas_de_teste(spark, 90)
+    linhas = poucas.select("arquivo") if com_linhas else None
+    assert limpeza._por_hora(poucas, 10**9, linhas)[0][0].rdd.getNumPartitions() <= 8
+    largas = sorted(map(tuple, limpeza.horas_largas(lidas).collect()), key=str)
+    monkeypatch.setattr(limpeza, "LINHAS_POR_TAREFA", 10**9, raising=False)
+    assert sorted(map(tuple, limpeza.horas_largas(lidas).collect()), key=str) == largas
+
+
 def base_gravada(spark, pasta):
     medicoes = spark.createDataFrame(
         [(f"t{i}", datetime(ano, mes, 1), [1.0, None]) for i in range(20) for ano in (2020, 2021, 2023) for mes in (1, 2)],

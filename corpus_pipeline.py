@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fasor.llm import consultas, descontaminacao, empacotamento, exatos, idioma, jaccard
-from fasor.llm.comum import le, leva_codigo, materializa
+from fasor.llm.comum import CHAVE_DO_LOTE, le, leva_codigo, lotes_curtos, materializa
 
 #: Documents whose two nearest languages are close and that score less are no language's.
 SCORE_MINIMO = 0.4
@@ -22,6 +22,7 @@ SOMBRA = 5
 
 def idiomas(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leva_codigo(spark)
+    lotes_curtos(spark)
     # the other columns travel in one, so that none of them is taken for a result
     outras = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__doc")
     previstos = idioma.identifica(docs.select(outras, "doc_id", "text", "lang"))
@@ -35,11 +36,13 @@ def copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quase_copias(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leva_codigo(spark)
+    lotes_curtos(spark)
     return jaccard.um_por_componente(docs, k=SOMBRA, limiar=LIMIAR)
 
 
 def sem_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leva_codigo(spark)
+    lotes_curtos(spark)
     return descontaminacao.descontamina(docs, le(spark, sf_dir, "benchmark"))
 
 
@@ -63,8 +66,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage over the table ``documents``."""
     docs = le(spark, sf_dir, "documents")
-    for _, etapa in STAGES[:-1]:
-        docs = materializa(etapa(spark, docs, sf_dir))
+    antes = spark.conf.get(CHAVE_DO_LOTE, None)
+    try:
+        for _, etapa in STAGES[:-1]:
+            docs = materializa(etapa(spark, docs, sf_dir))
+    finally:
+        if antes is None:  # the stages set it, and all that they hand to Python is written now
+            spark.conf.unset(CHAVE_DO_LOTE)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

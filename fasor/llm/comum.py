@@ -20,6 +20,12 @@ __all__ = ["materializa", "pasta_compartilhada"]
 
 #: Bytes of text that are turned into numbers at once. A longer text is a block of its own.
 BLOCO = 1 << 20
+#: The same where the arrays of a block are many times its bytes: a worker keeps the memory that its largest block took.
+BLOCO_CURTO = 1 << 18
+#: Session setting of the bytes that Python workers get at once, and its value where several operators follow each other.
+#: Spark's own is 64 MB, which the executor holds beside its heap, and the worker, for every task and column of texts.
+CHAVE_DO_LOTE = "spark.sql.execution.arrow.maxBytesPerBatch"
+LOTE = 4 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -89,6 +95,12 @@ def leva_codigo(spark: SparkSession) -> None:
     _LEVADO.add(aplicacao)
 
 
+def lotes_curtos(spark: SparkSession) -> None:
+    """Hand rows to the Python workers of the session in batches of about LOTE bytes, if it says nothing of them itself."""
+    if spark.conf.get(CHAVE_DO_LOTE, None) is None:
+        spark.conf.set(CHAVE_DO_LOTE, str(LOTE))
+
+
 def le(spark: SparkSession, pasta: str, tabela: str) -> DataFrame:
     return spark.read.parquet(f"{pasta.rstrip('/')}/{tabela}.parquet")
 
@@ -126,7 +138,7 @@ def _potencia(qual: int, n: int, inversa: bool = False) -> np.ndarray:
         primo, base = PRIMOS[qual]
         base = pow(base, -1, int(primo)) if inversa else base
         p = np.ones(1, np.uint64)
-        while len(p) < max(n, BLOCO + (BLOCO >> 1)):
+        while len(p) < n:
             p = np.concatenate((p, p * np.uint64(pow(base, len(p), int(primo))) % primo))
         if len(p) <= 4 * BLOCO:
             _potencias[qual, inversa] = p

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fasor.llm.comum import MINUSCULA, blocos, resto_do_id
+from fasor.llm.comum import BLOCO_CURTO, MINUSCULA, blocos, resto_do_id
 
 DIMENSOES = 4096
 POR_IDIOMA = 400
@@ -44,7 +44,7 @@ _ASCII_LETRA[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 def vetores(textos: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, end row, unit vectors of the n-gram counts' roots, and which rows have letters."""
-    for a, z, bloco, inicio in blocos(textos, max_linhas=512):
+    for a, z, bloco, inicio in blocos(textos, BLOCO_CURTO, 512):
         n = z - a
         cru = np.frombuffer(bloco, np.uint8)
         b = _LETRA[cru].astype(np.uint32)

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from fasor.llm import ligacoes
 from fasor.llm.comum import (
+    BLOCO_CURTO,
     a_cada_linha,
     blocos,
     com_ids,
@@ -92,7 +93,7 @@ def _medidas(docs: DataFrame, k: int) -> DataFrame:
         contas = np.zeros(1 << CELULAS, np.int32)
         nomes = ["doc_id", "n", "d1", "d2", "parte", "contas"]
         for lote in lotes:
-            for a, z, bloco, inicio in blocos(lote.column(1)):
+            for a, z, bloco, inicio in blocos(lote.column(1), BLOCO_CURTO):
                 s, linha = sombras(bloco, inicio, k)
                 n = np.bincount(linha, minlength=z - a)
                 d = []
@@ -155,7 +156,7 @@ def _grava_textos(unicos: DataFrame, ids: DataFrame, classe, k: int, limiar: int
     def tarefa(lotes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = classe.value
         for lote in lotes:
-            for a, z, bloco, inicio in blocos(lote.column(1)):
+            for a, z, bloco, inicio in blocos(lote.column(1), BLOCO_CURTO):
                 s, linha = sombras(bloco, inicio, k)
                 n = np.bincount(linha, minlength=z - a)
                 listas = []
@@ -217,7 +218,7 @@ def _verificador(unicos: DataFrame, classe, k: int, limiar: int):
             i = 0
             while i < len(lote):  # runs of pairs of about a block of text; texts of equal a come together
                 f, bytes_, unicos, quem = i, 0, [], []
-                while f < len(lote) and (f == i or bytes_ < 1 << 20):
+                while f < len(lote) and (f == i or bytes_ < BLOCO_CURTO):
                     novo = f == i or ida[f] != ida[f - 1]
                     if novo:
                         unicos.append(ta[f].as_py())
@@ -323,7 +324,7 @@ def _grupos(unicos: DataFrame, classe, k: int, limiar: int) -> DataFrame:
         cl = classe.value
         for lote in lotes:
             ids = np.array(lote.column(0))
-            for a, z, bloco, inicio in blocos(lote.column(1)):
+            for a, z, bloco, inicio in blocos(lote.column(1), BLOCO_CURTO):
                 s, linha = sombras(bloco, inicio, k)
                 n = np.bincount(linha, minlength=z - a)
                 em, lugar = prefixos(s, linha, n, cl, 0, limiar)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from fasor.functions import eletrica
 from fasor.operators.blocos import CASAS, leituras
 from fasor.operators.cadastro import LUGARES, potencia_instalada
-from fasor.operators.juncao import junta
+from fasor.operators.juncao import junta, junta_grandes
 from fasor.operators.materializa import materializa
 
 POSICOES = tuple(f"pos_{lugar}" for lugar in LUGARES)
@@ -45,7 +45,7 @@ def lugares_nas_tabelas(catalogo: DataFrame, resolvidos: DataFrame, caso: str =
         "codigo", "lugar", chave("descricao").alias("_chave")
     )
     return (
-        colunas.join(pedidos, "_chave")
+        junta_grandes(colunas, pedidos, ["_chave"])
         .groupBy("codigo", "tabela", "tabela_ordem")
         .agg(
             *[

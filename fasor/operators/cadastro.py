@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from fasor.functions.texto import SUFIXOS
-from fasor.operators.juncao import junta
+from fasor.operators.juncao import junta, junta_grandes
 from fasor.operators.materializa import materializa
 
 LUGARES = ("eae", "ear", "ere", "err")
@@ -59,7 +59,7 @@ def canais(codigos: DataFrame) -> DataFrame:
 def resolve_canais(codigos: DataFrame, medidores: DataFrame) -> DataFrame:
     """Measurement column of each channel: ``(codigo, eae, ear, ere, err)``, NULL when unknown."""
     dicionario = medidores.select(F.col("codigo").alias("canal"), "descricao")
-    achados = canais(codigos).join(dicionario, "canal", "left")
+    achados = junta_grandes(canais(codigos), dicionario, ["canal"], "left")
     return achados.groupBy("codigo").agg(
         *[
             F.min(F.when(F.col("sufixo") == s, F.col("descricao"))).alias(lugar)

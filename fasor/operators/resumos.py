@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fasor.functions.numero import arredonda
 from fasor.functions.tempo import instante_da_ordem, ordem_na_base
 from fasor.operators import kpi
-from fasor.operators.juncao import junta
+from fasor.operators.juncao import junta, junta_grandes
 from fasor.operators.materializa import materializa
 
 #: Largest distinct values of P that a month keeps.
@@ -134,9 +134,9 @@ def estatisticas(resumos: DataFrame) -> DataFrame:
 def _indecisos(resumos: DataFrame, figuras: DataFrame) -> DataFrame:
     """Months whose kept values all lie beyond the equipment's bound, and which had more: ``(codigo, ano, mes)``."""
     ultimo = F.get("maiores", F.size("maiores") - 1)["p"]
+    cortados = resumos.filter(F.col("distintos") > F.size("maiores"))
     return (
-        resumos.filter(F.col("distintos") > F.size("maiores"))
-        .join(figuras.select("codigo", "limite_superior"), "codigo")
+        junta(cortados, figuras.select("codigo", "limite_superior"), ["codigo"], espalhar_por=["ano", "mes"])
         .filter(ultimo >= F.col("limite_superior"))
         .select(*CHAVE)
     )
@@ -152,7 +152,8 @@ def painel(resumos: DataFrame, horas: Callable[[DataFrame], DataFrame]) -> DataF
     candidatos = resumos.select("codigo", F.explode("maiores").alias("v")).select("codigo", "v.p", "v.ordem", "v.q")
     indecisos = materializa(_indecisos(resumos, figuras))
     if not indecisos.isEmpty():
-        de_novo = por_mes(horas(indecisos)).join(indecisos, list(CHAVE), "left_semi")
+        # a month of an equipment has at most 744 hours: nothing to spread
+        de_novo = junta(por_mes(horas(indecisos)), indecisos, CHAVE, "left_semi")
         ordem = ordem_na_base(F.col("tabela_ordem"), F.col("data_hora"))
         candidatos = candidatos.unionByName(materializa(de_novo.select("codigo", "p", ordem.alias("ordem"), "q")))
     abaixo = (
@@ -161,22 +162,26 @@ def painel(resumos: DataFrame, horas: Callable[[DataFrame], DataFrame]) -> DataF
         .groupBy("codigo")
         .agg(F.max("p").alias("max_p_filtrado"))
     )
-    limitadas = materializa(kpi.com_limites(figuras.join(abaixo, "codigo", "left")))
+    limitadas = materializa(kpi.com_limites(junta_grandes(figuras, abaixo, ["codigo"], "left")))
     valores = limitadas.select("codigo", "max_p_robusto", F.col("min_p").alias("_min_p")).dropna()
-    no_maximo = (
-        junta(candidatos, valores, ["codigo"], espalhar_por=["ordem"])
-        .filter(F.col("p") == F.col("max_p_robusto"))
-        .groupBy("codigo")
-        .agg(F.min("ordem").alias("_max"), F.min_by("q", "ordem").alias("q_no_maximo"))
-    )
+    # largest and least ones in one join, so that the values are broadcast once
     menores = resumos.select("codigo", "menor.p", "menor.ordem", "menor.q")
-    no_minimo = (
-        junta(menores, valores, ["codigo"], espalhar_por=["ordem"])
-        .filter(F.col("p") == F.col("_min_p"))
+    todos = candidatos.withColumn("_menor", F.lit(False)).unionByName(menores.withColumn("_menor", F.lit(True)))
+    no_maximo = ~F.col("_menor") & (F.col("p") == F.col("max_p_robusto"))
+    no_minimo = F.col("_menor") & (F.col("p") == F.col("_min_p"))
+    ordem_no_maximo, ordem_no_minimo = F.when(no_maximo, F.col("ordem")), F.when(no_minimo, F.col("ordem"))
+    extremos = (
+        junta(todos, valores, ["codigo"], espalhar_por=["ordem"])
+        .filter(no_maximo | no_minimo)
         .groupBy("codigo")
-        .agg(F.min("ordem").alias("_min"), F.min_by("q", "ordem").alias("q_no_minimo"))
+        .agg(
+            F.min(ordem_no_maximo).alias("_max"),
+            F.min_by("q", ordem_no_maximo).alias("q_no_maximo"),
+            F.min(ordem_no_minimo).alias("_min"),
+            F.min_by("q", ordem_no_minimo).alias("q_no_minimo"),
+        )
     )
-    juntas = limitadas.join(no_maximo, "codigo", "left").join(no_minimo, "codigo", "left")
+    juntas = junta_grandes(limitadas, extremos, ["codigo"], "left")
     return kpi.cartao(
         juntas.withColumns(
             {"instante_maximo": instante_da_ordem(F.col("_max")), "instante_minimo": instante_da_ordem(F.col("_min"))}
